@@ -78,27 +78,32 @@ def _round(queries: DataFrame, targets: DataFrame, side: float, exclude_zero: bo
     return top_n_with_ties(cand, ["q_lat", "q_lon"], [F.col("distance_m").asc()], n=1)
 
 
+def distinct_locations(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Distinct non-NULL (lat, lon) pairs (a partial aggregate: small shuffle)."""
+    return (df.select(F.col(lat).cast("double").alias(lat), F.col(lon).cast("double").alias(lon))
+              .where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+              .distinct())
+
+
 def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat", lon: str = "lon",
                       exclude_zero: bool = False, per_block: float = 32.0,
-                      radius_m: float = EARTH_RADIUS_M) -> DataFrame:
+                      radius_m: float = EARTH_RADIUS_M, n_targets: int | None = None) -> DataFrame:
     """For each distinct query location, every target location at the minimum distance.
 
     Returns ``q_lat, q_lon, t_lat, t_lon, distance_m``. Locations with a NULL
     coordinate are ignored. ``exclude_zero`` skips targets at distance 0 (the same
     place), giving the nearest *other* location. A query with no eligible target
-    gets no row.
+    gets no row. ``n_targets`` (distinct target locations) saves a count when the
+    caller already has it.
     """
     spark = queries.sparkSession
-    q = (queries.select(F.col(lat).cast("double").alias("q_lat"), F.col(lon).cast("double").alias("q_lon"))
-                .where(F.col("q_lat").isNotNull() & F.col("q_lon").isNotNull())
-                .distinct())
-    t = (targets.select(F.col(lat).cast("double").alias("t_lat"), F.col(lon).cast("double").alias("t_lon"))
-                .where(F.col("t_lat").isNotNull() & F.col("t_lon").isNotNull())
-                .distinct())
+    q = distinct_locations(queries, lat, lon).select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))
+    t = distinct_locations(targets, lat, lon).select(F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon"))
     q = q.select("*", *[c.alias(n) for c, n in zip(unit_vector("q_lat", "q_lon"), ("qx", "qy", "qz"))])
     t = t.select("*", *[c.alias(n) for c, n in zip(unit_vector("t_lat", "t_lon"), ("tx", "ty", "tz"))])
 
-    n_targets = t.count()
+    if n_targets is None:
+        n_targets = t.count()
     if n_targets == 0:
         return spark.createDataFrame([], RESULT_SCHEMA)
     level = start_level(n_targets, per_block)

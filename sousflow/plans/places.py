@@ -67,10 +67,13 @@ def customers_with_city(customer_address: DataFrame, us_cities: DataFrame,
 
 
 def eligible_customers(customer_address: DataFrame, us_cities: DataFrame, customer_data: DataFrame,
-                       strict: bool = True) -> DataFrame:
-    """Addresses whose cleaned city/state is a known city, with names and location."""
+                       strict: bool = True, cities: DataFrame | None = None) -> DataFrame:
+    """Addresses whose cleaned city/state is a known city, with names and location.
+
+    ``cities`` may pass an already built ``canonical_cities(us_cities, strict)``.
+    """
     addr = clean_addresses(customer_address)
-    cities = canonical_cities(us_cities, strict)
+    cities = cities if cities is not None else canonical_cities(us_cities, strict)
     people = customer_data.select("customer_id", "first_name", "last_name", "email")
     matched = addr.join(cities, (addr.customer_city_cleaned == cities.city_name_cleaned)
                         & (addr.customer_state_cleaned == cities.state_abbr_cleaned), "inner")

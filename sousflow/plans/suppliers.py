@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from sousflow.functions.geo import METRES_PER_KM, METRES_PER_MILE
 from sousflow.functions.text import clean_upper
 from sousflow.operators.dedup import canonical_rows
-from sousflow.operators.nearest import nearest_locations
+from sousflow.operators.nearest import distinct_locations, nearest_locations
 from sousflow.operators.topn import top_n_with_ties
 from sousflow.plans.places import canonical_cities, eligible_customers
 
 
-def located_suppliers(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True) -> DataFrame:
+def located_suppliers(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True,
+                      cities: DataFrame | None = None) -> DataFrame:
     """Suppliers with the location of their city; NULL location when no city matches.
 
     The city match is lower-case name and the state as stored on the supplier
     against the upper-cased city state (no trimming on the supplier side).
     """
-    cities = canonical_cities(us_cities, strict).select(
+    cities = (cities if cities is not None else canonical_cities(us_cities, strict)).select(
         F.lower("city_name").alias("_city"), F.upper("state_abbr").alias("_state"), "lat", "lon")
     sup = supplier_info.select("supplier_id", "supplier_name",
                                F.lower("supplier_city").alias("_city"), F.col("supplier_state").alias("_state"))
@@ -31,38 +32,44 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
                      supplier_info: DataFrame, strict: bool = True, round_km: int | None = 3) -> DataFrame:
     """Each eligible customer with the closest supplier(s), ties kept, distance in km.
 
-    Distance depends on location only, so the search runs on distinct customer
-    locations against distinct supplier locations and the answer is joined back
-    to customers and suppliers by location (equi-joins). A customer with several
-    address rows keeps the rows at its overall minimum. Suppliers without a
-    location never win while any located supplier exists; if none exists every
-    supplier ties at rank 1 with a NULL distance.
+    Distance depends on location only, and every customer location is a city
+    location, so the search runs once per distinct city location (a dimension)
+    against distinct supplier locations. Customers then take their location's best
+    distance, are ranked per customer (a customer with several address rows keeps
+    the rows at its overall minimum) and fan out to the tied suppliers through a
+    location equi-join. Suppliers without a location never win while any located
+    supplier exists; a customer with no distance at all ties with every supplier
+    at a NULL distance.
     """
-    cust = eligible_customers(customer_address, us_cities, customer_data, strict).select(
+    cities = canonical_cities(us_cities, strict)
+    cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=cities).select(
         "customer_id", "first_name", "last_name", "email", "lat", "lon")
-    sup = located_suppliers(supplier_info, us_cities, strict)
+    sup = located_suppliers(supplier_info, us_cities, strict, cities=cities)
     located = sup.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
-    near = nearest_locations(cust, located)
-    by_location = near.join(
-        located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), "supplier_id", "supplier_name"),
-        ["t_lat", "t_lon"], "inner").select("q_lat", "q_lon", "supplier_id", "supplier_name", "distance_m")
-    matched = cust.join(by_location, (cust.lat == by_location.q_lat) & (cust.lon == by_location.q_lon), "inner")
+    n_places = distinct_locations(located).count()
+    near = nearest_locations(cities, located, n_targets=n_places)
+    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(
+        F.min("distance_m").alias("distance_m"))
+    ranked = top_n_with_ties(cust.join(best_at, ["lat", "lon"], "left"), ["customer_id"],
+                             [F.col("distance_m").asc_nulls_last()], n=1)
+    ties = near.join(located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
+                                    "supplier_id", "supplier_name"), ["t_lat", "t_lon"], "inner")
+    ties = ties.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "supplier_id", "supplier_name")
+    cols = ["customer_id", "first_name", "last_name", "email", "supplier_id", "supplier_name", "distance_m"]
+    rows = ranked.join(ties, ["lat", "lon"], "inner").select(*cols)
 
-    # Customers with no non-NULL distance at all: every supplier ties, distance NULL.
-    orphans = cust.join(near.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).distinct(),
-                        ["lat", "lon"], "left_anti")
-    everyone = sup.select("supplier_id", "supplier_name", F.lit(None).cast("double").alias("distance_m"))
-    tied_null = orphans.withColumn("_k", F.lit(0)).join(everyone.withColumn("_k", F.lit(0)), "_k", "inner")
+    if n_places == 0 or not cities.where(F.col("lat").isNull() | F.col("lon").isNull()).isEmpty():
+        # Some customer can have no distance at all: every supplier ties at rank 1.
+        orphans = ranked.where(F.col("distance_m").isNull()).drop("distance_m").withColumn("_k", F.lit(0))
+        everyone = sup.select("supplier_id", "supplier_name", F.lit(0).alias("_k"))
+        rows = rows.unionByName(orphans.join(everyone, "_k", "inner")
+                                .select(*cols[:-1], F.lit(None).cast("double").alias("distance_m")))
 
-    cols = ["customer_id", "first_name", "last_name", "email", "supplier_id", "supplier_name", "distance_m"]
-    rows = matched.select(*cols).unionByName(tied_null.select(*cols))
-    best = top_n_with_ties(rows, ["customer_id"], [F.col("distance_m").asc_nulls_last()], n=1)
     km = F.col("distance_m") / METRES_PER_KM
     if round_km is not None:
         km = F.round(km, round_km)
-    return (best.select(*cols[:-1], km.alias("shipping_distance_km"))
-                .orderBy("last_name", "first_name"))
+    return rows.select(*cols[:-1], km.alias("shipping_distance_km")).orderBy("last_name", "first_name")
 
 
 def supplier_geography(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True) -> DataFrame:
@@ -87,17 +94,19 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
     """Each located supplier with the closest supplier(s) in a *different* place, miles.
 
     Distance 0 (same place, including the supplier itself) is excluded. Ties give
-    one row per tied backup supplier. The search runs on distinct locations.
+    one row per tied backup supplier. The search runs on distinct locations; the
+    rank runs at the supplier grain, then rows fan out to tied backups by location.
     """
     geo = supplier_geography(supplier_info, us_cities, strict)
     near = nearest_locations(geo, geo, exclude_zero=True)
-    mains = geo.join(near, (geo.lat == near.q_lat) & (geo.lon == near.q_lon), "inner").select(
-        "supplier_id", "supplier_name", F.col("supplier_location").alias("location_main"),
-        "t_lat", "t_lon", "distance_m")
-    best = top_n_with_ties(mains, ["supplier_id"], [F.col("distance_m").asc()], n=1)
-    backups = geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
-                         F.col("supplier_location").alias("location_backup"))
-    return (best.join(backups, ["t_lat", "t_lon"], "inner")
-                .select("supplier_id", "supplier_name", "location_main", "location_backup",
-                        F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
-                .orderBy("supplier_name"))
+    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(
+        F.min("distance_m").alias("distance_m"))
+    mains = top_n_with_ties(geo.join(best_at, ["lat", "lon"], "inner"), ["supplier_id"],
+                            [F.col("distance_m").asc()], n=1)
+    backups = (near.join(geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
+                                    F.col("supplier_location").alias("location_backup")), ["t_lat", "t_lon"], "inner")
+                   .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "location_backup"))
+    return (mains.join(backups, ["lat", "lon"], "inner")
+                 .select("supplier_id", "supplier_name", F.col("supplier_location").alias("location_main"),
+                         "location_backup", F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
+                 .orderBy("supplier_name"))

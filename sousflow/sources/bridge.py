@@ -59,7 +59,7 @@ class Bridge:
                          _coordinate(k, 37, 110, 55, 137).alias("lat"),
                          _coordinate(k, 71, 340, 170, 291).alias("lon")))
 
-    @property
+    @cached_property
     def us_cities(self) -> DataFrame:
         """city_id, city_name, state_abbr, lat, lon; some cities twice, dirty."""
         n = self._nations
@@ -78,7 +78,7 @@ class Bridge:
         n = self._nations.select("k", "n_name", "r_name")
         return c.join(n, c.c_nationkey.cast("long") == n.k, "inner")
 
-    @property
+    @cached_property
     def customer_data(self) -> DataFrame:
         c = self.t.customer
         return c.select(F.col("c_custkey").alias("customer_id"),
@@ -86,7 +86,7 @@ class Bridge:
                         F.col("c_name").alias("last_name"),
                         F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit(EMAIL_DOMAIN)).alias("email"))
 
-    @property
+    @cached_property
     def customer_address(self) -> DataFrame:
         """Cities and states in mixed case and padded; some cities unknown."""
         c = self._customers
@@ -102,7 +102,7 @@ class Bridge:
                         state.alias("customer_state"))
 
     # -- suppliers --------------------------------------------------------
-    @property
+    @cached_property
     def supplier_info(self) -> DataFrame:
         s = self.t.supplier.select("s_suppkey", "s_name", "s_nationkey")
         n = self._nations.select("k", "n_name", "r_name")
@@ -112,14 +112,14 @@ class Bridge:
                          city.alias("supplier_city"), F.col("r_name").alias("supplier_state")))
 
     # -- survey and tags --------------------------------------------------
-    @property
+    @cached_property
     def recipe_tags(self) -> DataFrame:
         """tag_id = smallest part key of the type; the missing type reads '<NA>'."""
         types = self.t.part.groupBy("p_type").agg(F.min("p_partkey").alias("tag_id"))
         prop = F.when(F.col("p_type") == MISSING_TAG_TYPE, F.lit(MISSING_TEXT)).otherwise(F.concat(F.lit(" "), F.col("p_type")))
         return types.select(F.col("tag_id").cast("long").alias("tag_id"), prop.alias("tag_property"))
 
-    @property
+    @cached_property
     def customer_survey(self) -> DataFrame:
         """One row per (customer, part type ordered); inactive for every 5th customer."""
         li = self.t.lineitem.select("l_orderkey", "l_partkey")
@@ -135,20 +135,20 @@ class Bridge:
                                (F.pmod("customer_id", F.lit(INACTIVE_SURVEY_EVERY)) != 0).alias("is_active")))
 
     # -- recipes ----------------------------------------------------------
-    @property
+    @cached_property
     def recipe(self) -> DataFrame:
         words = F.split(F.col("p_name"), " ")
         return self.t.part.select(F.col("p_partkey").alias("recipe_id"), F.col("p_name").alias("recipe_name"),
                                   words.alias("tag_list"), words.alias("ingredients"))
 
-    @property
+    @cached_property
     def nutrition(self) -> DataFrame:
         return self.t.part.select(F.replace("p_name", F.lit(" "), F.lit(", ")).alias("ingredient_name"),
                                   F.col("p_size").cast("long").alias("calories"),
                                   F.concat(F.col("p_size").cast("string"), F.lit("g")).alias("total_fat"))
 
     # -- website activity -------------------------------------------------
-    @property
+    @cached_property
     def website_activity(self) -> DataFrame:
         """Events with a session id (user and 36-hour bucket) and JSON details."""
         e = self.t.events.select("event_id", "ts", "user_id", "event_type", "props")

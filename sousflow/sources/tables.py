@@ -15,13 +15,17 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         single = f"{self.root}/{name}.parquet"
         return single if os.path.exists(single) or "://" in self.root else f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table as a lazy DataFrame; one reader per name (footer read once)."""
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
