@@ -85,10 +85,10 @@ BRIDGE = {
 }
 
 
-def with_bridge(body: str, *ctes: tuple[str, str]) -> str:
-    parts = [f"{name} AS ({sql})" for name, sql in BRIDGE.items()]
+def _with(body: str, *ctes: tuple[str, str], bridge: bool = True) -> str:
+    parts = [f"{name} AS ({sql})" for name, sql in BRIDGE.items()] if bridge else []
     parts += [f"{name} AS ({sql})" for name, sql in ctes]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
 
 
 def _cities_clean() -> tuple[str, str]:
@@ -165,8 +165,8 @@ def _impacted() -> list[tuple[str, str]]:
 def _events() -> list[tuple[str, str]]:
     return [
         ("ev", """SELECT session_id, event_id, event_timestamp,
-                         CAST(event_details AS JSON) ->> '$.event' AS event,
-                         CAST(event_details AS JSON) ->> '$.recipe_id' AS recipe_id
+                         CASE WHEN json_valid(event_details) THEN json_extract_string(event_details, '$.event') END AS event,
+                         CASE WHEN json_valid(event_details) THEN json_extract_string(event_details, '$.recipe_id') END AS recipe_id
                   FROM website_activity"""),
         ("w", """SELECT session_id, event_id, event_timestamp, event, recipe_id,
                         min(CAST(event_timestamp AS DATE)) OVER (PARTITION BY session_id) AS session_date,
@@ -224,7 +224,12 @@ def _supplier_geo() -> list[tuple[str, str]]:
     ]
 
 
-def oracle_queries() -> dict[str, str]:
+def oracle_queries(bridge: bool = True) -> dict[str, str]:
+    """SQL per query name. ``bridge=False`` reads business tables of those names
+    directly (fixtures registered in DuckDB) instead of deriving them."""
+    def with_bridge(body: str, *ctes: tuple[str, str]) -> str:
+        return _with(body, *ctes, bridge=bridge)
+
     q: dict[str, str] = {}
     q["preview_limit"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_nationkey LIMIT 4"
     q["clean_keys"] = with_bridge("""

@@ -47,4 +47,4 @@ def recipe_suggestion(preferences: DataFrame, recipe: DataFrame) -> DataFrame:
     """Top preferences plus one recipe matching preference 1, ordered by email."""
     index = recipe_by_tag(recipe)
     return (preferences.join(index, preferences.food_preference_1 == index.recipe_tag_cleaned, "left")
-                       .orderBy("email"))
+                       .orderBy(F.col("email").asc_nulls_last()))

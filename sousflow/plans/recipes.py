@@ -49,4 +49,4 @@ def recipe_nutrition(recipe: DataFrame, nutrition: DataFrame,
     return (per_item.groupBy("recipe_name")
                     .agg(F.sum("calories").alias("total_calories"),
                          F.sum(int_from_unit_text("total_fat")).alias("total_fat"))
-                    .orderBy("recipe_name"))
+                    .orderBy(F.col("recipe_name").asc_nulls_last()))

@@ -119,7 +119,7 @@ def daily_report(website_activity: DataFrame) -> DataFrame:
     return (report.where(F.col("avg_session_length_seconds") > 0)
                   .select("session_date", "num_sessions", "avg_session_length_seconds",
                           "avg_num_searches_before_viewing_recipe", strip_quotes("_ids").alias("most_viewed_recipe"))
-                  .orderBy("session_date"))
+                  .orderBy(F.col("session_date").asc_nulls_last()))
 
 
 def session_start_and_last_event(website_activity: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     km = F.col("distance_m") / METRES_PER_KM
     if round_km is not None:
         km = F.round(km, round_km)
-    return rows.select(*cols[:-1], km.alias("shipping_distance_km")).orderBy("last_name", "first_name")
+    return rows.select(*cols[:-1], km.alias("shipping_distance_km")).orderBy(F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last())
 
 
 def supplier_geography(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True) -> DataFrame:
@@ -109,4 +109,4 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
     return (mains.join(backups, ["lat", "lon"], "inner")
                  .select("supplier_id", "supplier_name", F.col("supplier_location").alias("location_main"),
                          "location_backup", F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
-                 .orderBy("supplier_name"))
+                 .orderBy(F.col("supplier_name").asc_nulls_last()))
