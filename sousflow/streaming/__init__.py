@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference's only event table is a batch table: it has no watermark, event-time
+window, state store or late-data handling, so nothing is built here. The session
+jobs in ``sousflow.plans.sessions`` are plain DataFrame functions and can be
+applied to each micro-batch of a ``foreachBatch`` sink by a caller if needed.
+"""
