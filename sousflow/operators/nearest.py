@@ -111,6 +111,9 @@ def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat
         # One block spans the sphere: a single lazy plan, nothing to widen.
         return _round(q, t, 2.0, exclude_zero, radius_m)
 
+    if not spark.sparkContext.getCheckpointDir():
+        raise RuntimeError("nearest_locations needs a checkpoint directory for a multi-round search: "
+                           "set spark.checkpoint.dir to a folder shared by the cluster")
     t = t.checkpoint()
     q = q.checkpoint()
     settled: list[DataFrame] = []

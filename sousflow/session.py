@@ -21,26 +21,33 @@ ADAPTIVE_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sousflow") -> SparkSession:
+    """A local session for tests, the bench and the oracle check.
+
+    Only here, and only when no checkpoint directory is configured, a scratch one is
+    created; library code never picks a folder itself.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in ADAPTIVE_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if ensure_checkpoint_dir(spark) is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sousflow-ckpt-"))
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a scratch one only if unset.
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The session's checkpoint directory, taken from ``spark.checkpoint.dir`` if needed.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster that setting names a shared folder. Returns None when nothing is
+    configured; jobs that need to cut lineage then stop with a clear error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +56,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sousflow-ckpt-"))
-    return sc.getCheckpointDir()
+        return sc.getCheckpointDir()
+    return None

@@ -7,6 +7,9 @@ business tables from it with fixed rules, including deliberately dirty spellings
 so that cleaning and de-duplication have work to do. Every view is a lazy
 DataFrame over the parquet scans, so its size follows the source tables.
 
+No rule drops rows: the modulo rules only pick a spelling, a known or unknown
+city, or a flag for each row, and every source row is kept.
+
 The same rules are written in DuckDB SQL in ``sousflow.plans.oracle``.
 """
 

@@ -25,9 +25,8 @@ def spark():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.sparkContext.getCheckpointDir() and not session.conf.get("spark.checkpoint.dir", None):
+    if ensure_checkpoint_dir(session) is None:
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sousflow-test-ckpt-"))
-    ensure_checkpoint_dir(session)
     yield session
 
 
