@@ -13,6 +13,11 @@ from sousflow.operators.topn import top_n_with_ties
 from sousflow.plans.places import canonical_cities, eligible_customers
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    """Checkpointed copy when a checkpoint directory is configured, else the plan as is."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
+
+
 def located_suppliers(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True,
                       cities: DataFrame | None = None) -> DataFrame:
     """Suppliers with the location of their city; NULL location when no city matches.
@@ -41,7 +46,9 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     supplier exists; a customer with no distance at all ties with every supplier
     at a NULL distance.
     """
-    cities = canonical_cities(us_cities, strict)
+    # The city dimension feeds four branches; materialise it once (reliable checkpoint
+    # in the shared checkpoint directory) instead of deriving it four times.
+    cities = _staged(canonical_cities(us_cities, strict))
     cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=cities).select(
         "customer_id", "first_name", "last_name", "email", "lat", "lon")
     sup = located_suppliers(supplier_info, us_cities, strict, cities=cities)
@@ -97,7 +104,8 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
     one row per tied backup supplier. The search runs on distinct locations; the
     rank runs at the supplier grain, then rows fan out to tied backups by location.
     """
-    geo = supplier_geography(supplier_info, us_cities, strict)
+    # Feeds the search (both sides) and both join-backs: materialise once.
+    geo = _staged(supplier_geography(supplier_info, us_cities, strict))
     near = nearest_locations(geo, geo, exclude_zero=True)
     best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(
         F.min("distance_m").alias("distance_m"))
