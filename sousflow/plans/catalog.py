@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sousflow.operators.nested import flatten
 from sousflow.plans import customers, places, preferences, recipes, sessions, suppliers
@@ -68,6 +67,16 @@ def nearest_supplier(spark, d):
     return suppliers.nearest_supplier(b.customer_address, b.us_cities, b.customer_data, b.supplier_info, strict=True)
 
 
+def nearest_supplier_parity(spark, d):
+    b = _b(spark, d)
+    return suppliers.nearest_supplier(b.customer_address, b.us_cities, b.customer_data, b.supplier_info, strict=False)
+
+
+def backup_supplier_parity(spark, d):
+    b = _b(spark, d)
+    return suppliers.backup_supplier(b.supplier_info, b.us_cities, strict=False)
+
+
 def backup_supplier(spark, d):
     b = _b(spark, d)
     return suppliers.backup_supplier(b.supplier_info, b.us_cities, strict=True)
@@ -154,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "eligible_customers": eligible_customers,
     "eligible_customers_parity": eligible_customers_parity,
     "nearest_supplier": nearest_supplier,
+    "nearest_supplier_parity": nearest_supplier_parity,
     "top3_preferences": top3_preferences,
     "recipe_index": recipe_index,
     "recipe_suggestion": recipe_suggestion,
@@ -163,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "recipe_nutrition": recipe_nutrition,
     "flatten_index": flatten_index,
     "backup_supplier": backup_supplier,
+    "backup_supplier_parity": backup_supplier_parity,
     "json_path_filter": json_path_filter,
     "window_min_last": window_min_last,
     "session_summary": session_summary,

@@ -206,15 +206,22 @@ def _daily() -> tuple[str, str]:
                      FROM ss GROUP BY ALL""")
 
 
-def _supplier_geo() -> list[tuple[str, str]]:
+def _supplier_geo(strict: bool = True) -> list[tuple[str, str]]:
+    if strict:
+        cities = ("cities", """SELECT trim(upper(city_name)) AS cn, trim(upper(state_abbr)) AS sa, min(city_id) AS city_id
+                               FROM us_cities GROUP BY ALL""")
+        details = ("details", """SELECT c.city_id, trim(upper(c.city_name)) AS cn, trim(upper(c.state_abbr)) AS sa, c.lat, c.lon
+                                 FROM us_cities c JOIN cities u ON c.city_id = u.city_id
+                                  AND trim(upper(c.city_name)) = u.cn AND trim(upper(c.state_abbr)) = u.sa""")
+    else:
+        cities = ("cities", "SELECT city_name, state_abbr, min(city_id) AS city_id FROM us_cities GROUP BY ALL")
+        details = ("details", """SELECT c.city_id, trim(upper(c.city_name)) AS cn, trim(upper(c.state_abbr)) AS sa, c.lat, c.lon
+                                 FROM us_cities c JOIN cities u ON c.city_id = u.city_id""")
     return [
         ("suppliers", """SELECT supplier_id, supplier_name, supplier_city || ', ' || supplier_state AS supplier_location,
                                 trim(upper(supplier_city)) AS sc, trim(upper(supplier_state)) AS ss FROM supplier_info"""),
-        ("cities", """SELECT trim(upper(city_name)) AS cn, trim(upper(state_abbr)) AS sa, min(city_id) AS city_id
-                      FROM us_cities GROUP BY ALL"""),
-        ("details", """SELECT c.city_id, trim(upper(c.city_name)) AS cn, trim(upper(c.state_abbr)) AS sa, c.lat, c.lon
-                       FROM us_cities c JOIN cities u ON c.city_id = u.city_id
-                        AND trim(upper(c.city_name)) = u.cn AND trim(upper(c.state_abbr)) = u.sa"""),
+        cities,
+        details,
         ("geo", """SELECT s.supplier_id, s.supplier_name, s.supplier_location, d.lat, d.lon
                    FROM suppliers s JOIN details d ON s.sc = d.cn AND s.ss = d.sa"""),
         ("dist", f"""SELECT a.supplier_id AS main, a.supplier_location AS location_main, b.supplier_location AS location_backup,
@@ -256,16 +263,17 @@ def oracle_queries(bridge: bool = True) -> dict[str, str]:
     eligible_cols = "customer_id, first_name, last_name, email, customer_city, customer_state, lat, lon"
     q["eligible_customers"] = with_bridge(f"SELECT {eligible_cols} FROM t5", *_eligible(True))
     q["eligible_customers_parity"] = with_bridge(f"SELECT {eligible_cols} FROM t5", *_eligible(False))
-    q["nearest_supplier"] = with_bridge(f"""
+    for key, strict in (("nearest_supplier", True), ("nearest_supplier_parity", False)):
+        q[key] = with_bridge(f"""
         SELECT customer_id, first_name, last_name, email, supplier_id, supplier_name,
                round(d / 1000, 3) AS shipping_distance_km
         FROM (SELECT t7.*, rank() OVER (PARTITION BY customer_id ORDER BY d ASC NULLS LAST) AS r FROM t7)
-        WHERE r = 1""", *_eligible(True),
-        ("t6", """SELECT si.supplier_id, si.supplier_name, t3.lat, t3.lon FROM supplier_info si
-                  LEFT JOIN t3 ON lower(si.supplier_city) = lower(t3.city_name) AND si.supplier_state = upper(t3.state_abbr)"""),
-        ("t7", f"""SELECT t5.customer_id, t5.first_name, t5.last_name, t5.email, t6.supplier_id, t6.supplier_name,
-                          {haversine_sql('t5.lat', 't5.lon', 't6.lat', 't6.lon')} AS d
-                   FROM t5 CROSS JOIN t6"""))
+        WHERE r = 1""", *_eligible(strict),
+            ("t6", """SELECT si.supplier_id, si.supplier_name, t3.lat, t3.lon FROM supplier_info si
+                      LEFT JOIN t3 ON lower(si.supplier_city) = lower(t3.city_name) AND si.supplier_state = upper(t3.state_abbr)"""),
+            ("t7", f"""SELECT t5.customer_id, t5.first_name, t5.last_name, t5.email, t6.supplier_id, t6.supplier_name,
+                              {haversine_sql('t5.lat', 't5.lon', 't6.lat', 't6.lon')} AS d
+                       FROM t5 CROSS JOIN t6"""))
     q["top3_preferences"] = with_bridge("SELECT * FROM t8", *_top3())
     q["recipe_index"] = with_bridge("SELECT * FROM t11", *_recipe_index())
     q["recipe_suggestion"] = with_bridge("""
@@ -296,10 +304,11 @@ def oracle_queries(bridge: bool = True) -> dict[str, str]:
     q["flatten_index"] = with_bridge("""
         SELECT r.recipe_id, CAST(u.pos - 1 AS INTEGER) AS ingredient_index, u.ing AS ingredient
         FROM recipe r, unnest(r.ingredients) WITH ORDINALITY AS u(ing, pos)""")
-    q["backup_supplier"] = with_bridge(f"""
+    for key, strict in (("backup_supplier", True), ("backup_supplier_parity", False)):
+        q[key] = with_bridge(f"""
         SELECT s.supplier_id, s.supplier_name, x.location_main, x.location_backup, round(x.d / {mile}) AS travel_miles
         FROM closest c JOIN dist x ON c.main = x.main AND c.cd = x.d
-        JOIN suppliers s ON x.main = s.supplier_id""", *_supplier_geo())
+        JOIN suppliers s ON x.main = s.supplier_id""", *_supplier_geo(strict))
     q["json_path_filter"] = with_bridge("""
         SELECT event_id, session_id, event_timestamp, recipe_id FROM ev WHERE event = 'view_recipe'""", *_events()[:1])
     q["window_min_last"] = with_bridge("""
