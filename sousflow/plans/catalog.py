@@ -82,8 +82,8 @@ def backup_supplier(spark, d):
     return suppliers.backup_supplier(b.supplier_info, b.us_cities, strict=True)
 
 
-def _top3(b: Bridge) -> DataFrame:
-    eligible = places.eligible_customers(b.customer_address, b.us_cities, b.customer_data, strict=True)
+def _top3(b: Bridge, strict: bool = True) -> DataFrame:
+    eligible = places.eligible_customers(b.customer_address, b.us_cities, b.customer_data, strict=strict)
     return preferences.top_preferences(eligible, b.customer_survey, b.recipe_tags, n=3)
 
 
@@ -91,6 +91,10 @@ def top3_preferences(spark, d):
     return _top3(_b(spark, d))
 
 
+def top3_preferences_parity(spark, d):
+    return _top3(_b(spark, d), strict=False)
+
+
 def recipe_index(spark, d):
     return preferences.recipe_by_tag(_b(spark, d).recipe)
 
@@ -165,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "nearest_supplier": nearest_supplier,
     "nearest_supplier_parity": nearest_supplier_parity,
     "top3_preferences": top3_preferences,
+    "top3_preferences_parity": top3_preferences_parity,
     "recipe_index": recipe_index,
     "recipe_suggestion": recipe_suggestion,
     "active_pref_count": active_pref_count,

@@ -120,8 +120,8 @@ def _eligible(strict: bool) -> list[tuple[str, str]]:
     ]
 
 
-def _top3() -> list[tuple[str, str]]:
-    return _eligible(True) + [
+def _top3(strict: bool = True) -> list[tuple[str, str]]:
+    return _eligible(strict) + [
         ("t6", """SELECT cs.customer_id, rt.tag_property, trim(lower(rt.tag_property)) AS tag_property_cleaned
                   FROM customer_survey cs LEFT JOIN recipe_tags rt ON cs.tag_id = rt.tag_id"""),
         ("t7", """SELECT t5.customer_id, t5.first_name, t5.last_name, t5.email, t6.tag_property_cleaned,
@@ -275,6 +275,7 @@ def oracle_queries(bridge: bool = True) -> dict[str, str]:
                               {haversine_sql('t5.lat', 't5.lon', 't6.lat', 't6.lon')} AS d
                        FROM t5 CROSS JOIN t6"""))
     q["top3_preferences"] = with_bridge("SELECT * FROM t8", *_top3())
+    q["top3_preferences_parity"] = with_bridge("SELECT * FROM t8", *_top3(False))
     q["recipe_index"] = with_bridge("SELECT * FROM t11", *_recipe_index())
     q["recipe_suggestion"] = with_bridge("""
         SELECT t8.*, t11.recipe_tag_cleaned, t11.recipe_name

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sousflow.functions.text import clean_lower
 from sousflow.operators.nested import inverted_index
-from sousflow.operators.topn import pivot_ranks, top_n_with_ties
+from sousflow.operators.topn import pivot_ranks
 
 MISSING_TAG = "<NA>"  # fixed value: how the tag table spells a missing property
 
@@ -24,16 +24,28 @@ def top_preferences(eligible: DataFrame, customer_survey: DataFrame, recipe_tags
                     n: int = 3) -> DataFrame:
     """Customers with at least one known preference and their first ``n`` (alphabetical).
 
-    RANK gives equal tags the same rank, so a repeated first tag leaves the second
-    column NULL. The rank filter runs before the pivot (partial group limit).
+    Same result as RANK() over a customer's joined rows ordered by tag, then a pivot
+    of ranks 1..n: equal tags share a rank, so a repeated first tag leaves the
+    second column NULL. The rank of a tag only depends on how many joined rows hold
+    smaller tags, so it is computed from (customer, tag) counts, a partial aggregate:
+    a customer with a third of all survey rows never reaches one task as raw rows.
     """
     people = eligible.select("customer_id", "first_name", "last_name", "email")
-    tags = survey_tags(customer_survey, recipe_tags).where(F.col("tag_property") != MISSING_TAG)
-    ranked = top_n_with_ties(people.join(tags, "customer_id", "inner"), ["customer_id"],
-                             [F.col("tag_property_cleaned").asc_nulls_last()], n=n, rank_col="food_preference")
+    tags = (survey_tags(customer_survey, recipe_tags).where(F.col("tag_property") != MISSING_TAG)
+            .select("customer_id", F.col("tag_property_cleaned").alias("tag")))
+    # every people row of a customer repeats all of the customer's tag rows
+    copies = people.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_copies"))
+    counts = tags.groupBy("customer_id", "tag").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy("customer_id").orderBy("tag")
+                                 .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (counts.join(copies, "customer_id", "inner")
+                    .withColumn("food_preference", F.coalesce(before, F.lit(0)) * F.col("_copies") + 1)
+                    .where(F.col("food_preference") <= n))
     out_cols = [f"food_preference_{i}" for i in range(1, n + 1)]
-    return pivot_ranks(ranked, ["customer_id", "first_name", "last_name", "email"], "food_preference",
-                       "tag_property_cleaned", out_cols)
+    pivoted = pivot_ranks(ranked, ["customer_id"], "food_preference", "tag", out_cols)
+    groups = people.distinct()
+    return groups.join(pivoted, "customer_id", "inner").select(
+        "customer_id", "first_name", "last_name", "email", *out_cols)
 
 
 def recipe_by_tag(recipe: DataFrame) -> DataFrame:

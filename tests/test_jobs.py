@@ -39,6 +39,8 @@ JOBS = {
                                                              t["supplier_info"]),
     "backup_supplier": lambda t: suppliers.backup_supplier(t["supplier_info"], t["us_cities"]),
     "top3_preferences": lambda t: preferences.top_preferences(_eligible(t), t["customer_survey"], t["recipe_tags"]),
+    "top3_preferences_parity": lambda t: preferences.top_preferences(_eligible(t, False), t["customer_survey"],
+                                                                     t["recipe_tags"]),
     "recipe_index": lambda t: preferences.recipe_by_tag(t["recipe"]),
     "recipe_suggestion": lambda t: preferences.recipe_suggestion(
         preferences.top_preferences(_eligible(t), t["customer_survey"], t["recipe_tags"]), t["recipe"]),
