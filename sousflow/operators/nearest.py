@@ -1,36 +1,54 @@
 """Exact nearest-location join on the sphere, ties kept, without a cross join.
 
-Every location becomes a point on the unit sphere. Space is cut into cubes of side
-``h``; a query is joined (equi-join on the cube coordinates) only with targets in
-the 3 x 3 x 3 block of cubes around its own. Any target outside that block is at
-least ``h`` away along one axis, so when the best target found is closer than
-``h`` it is the exact nearest, and every tie of it lies inside the block.
-
-Queries not settled at side ``h`` try again at ``2h`` (only those queries). Side
-``h >= 2`` covers the whole sphere, so the widening always ends. The first side is
-picked from the number of target locations so that a block holds a few dozen
-targets on average; the work per query follows local density, not table size.
-
-Rounds after the first are materialised with ``checkpoint()`` in the session's
-checkpoint directory (a shared folder on a cluster), so a lost executor re-reads
-the last round instead of recomputing the loop.
+Locations become points on the unit sphere, where straight-line (chord) distance
+grows with great-circle distance. Targets are summarised in a cell hierarchy:
+level ``l`` cuts space into cubes of side ``2**-l``; every non-empty cube keeps its
+target count and the bounding box of its targets.
+
+Each query walks the hierarchy from the root cubes down, one level per round,
+entirely with equi-joins on cube coordinates:
+
+* for every cube still in play, ``lb`` (nearest point of the box) and ``ub``
+  (farthest point of the box) bound the distance to any target inside;
+* ``U``, the smallest ``ub`` seen so far, bounds the nearest distance from above,
+  so a cube with ``lb > U`` cannot hold the nearest target or any tie of it and
+  is dropped;
+* cubes with few targets (``leaf_size``) stop; the others are replaced by their
+  non-empty children.
+
+Each query is then compared exactly only with the targets of its surviving leaf
+cubes, and the closest ones (all ties) are kept. No cap is placed anywhere:
+pruning only removes targets that are provably farther than another target. The
+work per query follows how many targets lie near its nearest distance, not the
+table sizes, also for a query far away from a dense cluster.
+
+Rounds are materialised with ``checkpoint()`` in the session's checkpoint
+directory (a shared folder on a cluster), so a lost executor re-reads the last
+round instead of recomputing the walk. With at most ``leaf_size`` targets every
+root cube is a leaf and the whole search is one lazy plan.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sousflow.functions.geo import EARTH_RADIUS_M, chord_to_metres, great_circle_m, unit_vector
+from sousflow.functions.geo import EARTH_RADIUS_M, great_circle_m, unit_vector
 from sousflow.operators.topn import top_n_with_ties
 
-# Margin on the settle test so rounding in cube assignment never hides a target.
-_SETTLE_MARGIN = 1e-9
-_OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
+LEAF_SIZE = 64
+MAX_LEVEL = 24          # cubes of side 2**-24 (about 0.4 m on the Earth)
+_REL_MARGIN = 1e-9      # pruning slack, so float rounding never drops a tie
+_ABS_MARGIN = 1e-12
+_NO_BOUND = 4.0         # above any chord of the unit sphere (<= 2)
+_ZERO_CHORD = 1e-9      # about 6 mm: below it two points count as one place
+_AXES = ("x", "y", "z")
+_CELL = ["lvl", "cx", "cy", "cz"]
+_BOX = ["n", "x_lo", "x_hi", "y_lo", "y_hi", "z_lo", "z_hi"]
+_QCOLS = ["q_lat", "q_lon", "qx", "qy", "qz"]
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("q_lat", T.DoubleType()),
@@ -41,43 +59,6 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def start_level(n_targets: int, per_block: float = 32.0) -> int:
-    """Cube side 2**-level with about ``per_block`` targets per block if spread evenly."""
-    if n_targets <= 0:
-        return -1
-    side = math.sqrt(4.0 * math.pi * per_block / (9.0 * n_targets))
-    if side >= 2.0:
-        return -1
-    return max(-1, math.floor(-math.log2(side)))
-
-
-def _cells(x: Column, y: Column, z: Column, side: float) -> list[Column]:
-    return [F.floor(v / F.lit(side)).cast("long") for v in (x, y, z)]
-
-
-def _round(queries: DataFrame, targets: DataFrame, side: float, exclude_zero: bool,
-           radius_m: float) -> DataFrame:
-    """Best targets per query among the 27 cubes around it (ties kept)."""
-    tx, ty, tz = F.col("tx"), F.col("ty"), F.col("tz")
-    tcells = targets.select("t_lat", "t_lon", *[c.alias(n) for c, n in zip(_cells(tx, ty, tz, side), ("cx", "cy", "cz"))])
-    offsets = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy"), F.lit(c).alias("dz"))
-                        for a, b, c in _OFFSETS])
-    qx, qy, qz = F.col("qx"), F.col("qy"), F.col("qz")
-    qcx, qcy, qcz = _cells(qx, qy, qz, side)
-    qblock = (queries.select("q_lat", "q_lon", qcx.alias("qcx"), qcy.alias("qcy"), qcz.alias("qcz"),
-                             F.explode(offsets).alias("o"))
-                     .select("q_lat", "q_lon",
-                             (F.col("qcx") + F.col("o.dx")).alias("cx"),
-                             (F.col("qcy") + F.col("o.dy")).alias("cy"),
-                             (F.col("qcz") + F.col("o.dz")).alias("cz")))
-    cand = (qblock.join(tcells, on=["cx", "cy", "cz"], how="inner")
-                  .select("q_lat", "q_lon", "t_lat", "t_lon",
-                          great_circle_m("q_lat", "q_lon", "t_lat", "t_lon", radius_m).alias("distance_m")))
-    if exclude_zero:
-        cand = cand.where(F.col("distance_m") > 0)
-    return top_n_with_ties(cand, ["q_lat", "q_lon"], [F.col("distance_m").asc()], n=1)
-
-
 def distinct_locations(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Distinct non-NULL (lat, lon) pairs (a partial aggregate: small shuffle)."""
     return (df.select(F.col(lat).cast("double").alias(lat), F.col(lon).cast("double").alias(lon))
@@ -85,9 +66,56 @@ def distinct_locations(df: DataFrame, lat: str = "lat", lon: str = "lon") -> Dat
               .distinct())
 
 
+def _cell_summaries(t: DataFrame, max_level: int) -> tuple[DataFrame, DataFrame]:
+    """Per level: target -> cube, and cube -> (parent cube, count, bounding box)."""
+    levels = F.array(*[F.lit(level) for level in range(max_level + 1)])
+    per_level = t.select("t_lat", "t_lon", "tx", "ty", "tz", F.explode(levels).alias("lvl"))
+    scale = F.pow(F.lit(2.0), F.col("lvl"))  # powers of two: exact scaling, exact parents
+    placed = per_level.select("*", *[F.floor(F.col(f"t{a}") * scale).cast("long").alias(f"c{a}") for a in _AXES])
+    summary = placed.groupBy(*_CELL).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[agg(F.col(f"t{a}")).alias(f"{a}_{side}") for a in _AXES for agg, side in ((F.min, "lo"), (F.max, "hi"))])
+    summary = summary.select("*", *[F.floor(F.col(f"c{a}") / 2).cast("long").alias(f"p{a}") for a in _AXES])
+    return placed.select(*_CELL, "t_lat", "t_lon"), summary
+
+
+def _root_cells(q: DataFrame) -> DataFrame:
+    """Each query with the 27 possible level-0 cubes (coordinate -1, 0 or 1 per axis)."""
+    three = F.array(F.lit(-1).cast("long"), F.lit(0).cast("long"), F.lit(1).cast("long"))
+    return (q.select(*_QCOLS, F.explode(three).alias("cx"))
+             .select("*", F.explode(three).alias("cy"))
+             .select("*", F.explode(three).alias("cz"), F.lit(0).alias("lvl")))
+
+
+def _root_frontier(q: DataFrame, summary: DataFrame) -> DataFrame:
+    """Each query with the non-empty level-0 cubes and their boxes."""
+    start = _root_cells(q).withColumn("u_prev", F.lit(_NO_BOUND))
+    return start.join(summary.select(*_CELL, *_BOX), on=_CELL, how="inner")
+
+
+def _prune(frontier: DataFrame, exclude_zero: bool) -> DataFrame:
+    """Cubes that may still hold the nearest target, with the running bound ``u``."""
+    near, far = [], []
+    for a in _AXES:
+        p, lo, hi = F.col(f"q{a}"), F.col(f"{a}_lo"), F.col(f"{a}_hi")
+        near.append(F.pow(F.greatest(lo - p, F.lit(0.0), p - hi), 2))
+        far.append(F.pow(F.greatest(F.abs(p - lo), F.abs(p - hi)), 2))
+    bounded = frontier.select("*", F.sqrt(reduce(Column.__add__, near)).alias("lb"),
+                              F.sqrt(reduce(Column.__add__, far)).alias("ub"))
+    bound = F.col("ub")
+    if exclude_zero:
+        # a cube whose box is (almost) the query point may hold only the query's own
+        # place: it stays in play but gives no bound on the nearest *other* place
+        bound = F.when(F.col("ub") > _ZERO_CHORD, F.col("ub"))
+    u = F.least(F.min(bound).over(Window.partitionBy("q_lat", "q_lon")), F.col("u_prev"))
+    return (bounded.withColumn("u", u)
+                   .where(F.col("lb") <= F.col("u") * (1 + _REL_MARGIN) + _ABS_MARGIN))
+
+
 def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat", lon: str = "lon",
-                      exclude_zero: bool = False, per_block: float = 32.0,
-                      radius_m: float = EARTH_RADIUS_M, n_targets: int | None = None) -> DataFrame:
+                      exclude_zero: bool = False, radius_m: float = EARTH_RADIUS_M,
+                      n_targets: int | None = None, leaf_size: int = LEAF_SIZE,
+                      max_level: int = MAX_LEVEL) -> DataFrame:
     """For each distinct query location, every target location at the minimum distance.
 
     Returns ``q_lat, q_lon, t_lat, t_lon, distance_m``. Locations with a NULL
@@ -99,35 +127,49 @@ def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat
     spark = queries.sparkSession
     q = distinct_locations(queries, lat, lon).select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))
     t = distinct_locations(targets, lat, lon).select(F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon"))
-    q = q.select("*", *[c.alias(n) for c, n in zip(unit_vector("q_lat", "q_lon"), ("qx", "qy", "qz"))])
-    t = t.select("*", *[c.alias(n) for c, n in zip(unit_vector("t_lat", "t_lon"), ("tx", "ty", "tz"))])
-
     if n_targets is None:
         n_targets = t.count()
     if n_targets == 0:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    level = start_level(n_targets, per_block)
-    if level < 0:
-        # One block spans the sphere: a single lazy plan, nothing to widen.
-        return _round(q, t, 2.0, exclude_zero, radius_m)
+    q = q.select("*", *[c.alias(f"q{a}") for c, a in zip(unit_vector("q_lat", "q_lon"), _AXES)])
+    t = t.select("*", *[c.alias(f"t{a}") for c, a in zip(unit_vector("t_lat", "t_lon"), _AXES)])
+
+    if n_targets <= leaf_size:
+        # Every root cube is a leaf: each query meets the (at most leaf_size)
+        # targets of the root cubes through an equi-join; one lazy plan.
+        placed, _ = _cell_summaries(t, 0)
+        pairs = _root_cells(q).join(placed, on=_CELL, how="inner")
+        return _exact(pairs, exclude_zero, radius_m)
 
     if not spark.sparkContext.getCheckpointDir():
         raise RuntimeError("nearest_locations needs a checkpoint directory for a multi-round search: "
                            "set spark.checkpoint.dir to a folder shared by the cluster")
-    t = t.checkpoint()
-    q = q.checkpoint()
-    settled: list[DataFrame] = []
+    placed, summary = _cell_summaries(t, max_level)
+    q, placed, summary = q.checkpoint(), placed.checkpoint(), summary.checkpoint()
+
+    is_leaf = (F.col("n") <= leaf_size) | (F.col("lvl") >= max_level)
+    frontier = _root_frontier(q, summary)
+    leaves: list[DataFrame] = []
     while True:
-        side = 2.0 ** -level
-        best = _round(q, t, side, exclude_zero, radius_m)
-        if side >= 2.0:
-            settled.append(best.checkpoint())
-            break
-        limit_m = chord_to_metres(side * (1.0 - _SETTLE_MARGIN), radius_m)
-        done = best.where(F.col("distance_m") <= F.lit(limit_m)).checkpoint()
-        settled.append(done)
-        q = q.join(done.select("q_lat", "q_lon").distinct(), on=["q_lat", "q_lon"], how="left_anti").checkpoint()
-        if q.isEmpty():
+        kept = _prune(frontier, exclude_zero)
+        leaves.append(kept.where(is_leaf).select("q_lat", "q_lon", *_CELL).checkpoint())
+        parents = kept.where(~is_leaf).select(
+            *_QCOLS, F.col("u").alias("u_prev"), (F.col("lvl") + 1).alias("lvl"),
+            *[F.col(f"c{a}").alias(f"p{a}") for a in _AXES])
+        frontier = (parents.join(summary, on=["lvl", "px", "py", "pz"], how="inner")
+                           .select(*_QCOLS, "u_prev", *_CELL, *_BOX)
+                           .checkpoint())
+        if frontier.isEmpty():
             break
-        level -= 1
-    return reduce(DataFrame.unionByName, settled)
+
+    reached = reduce(DataFrame.unionByName, leaves)
+    return _exact(reached.join(placed, on=_CELL, how="inner"), exclude_zero, radius_m)
+
+
+def _exact(pairs: DataFrame, exclude_zero: bool, radius_m: float) -> DataFrame:
+    """The closest targets per query among candidate pairs (ties kept)."""
+    cand = pairs.select("q_lat", "q_lon", "t_lat", "t_lon",
+                        great_circle_m("q_lat", "q_lon", "t_lat", "t_lon", radius_m).alias("distance_m"))
+    if exclude_zero:
+        cand = cand.where(F.col("distance_m") > 0)
+    return top_n_with_ties(cand, ["q_lat", "q_lon"], [F.col("distance_m").asc()], n=1)

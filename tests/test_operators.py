@@ -11,7 +11,7 @@ from sousflow.operators import (
     key_profile, nearest_locations, pivot_ranks, small_lookup, sorted_string_agg, top_n_with_ties,
 )
 from sousflow.functions import clean_lower
-from sousflow.operators.nearest import start_level
+from sousflow.operators.nearest import LEAF_SIZE
 
 
 def rows(df, *cols):
@@ -105,11 +105,31 @@ def test_nearest_matches_brute_force(spark, n_targets, clustered):
     q = spark.createDataFrame(queries, "lat double, lon double")
     t = spark.createDataFrame(targets, "lat double, lon double")
     if n_targets > 1000:
-        assert start_level(len(set(targets))) >= 0  # exercises the widening loop
+        assert len(set(targets)) > LEAF_SIZE  # exercises the multi-round walk
     assert pairs(nearest_locations(q, t)) == brute(queries, targets)
     assert pairs(nearest_locations(q, t, exclude_zero=True)) == brute(queries, targets, exclude_zero=True)
 
 
+def test_nearest_far_from_dense_cluster(spark):
+    rnd = random.Random(7)
+    cluster = [(round(10 + rnd.random() * 0.01, 6), round(20 + rnd.random() * 0.01, 6)) for _ in range(2000)]
+    others = [(-40.0, 150.0), (60.0, -120.0)]
+    queries = [(-45.0 + i, -60.0 + i) for i in range(10)] + [(10.005, 20.005)]
+    q = spark.createDataFrame(queries, "lat double, lon double")
+    t = spark.createDataFrame(cluster + others, "lat double, lon double")
+    assert pairs(nearest_locations(q, t)) == brute(queries, cluster + others)
+
+
+def test_nearest_near_zero_boxes(spark):
+    # boxes that shrink to the query point (the pole in several spellings) must not
+    # hide the nearest other place
+    queries = [(90.0, 0.0), (0.0, 0.0)]
+    targets = [(90.0, 0.0), (90.0, 45.0), (0.0, 0.0), (0.0, 1e-12)] + [(80.0 - i * 0.5, i * 1.0) for i in range(100)]
+    q = spark.createDataFrame(queries, "lat double, lon double")
+    t = spark.createDataFrame(targets, "lat double, lon double")
+    assert pairs(nearest_locations(q, t, exclude_zero=True)) == brute(queries, targets, exclude_zero=True)
+
+
 def test_nearest_ties_and_empty(spark):
     q = spark.createDataFrame([(0.0, 0.0), (None, 1.0)], "lat double, lon double")
     t = spark.createDataFrame([(0.0, 1.0), (0.0, -1.0), (5.0, 5.0)], "lat double, lon double")
