@@ -1,8 +1,9 @@
 """Exact nearest-location join on the sphere, ties kept, without a cross join.
 
 Locations become points on the unit sphere, where straight-line (chord) distance
-grows with great-circle distance. Targets are summarised in a cell hierarchy:
-level ``l`` cuts space into cubes of side ``2**-l``; every non-empty cube keeps its
+grows with great-circle distance. Targets are summarised in a cube hierarchy,
+one level at a time as the walk reaches it: level ``l`` cuts space into cubes of
+side ``2**-l``; every non-empty cube keeps its
 target count and the bounding box of its targets.
 
 Each query walks the hierarchy from the root cubes down, one level per round,
@@ -66,17 +67,20 @@ def distinct_locations(df: DataFrame, lat: str = "lat", lon: str = "lon") -> Dat
               .distinct())
 
 
-def _cell_summaries(t: DataFrame, max_level: int) -> tuple[DataFrame, DataFrame]:
-    """Per level: target -> cube, and cube -> (parent cube, count, bounding box)."""
-    levels = F.array(*[F.lit(level) for level in range(max_level + 1)])
-    per_level = t.select("t_lat", "t_lon", "tx", "ty", "tz", F.explode(levels).alias("lvl"))
-    scale = F.pow(F.lit(2.0), F.col("lvl"))  # powers of two: exact scaling, exact parents
-    placed = per_level.select("*", *[F.floor(F.col(f"t{a}") * scale).cast("long").alias(f"c{a}") for a in _AXES])
-    summary = placed.groupBy(*_CELL).agg(
+def _placed(t: DataFrame, level: int) -> DataFrame:
+    """Targets with their cube at ``level`` (side 2**-level; exact power-of-two scaling,
+    so the parent of cube c is floor(c / 2))."""
+    scale = float(2 ** level)
+    return t.select("t_lat", "t_lon", "tx", "ty", "tz", F.lit(level).alias("lvl"),
+                    *[F.floor(F.col(f"t{a}") * scale).cast("long").alias(f"c{a}") for a in _AXES])
+
+
+def _summary(t: DataFrame, level: int) -> DataFrame:
+    """Non-empty cubes of ``level``: parent cube, target count, bounding box."""
+    agg = _placed(t, level).groupBy(*_CELL).agg(
         F.count(F.lit(1)).alias("n"),
-        *[agg(F.col(f"t{a}")).alias(f"{a}_{side}") for a in _AXES for agg, side in ((F.min, "lo"), (F.max, "hi"))])
-    summary = summary.select("*", *[F.floor(F.col(f"c{a}") / 2).cast("long").alias(f"p{a}") for a in _AXES])
-    return placed.select(*_CELL, "t_lat", "t_lon"), summary
+        *[f(F.col(f"t{a}")).alias(f"{a}_{side}") for a in _AXES for f, side in ((F.min, "lo"), (F.max, "hi"))])
+    return agg.select("*", *[F.floor(F.col(f"c{a}") / 2).cast("long").alias(f"p{a}") for a in _AXES])
 
 
 def _root_cells(q: DataFrame) -> DataFrame:
@@ -137,33 +141,33 @@ def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat
     if n_targets <= leaf_size:
         # Every root cube is a leaf: each query meets the (at most leaf_size)
         # targets of the root cubes through an equi-join; one lazy plan.
-        placed, _ = _cell_summaries(t, 0)
-        pairs = _root_cells(q).join(placed, on=_CELL, how="inner")
+        pairs = _root_cells(q).join(_placed(t, 0).select(*_CELL, "t_lat", "t_lon"), on=_CELL, how="inner")
         return _exact(pairs, exclude_zero, radius_m)
 
     if not spark.sparkContext.getCheckpointDir():
         raise RuntimeError("nearest_locations needs a checkpoint directory for a multi-round search: "
                            "set spark.checkpoint.dir to a folder shared by the cluster")
-    placed, summary = _cell_summaries(t, max_level)
-    q, placed, summary = q.checkpoint(), placed.checkpoint(), summary.checkpoint()
+    q, t = q.checkpoint(), t.checkpoint()
 
+    level = 0
     is_leaf = (F.col("n") <= leaf_size) | (F.col("lvl") >= max_level)
-    frontier = _root_frontier(q, summary)
-    leaves: list[DataFrame] = []
+    frontier = _root_frontier(q, _summary(t, 0))
+    reached: list[DataFrame] = []
     while True:
-        kept = _prune(frontier, exclude_zero)
-        leaves.append(kept.where(is_leaf).select("q_lat", "q_lon", *_CELL).checkpoint())
-        parents = kept.where(~is_leaf).select(
-            *_QCOLS, F.col("u").alias("u_prev"), (F.col("lvl") + 1).alias("lvl"),
-            *[F.col(f"c{a}").alias(f"p{a}") for a in _AXES])
-        frontier = (parents.join(summary, on=["lvl", "px", "py", "pz"], how="inner")
-                           .select(*_QCOLS, "u_prev", *_CELL, *_BOX)
-                           .checkpoint())
-        if frontier.isEmpty():
+        # one materialisation per round; leaves and children are read from it
+        kept = _prune(frontier, exclude_zero).checkpoint()
+        leaves = kept.where(is_leaf).select("q_lat", "q_lon", *_CELL)
+        reached.append(leaves.join(_placed(t, level).select(*_CELL, "t_lat", "t_lon"), on=_CELL, how="inner"))
+        inner = kept.where(~is_leaf)
+        if inner.isEmpty():
             break
+        level += 1
+        parents = inner.select(*_QCOLS, F.col("u").alias("u_prev"), F.lit(level).alias("lvl"),
+                               *[F.col(f"c{a}").alias(f"p{a}") for a in _AXES])
+        frontier = (parents.join(_summary(t, level), on=["lvl", "px", "py", "pz"], how="inner")
+                           .select(*_QCOLS, "u_prev", *_CELL, *_BOX))
 
-    reached = reduce(DataFrame.unionByName, leaves)
-    return _exact(reached.join(placed, on=_CELL, how="inner"), exclude_zero, radius_m)
+    return _exact(reduce(DataFrame.unionByName, reached), exclude_zero, radius_m)
 
 
 def _exact(pairs: DataFrame, exclude_zero: bool, radius_m: float) -> DataFrame:
