@@ -1,7 +1,8 @@
 """Great-circle distance on a sphere, as a plain Column expression.
 
-Locations are (lat, lon) in degrees. The distance uses the haversine form with a
-``least(1, a)`` guard so rounding can never push ``asin`` out of its domain.
+Locations are (lat, lon) in degrees. The distance uses the haversine form with
+``a`` clamped to 1 so rounding can never push ``asin`` out of its domain; any NULL
+coordinate gives a NULL distance.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ def haversine_a(lat1, lon1, lat2, lon2) -> Column:
     dphi = F.radians(lat2 - lat1)
     dlam = F.radians(lon2 - lon1)
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlam / 2), 2)
-    return F.least(F.lit(1.0), a)
+    # clamp to 1 but keep NULL: least() would skip a NULL and return 1
+    return F.when(a > 1.0, F.lit(1.0)).otherwise(a)
 
 
 def great_circle_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_M) -> Column:

@@ -42,9 +42,9 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     against distinct supplier locations. Customers then take their location's best
     distance, are ranked per customer (a customer with several address rows keeps
     the rows at its overall minimum) and fan out to the tied suppliers through a
-    location equi-join. Suppliers without a location never win while any located
-    supplier exists; a customer with no distance at all ties with every supplier
-    at a NULL distance.
+    location equi-join. Suppliers without a location never win; a customer with no
+    distance at all (its city has no coordinates, or no supplier has a location)
+    is returned once with NULL supplier and distance.
     """
     # The city dimension feeds four branches; materialise it once (reliable checkpoint
     # in the shared checkpoint directory) instead of deriving it four times.
@@ -64,19 +64,15 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
                                     "supplier_id", "supplier_name"), ["t_lat", "t_lon"], "inner")
     ties = ties.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "supplier_id", "supplier_name")
     cols = ["customer_id", "first_name", "last_name", "email", "supplier_id", "supplier_name", "distance_m"]
-    rows = ranked.join(ties, ["lat", "lon"], "inner").select(*cols)
-
-    if n_places == 0 or not cities.where(F.col("lat").isNull() | F.col("lon").isNull()).isEmpty():
-        # Some customer can have no distance at all: every supplier ties at rank 1.
-        orphans = ranked.where(F.col("distance_m").isNull()).drop("distance_m").withColumn("_k", F.lit(0))
-        everyone = sup.select("supplier_id", "supplier_name", F.lit(0).alias("_k"))
-        rows = rows.unionByName(orphans.join(everyone, "_k", "inner")
-                                .select(*cols[:-1], F.lit(None).cast("double").alias("distance_m")))
+    # A customer row without any distance (no location, or no located supplier) finds
+    # no tie and keeps NULL supplier columns: suppliers without a location never win.
+    rows = ranked.join(ties, ["lat", "lon"], "left").select(*cols)
 
     km = F.col("distance_m") / METRES_PER_KM
     if round_km is not None:
         km = F.round(km, round_km)
-    return rows.select(*cols[:-1], km.alias("shipping_distance_km")).orderBy(F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last())
+    return (rows.select(*cols[:-1], km.alias("shipping_distance_km"))
+                .orderBy(F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last()))
 
 
 def supplier_geography(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True) -> DataFrame:

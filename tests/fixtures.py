@@ -35,6 +35,7 @@ TABLES = {
         (10, "SPRINGFIELD", "MO", 37.2090, -93.2923),  # same name, other state
         (11, "EVANSTON", "IL", 42.0451, -87.6877),
         (12, "ARLINGTON", "TX", 32.7357, -97.1081),
+        (13, "NOWHERESVILLE", "IL", None, None),       # a known city without coordinates
     ]),
     "customer_address": (_schema(("customer_id", L), ("customer_city", S), ("customer_state", S)), [
         (1, "  Chicago ", "il"),        # dirty but eligible
@@ -47,6 +48,7 @@ TABLES = {
         (8, "Evanston", "IL"),          # no customer_data row
         (9, "Oakland", "CA"),
         (10, "Arlington", "TX"),
+        (11, "Nowheresville", "IL"),   # eligible, but no distance can be computed
     ]),
     "customer_data": (_schema(("customer_id", L), ("first_name", S), ("last_name", S), ("email", S)), [
         (1, "Ann", "Smith", "ann@x.test"),
@@ -58,6 +60,7 @@ TABLES = {
         (7, "Flo", "Smith", "flo@x.test"),
         (9, "Gus", "Oak", "gus@x.test"),
         (10, "Hal", "Arl", "hal@x.test"),
+        (11, "Ivy", "Null", "ivy@x.test"),
     ]),
     "supplier_info": (_schema(("supplier_id", L), ("supplier_name", S), ("supplier_city", S), ("supplier_state", S)), [
         (1, "Alpha", "Chicago", "IL"),

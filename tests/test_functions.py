@@ -47,6 +47,7 @@ def test_great_circle_known_pair(spark):
                 [(41.8781, -87.6298, 41.6020, -87.3371)], "a double, b double, c double, d double")[0]
     assert miles == pytest.approx(24.3288, abs=1e-3)
     assert one(spark, great_circle_m("a", "b", "a", "b"), [(10.0, 20.0)], "a double, b double") == [0.0]
+    assert one(spark, great_circle_m("a", "b", "a", "b"), [(None, 20.0)], "a double, b double") == [None]
     antipode = one(spark, great_circle_m("a", "b", "c", "d"), [(0.0, 0.0, 0.0, 180.0)],
                    "a double, b double, c double, d double")[0]
     assert antipode == pytest.approx(math.pi * 6371008.8, rel=1e-12)

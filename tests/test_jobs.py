@@ -86,7 +86,7 @@ def test_b1_two_spellings_survive_parity_grouping(tables):
 
 
 def test_eligibility_and_b7(tables):
-    assert rows(_eligible(tables), "customer_id") == [(1,), (3,), (6,), (7,), (8,), (9,), (10,)]
+    assert rows(_eligible(tables), "customer_id") == [(1,), (3,), (6,), (7,), (8,), (9,), (10,), (11,)]
     # the customer without a data row keeps NULL names (left join)
     assert rows(_eligible(tables).where("customer_id = 8"), "first_name", "last_name") == [(None, None)]
 
@@ -100,6 +100,7 @@ def test_nearest_supplier_ties_and_null_locations(tables):
     assert all(s != "Charlie" for _, s in got)                              # B3: no location never wins
     assert all(s != "Echo" for _, s in got)                                 # B2: padded city unmatched here
     assert {s for c, s in got if c == 9} == {"Foxtrot"}
+    assert got[(11, None)] is None and [c for c, _ in got].count(11) == 1   # no distance: one NULL row
     names = [r.last_name for r in out.collect()]
     assert names == sorted(names, key=lambda x: (x is None, x))             # ordered by name
 
