@@ -125,8 +125,8 @@ def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat
     Returns ``q_lat, q_lon, t_lat, t_lon, distance_m``. Locations with a NULL
     coordinate are ignored. ``exclude_zero`` skips targets at distance 0 (the same
     place), giving the nearest *other* location. A query with no eligible target
-    gets no row. ``n_targets`` (distinct target locations) saves a count when the
-    caller already has it.
+    gets no row. ``n_targets``, the number of distinct target locations or any upper
+    bound of it, saves a count when the caller already has one.
     """
     spark = queries.sparkSession
     q = distinct_locations(queries, lat, lon).select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))

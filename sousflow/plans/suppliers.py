@@ -54,7 +54,9 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     sup = located_suppliers(supplier_info, us_cities, strict, cities=cities)
     located = sup.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
-    n_places = distinct_locations(located).count()
+    # supplier locations are city locations: the (materialised) city dimension bounds
+    # their number without another pass over the suppliers
+    n_places = distinct_locations(cities).count()
     near = nearest_locations(cities, located, n_targets=n_places)
     best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(
         F.min("distance_m").alias("distance_m"))
