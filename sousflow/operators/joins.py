@@ -1,19 +1,8 @@
-"""Size-checked broadcast and tiny lookups."""
+"""Tiny fixed lookups read once, with a size check."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Above the bound the frame is
-    returned unhinted and adaptive execution chooses from runtime sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def small_lookup(df: DataFrame, max_rows: int) -> list[Row]:

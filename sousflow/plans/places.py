@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sousflow.functions.text import clean_lower, clean_upper
 from sousflow.operators.dedup import canonical_rows, duplicate_keys, key_profile

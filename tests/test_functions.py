@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from sousflow.functions import (
     clean_lower, clean_upper, concat_name, epoch_seconds, great_circle_m, int_from_unit_text,

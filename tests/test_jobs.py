@@ -3,7 +3,6 @@ behaviour, and the independent DuckDB SQL run on the same rows."""
 
 import datetime as dt
 import hashlib
-import math
 from collections import Counter
 
 import pytest

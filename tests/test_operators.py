@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sousflow.operators import (
-    broadcast_group_values, canonical_rows, checked_broadcast, duplicate_keys, flatten, inverted_index,
+    broadcast_group_values, canonical_rows, duplicate_keys, flatten, inverted_index,
     key_profile, nearest_locations, pivot_ranks, small_lookup, sorted_string_agg, top_n_with_ties,
 )
 from sousflow.functions import clean_lower
@@ -64,7 +64,6 @@ def test_sorted_string_agg(spark):
 
 def test_size_checks(spark):
     df = spark.range(10)
-    assert checked_broadcast(df, 5) is df
     assert len(small_lookup(df, 10)) == 10
     with pytest.raises(ValueError):
         small_lookup(df, 5)
