@@ -1,4 +1,4 @@
-"""Parquet tables of one data directory.
+"""Tables of one data location: a directory of parquet files or a catalog namespace.
 
 Reads are lazy; Catalyst prunes columns and pushes filters into the scan, so a
 job that uses two columns reads two columns.
@@ -12,11 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, root: str):
+    """``Tables(spark, "/data/sf1")`` reads ``/data/sf1/<name>.parquet`` (or a
+    ``<name>`` directory); ``Tables.catalog(spark, "db.schema")`` reads catalog tables
+    ``db.schema.<name>`` (any catalog Spark is configured with)."""
+
+    def __init__(self, spark: SparkSession, root: str, *, namespace: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.namespace = namespace
         self._frames: dict[str, DataFrame] = {}
 
+    @classmethod
+    def catalog(cls, spark: SparkSession, namespace: str) -> Tables:
+        return cls(spark, "", namespace=namespace)
+
     def path(self, name: str) -> str:
         single = f"{self.root}/{name}.parquet"
         return single if os.path.exists(single) or "://" in self.root else f"{self.root}/{name}"
@@ -24,7 +33,10 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         """The table as a lazy DataFrame; one reader per name (footer read once)."""
         if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(self.path(name))
+            if self.namespace is not None:
+                self._frames[name] = self.spark.table(f"{self.namespace}.{name}")
+            else:
+                self._frames[name] = self.spark.read.parquet(self.path(name))
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -136,3 +136,11 @@ def test_nearest_ties_and_empty(spark):
     assert nearest_locations(q, t.where("lat > 100")).count() == 0
     same = spark.createDataFrame([(1.0, 1.0)], "lat double, lon double")
     assert nearest_locations(same, same, exclude_zero=True).count() == 0
+
+
+def test_tables_from_catalog_and_parquet(spark):
+    from sousflow.sources.tables import Tables
+
+    spark.createDataFrame([(1, "a")], "k int, v string").createOrReplaceGlobalTempView("tiny")
+    assert Tables.catalog(spark, "global_temp").tiny.count() == 1
+    assert Tables(spark, "/root/testdata/sf0.001").nation.count() == 25
