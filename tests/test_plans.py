@@ -40,3 +40,11 @@ def test_daily_report_is_one_branch(spark):
     text = optimized(QUERIES["daily_report"](spark, SF))
     assert "Join" not in text
     assert text.count("Relation") == 1  # the events table is scanned once
+
+
+def test_session_summary_single_shuffle(spark):
+    df = QUERIES["session_summary"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1  # events -> sessions, once
+    assert "Window" not in final                          # no per-session window buffering
