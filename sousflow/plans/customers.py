@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sousflow.functions.geo import METRES_PER_MILE, great_circle_m
 from sousflow.functions.text import clean_lower, clean_upper, concat_name, round_to_int
 from sousflow.operators.joins import small_lookup
+from sousflow.plans.places import city_coordinates
 
 # The city rules and stores of the original business report.
 # Each rule is (customer state as stored, city-name patterns matched with ILIKE).
@@ -52,7 +53,7 @@ def impacted_customers(customer_address: DataFrame, customer_data: DataFrame, us
     addr = customer_address.select("customer_id", "customer_city", "customer_state",
                                    clean_lower("customer_city").alias("_city"),
                                    clean_upper("customer_state").alias("_state"))
-    cities = us_cities.select(F.col("city_name").alias("uc_city_name"),
+    cities = city_coordinates(us_cities).select(F.col("city_name").alias("uc_city_name"),
                               clean_lower("city_name").alias("_city"), clean_upper("state_abbr").alias("_state"),
                               "lat", "lon")
     people = customer_data.select("customer_id", "first_name", "last_name")
@@ -77,7 +78,7 @@ def store_distances(customers: DataFrame, us_cities: DataFrame,
                            "customer_city", "customer_state", "food_pref_count", "lat", "lon")
     names = []
     for label, (city, state) in stores.items():
-        rows = small_lookup(us_cities.where((F.col("city_name") == city) & (F.col("state_abbr") == state))
+        rows = small_lookup(city_coordinates(us_cities).where((F.col("city_name") == city) & (F.col("state_abbr") == state))
                                      .select("lat", "lon"), MAX_STORE_ROWS)
         name = f"{label}_distance_miles"
         names.append(name)

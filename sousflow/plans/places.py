@@ -11,9 +11,16 @@ CITY_KEYS = ["city_name_cleaned", "state_abbr_cleaned"]
 ADDRESS_KEYS = ["customer_city_cleaned", "customer_state_cleaned"]
 
 
+def city_coordinates(us_cities: DataFrame) -> DataFrame:
+    """The city table with its longitude as ``lon`` (the warehouse table calls it ``long``)."""
+    if "lon" not in us_cities.columns and "long" in us_cities.columns:
+        return us_cities.withColumnRenamed("long", "lon")
+    return us_cities
+
+
 def clean_cities(us_cities: DataFrame) -> DataFrame:
     """Cities with a lower-case trimmed name and an upper-case trimmed state."""
-    return us_cities.select("city_id", "city_name", "state_abbr",
+    return city_coordinates(us_cities).select("city_id", "city_name", "state_abbr",
                             clean_lower("city_name").alias("city_name_cleaned"),
                             clean_upper("state_abbr").alias("state_abbr_cleaned"),
                             "lat", "lon")

@@ -10,7 +10,7 @@ from sousflow.functions.text import clean_upper
 from sousflow.operators.dedup import canonical_rows
 from sousflow.operators.nearest import distinct_locations, nearest_locations
 from sousflow.operators.topn import top_n_with_ties
-from sousflow.plans.places import canonical_cities, eligible_customers
+from sousflow.plans.places import canonical_cities, city_coordinates, eligible_customers
 
 
 def _staged(df: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def supplier_geography(supplier_info: DataFrame, us_cities: DataFrame, strict: b
         "supplier_id", "supplier_name",
         F.concat(F.col("supplier_city"), F.lit(", "), F.col("supplier_state")).alias("supplier_location"),
         clean_upper("supplier_city").alias("_city"), clean_upper("supplier_state").alias("_state"))
-    cities = us_cities.select("city_id", "city_name", "state_abbr",
+    cities = city_coordinates(us_cities).select("city_id", "city_name", "state_abbr",
                               clean_upper("city_name").alias("_city"), clean_upper("state_abbr").alias("_state"),
                               "lat", "lon")
     if strict:

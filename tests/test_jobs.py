@@ -195,3 +195,12 @@ def test_report_consistent_with_parts(tables):
         assert sorted(x for x in s.split(", ") if x) == sorted(mv.get(d, []))
     daily = sessions.daily_sessions(wa)
     assert daily.agg(F.sum("num_sessions")).first()[0] == wa.select("session_id").distinct().count()
+
+
+def test_city_table_with_long_column(tables):
+    cities = tables["us_cities"].withColumnRenamed("lon", "long")
+    a = rows(JOBS["nearest_supplier"](tables))
+    b = rows(suppliers.nearest_supplier(tables["customer_address"], cities, tables["customer_data"],
+                                        tables["supplier_info"]))
+    assert a == b
+    assert rows(suppliers.backup_supplier(tables["supplier_info"], cities)) == rows(JOBS["backup_supplier"](tables))
