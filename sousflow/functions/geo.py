@@ -7,8 +7,6 @@ coordinate gives a NULL distance.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,8 +37,3 @@ def unit_vector(lat, lon) -> tuple[Column, Column, Column]:
     """Point on the unit sphere; straight-line (chord) distance grows with arc length."""
     phi, lam = F.radians(col(lat)), F.radians(col(lon))
     return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
-
-
-def chord_to_metres(chord: float, radius_m: float = EARTH_RADIUS_M) -> float:
-    """Arc length in metres for a chord of the unit sphere (chord >= 2 is antipodal)."""
-    return 2.0 * radius_m * math.asin(min(1.0, chord / 2.0))
