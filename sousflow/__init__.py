@@ -4,7 +4,7 @@ Layers
 ------
 functions/  Column -> Column expressions (text cleaning, distance, time, JSON).
 operators/  DataFrame -> DataFrame building blocks (dedup, top-n, pivot, explode,
-            nearest-location join, checked broadcast).
+            exact nearest-location join, size-checked fixed lookups).
 sources/    table loading and the views that shape the generated test tables.
 plans/      the business jobs, each a composition of operators.
 streaming/  nothing: the jobs are batch only.
