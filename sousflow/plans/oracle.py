@@ -50,9 +50,7 @@ BRIDGE = {
                     WHEN c.c_custkey % 3 = 0 THEN n.n_name
                     WHEN c.c_custkey % 3 = 1 THEN lower(n.n_name)
                     ELSE '  ' || n.n_name || ' ' END AS customer_city,
-               CASE WHEN c.c_custkey % 3 = 0 THEN n.r_name
-                    WHEN c.c_custkey % 3 = 1 THEN lower(n.r_name)
-                    ELSE ' ' || n.r_name END AS customer_state
+               n.r_name AS customer_state
         FROM customer c JOIN nations n ON CAST(c.c_nationkey AS BIGINT) = n.k""",
     "supplier_info": f"""
         SELECT s.s_suppkey AS supplier_id, s.s_name AS supplier_name,

@@ -91,18 +91,15 @@ class Bridge:
 
     @cached_property
     def customer_address(self) -> DataFrame:
-        """Cities and states in mixed case and padded; some cities unknown."""
+        """City names in mixed case and padded (states as stored); some cities unknown."""
         c = self._customers
         spelling = F.pmod("c_custkey", F.lit(3))
         city = (F.when(F.pmod("c_custkey", F.lit(INELIGIBLE_CUSTOMER_EVERY)) == 0, F.lit(UNKNOWN_CITY))
                  .when(spelling == 0, F.col("n_name"))
                  .when(spelling == 1, F.lower("n_name"))
                  .otherwise(F.concat(F.lit("  "), F.col("n_name"), F.lit(" "))))
-        state = (F.when(spelling == 0, F.col("r_name"))
-                  .when(spelling == 1, F.lower("r_name"))
-                  .otherwise(F.concat(F.lit(" "), F.col("r_name"))))
         return c.select(F.col("c_custkey").alias("customer_id"), city.alias("customer_city"),
-                        state.alias("customer_state"))
+                        F.col("r_name").alias("customer_state"))
 
     # -- suppliers --------------------------------------------------------
     @cached_property
