@@ -144,3 +144,16 @@ def test_tables_from_catalog_and_parquet(spark):
     spark.createDataFrame([(1, "a")], "k int, v string").createOrReplaceGlobalTempView("tiny")
     assert Tables.catalog(spark, "global_temp").tiny.count() == 1
     assert Tables(spark, "/root/testdata/sf0.001").nation.count() == 25
+
+
+def test_nearest_keeps_symmetric_ties_through_the_walk(spark):
+    # targets on a 1-degree grid, queries half-way along a parallel: two exact ties each
+    targets = [(float(a), float(b)) for a in range(30, 50) for b in range(-100, -80)]
+    queries = [(30.0 + i, -99.5 + i) for i in range(15)] + [(10.0, -120.0)]
+    q = spark.createDataFrame(queries, "lat double, lon double")
+    t = spark.createDataFrame(targets, "lat double, lon double")
+    assert len(targets) > LEAF_SIZE
+    want = brute(queries, targets)
+    assert sum(1 for (qq, _) in want if qq == (30.0, -99.5)) == 2
+    assert pairs(nearest_locations(q, t)) == want
+    assert pairs(nearest_locations(q, t, exclude_zero=True)) == brute(queries, targets, exclude_zero=True)
