@@ -90,54 +90,54 @@ def _with(body: str, *ctes: tuple[str, str], bridge: bool = True) -> str:
 
 
 def _cities_clean() -> tuple[str, str]:
-    return ("t1", """SELECT city_id, city_name, state_abbr, trim(lower(city_name)) AS city_name_cleaned,
+    return ("city_clean", """SELECT city_id, city_name, state_abbr, trim(lower(city_name)) AS city_name_cleaned,
                             trim(upper(state_abbr)) AS state_abbr_cleaned, lat, lon FROM us_cities""")
 
 
-def _canonical(strict: bool, name: str = "t3") -> list[tuple[str, str]]:
+def _canonical(strict: bool, name: str = "city_canon") -> list[tuple[str, str]]:
     group = "city_name_cleaned, state_abbr_cleaned" if strict else "city_name, state_abbr, city_name_cleaned, state_abbr_cleaned"
     return [
         _cities_clean(),
-        ("t2", f"SELECT {group}, min(city_id) AS city_id FROM t1 GROUP BY {group}"),
-        (name, """SELECT t1.city_id, t1.city_name, t1.state_abbr, t1.city_name_cleaned, t1.state_abbr_cleaned, t1.lat, t1.lon
-                  FROM t1 JOIN t2 ON t1.city_id = t2.city_id AND t1.city_name_cleaned = t2.city_name_cleaned
-                                 AND t1.state_abbr_cleaned = t2.state_abbr_cleaned"""),
+        ("city_first", f"SELECT {group}, min(city_id) AS city_id FROM city_clean GROUP BY {group}"),
+        (name, """SELECT city_clean.city_id, city_clean.city_name, city_clean.state_abbr, city_clean.city_name_cleaned, city_clean.state_abbr_cleaned, city_clean.lat, city_clean.lon
+                  FROM city_clean JOIN city_first ON city_clean.city_id = city_first.city_id AND city_clean.city_name_cleaned = city_first.city_name_cleaned
+                                 AND city_clean.state_abbr_cleaned = city_first.state_abbr_cleaned"""),
     ]
 
 
 def _eligible(strict: bool) -> list[tuple[str, str]]:
     return _canonical(strict) + [
-        ("t4", """SELECT customer_id, customer_city, customer_state,
+        ("addr_clean", """SELECT customer_id, customer_city, customer_state,
                          trim(lower(customer_city)) AS customer_city_cleaned,
                          trim(upper(customer_state)) AS customer_state_cleaned FROM customer_address"""),
-        ("t5", """SELECT t4.customer_id, cd.first_name, cd.last_name, cd.email, t4.customer_city, t4.customer_state,
-                         t3.lat, t3.lon
-                  FROM t4 JOIN t3 ON t4.customer_city_cleaned = t3.city_name_cleaned
-                                 AND t4.customer_state_cleaned = t3.state_abbr_cleaned
-                  LEFT JOIN customer_data cd ON cd.customer_id = t4.customer_id"""),
+        ("eligible", """SELECT addr_clean.customer_id, cd.first_name, cd.last_name, cd.email, addr_clean.customer_city, addr_clean.customer_state,
+                         city_canon.lat, city_canon.lon
+                  FROM addr_clean JOIN city_canon ON addr_clean.customer_city_cleaned = city_canon.city_name_cleaned
+                                 AND addr_clean.customer_state_cleaned = city_canon.state_abbr_cleaned
+                  LEFT JOIN customer_data cd ON cd.customer_id = addr_clean.customer_id"""),
     ]
 
 
 def _top3(strict: bool = True) -> list[tuple[str, str]]:
     return _eligible(strict) + [
-        ("t6", """SELECT cs.customer_id, rt.tag_property, trim(lower(rt.tag_property)) AS tag_property_cleaned
+        ("cust_tags", """SELECT cs.customer_id, rt.tag_property, trim(lower(rt.tag_property)) AS tag_property_cleaned
                   FROM customer_survey cs LEFT JOIN recipe_tags rt ON cs.tag_id = rt.tag_id"""),
-        ("t7", """SELECT t5.customer_id, t5.first_name, t5.last_name, t5.email, t6.tag_property_cleaned,
-                         rank() OVER (PARTITION BY t5.customer_id ORDER BY t6.tag_property_cleaned) AS fp
-                  FROM t5 LEFT JOIN t6 ON t5.customer_id = t6.customer_id WHERE t6.tag_property != '<NA>'"""),
-        ("t8", """SELECT customer_id, first_name, last_name, email,
-                         min(CASE WHEN fp = 1 THEN tag_property_cleaned END) AS food_preference_1,
-                         min(CASE WHEN fp = 2 THEN tag_property_cleaned END) AS food_preference_2,
-                         min(CASE WHEN fp = 3 THEN tag_property_cleaned END) AS food_preference_3
-                  FROM t7 GROUP BY customer_id, first_name, last_name, email"""),
+        ("tag_ranks", """SELECT eligible.customer_id, eligible.first_name, eligible.last_name, eligible.email, cust_tags.tag_property_cleaned,
+                         rank() OVER (PARTITION BY eligible.customer_id ORDER BY cust_tags.tag_property_cleaned) AS pref_rank
+                  FROM eligible LEFT JOIN cust_tags ON eligible.customer_id = cust_tags.customer_id WHERE cust_tags.tag_property != '<NA>'"""),
+        ("prefs", """SELECT customer_id, first_name, last_name, email,
+                         min(CASE WHEN pref_rank = 1 THEN tag_property_cleaned END) AS food_preference_1,
+                         min(CASE WHEN pref_rank = 2 THEN tag_property_cleaned END) AS food_preference_2,
+                         min(CASE WHEN pref_rank = 3 THEN tag_property_cleaned END) AS food_preference_3
+                  FROM tag_ranks GROUP BY customer_id, first_name, last_name, email"""),
     ]
 
 
 def _recipe_index() -> list[tuple[str, str]]:
     return [
-        ("t9", "SELECT r.recipe_id, trim(lower(u.tag)) AS recipe_tag_cleaned FROM recipe r, unnest(r.tag_list) AS u(tag)"),
-        ("t10", "SELECT recipe_tag_cleaned, max(recipe_id) AS recipe_id FROM t9 GROUP BY recipe_tag_cleaned"),
-        ("t11", """SELECT t10.recipe_tag_cleaned, r.recipe_name FROM t10 LEFT JOIN recipe r ON t10.recipe_id = r.recipe_id"""),
+        ("tag_rows", "SELECT r.recipe_id, trim(lower(u.tag)) AS recipe_tag_cleaned FROM recipe r, unnest(r.tag_list) AS u(tag)"),
+        ("tag_best", "SELECT recipe_tag_cleaned, max(recipe_id) AS recipe_id FROM tag_rows GROUP BY recipe_tag_cleaned"),
+        ("tag_recipe", """SELECT tag_best.recipe_tag_cleaned, r.recipe_name FROM tag_best LEFT JOIN recipe r ON tag_best.recipe_id = r.recipe_id"""),
     ]
 
 
@@ -250,39 +250,39 @@ def oracle_queries(bridge: bool = True) -> dict[str, str]:
         SELECT trim(lower(city_name)) AS city_name_cleaned, trim(upper(state_abbr)) AS state_abbr_cleaned,
                count(city_id) AS num_cities
         FROM us_cities GROUP BY ALL HAVING count(city_id) > 1""")
-    q["canonical_cities"] = with_bridge("SELECT * FROM t3", *_canonical(False))
-    q["canonical_cities_strict"] = with_bridge("SELECT * FROM t3", *_canonical(True))
+    q["canonical_cities"] = with_bridge("SELECT * FROM city_canon", *_canonical(False))
+    q["canonical_cities_strict"] = with_bridge("SELECT * FROM city_canon", *_canonical(True))
     q["customer_city_left"] = with_bridge("""
-        SELECT a.customer_id, cd.first_name, cd.last_name, a.customer_city, a.customer_state, t1.lat, t1.lon
+        SELECT a.customer_id, cd.first_name, cd.last_name, a.customer_city, a.customer_state, city_clean.lat, city_clean.lon
         FROM customer_address a
-        LEFT JOIN t1 ON trim(lower(a.customer_city)) = t1.city_name_cleaned
-                    AND trim(upper(a.customer_state)) = t1.state_abbr_cleaned
+        LEFT JOIN city_clean ON trim(lower(a.customer_city)) = city_clean.city_name_cleaned
+                    AND trim(upper(a.customer_state)) = city_clean.state_abbr_cleaned
         LEFT JOIN customer_data cd ON cd.customer_id = a.customer_id""", _cities_clean())
     eligible_cols = "customer_id, first_name, last_name, email, customer_city, customer_state, lat, lon"
-    q["eligible_customers"] = with_bridge(f"SELECT {eligible_cols} FROM t5", *_eligible(True))
-    q["eligible_customers_parity"] = with_bridge(f"SELECT {eligible_cols} FROM t5", *_eligible(False))
+    q["eligible_customers"] = with_bridge(f"SELECT {eligible_cols} FROM eligible", *_eligible(True))
+    q["eligible_customers_parity"] = with_bridge(f"SELECT {eligible_cols} FROM eligible", *_eligible(False))
     for key, strict in (("nearest_supplier", True), ("nearest_supplier_parity", False)):
         q[key] = with_bridge(f"""
         SELECT customer_id, first_name, last_name, email, supplier_id, supplier_name,
                round(d / 1000, 3) AS shipping_distance_km
-        FROM (SELECT t7.*, rank() OVER (PARTITION BY customer_id ORDER BY d ASC NULLS LAST) AS r FROM t7)
+        FROM (SELECT pairs.*, rank() OVER (PARTITION BY customer_id ORDER BY d ASC NULLS LAST) AS r FROM pairs)
         WHERE r = 1 AND d IS NOT NULL
         UNION ALL
-        SELECT t5.customer_id, t5.first_name, t5.last_name, t5.email, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR),
+        SELECT eligible.customer_id, eligible.first_name, eligible.last_name, eligible.email, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR),
                CAST(NULL AS DOUBLE)
-        FROM t5 WHERE NOT EXISTS (SELECT 1 FROM t7 WHERE t7.customer_id = t5.customer_id AND t7.d IS NOT NULL)""",
+        FROM eligible WHERE NOT EXISTS (SELECT 1 FROM pairs WHERE pairs.customer_id = eligible.customer_id AND pairs.d IS NOT NULL)""",
             *_eligible(strict),
-            ("t6", """SELECT si.supplier_id, si.supplier_name, t3.lat, t3.lon FROM supplier_info si
-                      LEFT JOIN t3 ON lower(si.supplier_city) = lower(t3.city_name) AND si.supplier_state = upper(t3.state_abbr)"""),
-            ("t7", f"""SELECT t5.customer_id, t5.first_name, t5.last_name, t5.email, t6.supplier_id, t6.supplier_name,
-                              {haversine_sql('t5.lat', 't5.lon', 't6.lat', 't6.lon')} AS d
-                       FROM t5 CROSS JOIN t6"""))
-    q["top3_preferences"] = with_bridge("SELECT * FROM t8", *_top3())
-    q["top3_preferences_parity"] = with_bridge("SELECT * FROM t8", *_top3(False))
-    q["recipe_index"] = with_bridge("SELECT * FROM t11", *_recipe_index())
+            ("sup_loc", """SELECT si.supplier_id, si.supplier_name, city_canon.lat, city_canon.lon FROM supplier_info si
+                      LEFT JOIN city_canon ON lower(si.supplier_city) = lower(city_canon.city_name) AND si.supplier_state = upper(city_canon.state_abbr)"""),
+            ("pairs", f"""SELECT eligible.customer_id, eligible.first_name, eligible.last_name, eligible.email, sup_loc.supplier_id, sup_loc.supplier_name,
+                              {haversine_sql('eligible.lat', 'eligible.lon', 'sup_loc.lat', 'sup_loc.lon')} AS d
+                       FROM eligible CROSS JOIN sup_loc"""))
+    q["top3_preferences"] = with_bridge("SELECT * FROM prefs", *_top3())
+    q["top3_preferences_parity"] = with_bridge("SELECT * FROM prefs", *_top3(False))
+    q["recipe_index"] = with_bridge("SELECT * FROM tag_recipe", *_recipe_index())
     q["recipe_suggestion"] = with_bridge("""
-        SELECT t8.*, t11.recipe_tag_cleaned, t11.recipe_name
-        FROM t8 LEFT JOIN t11 ON t8.food_preference_1 = t11.recipe_tag_cleaned""", *_top3(), *_recipe_index())
+        SELECT prefs.*, tag_recipe.recipe_tag_cleaned, tag_recipe.recipe_name
+        FROM prefs LEFT JOIN tag_recipe ON prefs.food_preference_1 = tag_recipe.recipe_tag_cleaned""", *_top3(), *_recipe_index())
     q["active_pref_count"] = with_bridge("SELECT * FROM cf", _prefs())
     q["impacted_customers"] = with_bridge("SELECT * FROM ci", *_impacted())
     mile = METRES_PER_MILE
