@@ -112,7 +112,11 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
     backups = (near.join(geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
                                     F.col("supplier_location").alias("location_backup")), ["t_lat", "t_lon"], "inner")
                    .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "location_backup"))
-    return (mains.join(backups, ["lat", "lon"], "inner")
-                 .select("supplier_id", "supplier_name", F.col("supplier_location").alias("location_main"),
-                         "location_backup", F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
+    pairs = mains.join(backups, ["lat", "lon"], "inner").select(
+        "supplier_id", F.col("supplier_location").alias("location_main"), "location_backup",
+        F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
+    # the supplier's name comes from the supplier table by id (every row of that id)
+    names = supplier_info.select("supplier_id", "supplier_name")
+    return (pairs.join(names, "supplier_id", "inner")
+                 .select("supplier_id", "supplier_name", "location_main", "location_backup", "travel_miles")
                  .orderBy(F.col("supplier_name").asc_nulls_last()))

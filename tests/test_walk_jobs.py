@@ -39,6 +39,8 @@ def build(spark):
     spots = [rnd.randrange(300) for _ in range(250)]
     # a few suppliers name a state that does not match: no location
     sups = [(s, f"S{s}", f"City{j}", states[(j + (s % 11 == 0)) % 5]) for s, j in enumerate(spots, start=1)]
+    # a few ids used twice, with another name and place
+    sups += [(s, f"S{s}bis", f"City{(j * 7) % 300}", states[((j * 7) % 300) % 5]) for s, j in list(enumerate(spots, start=1))[:5]]
     tables = {
         "us_cities": ("city_id bigint, city_name string, state_abbr string, lat double, lon double", cities),
         "customer_address": ("customer_id bigint, customer_city string, customer_state string", customers),
