@@ -68,3 +68,47 @@ def test_session_jobs_match_sql(spark, events):
         want = rel.fetchall()
         assert len(got) == len(want), name
         assert digest(out.columns, got) == digest(rel.columns, want), name
+
+
+TAGS = [" Vegan", "vegan ", "SPICY", "quick", "zesty", "<NA>", None]
+
+survey_row = st.tuples(st.integers(1, 6), st.integers(0, len(TAGS) - 1), st.sampled_from([True, False, None]))
+
+
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "8")), deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(survey_row, min_size=1, max_size=30), st.lists(st.integers(1, 7), min_size=1, max_size=10))
+def test_top_preferences_match_sql_rank(spark, survey, people_ids):
+    from sousflow.plans import preferences
+
+    people = [(c, f"F{c % 3}", f"L{c}", f"e{c}@x.test") for c in people_ids]  # repeated ids = repeated rows
+    tags = [(i, t) for i, t in enumerate(TAGS)]
+    rows = [(c, t, a) for c, t, a in survey]
+    eligible = spark.createDataFrame(people, "customer_id bigint, first_name string, last_name string, email string")
+    s_df = spark.createDataFrame(rows, "customer_id bigint, tag_id bigint, is_active boolean")
+    t_df = spark.createDataFrame(tags, "tag_id bigint, tag_property string")
+    out = preferences.top_preferences(eligible, s_df, t_df)
+    got = [tuple(r) for r in out.collect()]
+
+    con = duckdb.connect()
+    con.register("p", pa.table({"customer_id": pa.array([p[0] for p in people], pa.int64()),
+                                "first_name": [p[1] for p in people], "last_name": [p[2] for p in people],
+                                "email": [p[3] for p in people]}))
+    con.register("s", pa.table({"customer_id": pa.array([r[0] for r in rows], pa.int64()),
+                                "tag_id": pa.array([r[1] for r in rows], pa.int64()),
+                                "is_active": pa.array([r[2] for r in rows], pa.bool_())}))
+    con.register("t", pa.table({"tag_id": pa.array([t[0] for t in tags], pa.int64()),
+                                "tag_property": pa.array([t[1] for t in tags], pa.string())}))
+    want = con.sql("""
+        WITH tagged AS (SELECT s.customer_id, t.tag_property, trim(lower(t.tag_property)) AS tag
+                        FROM s LEFT JOIN t ON s.tag_id = t.tag_id),
+             ranked AS (SELECT p.customer_id, p.first_name, p.last_name, p.email, tagged.tag,
+                               rank() OVER (PARTITION BY p.customer_id ORDER BY tagged.tag) AS r
+                        FROM p LEFT JOIN tagged ON p.customer_id = tagged.customer_id
+                        WHERE tagged.tag_property != '<NA>')
+        SELECT customer_id, first_name, last_name, email,
+               min(CASE WHEN r = 1 THEN tag END) AS food_preference_1,
+               min(CASE WHEN r = 2 THEN tag END) AS food_preference_2,
+               min(CASE WHEN r = 3 THEN tag END) AS food_preference_3
+        FROM ranked GROUP BY customer_id, first_name, last_name, email""").fetchall()
+    assert sorted(got, key=repr) == sorted(want, key=repr)
