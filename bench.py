@@ -1,8 +1,8 @@
 """Time the headline jobs on local[$BENCH_CPUS] over $BENCH_SF_DIR; print one JSON line.
 
 Each job is built and fully executed (``noop`` sink, so every row is produced but
-nothing is collected): one warm-up run, then $BENCH_RUNS timed runs; the median
-per job is reported, and ``value`` is the sum of the medians.
+nothing is collected): one warm-up run, then $BENCH_RUNS (default 5) timed runs;
+the median per job is reported, and ``value`` is the sum of the medians.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from sousflow.session import local_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = local_session(cpus, shuffle_partitions=max(8, cpus))
 
