@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame building blocks. Column names are parameters."""
 
 from sousflow.operators.dedup import canonical_rows, duplicate_keys, key_profile
-from sousflow.operators.joins import small_lookup
+from sousflow.operators.joins import bounded_broadcast, checked_broadcast, small_lookup
 from sousflow.operators.nearest import nearest_locations
 from sousflow.operators.nested import flatten, inverted_index
 from sousflow.operators.strings import sorted_string_agg
@@ -12,6 +12,8 @@ __all__ = [
     "canonical_rows",
     "duplicate_keys",
     "key_profile",
+    "bounded_broadcast",
+    "checked_broadcast",
     "small_lookup",
     "nearest_locations",
     "flatten",

@@ -1,8 +1,29 @@
-"""Tiny fixed lookups read once, with a size check."""
+"""Size-checked broadcasts and tiny fixed lookups."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+
+# Largest row count broadcast by the jobs (narrow frames: a few tens of MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, bound_rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint when ``df`` is known to have at most ``bound_rows`` rows and that
+    bound is small; otherwise the frame is returned unhinted (adaptive execution
+    decides from runtime sizes)."""
+    return F.broadcast(df) if bound_rows <= max_rows else df
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only after checking that ``df`` has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows; use it on materialised frames
+    (checkpoints), where that read is cheap.
+    """
+    n = df.limit(max_rows + 1).count()
+    return bounded_broadcast(df, n, max_rows)
 
 
 def small_lookup(df: DataFrame, max_rows: int) -> list[Row]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sousflow.functions.geo import METRES_PER_KM, METRES_PER_MILE
 from sousflow.functions.text import clean_upper
 from sousflow.operators.dedup import canonical_rows
+from sousflow.operators.joins import bounded_broadcast, checked_broadcast
 from sousflow.operators.nearest import distinct_locations, nearest_locations
 from sousflow.operators.topn import top_n_with_ties
 from sousflow.plans.places import canonical_cities, city_coordinates, eligible_customers
@@ -47,28 +48,30 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     is returned once with NULL supplier and distance.
     """
     # The city dimension feeds four branches; materialise it once (reliable checkpoint
-    # in the shared checkpoint directory) instead of deriving it four times.
+    # in the shared checkpoint directory) instead of deriving it four times, and
+    # broadcast it after checking its size.
     cities = _staged(canonical_cities(us_cities, strict))
-    cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=cities).select(
+    n_places = distinct_locations(cities).count()
+    city_side = checked_broadcast(cities)
+    cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=city_side).select(
         "customer_id", "first_name", "last_name", "email", "lat", "lon")
-    sup = located_suppliers(supplier_info, us_cities, strict, cities=cities)
+    sup = located_suppliers(supplier_info, us_cities, strict, cities=city_side)
     located = sup.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
-    # supplier locations are city locations: the (materialised) city dimension bounds
-    # their number without another pass over the suppliers
-    n_places = distinct_locations(cities).count()
+    # supplier locations are city locations: the city dimension bounds their number
     near = nearest_locations(cities, located, n_targets=n_places)
-    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(
-        F.min("distance_m").alias("distance_m"))
+    ties = _staged(near.join(located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
+                                            "supplier_id", "supplier_name"), ["t_lat", "t_lon"], "inner")
+                       .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"),
+                               "supplier_id", "supplier_name", "distance_m"))
+    # at most one row per city location
+    best_at = bounded_broadcast(ties.groupBy("lat", "lon").agg(F.min("distance_m").alias("distance_m")), n_places)
     ranked = top_n_with_ties(cust.join(best_at, ["lat", "lon"], "left"), ["customer_id"],
                              [F.col("distance_m").asc_nulls_last()], n=1)
-    ties = near.join(located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
-                                    "supplier_id", "supplier_name"), ["t_lat", "t_lon"], "inner")
-    ties = ties.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "supplier_id", "supplier_name")
     cols = ["customer_id", "first_name", "last_name", "email", "supplier_id", "supplier_name", "distance_m"]
     # A customer row without any distance (no location, or no located supplier) finds
     # no tie and keeps NULL supplier columns: suppliers without a location never win.
-    rows = ranked.join(ties, ["lat", "lon"], "left").select(*cols)
+    rows = ranked.join(checked_broadcast(ties.drop("distance_m")), ["lat", "lon"], "left").select(*cols)
 
     km = F.col("distance_m") / METRES_PER_KM
     if round_km is not None:
@@ -104,14 +107,19 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
     """
     # Feeds the search (both sides) and both join-backs: materialise once.
     geo = _staged(supplier_geography(supplier_info, us_cities, strict))
-    near = nearest_locations(geo, geo, exclude_zero=True)
-    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(
-        F.min("distance_m").alias("distance_m"))
+    n_places = distinct_locations(geo).count()
+    near = nearest_locations(geo, geo, exclude_zero=True, n_targets=n_places)
+    backups = _staged(near.join(geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
+                                           F.col("supplier_location").alias("location_backup")),
+                                ["t_lat", "t_lon"], "inner")
+                          .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"),
+                                  "location_backup", "distance_m"))
+    # at most one row per supplier location
+    best_at = bounded_broadcast(backups.groupBy("lat", "lon").agg(F.min("distance_m").alias("distance_m")),
+                                n_places)
     mains = top_n_with_ties(geo.join(best_at, ["lat", "lon"], "inner"), ["supplier_id"],
                             [F.col("distance_m").asc()], n=1)
-    backups = (near.join(geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
-                                    F.col("supplier_location").alias("location_backup")), ["t_lat", "t_lon"], "inner")
-                   .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "location_backup"))
+    backups = checked_broadcast(backups.drop("distance_m"))
     pairs = mains.join(backups, ["lat", "lon"], "inner").select(
         "supplier_id", F.col("supplier_location").alias("location_main"), "location_backup",
         F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
