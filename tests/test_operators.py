@@ -63,8 +63,14 @@ def test_sorted_string_agg(spark):
 
 
 def test_size_checks(spark):
+    from sousflow.operators.joins import bounded_broadcast, checked_broadcast
+
     df = spark.range(10)
     assert len(small_lookup(df, 10)) == 10
+    assert checked_broadcast(df, 5) is df             # over the bound: left to adaptive execution
+    assert bounded_broadcast(df, 100, 50) is df
+    hinted = checked_broadcast(df, 10)
+    assert hinted is not df and "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
     with pytest.raises(ValueError):
         small_lookup(df, 5)
 
