@@ -17,9 +17,10 @@ def optimized(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_plans(spark, name):
+def test_no_python_and_no_cross_join_in_plans(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert not any(node in text for node in PYTHON_NODES)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_top_n_uses_group_limit(spark):
