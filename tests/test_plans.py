@@ -49,3 +49,11 @@ def test_session_summary_single_shuffle(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning") == 1  # events -> sessions, once
     assert "Window" not in final                          # no per-session window buffering
+
+
+def test_session_values_without_window(spark):
+    # MIN() OVER / LAST_VALUE() OVER the session become aggregates joined back
+    df = QUERIES["window_min_last"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" not in final
