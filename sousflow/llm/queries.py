@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .op1_exact_dedup import exact_dedup
+from .op7_minhash_near_dedup import near_duplicates
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents on word pairs, Jaccard 0.8 and more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }

@@ -22,21 +22,14 @@ _STEP = int(_RNG.integers(1, 2**61)) * 8 + 5
 _PLACES = [int(x) * 2 + 1 for x in _RNG.integers(1, 2**62, 64)]
 _SEGMENT = 1 << 20
 
-_powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
-
-
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the step and of its inverse modulo 2**64, at least ``n`` of each."""
-    global _powers
-    if len(_powers[0]) < n:
-        n = max(n, _SEGMENT + 65536)
-        out = []
-        for base in (_STEP, pow(_STEP, -1, 2**64)):
-            x = np.full(n, base, dtype=np.uint64)
-            x[0] = 1
-            out.append(np.cumprod(x, dtype=np.uint64))
-        _powers = (out[0], out[1])
-    return _powers
+    """The first ``n`` powers of the step and of its inverse modulo 2**64."""
+    out = []
+    for base in (_STEP, pow(_STEP, -1, 2**64)):
+        x = np.full(n, base, dtype=np.uint64)
+        x[:1] = 1
+        out.append(np.cumprod(x, dtype=np.uint64))
+    return out[0], out[1]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -78,11 +71,13 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool =
     """64-bit hashes of the given spans of ``data``, which must not overlap and must be in order."""
     out = np.empty(len(starts), dtype=np.uint64)
     codes, i = (_LOWER if lower else _EXACT), 0
+    up = down = np.zeros(0, np.uint64)
     while i < len(starts):
         base = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, base + _SEGMENT, side="right")))
         n = int(ends[j - 1] - base)
-        up, down = _power(n + 1)
+        if len(up) <= n:
+            up, down = _power(min(n, _SEGMENT) + n // 8 + 1)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(codes[data[base : base + n]] * up[:n], out=sums[1:])
         s, e = starts[i:j] - base, ends[i:j] - base
