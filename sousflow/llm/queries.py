@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .op1_exact_dedup import exact_dedup
+from .op4_html_text import extract_text
 from .op7_minhash_near_dedup import near_duplicates
+from .op9_pii import find_pii
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,12 +18,24 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents on word pairs, Jaccard 0.8 and more."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_html_text": op4_html_text,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_pii": op9_pii,
 }
