@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .op1_exact_dedup import exact_dedup
 from .op4_html_text import extract_text
+from .op5_quality_fm import quality
 from .op7_minhash_near_dedup import near_duplicates
 from .op9_pii import find_pii
 
@@ -23,6 +24,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op5_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from labels outside fold 0 of 5."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents on word pairs, Jaccard 0.8 and more."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
@@ -36,6 +42,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_html_text": op4_html_text,
+    "op5_quality_fm": op5_quality_fm,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_pii": op9_pii,
 }
