@@ -13,85 +13,13 @@ as many classes as needed, each with a filter of its own and read from its own f
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import MAX_SLOTS, SLOTS_PER_KEY, bitmap_of, passes
 from .common import staged, text_of
 
-#: Slots for each key and slots that a key counts in: about 1 single row in 2000 passes by chance.
-SLOTS_PER_KEY, PROBES = 16, 4
-#: Bounds a filter to 2**29 slots, a bitmap of 64 MB.
-KEYS_PER_FILTER = 1 << 25
-_CHUNK = 1 << 17
-
-
-def _positions(keys: np.ndarray, slots: int) -> np.ndarray:
-    """The slots of each key, one column for each probe; a key's own slots may coincide only across probes."""
-    part = slots // PROBES
-    low, high = keys & np.uint64(0xFFFFFFFF), keys >> np.uint64(32)
-    return np.stack([((low + np.uint64(i) * (high | np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(part) + np.uint64(i * part) for i in range(PROBES)], axis=1)
-
-
-def _count_slots(slots: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, times = np.unique(batch.column(0).to_numpy().view(np.uint64), return_counts=True)
-            at = _positions(keys, slots).ravel()
-            where, back = np.unique(at, return_inverse=True)
-            twice = np.bincount(back, weights=np.repeat(times, PROBES), minlength=len(where)) > 1
-            chunk = (where // _CHUNK).astype(np.int32)
-            cuts = np.flatnonzero(np.diff(chunk, prepend=-1))
-            # 17 bits of place and, above them, whether the slot is already full
-            value = (where % _CHUNK).astype(np.uint32) | (twice.astype(np.uint32) << np.uint32(17))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(chunk[cuts]),
-                pa.array([x.tobytes() for x in np.split(value, cuts[1:])] if len(cuts) else [], pa.binary()),
-            ], ["chunk", "value"])
-    return run
-
-
-def _merge_chunk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    """Bits of the slots of one chunk that two or more keys counted (a group holds the keys of one chunk only)."""
-    seen = np.zeros(_CHUNK, dtype=bool)
-    full = np.zeros(_CHUNK, dtype=bool)
-    for value in part["value"]:
-        x = np.frombuffer(value, dtype=np.uint32)
-        at = x & np.uint32(_CHUNK - 1)
-        full[at] |= seen[at] | (x >> np.uint32(17)).astype(bool)
-        seen[at] = True
-    return pd.DataFrame({"chunk": [key[0]], "bits": [zlib.compress(np.packbits(full).tobytes(), 1)]})
-
-
-def repeated_slots(keys: DataFrame, rows: int) -> tuple[np.ndarray, int]:
-    """Pass one over a frame of one bigint column: the bitmap of slots counted at least twice, and its slots."""
-    slots = -(-max(rows, 1) * SLOTS_PER_KEY // (_CHUNK * PROBES)) * _CHUNK * PROBES
-    counted = keys.mapInArrow(_count_slots(slots), "chunk int, value binary")
-    merged = counted.groupBy("chunk").applyInPandas(_merge_chunk, "chunk int, bits binary")
-    bits = np.zeros(slots // 8, dtype=np.uint8)
-    for row in merged.collect():  # bounded by the filter's size, whatever the rows
-        bits[row.chunk * _CHUNK // 8 : (row.chunk + 1) * _CHUNK // 8] = np.frombuffer(zlib.decompress(row.bits), np.uint8)
-    return bits, slots
-
-
-def possibly_repeated(rows: DataFrame, key: str, bits: np.ndarray, slots: int):
-    """Pass two: a boolean column, true for every row whose hash is repeated (and, by chance, a few more)."""
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def probe(column: pd.Series) -> pd.Series:
-        at = _positions(column.to_numpy().view(np.uint64), slots)
-        hit = np.ones(len(at), dtype=bool)
-        for i in range(PROBES):
-            hit &= (shared.value[at[:, i] >> np.uint64(3)] >> (np.uint64(7) - (at[:, i] & np.uint64(7))).astype(np.uint8)) & 1 == 1
-        return pd.Series(hit)
-
-    return probe(rows[key])
+KEYS_PER_FILTER = MAX_SLOTS // SLOTS_PER_KEY
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -113,8 +41,8 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     flagged = None
     for i in range(classes):
         part = rows.where(F.col("part") == i)
-        bits, slots = repeated_slots(part.select("h"), -(-total // classes))
-        marked = part.withColumn("maybe", possibly_repeated(part, "h", bits, slots))
+        bits, slots = bitmap_of(part.select("h"), -(-total // classes), least=2)
+        marked = part.withColumn("maybe", passes(spark, part["h"], bits, slots))
         flagged = marked if flagged is None else flagged.unionByName(marked)
     flagged = staged(flagged.select("doc_id", "text_sha256", "maybe"), "exact-flagged", ("maybe",))
 

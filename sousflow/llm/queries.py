@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .op1_exact_dedup import exact_dedup
+from .op2_line_dedup import line_dedup
 from .op4_html_text import extract_text
 from .op5_quality_fm import quality
 from .op7_minhash_near_dedup import near_duplicates
@@ -19,6 +20,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that have a similar earlier line."""
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return extract_text(table(spark, sf_dir, "pages"))
@@ -41,6 +47,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op4_html_text": op4_html_text,
     "op5_quality_fm": op5_quality_fm,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
