@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sousflow.session import ensure_checkpoint_dir
 
 #: Texts handled together inside a task, so that numpy buffers stay small whatever the batch holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +59,12 @@ def doc_key(column: Column) -> Column:
 
 
 
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value of this package's own classes; call the result in a task to get it back."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a record batch so that the texts of each part add up to about ``limit`` bytes, a longer text alone."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

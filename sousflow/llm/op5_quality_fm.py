@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, slices, text_of
+from .common import doc_key, shared, slices, text_of
 from .words import hashed, raw, word_bounds
 
 WORD_BUCKETS = 1 << 15
@@ -180,17 +180,17 @@ def train(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_ch
 
 def score_quality(docs: DataFrame, machine: Machine, metadata: tuple[str, ...] = ("n_chars",)) -> DataFrame:
     """All columns of ``docs`` and ``quality_score``: the probability of label 1, for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    sent = shared(docs.sparkSession, machine)
 
     @F.pandas_udf("double")
     def score(text, numbers):
         import pandas as pd
 
-        out = []
+        out, fitted = [], sent()
         batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array([list(x) for x in numbers], pa.list_(pa.float64()))], ["text", "numbers"])
         for part in slices(batch, "text"):
             buckets, begin, stats = document_features(part.column("text"))
-            out.append(shared.value.score(buckets, begin, _with_metadata(stats, part)))
+            out.append(fitted.score(buckets, begin, _with_metadata(stats, part)))
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return docs.withColumn("quality_score", score(text_of(docs), _numbers(docs, metadata)))

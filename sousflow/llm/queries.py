@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .op1_exact_dedup import exact_dedup
 from .op2_line_dedup import line_dedup
+from .op3_fingerprints import fingerprints
 from .op4_html_text import extract_text
 from .op5_quality_fm import quality
+from .op6_ppm import score
 from .op7_minhash_near_dedup import near_duplicates
+from .op8_best_fit_packing import pack
 from .op9_pii import find_pii
+from .op10_sentencepiece import model_bytes, round_trip
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +29,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return extract_text(table(spark, sf_dir, "pages"))
@@ -35,21 +44,40 @@ def op5_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learned outside fold 0 of 10."""
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents on word pairs, Jaccard 0.8 and more."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 words."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded, with parity to the sentencepiece library."""
+    return round_trip(table(spark, sf_dir, "documents"), model_bytes())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op4_html_text": op4_html_text,
     "op5_quality_fm": op5_quality_fm,
+    "op6_ppm": op6_ppm,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
+    "op10_sentencepiece": op10_sentencepiece,
 }
