@@ -6,17 +6,18 @@ candidate pairs, links and component labels are never collected.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import bitmap_of, probe
 from .common import staged
 
-#: The hub of a star is dealt to this many salted keys, so a hub with very many members is no hot key.
-SALTS = 4096
+#: 512 bits of a class's odd sketch.
+SKETCH_LONGS = 8
 
 
 def _overlaps(percent: int):
@@ -34,22 +35,42 @@ def _overlaps(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def odd_sketch(items: np.ndarray) -> list[int]:
+    """Parity of the items that fall on each of ``64 * SKETCH_LONGS`` places, as signed 64-bit numbers.
+
+    The sketch of a symmetric difference is the exclusive or of the two sketches, so the bits
+    set in that never outnumber the items in which two sets differ.
+    """
+    odd = np.bincount((items >> np.uint64(23)) % np.uint64(64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
+def _may_reach(percent: int) -> Column:
+    """Whether a pair (n, sketch) and (na, sketch_a) may reach the threshold: by size, and by a lower bound of the difference."""
+    both = F.col("n") + F.col("na")
+    allowed = both - 2 * F.floor((percent * both + 99 + percent) / (100 + percent))
+    apart = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("sketch_a")[k])) for k in range(SKETCH_LONGS)), F.lit(0))
+    return (100 * F.least("n", "na") >= percent * F.greatest("n", "na")) & (apart <= allowed)
+
+
+def verified(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Of distinct pairs (a: hub, b) those whose full sets (cls, items: sorted 64-bit hashes) reach the Jaccard threshold.
 
-    Every pair takes its member's set to the hub's salted key; the hub's set goes to those
-    salted keys that have members, at most one copy for each pair.
+    Every pair takes its member's set to its hub's; adaptive execution splits a hub with very
+    many members, as both sides of that join come straight from their exchange.
     """
-    salted = staged(pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")), "pairs")
-    hubs = salted.select("a", "salt").distinct().join(sets.select(F.col("cls").alias("a"), F.col("items").alias("set_a")), "a")
-    rows = salted.join(sets.select(F.col("cls").alias("b"), F.col("items").alias("set_b")), "b").join(hubs, ["a", "salt"])
+    pairs = staged(pairs, "pairs")
+    sets = staged(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()), "sets")
+    rows = pairs.join(sets.select(F.col("cls").alias("b"), F.col("items").alias("set_b")), "b")
+    rows = rows.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("set_a")), "a")
     return rows.select("a", "b", "set_a", "set_b").mapInArrow(_overlaps(percent), "a bigint, b bigint")
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
     """Whether every u has one v and no v is itself a u."""
-    inner = edges.select(F.col("v").alias("u")).distinct().join(edges, "u", "left_semi")
-    return edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty() and inner.isEmpty()
+    ends = edges.select(F.col("u").alias("cls"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("cls"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("cls").agg(F.sum("up").alias("ups"), F.max("down").alias("down")).where("ups + down > 1 AND ups > 0").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -70,42 +91,54 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("cls"), F.col("v").alias("component"))
 
 
-def linked(members: DataFrame, sets_of, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links and components among classes that share buckets, from distinct (bucket, cls).
+def wanted_texts(docs: DataFrame, wanted: DataFrame) -> Callable:
+    """A test of document ids in a task: true for all of ``wanted`` (cls) and, by chance, for a few others.
 
-    A round makes stars in every bucket: its hubs against all its other members. Links
-    that hold on the full sets are merged into components. Hubs that have met their whole
-    bucket leave it; a bucket whose remaining members lie in one component is done. The
-    others take more hubs, eight times as many in each round, first of all the member with
-    most links; pairs that lie in one component already are left out. The rounds go on until
-    no bucket is left, so every two classes that share a bucket have been compared or lie
-    in one component.
-
-    ``sets_of(classes)`` gives (cls, items) for a frame of distinct classes (cls).
+    Texts are filtered where they are read, so those of single documents are never shuffled.
+    """
+    ids = staged(wanted, "wanted")
+    bits, slots = bitmap_of(ids.select(F.xxhash64("cls").alias("h")), ids.count())
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    return lambda keys: probe(keys, shared.value, slots)
+
+
+def linked(members: DataFrame, classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components among classes that share buckets, from distinct (bucket, cls) and (cls, n, sketch).
+
+    The first round makes a star in every bucket, its hub against all other members that may
+    reach the threshold by their sizes and odd sketches, which never leaves out a link. The
+    hub is the member that shares buckets with most others, so the original of a group of
+    copies is the hub of all its buckets. Links that hold on the full sets are merged into
+    components, and the hub leaves its bucket. A bucket whose remaining members lie in one
+    component is done. In the second round the few buckets that still join different components
+    compare every member outside the component of most links with the members of other
+    components, under the same filter. So every two classes that share a bucket have been
+    compared or lie in one component.
+
+    ``sets_of(classes)`` gives (cls, items) for at least the given distinct classes (cls).
     Returns links (a, b) and (cls, component) of the classes that are not their component's smallest.
     """
-    sizes = staged(members.groupBy("bucket").agg(F.min("cls").alias("best"), F.count("*").alias("n")).where("n > 1"), "sizes")
-    live = staged(members.join(sizes, "bucket").select(
-        "bucket", "cls", F.col("cls").alias("component"), (F.col("cls") == F.col("best")).alias("hub")), "live")
-    sets = sets_of(live.select("cls").distinct())
-    links = groups = known = None
-    wanted = 1
-    while True:
-        hubs = live.where("hub").select("bucket", F.col("cls").alias("a"), F.col("component").alias("ca"))
-        met = live.join(staged(hubs, "hubs"), "bucket").where("component != ca AND (NOT hub OR a < cls)")
-        found = staged(verified(met.select("a", F.col("cls").alias("b")).distinct(), sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        if known is None or not found.isEmpty():
-            groups = components(links)
-            degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("degree"))
-            known = staged(degree.join(groups, "cls", "left").select("cls", F.coalesce("component", "cls").alias("label"), "degree"), "known")
-        rest = staged(live.where("NOT hub").select("bucket", "cls").join(known, "cls", "left").select(
-            "bucket", "cls", F.coalesce("label", "cls").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")), "rest")
-        still = staged(rest.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.max(F.struct("degree", "cls")).alias("best")).where("lo != hi").select("bucket", "n", "best.cls"), "open")
-        if still.isEmpty():
-            return links, groups
-        wanted *= 8
-        chosen = (F.col("cls") == F.col("best")) | (F.pmod(F.xxhash64("cls", F.lit(wanted)), F.ceil(F.col("n") / wanted)) == 0)
-        live = staged(rest.join(still.withColumnRenamed("cls", "best"), "bucket").select("bucket", "cls", "component", chosen.alias("hub")), "live")
+    sizes = staged(members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
+    shared = staged(members.join(sizes, "bucket"), "shared")
+    weight = staged(shared.groupBy("cls").agg(F.sum("m").alias("weight")), "weights")
+    live = staged(shared.select("bucket", "cls").join(classes.join(weight, "cls"), "cls"), "live")
+    hub = F.max(F.struct("weight", "cls", "n", "sketch")).alias("x")
+    hubs = staged(live.groupBy("bucket").agg(hub).select("bucket", F.col("x.cls").alias("a"), F.col("x.n").alias("na"), F.col("x.sketch").alias("sketch_a")), "hubs")
+    met = live.join(hubs, "bucket").where("cls != a").where(_may_reach(percent))
+    links = staged(verified(met.select("a", F.col("cls").alias("b")).distinct(), sets_of, percent), "links")
+    groups = staged(components(links), "groups")
+    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("degree"))
+    known = staged(degree.join(groups, "cls", "left").select("cls", F.coalesce("component", "cls").alias("label"), "degree"), "known")
+    rest = live.join(hubs.select("bucket", "a"), "bucket").where("cls != a").join(known, "cls", "left").select(
+        "bucket", "cls", "n", "sketch", F.coalesce("label", "cls").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    rest = staged(rest, "rest")
+    still = staged(rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("degree", "cls", "component")).alias("best"))
+                   .where("lo != hi").select("bucket", F.col("best.component").alias("main")), "open")
+    if still.isEmpty():
+        return links, groups
+    live = staged(rest.join(still, "bucket").select("bucket", "cls", "component", "n", "sketch", (F.col("component") != F.col("main")).alias("hub")), "live")
+    hubs = live.where("hub").select("bucket", F.col("cls").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sketch_a"))
+    met = live.join(staged(hubs, "hubs"), "bucket").where("component != ca AND (NOT hub OR a < cls)").where(_may_reach(percent))
+    found = staged(verified(met.select("a", F.col("cls").alias("b")).distinct(), sets_of, percent), "links")
+    links = links.unionByName(found)
+    return links, groups if found.isEmpty() else components(links)

@@ -109,6 +109,16 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows, size, closed = rows[-1:], len(rows[-1][1]), bool(tail)
 
 
+def _ranged(bounds: np.ndarray):
+    """The number of the range that an id falls into, and whether it is the first id of a range but the first."""
+    @F.pandas_udf("part int, bound boolean")
+    def run(ids: pd.Series) -> pd.DataFrame:
+        values = ids.to_numpy()
+        return pd.DataFrame({"part": np.searchsorted(bounds, values, side="right").astype("int32"), "bound": np.isin(values, bounds)})
+
+    return run
+
+
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
 
@@ -117,7 +127,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     text has a fingerprint of its own, likeness 1 to itself and 0 to others. A single row
     is its own next. An empty table gives an empty result.
 
-    Rows are dealt by ranges of the id, cut at quantiles that are ids of the table; the
+    Rows are dealt by ranges of the id of about equal size, cut at ids of the table; the
     first row of each range goes to the range before it as well, so no row is looked up elsewhere.
     """
     spark = docs.sparkSession
@@ -126,16 +136,14 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], max(10_000, 20 * parts)).alias("cuts"),
                     F.min(F.struct("doc_id", "th")).alias("first")).first()
-    bounds = np.unique(np.array([c for c in cuts["cuts"] or [] if c is not None], dtype=np.int64))
     first = cuts["first"]
-
-    @F.pandas_udf("part int, bound boolean")
-    def ranged(ids: pd.Series) -> pd.DataFrame:
-        values = ids.to_numpy()
-        return pd.DataFrame({"part": np.searchsorted(bounds, values, side="right").astype("int32"), "bound": np.isin(values, bounds)})
-
     # a null id goes with the smallest numbers: a nullable column would reach pandas as rounded floats
-    dealt = rows.withColumn("at", ranged(F.coalesce("doc_id", F.lit(-(2**63)))))
+    ident = F.coalesce("doc_id", F.lit(-(2**63)))
+    # quantiles of large numbers are rounded; the cuts are the least ids of the ranges between them
+    rough = np.unique(np.array([c for c in cuts["cuts"] or [] if c is not None], dtype=np.int64))
+    starts = rows.groupBy(_ranged(rough)(ident)["part"].alias("part")).agg(F.min("doc_id").alias("start")).collect()
+    bounds = np.array(sorted(r.start for r in starts if r.start is not None)[1:], dtype=np.int64)
+    dealt = rows.withColumn("at", _ranged(bounds)(ident))
     own = F.struct(F.col("at.part").alias("part"), F.lit(False).alias("tail"))
     before = F.when(F.col("at.bound") & F.col("doc_id").isNotNull(), F.struct((F.col("at.part") - 1).alias("part"), F.lit(True).alias("tail")))
     to_last = F.when(F.col("doc_id").eqNullSafe(F.lit(first["doc_id"] if first else None).cast("long")) & (F.col("th") == F.lit(first["th"] if first else 0)),

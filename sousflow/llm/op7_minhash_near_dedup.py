@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, staged, text_of
-from .graph import linked
+from .graph import linked, odd_sketch, wanted_texts
 from .words import mixed, shingle_sets, words
 
 BANDS, BAND_BINS = 35, 5
@@ -85,21 +85,27 @@ def _profile(size: int, percent: int):
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
                 large = [i for i, s in enumerate(sets) if len(s) >= least]
                 bands: list = [None] * len(sets)
+                sketches = [odd_sketch(s) if len(s) >= least else None for s in sets]
                 for i, b in zip(large, buckets(signatures([sets[i] for i in large])).view(np.int64), strict=True):
                     bands[i] = b
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string()),
-                    pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_key", "bands"])
+                    pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_key", "bands", "sketch"])
     return run
 
 
-def _items(size: int):
+def items(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(cls, items): the sets of the wanted documents (cls) and by chance of a few others, from (doc_id, text)."""
+    passing = wanted_texts(docs, wanted)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole.filter(pa.array(passing(whole.column("h").to_numpy().view(np.uint64)))), "text"):
                 sets = shingle_sets(*words(batch.column("text")), size)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "items"])
-    return run
+
+    # rows that repeat an id repeat its set
+    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "cls bigint, items binary")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -114,17 +120,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     kept. Rows that repeat an id should be equal; each is returned. An empty table gives an empty result.
     """
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))
-    rows = staged(source.mapInArrow(_profile(shingle_words, percent), "doc_id bigint, n_shingles bigint, set_key string, bands array<bigint>"), "near-rows")
+    rows = staged(source.mapInArrow(_profile(shingle_words, percent), "doc_id bigint, n_shingles bigint, set_key string, bands array<bigint>, sketch array<bigint>"), "near-rows")
     named = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = staged(named.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.min("bands").alias("bands")), "near-classes")
+    classes = staged(named.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.min(F.struct("n_shingles", "bands", "sketch")).alias("x")).select("set_key", "cls", "x.*"), "near-classes")
     members = staged(classes.select("cls", F.explode("bands").alias("bucket")), "near-members")
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        texts = source.join(wanted.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi")
-        sets = texts.mapInArrow(_items(shingle_words), "cls bigint, items binary")
-        return staged(sets, "near-sets")
-
-    _, groups = linked(members, sets_of, percent)
+    _, groups = linked(members, classes.select("cls", F.col("n_shingles").alias("n"), "sketch"), lambda wanted: items(source, wanted, shingle_words), percent)
     named_class = staged(classes.select("set_key", "cls").join(groups, "cls", "left").select(
         "set_key", F.coalesce("component", "cls").alias("component")), "near-named")
     return rows.select("doc_id", "n_shingles", "set_key").join(named_class, "set_key", "left").select(
