@@ -4,18 +4,18 @@ A line's tokens are its distinct lower-cased words. A line goes when an earlier
 document id, then place) of the table has a Jaccard similarity of 0.8 or more with it; lines
 of fewer than ``MIN_TOKENS`` distinct words always stay.
 
-1. Tokens are counted over all lines in a fixed table of hashed counters, which orders them
-   by rarity: by counter, then by hash. Any total order that all lines share gives a
+1. Words are counted over all lines in a fixed table of hashed counters, which orders
+   tokens by rarity: by counter, then by hash. Any total order that all lines share gives a
    correct prefix filter; counters that tokens share only cost time.
 2. Equal token sets are settled by a group: all but the first line go.
-3. Every line sends the rare prefix of its tokens, n - ceil(0.8 n) + 1 of them, to the task of
-   each token. There a line meets the earlier lines of the token in order and keeps the first
-   that pass the length filter, the positional filter and an odd sketch of 64 bits, a lower
-   bound of the symmetric difference.
-4. Those pairs are verified on the full sets. A line that found an earlier match is done; one
-   that did not, and has more candidates, takes its next ones in another round, 16 times as
-   many each, until none is left. So large groups of similar lines give pairs in proportion
-   to their lines, and every candidate of an unmatched line is examined.
+3. Each remaining line sends the rare prefix of its tokens, n - ceil(0.8 n) + 1 of them, to the
+   task of each token. There it meets the earlier lines of the token that pass the length
+   filter, the positional filter and an odd sketch of 128 bits, a lower bound of the symmetric
+   difference. It keeps one of them: the first whose sketch is well below the allowed
+   difference, or else the one with the nearest sketch.
+4. Those pairs are verified on the full sets. A line that is not settled by it and has
+   further candidates takes all of them in a second round. So large groups of similar lines
+   give pairs in proportion to their lines, and every candidate of an unsettled line is examined.
 
 A token with more lines than ``HOT_LINES`` is dealt into as many shares; its lines are
 indexed in one share each and probe them all.
@@ -23,9 +23,9 @@ indexed in one share each and probe them all.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -35,38 +35,64 @@ from pyspark.sql import functions as F
 
 from .bloom import bitmap_of, passes, probe
 from .common import slices, staged, text_of
-from .words import hashed, raw, word_bounds
+from .words import hashed, mixed, raw, word_bounds
 
 PERCENT, MIN_TOKENS = 80, 5
 #: Counters of the rarity order; 4 MB, whatever the corpus.
 COUNTERS = 1 << 20
 #: Lines of a token, at most, that one task holds as its index.
 HOT_LINES = 50_000
-_FIRST, _GROWTH = 4, 16
 
 
-def line_tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Text number, line number and sorted distinct word hashes of each line with at least ``MIN_TOKENS`` of them."""
+@dataclass(frozen=True)
+class Lines:
+    """The lines of a batch with at least ``MIN_TOKENS`` distinct words: text, line number, and sorted tokens from ``cut`` on."""
+
+    text: np.ndarray
+    line: np.ndarray
+    tokens: np.ndarray
+    cut: np.ndarray
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.cut)
+
+    def take(self, keep: np.ndarray) -> Lines:
+        """Only the lines marked in ``keep``."""
+        sizes = self.sizes
+        return Lines(self.text[keep], self.line[keep], self.tokens[np.repeat(keep, sizes)], np.concatenate([[0], np.cumsum(sizes[keep])]))
+
+
+def _words_of_lines(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """Word hashes of all texts, and for each line its text, its number and where its words begin."""
     data, at = raw(column)
     breaks = np.flatnonzero(data == 10) + 1
     begin = np.unique(np.concatenate([at[:-1], breaks]))  # an empty text or line shares its begin with the next
     begin = np.append(begin[begin < len(data)], len(data))
     starts, ends = word_bounds(data, begin)
-    hashes = hashed(data, starts, ends)
-    cut = np.searchsorted(starts, begin)
     text = np.searchsorted(at, begin[:-1], side="right") - 1
     line = np.searchsorted(breaks, begin[:-1], side="right") - np.searchsorted(breaks, at[text], side="right")
-    for k in np.flatnonzero(np.diff(cut) >= MIN_TOKENS).tolist():
-        tokens = np.sort(hashes[cut[k] : cut[k + 1]])
-        keep = np.ones(len(tokens), dtype=bool)
-        np.not_equal(tokens[1:], tokens[:-1], out=keep[1:])
-        tokens = tokens[keep]
-        if len(tokens) >= MIN_TOKENS:
-            yield int(text[k]), int(line[k]), tokens
-
-
-def prefix_length(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return hashed(data, starts, ends), text, line, np.searchsorted(starts, begin)
+
+
+def line_tokens(column: pa.Array) -> Lines:
+    """The lines of all texts of a batch, sorted and made distinct together."""
+    hashes, text, line, cut = _words_of_lines(column)
+    sizes = np.diff(cut)
+    keep = sizes >= MIN_TOKENS
+    hashes, sizes, text, line = hashes[np.repeat(keep, sizes)], sizes[keep], text[keep], line[keep]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    rough = (owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
+    order = np.argsort(rough)
+    tokens, rough = hashes[order], rough[order]
+    if ((rough[1:] == rough[:-1]) & (tokens[1:] != tokens[:-1])).any():  # the upper bits tie
+        order = np.lexsort((hashes, owner))
+        tokens = hashes[order]
+    fresh = np.ones(len(tokens), dtype=bool)  # owners stand in order in either case
+    fresh[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
+    count = np.bincount(owner[fresh], minlength=len(sizes))
+    found = Lines(text, line, tokens[fresh], np.concatenate([[0], np.cumsum(count)]))
+    return found.take(count >= MIN_TOKENS)
 
 
 def line_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -81,75 +107,93 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.A
             yield batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_LINES = "doc_id bigint, line int, key1 bigint, key2 bigint, counts binary"
+_CHUNKS = 64
+
+
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with a 128-bit key of its token set; at the end of the task its counters, in chunks numbered as lines."""
     total = np.zeros(COUNTERS, dtype=np.int64)
-    for _, texts in _parts(batches):
-        sets = [s for _, _, s in line_tokens(texts)]
-        if sets:
-            total += np.bincount((np.concatenate(sets) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-    chunks = np.split(total, 64)
-    yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in chunks], pa.binary())], ["chunk", "counts"])
+    for ids, texts in _parts(batches):
+        x = line_tokens(texts)
+        total += np.bincount((x.tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        sums = [np.add.reduceat(mixed(x.tokens ^ np.uint64(salt)), x.cut[:-1]).view(np.int64) if len(x.line) else np.zeros(0, np.int64) for salt in (0x51ED, 0xA3B7_0000_0001)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), *map(pa.array, sums), pa.nulls(len(x.line), pa.binary())],
+                                         ["doc_id", "line", "key1", "key2", "counts"])
+    none = pa.nulls(_CHUNKS, pa.int64())
+    yield pa.RecordBatch.from_arrays([none, pa.array(range(_CHUNKS), pa.int32()), none, none, pa.array([zlib.compress(c.tobytes(), 1) for c in np.split(total, _CHUNKS)], pa.binary())],
+                                     ["doc_id", "line", "key1", "key2", "counts"])
 
 
 def _sum_chunk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in part["counts"])
-    return pd.DataFrame({"chunk": [key[0]], "counts": [total.tobytes()]})
+    total = np.zeros(COUNTERS // _CHUNKS, dtype=np.int64)
+    for x in part["counts"]:
+        total += np.frombuffer(zlib.decompress(x), np.int64)
+    return pd.DataFrame({"line": [key[0]], "counts": [total.tobytes()]})
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
+def rarity(read: DataFrame) -> np.ndarray:
     """The counters over all lines, as many whatever the corpus: 4 MB, capped at 2**32 - 1 each."""
-    merged = docs.mapInArrow(_count, "chunk int, counts binary").groupBy("chunk").applyInPandas(_sum_chunk, "chunk int, counts binary")
+    merged = read.where("counts IS NOT NULL").groupBy("line").applyInPandas(_sum_chunk, "line int, counts binary")
     out = np.zeros(COUNTERS, dtype=np.int64)
     for row in merged.collect():
-        out[row.chunk * COUNTERS // 64 : (row.chunk + 1) * COUNTERS // 64] = np.frombuffer(row.counts, np.int64)
+        out[row.line * COUNTERS // _CHUNKS : (row.line + 1) * COUNTERS // _CHUNKS] = np.frombuffer(row.counts, np.int64)
     return np.minimum(out, 2**32 - 1).astype(np.uint32)
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in _parts(batches):
-        rows = [(i, line, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()) for i, line, tokens in line_tokens(texts)]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([ids[i] for i, _, _ in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
-            ["doc_id", "line", "set_key"])
-
-
-_COLUMNS = (("token", np.uint64), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch", np.uint64), ("share", np.uint32), ("own", np.uint8))
+_COLUMNS = (("token", np.uint64), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch1", np.uint64), ("sketch2", np.uint64), ("share", np.uint32), ("flags", np.uint8))
+_RANDOM = ("token", "sketch1", "sketch2")  # of these columns nothing can be squeezed
 _POSTINGS = "part int, " + ", ".join(f"{name} binary" for name, _ in _COLUMNS)
+_OWN, _OPEN = 1, 2
 
 
-def _postings(percent: int, parts: int, counters, hot: int):
-    """Prefix tokens of all lines, packed column by column for each part of the token space."""
+def _postings(percent: int, parts: int, counters, hot: int, firsts, again=None):
+    """Prefix tokens of the lines that are the first with their set (and by chance a few others), packed column by column for each part of the token space.
+
+    ``firsts`` is the filter of those lines. ``again``, the filters of the tokens of open lines and of
+    these lines, limits a second round to their tokens and marks them.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _parts(batches):
-            found = list(line_tokens(texts))
-            if not found:
+            x = line_tokens(texts)
+            x = x.take(probe(line_key(ids[x.text], x.line), *firsts()))
+            if again and len(x.line):
+                hit = probe(x.tokens, *again()[0])
+                x = x.take(np.logical_or.reduceat(hit, x.cut[:-1]))
+            if not len(x.line):
                 continue
-            sizes = np.array([len(s) for _, _, s in found])
-            lines = np.repeat(np.arange(len(found)), sizes)
-            tokens = np.concatenate([s for _, _, s in found])
+            sizes, tokens = x.sizes, x.tokens
+            owner = np.repeat(np.arange(len(sizes)), sizes)
             count = counters.value[(tokens % np.uint64(COUNTERS)).astype(np.int64)]
-            order = np.lexsort((tokens, count, lines))
-            place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            bits = np.uint64(1) << ((tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58))
-            sketch = np.bitwise_xor.reduceat(bits, np.cumsum(sizes) - sizes)
-            keep = place < (sizes - (percent * sizes + 99) // 100 + 1)[lines]
-            order, line, pos = order[keep], lines[keep], place[keep]
+            # tokens stand in order within their line, so ties of the upper halves keep one order everywhere
+            order = np.lexsort(((count.astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32)), owner))
+            place = np.arange(len(tokens)) - x.cut[:-1][owner]
+            place_bits = (tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(57)  # one of 128
+            bits = np.uint64(1) << (place_bits & np.uint64(63))
+            sketch1, sketch2 = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), x.cut[:-1]) for half in (place_bits < 64, place_bits >= 64))
+            keep = place < (sizes - (percent * sizes + 99) // 100 + 1)[owner]
+            order, row, pos = order[keep], owner[keep], place[keep]
             token, count = tokens[order], count[order]
+            if again:
+                some = np.flatnonzero(probe(token, *again()[0]))
+                token, count, row, pos = token[some], count[some], row[some], pos[some]
+            if not len(token):
+                continue
             # a hot token's line goes to every share of the token; it is indexed in its own
             shares = np.maximum(1, -(-count.astype(np.int64) // hot))
-            again = np.repeat(np.arange(len(token)), shares)
-            share = np.arange(len(again)) - np.repeat(np.cumsum(shares) - shares, shares)
-            token, line, pos, shares = token[again], line[again], pos[again], shares[again]
-            doc = ids[np.array([i for i, _, _ in found])][line]
-            number = np.array([k for _, k, _ in found])[line]
-            own = line_key(doc, number) % shares.astype(np.uint64) == share.astype(np.uint64)
+            copies = np.repeat(np.arange(len(token)), shares)
+            share = np.arange(len(copies)) - np.repeat(np.cumsum(shares) - shares, shares)
+            token, row, pos, shares = token[copies], row[copies], pos[copies], shares[copies]
+            doc, keys = ids[x.text], line_key(ids[x.text], x.line)
+            flags = (keys[row] % shares.astype(np.uint64) == share.astype(np.uint64)) * _OWN
+            if again:
+                flags |= probe(keys, *again()[1])[row] * _OPEN
             part = ((token + share.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(33)) % np.uint64(parts)
             by = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[by], prepend=np.uint64(parts)))
-            values = dict(token=token, doc=doc, line=number, n=sizes[line], pos=pos, sketch=sketch[line], share=share, own=own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[by][cuts].astype(np.int32)), *(pa.array([x.tobytes() for x in np.split(values[name][by].astype(kind), cuts[1:])], pa.binary()) for name, kind in _COLUMNS)],
-                ["part", *(name for name, _ in _COLUMNS)])
+            values = dict(token=token, doc=doc[row], line=x.line[row], n=sizes[row], pos=pos, sketch1=sketch1[row], sketch2=sketch2[row], share=share, flags=flags)
+            packed = ([v.tobytes() if name in _RANDOM else zlib.compress(v.tobytes(), 1) for v in np.split(values[name][by].astype(kind), cuts[1:])] for name, kind in _COLUMNS)
+            yield pa.RecordBatch.from_arrays([pa.array(part[by][cuts].astype(np.int32)), *(pa.array(v, pa.binary()) for v in packed)], ["part", *(name for name, _ in _COLUMNS)])
     return run
 
 
@@ -158,78 +202,100 @@ def _alpha(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (n + m)) // (100 + percent))
 
 
-def _passing(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs (a indexed and earlier, b) pass the length, positional and sketch filters."""
+def _compare(x: dict[str, np.ndarray], a, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pairs (a indexed and earlier, b) pass the length, positional and sketch filters; their sketch distance and the difference allowed."""
     n, m = x["n"][a].astype(np.int64), x["n"][b].astype(np.int64)
     need = _alpha(n, m, percent)
-    ok = x["own"][a].astype(bool) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    ok = (x["flags"][a] & _OWN > 0) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
     ok &= np.minimum(n - x["pos"][a], m - x["pos"][b]) >= need
-    ok &= np.bitwise_count(x["sketch"][a] ^ x["sketch"][b]) <= n + m - 2 * need
-    return ok & ((x["doc"][a] != x["doc"][b]) | (x["line"][a] != x["line"][b]))
+    apart = np.bitwise_count(x["sketch1"][a] ^ x["sketch1"][b]).astype(np.int64) + np.bitwise_count(x["sketch2"][a] ^ x["sketch2"][b])
+    allowed = n + m - 2 * need
+    return ok & (apart <= allowed) & ((x["doc"][a] != x["doc"][b]) | (x["line"][a] != x["line"][b])), apart, allowed
+
 
+def bucket_pairs(x: dict[str, np.ndarray], percent: int, all_of_open: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates of every posting of each (token, share) as positions in the sorted ``x``: pairs (a, b), and the b that have others.
 
-def bucket_pairs(x: dict[str, np.ndarray], percent: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per posting its passing earlier candidates number ``low`` to ``high``: pairs (a, b) as positions in ``x``, and the b that have more."""
+    One for each b: the first earlier a at no more than three quarters of the allowed
+    difference by its sketch, or else the nearest. With ``all_of_open`` all of the open b.
+    """
     order = np.lexsort((x["line"], x["doc"], x["share"], x["token"]))
     x.update({k: v[order] for k, v in x.items()})
     fresh = np.flatnonzero((np.diff(x["token"], prepend=~x["token"][:1]) != 0) | (np.diff(x["share"], prepend=x["share"][:1]) != 0))
-    ends = np.append(fresh[1:], len(x["token"]))
+    sizes = np.diff(np.append(fresh, len(x["token"])))
     firsts, seconds, more = [], [], []
-
-    def ranked(a: np.ndarray, b: np.ndarray) -> None:
-        by = np.lexsort((a, b))
-        a, b = a[by], b[by]
-        begin = np.flatnonzero(np.diff(b, prepend=-1))
-        rank = np.arange(len(b)) - np.repeat(begin, np.diff(np.append(begin, len(b))))
-        firsts.append(a[(rank >= low) & (rank < high)])
-        seconds.append(b[(rank >= low) & (rank < high)])
-        more.append(b[rank == high])
-
-    sizes = ends - fresh
     small = (sizes > 1) & (sizes <= 256)
     starts, lengths = fresh[small], sizes[small]
+    total = np.cumsum(lengths * (lengths - 1) // 2)
     i = 0
-    pairs = lengths * (lengths - 1) // 2
-    while i < len(starts):  # all pairs of small buckets, about two million at a time
-        j = max(i + 1, int(np.searchsorted(np.cumsum(pairs[i:]), 2_000_000)) + i)
-        member = np.concatenate([np.arange(n) for n in lengths[i:j]])  # b takes the a before it
+    while i < len(starts):  # all pairs of small buckets, some hundred thousand at a time
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + 300_000)))
+        member = np.arange(lengths[i:j].sum()) - np.repeat(np.cumsum(lengths[i:j]) - lengths[i:j], lengths[i:j])  # b takes the a before it
         base = np.repeat(starts[i:j], lengths[i:j])
+        if all_of_open:
+            member = np.where(x["flags"][base + member] & _OPEN, member, 0)
+            base = np.where(member > 0, base, 0)
         b = np.repeat(base + member, member)
         a = np.repeat(base, member) + np.arange(len(b)) - np.repeat(np.cumsum(member) - member, member)
-        ok = _passing(x, a, b, percent)
-        ranked(a[ok], b[ok])
+        ok, apart, allowed = _compare(x, a, b, percent)
+        a, b, apart, allowed = a[ok], b[ok], apart[ok], allowed[ok]
+        if not all_of_open and len(b):
+            near = 4 * apart <= 3 * allowed
+            by = np.lexsort((a, np.where(near, 0, apart), ~near, b))
+            a, b = a[by], b[by]
+            first = np.diff(b, prepend=-1) != 0
+            more.append(b[~first])
+            a, b = a[first], b[first]
+        firsts.append(a)
+        seconds.append(b)
         i = j
     for start, size in zip(fresh[sizes > 256].tolist(), sizes[sizes > 256].tolist(), strict=True):
-        alive, seen = np.arange(start + 1, start + size), np.zeros(size, dtype=np.int64)
+        alive = np.arange(start + 1, start + size)
+        if all_of_open:
+            alive = alive[x["flags"][alive] & _OPEN > 0]
+        best, nearest, passed = np.full(size, -1), np.full(size, 1 << 30), np.zeros(size, dtype=np.int64)
         for a in range(start, start + size - 1):
             alive = alive[np.searchsorted(alive, a + 1) :]
             if not len(alive):
                 break
-            if not x["own"][a]:
+            if not x["flags"][a] & _OWN:
+                continue
+            ok, apart, allowed = _compare(x, np.full(len(alive), a), alive, percent)
+            if not ok.any():
                 continue
-            b = alive[_passing(x, np.full(len(alive), a), alive, percent)]
-            at = seen[b - start]
-            hit = b[(at >= low) & (at < high)]
-            firsts.append(np.full(len(hit), a))
-            seconds.append(hit)
-            more.append(b[at == high])
-            seen[b - start] += 1
-            if len(b) and (seen[b - start] > high).any():
-                alive = alive[seen[alive - start] <= high]
+            b = alive[ok]
+            if all_of_open:
+                firsts.append(np.full(len(b), a))
+                seconds.append(b)
+                continue
+            apart, allowed, k = apart[ok], allowed[ok], b - start
+            passed[k] += 1
+            near = 4 * apart <= 3 * allowed
+            apart = np.where(near, -1, apart)
+            closer = apart < nearest[k]
+            best[k[closer]], nearest[k[closer]] = a, apart[closer]
+            passed[k[near]] += 1  # the rest is not looked at
+            if near.any():
+                alive = alive[~np.isin(alive, b[near], assume_unique=True)]
+        if not all_of_open:
+            found = np.flatnonzero(best >= 0)
+            firsts.append(best[found])
+            seconds.append(found + start)
+            more.append(np.flatnonzero(passed > 1) + start)
     empty = [np.zeros(0, np.int64)]
     return np.concatenate(firsts or empty), np.concatenate(seconds or empty), np.unique(np.concatenate(more or empty))
 
 
-def _candidates(percent: int, low: int, high: int):
+def _candidates(percent: int, all_of_open: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[str, list] = {name: [] for name, _ in _COLUMNS}
         for batch in batches:
             for name, kind in _COLUMNS:
-                blobs[name] += [np.frombuffer(v.as_buffer(), kind) for v in batch.column(name)]
+                blobs[name] += [np.frombuffer(v.as_buffer() if name in _RANDOM else zlib.decompress(v.as_buffer()), kind) for v in batch.column(name)]
         if not blobs["token"]:
             return
         x = {name: np.concatenate(blobs.pop(name)) for name, _ in _COLUMNS}
-        a, b, more = bucket_pairs(x, percent, low, high)
+        a, b, more = bucket_pairs(x, percent, all_of_open)
         rows = np.unique(np.stack([x["doc"][a], x["line"][a].astype(np.int64), x["doc"][b], x["line"][b].astype(np.int64)], axis=1), axis=0)
         left = np.unique(np.stack([x["doc"][more], x["line"][more].astype(np.int64)], axis=1), axis=0)
         for lo in range(0, len(rows), 100_000):
@@ -248,15 +314,20 @@ def _pair_batch(doc_a, line_a, doc_b, line_b) -> pa.RecordBatch:
         pa.array(doc_b), pa.array(line_b.astype(np.int32))], ["doc_a", "line_a", "doc_b", "line_b"])
 
 
-def _wanted_sets(bits, slots: int):
+_ANY_LINE = 2**32 - 1
+
+
+def _wanted_sets(wanted):
+    """Token sets of the wanted lines; documents without any are not even read into words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _parts(batches):
-            found = list(line_tokens(texts))
-            doc, line = ids[np.array([i for i, _, _ in found], dtype=np.int64)].astype(np.int64), np.array([k for _, k, _ in found], dtype=np.int64)
-            keep = np.flatnonzero(probe(line_key(doc, line), bits.value, slots)) if len(found) else []
-            yield pa.RecordBatch.from_arrays([
-                pa.array(doc[keep], pa.int64()), pa.array(line[keep].astype(np.int32), pa.int32()), pa.array([found[k][2].tobytes() for k in keep], pa.binary())],
-                ["doc_id", "line", "items"])
+        for whole in batches:
+            ids = whole.column("doc_id").to_numpy()
+            for ids, texts in _parts([whole.filter(pa.array(probe(line_key(ids, np.full(len(ids), _ANY_LINE)), *wanted())))]):
+                x = line_tokens(texts)
+                x = x.take(probe(line_key(ids[x.text], x.line), *wanted()))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), pa.array([t.tobytes() for t in np.split(x.tokens, x.cut[1:-1])] if len(x.line) else [], pa.binary())],
+                    ["doc_id", "line", "items"])
     return run
 
 
@@ -280,16 +351,29 @@ def _line_filter(doc, line):
     return key(doc, line)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Lines (doc_id, line) of the pairs whose sets are similar. Only lines of some pair leave their task."""
-    spark = docs.sparkSession
-    ends = pairs.select("doc_a", "line_a").toDF("doc_id", "line").unionByName(pairs.select("doc_b", "line_b").toDF("doc_id", "line")).distinct()
-    wanted = staged(ends, "line-ends")
-    bits, slots = bitmap_of(wanted.select(_line_filter(wanted["doc_id"], wanted["line"]).alias("h")), wanted.count())
-    sets = docs.mapInArrow(_wanted_sets(spark.sparkContext.broadcast(bits), slots), "doc_id bigint, line int, items binary")
-    # rows that repeat a document repeat its sets
-    sets = staged(sets, "line-sets").groupBy("doc_id", "line").agg(F.min("items").alias("items"))
-    sets = staged(sets, "line-sets")
+def _token_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for items in batch.column("items"):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(items.as_buffer(), np.int64))], ["h"])
+
+
+def _filter_of(keys: DataFrame, rows: int | None = None):
+    """A Bloom filter of one column of keys, for tasks: call it there for its bits and slots."""
+    bits, slots = bitmap_of(keys, keys.count() if rows is None else rows)
+    sent = keys.sparkSession.sparkContext.broadcast(bits)
+    return lambda: (sent.value, slots)
+
+
+def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, line, items) of the wanted distinct lines (doc_id, line) and by chance of a few others. No other line leaves its task."""
+    wanted = staged(wanted, "line-ends")
+    ends = wanted.select("doc_id", F.col("line").cast("long")).unionByName(wanted.select("doc_id", F.lit(_ANY_LINE).cast("long").alias("line")).distinct())
+    sets = docs.mapInArrow(_wanted_sets(_filter_of(ends.select(_line_filter(F.col("doc_id"), F.col("line")).alias("h")))), "doc_id bigint, line int, items binary")
+    return staged(sets, "line-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Lines (doc_id, line) of the pairs whose sets are similar. Rows that repeat a document repeat its sets and pairs."""
     first = sets.select(F.col("doc_id").alias("doc_a"), F.col("line").alias("line_a"), F.col("items").alias("set_a"))
     second = sets.select(F.col("doc_id").alias("doc_b"), F.col("line").alias("line_b"), F.col("items").alias("set_b"))
     rows = pairs.join(second, ["doc_b", "line_b"]).join(first, ["doc_a", "line_a"])
@@ -299,24 +383,34 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT_LINES) -> DataFrame:
     """(doc_id, line) of every line with a similar earlier line, from (doc_id: bigint, not null; text)."""
     spark = docs.sparkSession
-    lines = staged(docs.mapInArrow(_lines, "doc_id bigint, line int, set_key binary"), "lines")
-    groups = staged(lines.groupBy("set_key").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1"), "line-groups")
-    gone = staged(lines.join(groups, "set_key").where(F.struct("doc_id", "line") > F.col("first")).select("doc_id", "line").distinct(), "lines-equal")
-    counters = spark.sparkContext.broadcast(rarity(docs))
+    read = staged(docs.mapInArrow(_read_lines, _LINES), "lines")
+    counters = spark.sparkContext.broadcast(rarity(read))
+    lines = read.where("counts IS NULL").drop("counts")
+    firsts = staged(lines.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")), "line-firsts")
+    groups = firsts.where("n > 1").select("key1", "key2", "first")
+    gone = staged(lines.join(groups, ["key1", "key2"]).where(F.struct("doc_id", "line") > F.col("first")).select("doc_id", "line").distinct(), "lines-equal")
+    first_filter = _filter_of(firsts.select(_line_filter(F.col("first.doc_id"), F.col("first.line").cast("long")).alias("h")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    low, high, open_ = 0, _FIRST, None
-    while True:
-        postings = docs.mapInArrow(_postings(percent, parts, counters, hot_lines), _POSTINGS)
-        met = staged(postings.repartition(parts, "part").mapInArrow(_candidates(percent, low, high), "doc_a bigint, line_a int, doc_b bigint, line_b int"), "line-pairs")
-        pairs = met.where("doc_a IS NOT NULL").distinct().join(gone.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_anti")
-        if open_ is not None:
-            pairs = pairs.join(open_, ["doc_b", "line_b"], "left_semi")
-        found = _verified(docs, staged(pairs, "line-candidates"), percent)
-        gone = staged(gone.unionByName(found).distinct(), "lines-gone")
-        open_ = staged(met.where("doc_a IS NULL").select("doc_b", "line_b").distinct().join(gone.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_anti"), "lines-open")
-        if open_.isEmpty():
-            return gone
-        low, high = high, high * _GROWTH
+
+    def candidates(again) -> DataFrame:
+        postings = docs.mapInArrow(_postings(percent, parts, counters, hot_lines, first_filter, again), _POSTINGS)
+        return staged(postings.repartition(parts, "part").mapInArrow(_candidates(percent, again is not None), "doc_a bigint, line_a int, doc_b bigint, line_b int"), "line-pairs")
+
+    def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pairs = staged(pairs.distinct(), "line-candidates")
+        sets = sets_of_lines(docs, pairs.select("doc_a", "line_a").toDF("doc_id", "line").unionByName(pairs.select("doc_b", "line_b").toDF("doc_id", "line")).distinct())
+        return sets, staged(gone.unionByName(_verified(pairs, sets, percent)).distinct(), "lines-gone")
+
+    met = candidates(None)
+    # a line settled by an equal one may still be in the filter of firsts by chance
+    sets, gone = settle(met.where("doc_a IS NOT NULL").join(gone.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_anti"))
+    open_ = staged(met.where("doc_a IS NULL").select("doc_b", "line_b").distinct().toDF("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti"), "lines-open")
+    if open_.isEmpty():
+        return gone
+    tokens = staged(sets.join(open_, ["doc_id", "line"], "left_semi").mapInArrow(_token_keys, "h bigint"), "line-tokens")
+    token_filter, open_filter = _filter_of(tokens), _filter_of(open_.select(_line_filter(F.col("doc_id"), F.col("line").cast("long")).alias("h")))
+    met = candidates(lambda: (token_filter(), open_filter()))
+    return settle(met.where("doc_a IS NOT NULL").join(open_.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_semi"))[1]
 
 
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
