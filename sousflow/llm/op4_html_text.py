@@ -193,7 +193,7 @@ def labelled_pages(seed: int = 4, count: int = 400) -> list[tuple[str, list[str]
             into.append(f"{a} {b} {c}")
             return f"<p>{a} <a href='/y'>{b}</a> <em>{c}</em></p>"
 
-        body = [keep(sentence(int(rng.integers(2, 12))), pick(["h1", "h1", "h2"]))] if chance(0.8) else []
+        body = [keep(sentence(int(rng.integers(1, 12))), pick(["h1", "h1", "h2"]))] if chance(0.8) else []
         for _ in range(int(rng.integers(1, 9))):
             kind = rng.random()
             if kind < 0.62:
@@ -203,7 +203,7 @@ def labelled_pages(seed: int = 4, count: int = 400) -> list[tuple[str, list[str]
             elif kind < 0.79:
                 body.append("<ul>" + "".join(keep(sentence(int(rng.integers(1, 10))), "li") for _ in range(3)) + "</ul>")
             elif kind < 0.86:
-                body.append(keep(sentence(int(rng.integers(2, 7))), pick(["h2", "h3"])))
+                body.append(keep(sentence(int(rng.integers(1, 7))), pick(["h2", "h3"])))
             elif kind < 0.91:
                 body.append("<blockquote>" + keep(sentence(int(rng.integers(8, 25)))) + "</blockquote>")
             elif kind < 0.95:
