@@ -4,10 +4,12 @@ Layers
 ------
 functions/  Column -> Column expressions (text cleaning, distance, time, JSON).
 operators/  DataFrame -> DataFrame building blocks (dedup, top-n, pivot, explode,
-            exact nearest-location join, size-checked broadcasts and lookups).
+            exact nearest-location join).
 sources/    table loading and the views that shape the generated test tables.
 plans/      the business jobs, each a composition of operators.
-streaming/  nothing: the jobs are batch only.
+llm/        operators for language-model training data, on their own: nothing else imports them.
+
+The jobs are batch only.
 """
 
 __all__ = ["functions", "operators", "sources", "plans"]

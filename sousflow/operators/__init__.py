@@ -1,25 +1,22 @@
 """DataFrame -> DataFrame building blocks. Column names are parameters."""
 
 from sousflow.operators.dedup import canonical_rows, duplicate_keys, key_profile
-from sousflow.operators.joins import bounded_broadcast, checked_broadcast, small_lookup
 from sousflow.operators.nearest import nearest_locations
 from sousflow.operators.nested import flatten, inverted_index
 from sousflow.operators.strings import sorted_string_agg
-from sousflow.operators.topn import pivot_ranks, top_n_with_ties
-from sousflow.operators.windows import broadcast_group_values
+from sousflow.operators.topn import closest_per_group, pivot_ranks, top_n_with_ties
+from sousflow.operators.windows import with_group_values
 
 __all__ = [
     "canonical_rows",
     "duplicate_keys",
     "key_profile",
-    "bounded_broadcast",
-    "checked_broadcast",
-    "small_lookup",
     "nearest_locations",
     "flatten",
     "inverted_index",
     "sorted_string_agg",
+    "closest_per_group",
     "pivot_ranks",
     "top_n_with_ties",
-    "broadcast_group_values",
+    "with_group_values",
 ]

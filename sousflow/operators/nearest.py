@@ -25,8 +25,11 @@ table sizes, also for a query far away from a dense cluster.
 
 Rounds are materialised with ``checkpoint()`` in the session's checkpoint
 directory (a shared folder on a cluster), so a lost executor re-reads the last
-round instead of recomputing the walk. With at most ``leaf_size`` targets every
-root cube is a leaf and the whole search is one lazy plan.
+round instead of recomputing the walk. The same walk runs at every size; a level
+is only summarised for the targets of cubes that a query still considers. Cubes
+are split down to a side of 2**-48 (some hundredths of a millionth of a metre on
+the Earth), where distinct coordinates no longer share a cube in practice; what does is
+compared exactly.
 """
 
 from __future__ import annotations
@@ -35,13 +38,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sousflow.functions.geo import EARTH_RADIUS_M, great_circle_m, unit_vector
-from sousflow.operators.topn import top_n_with_ties
+from sousflow.operators.topn import closest_per_group
+from sousflow.session import materialised
 
-LEAF_SIZE = 64
-MAX_LEVEL = 24          # cubes of side 2**-24 (about 0.4 m on the Earth)
+LEAF_SIZE = 16
+MAX_LEVEL = 48          # cubes of side 2**-48
 _REL_MARGIN = 1e-9      # pruning slack, so float rounding never drops a tie
 _ABS_MARGIN = 1e-12
 _NO_BOUND = 4.0         # above any chord of the unit sphere (<= 2)
@@ -51,13 +54,6 @@ _CELL = ["lvl", "cx", "cy", "cz"]
 _BOX = ["n", "x_lo", "x_hi", "y_lo", "y_hi", "z_lo", "z_hi"]
 _QCOLS = ["q_lat", "q_lon", "qx", "qy", "qz"]
 
-RESULT_SCHEMA = T.StructType([
-    T.StructField("q_lat", T.DoubleType()),
-    T.StructField("q_lon", T.DoubleType()),
-    T.StructField("t_lat", T.DoubleType()),
-    T.StructField("t_lon", T.DoubleType()),
-    T.StructField("distance_m", T.DoubleType()),
-])
 
 
 def distinct_locations(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -118,36 +114,20 @@ def _prune(frontier: DataFrame, exclude_zero: bool) -> DataFrame:
 
 def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat", lon: str = "lon",
                       exclude_zero: bool = False, radius_m: float = EARTH_RADIUS_M,
-                      n_targets: int | None = None, leaf_size: int = LEAF_SIZE,
-                      max_level: int = MAX_LEVEL) -> DataFrame:
+                      leaf_size: int = LEAF_SIZE, max_level: int = MAX_LEVEL) -> DataFrame:
     """For each distinct query location, every target location at the minimum distance.
 
     Returns ``q_lat, q_lon, t_lat, t_lon, distance_m``. Locations with a NULL
     coordinate are ignored. ``exclude_zero`` skips targets at distance 0 (the same
     place), giving the nearest *other* location. A query with no eligible target
-    gets no row. ``n_targets``, the number of distinct target locations or any upper
-    bound of it, saves a count when the caller already has one.
+    gets no row.
     """
-    spark = queries.sparkSession
     q = distinct_locations(queries, lat, lon).select(F.col(lat).alias("q_lat"), F.col(lon).alias("q_lon"))
     t = distinct_locations(targets, lat, lon).select(F.col(lat).alias("t_lat"), F.col(lon).alias("t_lon"))
-    if n_targets is None:
-        n_targets = t.count()
-    if n_targets == 0:
-        return spark.createDataFrame([], RESULT_SCHEMA)
     q = q.select("*", *[c.alias(f"q{a}") for c, a in zip(unit_vector("q_lat", "q_lon"), _AXES)])
     t = t.select("*", *[c.alias(f"t{a}") for c, a in zip(unit_vector("t_lat", "t_lon"), _AXES)])
 
-    if n_targets <= leaf_size:
-        # Every root cube is a leaf: each query meets the (at most leaf_size)
-        # targets of the root cubes through an equi-join; one lazy plan.
-        pairs = _root_cells(q).join(_placed(t, 0).select(*_CELL, "t_lat", "t_lon"), on=_CELL, how="inner")
-        return _exact(pairs, exclude_zero, radius_m)
-
-    if not spark.sparkContext.getCheckpointDir():
-        raise RuntimeError("nearest_locations needs a checkpoint directory for a multi-round search: "
-                           "set spark.checkpoint.dir to a folder shared by the cluster")
-    q, t = q.checkpoint(), t.checkpoint()
+    t = materialised(t)
 
     level = 0
     is_leaf = (F.col("n") <= leaf_size) | (F.col("lvl") >= max_level)
@@ -155,12 +135,14 @@ def nearest_locations(queries: DataFrame, targets: DataFrame, *, lat: str = "lat
     reached: list[DataFrame] = []
     while True:
         # one materialisation per round; leaves and children are read from it
-        kept = _prune(frontier, exclude_zero).checkpoint()
+        kept = materialised(_prune(frontier, exclude_zero))
         leaves = kept.where(is_leaf).select("q_lat", "q_lon", *_CELL)
         reached.append(leaves.join(_placed(t, level).select(*_CELL, "t_lat", "t_lon"), on=_CELL, how="inner"))
         inner = kept.where(~is_leaf)
         if inner.isEmpty():
             break
+        live = inner.select(*_CELL).distinct()
+        t = materialised(_placed(t, level).join(live, _CELL, "left_semi").select("t_lat", "t_lon", "tx", "ty", "tz"))
         level += 1
         parents = inner.select(*_QCOLS, F.col("u").alias("u_prev"), F.lit(level).alias("lvl"),
                                *[F.col(f"c{a}").alias(f"p{a}") for a in _AXES])
@@ -176,4 +158,4 @@ def _exact(pairs: DataFrame, exclude_zero: bool, radius_m: float) -> DataFrame:
                         great_circle_m("q_lat", "q_lon", "t_lat", "t_lon", radius_m).alias("distance_m"))
     if exclude_zero:
         cand = cand.where(F.col("distance_m") > 0)
-    return top_n_with_ties(cand, ["q_lat", "q_lon"], [F.col("distance_m").asc()], n=1)
+    return closest_per_group(cand.where(F.col("distance_m").isNotNull()), ["q_lat", "q_lon"], "distance_m")

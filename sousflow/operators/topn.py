@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,3 +35,15 @@ def pivot_ranks(df: DataFrame, group_cols: Sequence[str], rank_col: str, value_c
         F.min(F.when(F.col(rank_col) == r, F.col(value_col))).alias(name)
         for r, name in zip(ranks, out_cols)
     ])
+
+
+def closest_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows at the smallest ``value`` of their group, ties kept; all rows of a group that has only NULL values.
+
+    The same rows as RANK() = 1 ordered by ``value`` with NULLs last. The minimum is a
+    partial aggregate joined back, so no group is sorted or held in one task, whatever its ties.
+    """
+    best = df.groupBy(*keys).agg(F.min(value).alias("_best"))
+    lows = best.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [df[k].eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [df[value].eqNullSafe(F.col("_best"))]
+    return df.join(lows, reduce(Column.__and__, same), "left_semi")

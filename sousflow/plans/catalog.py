@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sousflow.operators.nested import flatten
 from sousflow.plans import customers, places, preferences, recipes, sessions, suppliers
@@ -23,8 +24,30 @@ def _b(spark: SparkSession, data_dir: str) -> Bridge:
     return Bridge(Tables(spark, data_dir))
 
 
+# The business tables that are previewed, each with the columns that order its rows.
+PREVIEWS = {
+    "us_cities": ["city_id"], "customer_data": ["customer_id"], "customer_address": ["customer_id"],
+    "supplier_info": ["supplier_id"], "customer_survey": ["customer_id", "tag_id"], "recipe_tags": ["tag_id"],
+    "recipe": ["recipe_id"], "nutrition": ["ingredient_name", "calories"], "website_activity": ["event_id"],
+}
+PREVIEW_ROWS = 4
+
+
+def preview(table: DataFrame, order: list[str], rows: int = PREVIEW_ROWS) -> DataFrame:
+    """The first rows of a table in a fixed order (a top-n, never a full sort); its arrays as text."""
+    top = table.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(rows)
+    return top.select(*[F.array_join(c, ",").alias(c) if kind.startswith("array") else F.col(c) for c, kind in top.dtypes])
+
+
 def preview_limit(spark, d):
-    return Tables(spark, d).nation.orderBy("n_nationkey").limit(4)
+    return preview(Tables(spark, d).nation, ["n_nationkey"])
+
+
+def _preview_of(name: str) -> Query:
+    def run(spark, d):
+        return preview(getattr(_b(spark, d), name), PREVIEWS[name])
+    run.__name__ = f"preview_{name}"
+    return run
 
 
 def clean_keys(spark, d):
@@ -95,6 +118,12 @@ def top3_preferences_parity(spark, d):
     return _top3(_b(spark, d), strict=False)
 
 
+def top3_preferences_distinct(spark, d):
+    b = _b(spark, d)
+    eligible = places.eligible_customers(b.customer_address, b.us_cities, b.customer_data, strict=True)
+    return preferences.top_preferences(eligible, b.customer_survey, b.recipe_tags, n=3, distinct_tags=True)
+
+
 def recipe_index(spark, d):
     return preferences.recipe_by_tag(_b(spark, d).recipe)
 
@@ -127,6 +156,11 @@ def recipe_nutrition(spark, d):
     return recipes.recipe_nutrition(b.recipe, b.nutrition, names=BRIDGE_RECIPES)
 
 
+def recipe_nutrition_numeric(spark, d):
+    b = _b(spark, d)
+    return recipes.recipe_nutrition(b.recipe, b.nutrition, names=BRIDGE_RECIPES, numeric=True)
+
+
 def flatten_index(spark, d):
     r = _b(spark, d).recipe.select("recipe_id", "ingredients")
     return flatten(r, "ingredients", value_col="ingredient", index_col="ingredient_index", keep=["recipe_id"])
@@ -158,6 +192,7 @@ def daily_report(spark, d):
 
 QUERIES: dict[str, Query] = {
     "preview_limit": preview_limit,
+    **{f"preview_{name}": _preview_of(name) for name in PREVIEWS},
     "clean_keys": clean_keys,
     "city_profile": city_profile,
     "duplicate_cities": duplicate_cities,
@@ -170,12 +205,14 @@ QUERIES: dict[str, Query] = {
     "nearest_supplier_parity": nearest_supplier_parity,
     "top3_preferences": top3_preferences,
     "top3_preferences_parity": top3_preferences_parity,
+    "top3_preferences_distinct": top3_preferences_distinct,
     "recipe_index": recipe_index,
     "recipe_suggestion": recipe_suggestion,
     "active_pref_count": active_pref_count,
     "impacted_customers": impacted_customers,
     "store_distances": store_distances,
     "recipe_nutrition": recipe_nutrition,
+    "recipe_nutrition_numeric": recipe_nutrition_numeric,
     "flatten_index": flatten_index,
     "backup_supplier": backup_supplier,
     "backup_supplier_parity": backup_supplier_parity,

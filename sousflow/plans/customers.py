@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from sousflow.functions.geo import METRES_PER_MILE, great_circle_m
 from sousflow.functions.text import clean_lower, clean_upper, concat_name, round_to_int
-from sousflow.operators.joins import small_lookup
 from sousflow.plans.places import city_coordinates
 
 # The city rules and stores of the original business report.
@@ -22,8 +21,6 @@ REFERENCE_CITY_RULES = [
 ]
 REFERENCE_STORES = {"chicago": ("CHICAGO", "IL"), "gary": ("GARY", "IN")}
 
-MAX_STORE_ROWS = 1000
-
 
 def active_preference_counts(customer_survey: DataFrame) -> DataFrame:
     """Active survey rows per customer."""
@@ -49,7 +46,6 @@ def impacted_customers(customer_address: DataFrame, customer_data: DataFrame, us
     de-duplication), so a city stored twice gives the customer twice. The state
     literal is compared with the address state as stored.
     """
-    prefs = active_preference_counts(customer_survey)
     addr = customer_address.select("customer_id", "customer_city", "customer_state",
                                    clean_lower("customer_city").alias("_city"),
                                    clean_upper("customer_state").alias("_state"))
@@ -57,11 +53,13 @@ def impacted_customers(customer_address: DataFrame, customer_data: DataFrame, us
                               clean_lower("city_name").alias("_city"), clean_upper("state_abbr").alias("_state"),
                               "lat", "lon")
     people = customer_data.select("customer_id", "first_name", "last_name")
-    joined = (addr.join(people, "customer_id", "inner")
-                  .join(cities, ["_city", "_state"], "left")
-                  .join(prefs, "customer_id", "inner"))
-    return (joined.where(city_rule_predicate(rules, F.col("customer_state"), F.col("uc_city_name")))
-                  .select("customer_id", "first_name", "last_name", "customer_city", "customer_state",
+    named = (addr.join(people, "customer_id", "inner")
+                 .join(cities, ["_city", "_state"], "left")
+                 .where(city_rule_predicate(rules, F.col("customer_state"), F.col("uc_city_name"))))
+    # only the survey rows of these customers are counted
+    prefs = active_preference_counts(customer_survey.join(named.select("customer_id").distinct(), "customer_id", "left_semi"))
+    return (named.join(prefs, "customer_id", "inner")
+                 .select("customer_id", "first_name", "last_name", "customer_city", "customer_state",
                           "food_pref_count", "lat", "lon"))
 
 
@@ -69,26 +67,22 @@ def store_distances(customers: DataFrame, us_cities: DataFrame,
                     stores: Mapping[str, tuple[str, str]] = REFERENCE_STORES) -> DataFrame:
     """Customer name, place, preference count and whole miles to each fixed store.
 
-    A store is every city row with that exact name and state; the store list is a
-    short fixed parameter, so its coordinates are read once (size-checked) and
-    enter the plan as literals. A store stored in n rows gives each customer n
-    rows, and a store with no row gives no rows, as a join with it would.
+    A store is every city row with that exact name and state. Distances are taken once
+    per distinct customer location and store row, then joined back on the location
+    (NULL-safe, so a customer without coordinates keeps NULL distances). A store stored in
+    n rows gives each customer n rows, and a store with no row gives no rows, as a join
+    with it would.
     """
     out = customers.select(concat_name("first_name", "last_name").alias("customer_name"),
                            "customer_city", "customer_state", "food_pref_count", "lat", "lon")
+    places = customers.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct()
     names = []
     for label, (city, state) in stores.items():
-        rows = small_lookup(city_coordinates(us_cities).where((F.col("city_name") == city) & (F.col("state_abbr") == state))
-                                     .select("lat", "lon"), MAX_STORE_ROWS)
         name = f"{label}_distance_miles"
         names.append(name)
-        miles = [round_to_int(great_circle_m("lat", "lon", F.lit(r["lat"]).cast("double"),
-                                             F.lit(r["lon"]).cast("double")) / METRES_PER_MILE)
-                 for r in rows]
-        if not miles:
-            out = out.where(F.lit(False)).withColumn(name, F.lit(None).cast("int"))
-        elif len(miles) == 1:
-            out = out.withColumn(name, miles[0])
-        else:
-            out = out.withColumn(name, F.explode(F.array(*miles)))
+        rows = city_coordinates(us_cities).where((F.col("city_name") == city) & (F.col("state_abbr") == state)).select(
+            F.lit(label).alias("_store"), F.col("lat").alias("_store_lat"), F.col("lon").alias("_store_lon"))
+        miles = round_to_int(great_circle_m("_lat", "_lon", "_store_lat", "_store_lon") / METRES_PER_MILE)
+        reach = places.withColumn("_store", F.lit(label)).join(rows, "_store", "inner").select("_lat", "_lon", miles.alias(name))
+        out = out.join(reach, out.lat.eqNullSafe(reach["_lat"]) & out.lon.eqNullSafe(reach["_lon"]), "inner").drop("_lat", "_lon")
     return out.select("customer_name", "customer_city", "customer_state", "food_pref_count", *names)

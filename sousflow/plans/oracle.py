@@ -1,9 +1,9 @@
-"""Independent DuckDB SQL for every registered query (the correctness oracle).
+"""DuckDB SQL for every registered query (the correctness oracle).
 
-Written straight from the business definitions, in the warehouse style: windows
-for "last event" and session start, all-pairs joins for distances, min-and-join-
-back for argmin. It shares no code path with the Spark jobs, only the bridge rules
-(``sousflow.sources.bridge``), restated here in SQL.
+Each query is written from the job's definition, in its own shape: smallest ids by a filtered
+window, distances between distinct places, the last event by ``arg_max``, rank positions by
+counting, a day's winners from one grouped pass. It shares no code path with the Spark
+jobs, only the bridge rules (``sousflow.sources.bridge``), restated here in SQL.
 """
 
 from __future__ import annotations
@@ -23,40 +23,49 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 def _coord(k: str, mult: int, modulo: int, shift: int, frac: int) -> str:
-    return f"CAST((({k} * {mult}) % {modulo} - {shift}) * 10000 + {k} * {frac} AS DOUBLE) / CAST(10000 AS DOUBLE)"
+    return f"CAST((({k} * {mult}) % {modulo} - {shift}) * 10000 + ({k} * {frac}) % 10000 AS DOUBLE) / CAST(10000 AS DOUBLE)"
+
+
+def _place_name(block: str) -> str:
+    return f"CASE WHEN {block} = 0 THEN n_name ELSE n_name || ' ' || CAST({block} AS VARCHAR) END"
 
 
 _SECONDS = floor_div_sql("epoch_us(ts)", 1_000_000)
 _EVENT = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in B.EVENT_NAMES.items()) + " ELSE event_type END"
 
 BRIDGE = {
-    "nations": f"""
-        SELECT CAST(n.n_nationkey AS BIGINT) AS k, n.n_name, r.r_name,
-               {_coord('CAST(n.n_nationkey AS BIGINT)', 37, 110, 55, 137)} AS lat,
-               {_coord('CAST(n.n_nationkey AS BIGINT)', 71, 340, 170, 291)} AS lon
+    "nations": """
+        SELECT CAST(n.n_nationkey AS BIGINT) AS k, n.n_name, r.r_name
         FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "places": f"""
+        SELECT place, name, r_name, {_coord('place', 37, 110, 55, 137)} AS lat, {_coord('place', 71, 340, 170, 291)} AS lon
+        FROM (SELECT DISTINCT k + {B.NATIONS} * (c_custkey // {B.PLACE_CUSTOMERS}) AS place,
+                     {_place_name(f"(c_custkey // {B.PLACE_CUSTOMERS})")} AS name, r_name
+              FROM customer JOIN nations ON CAST(c_nationkey AS BIGINT) = k)""",
     "us_cities": f"""
-        SELECT k AS city_id, n_name AS city_name, r_name AS state_abbr, lat, lon FROM nations
+        SELECT 2 * place AS city_id, name AS city_name, r_name AS state_abbr, lat, lon FROM places
         UNION ALL
-        SELECT k + {B.DIRTY_CITY_ID_OFFSET}, '  ' || lower(n_name) || ' ', lower(r_name), lat, lon
-        FROM nations WHERE k % {B.DIRTY_CITY_EVERY} = 0""",
+        SELECT 2 * place + 1, '  ' || lower(name) || ' ', lower(r_name), lat, lon
+        FROM places WHERE place % {B.DIRTY_CITY_EVERY} = 0""",
     "customer_data": f"""
         SELECT c_custkey AS customer_id, c_mktsegment AS first_name, c_name AS last_name,
                lower(replace(c_name, '#', '.')) || '{B.EMAIL_DOMAIN}' AS email
         FROM customer""",
     "customer_address": f"""
-        SELECT c.c_custkey AS customer_id,
-               CASE WHEN c.c_custkey % {B.INELIGIBLE_CUSTOMER_EVERY} = 0 THEN '{B.UNKNOWN_CITY}'
-                    WHEN c.c_custkey % 3 = 0 THEN n.n_name
-                    WHEN c.c_custkey % 3 = 1 THEN lower(n.n_name)
-                    ELSE '  ' || n.n_name || ' ' END AS customer_city,
-               n.r_name AS customer_state
-        FROM customer c JOIN nations n ON CAST(c.c_nationkey AS BIGINT) = n.k""",
+        SELECT c_custkey AS customer_id,
+               CASE WHEN c_custkey % {B.INELIGIBLE_CUSTOMER_EVERY} = 0 THEN '{B.UNKNOWN_CITY}'
+                    WHEN c_custkey % 3 = 0 THEN name
+                    WHEN c_custkey % 3 = 1 THEN lower(name)
+                    ELSE '  ' || name || ' ' END AS customer_city,
+               r_name AS customer_state
+        FROM (SELECT c_custkey, r_name, {_place_name(f"(c_custkey // {B.PLACE_CUSTOMERS})")} AS name
+              FROM customer JOIN nations ON CAST(c_nationkey AS BIGINT) = k)""",
     "supplier_info": f"""
-        SELECT s.s_suppkey AS supplier_id, s.s_name AS supplier_name,
-               CASE WHEN n.k % {B.LOCATED_SUPPLIER_EVERY} = 0 THEN n.n_name ELSE '{B.UNKNOWN_CITY}' END AS supplier_city,
-               n.r_name AS supplier_state
-        FROM supplier s JOIN nations n ON CAST(s.s_nationkey AS BIGINT) = n.k""",
+        SELECT s_suppkey AS supplier_id, s_name AS supplier_name,
+               CASE WHEN k % {B.UNLOCATED_SUPPLIER_EVERY} = 0 THEN '{B.UNKNOWN_CITY}'
+                    ELSE {_place_name(f"(s_suppkey // {B.PLACE_SUPPLIERS})")} END AS supplier_city,
+               r_name AS supplier_state
+        FROM supplier JOIN nations ON CAST(s_nationkey AS BIGINT) = k""",
     "type_tags": """
         SELECT p_type, CAST(min(p_partkey) AS BIGINT) AS tag_id FROM part GROUP BY p_type""",
     "recipe_tags": f"""
@@ -89,143 +98,98 @@ def _with(body: str, *ctes: tuple[str, str], bridge: bool = True) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
 
 
-def _cities_clean() -> tuple[str, str]:
-    return ("city_clean", """SELECT city_id, city_name, state_abbr, trim(lower(city_name)) AS city_name_cleaned,
-                            trim(upper(state_abbr)) AS state_abbr_cleaned, lat, lon FROM us_cities""")
-
-
-def _canonical(strict: bool, name: str = "city_canon") -> list[tuple[str, str]]:
-    group = "city_name_cleaned, state_abbr_cleaned" if strict else "city_name, state_abbr, city_name_cleaned, state_abbr_cleaned"
-    return [
-        _cities_clean(),
-        ("city_first", f"SELECT {group}, min(city_id) AS city_id FROM city_clean GROUP BY {group}"),
-        (name, """SELECT city_clean.city_id, city_clean.city_name, city_clean.state_abbr, city_clean.city_name_cleaned, city_clean.state_abbr_cleaned, city_clean.lat, city_clean.lon
-                  FROM city_clean JOIN city_first ON city_clean.city_id = city_first.city_id AND city_clean.city_name_cleaned = city_first.city_name_cleaned
-                                 AND city_clean.state_abbr_cleaned = city_first.state_abbr_cleaned"""),
-    ]
-
-
-def _eligible(strict: bool) -> list[tuple[str, str]]:
-    return _canonical(strict) + [
-        ("addr_clean", """SELECT customer_id, customer_city, customer_state,
-                         trim(lower(customer_city)) AS customer_city_cleaned,
-                         trim(upper(customer_state)) AS customer_state_cleaned FROM customer_address"""),
-        ("eligible", """SELECT addr_clean.customer_id, cd.first_name, cd.last_name, cd.email, addr_clean.customer_city, addr_clean.customer_state,
-                         city_canon.lat, city_canon.lon
-                  FROM addr_clean JOIN city_canon ON addr_clean.customer_city_cleaned = city_canon.city_name_cleaned
-                                 AND addr_clean.customer_state_cleaned = city_canon.state_abbr_cleaned
-                  LEFT JOIN customer_data cd ON cd.customer_id = addr_clean.customer_id"""),
-    ]
-
-
-def _top3(strict: bool = True) -> list[tuple[str, str]]:
-    return _eligible(strict) + [
-        ("cust_tags", """SELECT cs.customer_id, rt.tag_property, trim(lower(rt.tag_property)) AS tag_property_cleaned
-                  FROM customer_survey cs LEFT JOIN recipe_tags rt ON cs.tag_id = rt.tag_id"""),
-        ("tag_ranks", """SELECT eligible.customer_id, eligible.first_name, eligible.last_name, eligible.email, cust_tags.tag_property_cleaned,
-                         rank() OVER (PARTITION BY eligible.customer_id ORDER BY cust_tags.tag_property_cleaned) AS pref_rank
-                  FROM eligible LEFT JOIN cust_tags ON eligible.customer_id = cust_tags.customer_id WHERE cust_tags.tag_property != '<NA>'"""),
-        ("prefs", """SELECT customer_id, first_name, last_name, email,
-                         min(CASE WHEN pref_rank = 1 THEN tag_property_cleaned END) AS food_preference_1,
-                         min(CASE WHEN pref_rank = 2 THEN tag_property_cleaned END) AS food_preference_2,
-                         min(CASE WHEN pref_rank = 3 THEN tag_property_cleaned END) AS food_preference_3
-                  FROM tag_ranks GROUP BY customer_id, first_name, last_name, email"""),
-    ]
-
-
-def _recipe_index() -> list[tuple[str, str]]:
-    return [
-        ("tag_rows", "SELECT r.recipe_id, trim(lower(u.tag)) AS recipe_tag_cleaned FROM recipe r, unnest(r.tag_list) AS u(tag)"),
-        ("tag_best", "SELECT recipe_tag_cleaned, max(recipe_id) AS recipe_id FROM tag_rows GROUP BY recipe_tag_cleaned"),
-        ("tag_recipe", """SELECT tag_best.recipe_tag_cleaned, r.recipe_name FROM tag_best LEFT JOIN recipe r ON tag_best.recipe_id = r.recipe_id"""),
-    ]
-
+# Each named relation below is used by several queries; a query lists the ones it needs.
+_KEYED_CITIES = ("keyed_cities", "SELECT *, trim(lower(city_name)) AS town, trim(upper(state_abbr)) AS region FROM us_cities")
 
-def _prefs() -> tuple[str, str]:
-    return ("cf", "SELECT customer_id, count(*) AS food_pref_count FROM customer_survey WHERE is_active = TRUE GROUP BY customer_id")
 
+def _one_per_city(strict: bool) -> tuple[str, str]:
+    spelling = "town, region" if strict else "town, region, city_name, state_abbr"
+    return ("one_per_city", f"SELECT * FROM keyed_cities QUALIFY city_id = min(city_id) OVER (PARTITION BY {spelling})")
 
-BRIDGE_RULE_SQL = """(ca.customer_state = 'AFRICA' AND (trim(uc.city_name) ILIKE '%nation_1%' OR trim(uc.city_name) ILIKE '%nation_5'))
-                  OR (ca.customer_state = 'ASIA' AND trim(uc.city_name) ILIKE '%2%')"""
 
+def _housed(strict: bool) -> list[tuple[str, str]]:
+    """Addresses in a known city, with the customer's names."""
+    return [_KEYED_CITIES, _one_per_city(strict), ("housed", """
+        SELECT home.customer_id, who.first_name, who.last_name, who.email, home.customer_city, home.customer_state, town.lat, town.lon
+        FROM one_per_city town
+        JOIN customer_address home ON town.town = trim(lower(home.customer_city)) AND town.region = trim(upper(home.customer_state))
+        LEFT JOIN customer_data who USING (customer_id)""")]
 
-def _impacted() -> list[tuple[str, str]]:
-    return [_prefs(), ("ci", f"""
-        SELECT ca.customer_id, cd.first_name, cd.last_name, ca.customer_city, ca.customer_state, cf.food_pref_count,
-               uc.lat, uc.lon
-        FROM customer_address ca JOIN customer_data cd ON ca.customer_id = cd.customer_id
-        LEFT JOIN us_cities uc ON trim(lower(ca.customer_city)) = trim(lower(uc.city_name))
-                              AND trim(upper(ca.customer_state)) = trim(upper(uc.state_abbr))
-        JOIN cf ON cf.customer_id = ca.customer_id
-        WHERE {BRIDGE_RULE_SQL}""")]
 
-
-def _events() -> list[tuple[str, str]]:
-    return [
-        ("ev", """SELECT session_id, event_id, event_timestamp,
-                         CASE WHEN json_valid(event_details) THEN json_extract_string(event_details, '$.event') END AS event,
-                         CASE WHEN json_valid(event_details) THEN json_extract_string(event_details, '$.recipe_id') END AS recipe_id
-                  FROM website_activity"""),
-        ("w", """SELECT session_id, event_id, event_timestamp, event, recipe_id,
-                        min(CAST(event_timestamp AS DATE)) OVER (PARTITION BY session_id) AS session_date,
-                        last_value(event) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_event,
-                        last_value(recipe_id) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_recipe_id
-                 FROM ev"""),
+def _nearest_shops(strict: bool) -> list[tuple[str, str]]:
+    """For each home place the places of shops at its smallest distance."""
+    return _housed(strict) + [
+        ("shops", """SELECT supplier_id, supplier_name, lat, lon FROM supplier_info
+                     JOIN one_per_city ON lower(city_name) = lower(supplier_city) AND upper(state_abbr) = supplier_state
+                     WHERE lat IS NOT NULL AND lon IS NOT NULL"""),
+        ("reach", f"""SELECT home.lat, home.lon, shop.lat AS shop_lat, shop.lon AS shop_lon,
+                             {haversine_sql('home.lat', 'home.lon', 'shop.lat', 'shop.lon')} AS metres
+                      FROM (SELECT DISTINCT lat, lon FROM housed) home, (SELECT DISTINCT lat, lon FROM shops) shop
+                      WHERE home.lat IS NOT NULL AND home.lon IS NOT NULL
+                      QUALIFY metres = min(metres) OVER (PARTITION BY home.lat, home.lon)"""),
+        ("homes", """SELECT housed.*, (SELECT min(metres) FROM reach WHERE reach.lat = housed.lat AND reach.lon = housed.lon) AS metres FROM housed"""),
     ]
 
 
-def _sessions() -> list[tuple[str, str]]:
-    first = floor_div_sql("epoch_us(min(event_timestamp))", 1_000_000)
-    last = floor_div_sql("epoch_us(max(event_timestamp))", 1_000_000)
-    return _events() + [
-        ("ss", f"""SELECT session_date, session_id, coalesce(last_event = 'view_recipe', FALSE) AS has_viewed_recipe,
-                          CAST(sum(CASE WHEN event = 'search' THEN 1 ELSE 0 END) AS BIGINT) AS num_searches,
-                          CAST(({last}) - ({first}) AS BIGINT) AS session_length
-                   FROM w GROUP BY ALL"""),
+def _wishes(strict: bool = True, different: bool = False) -> list[tuple[str, str]]:
+    """Position of each known tag of a housed customer: one more than the rows with a smaller tag."""
+    counted = "1" if different else "count(*)"
+    return _housed(strict) + [
+        ("tag_counts", f"""SELECT customer_id, trim(lower(tag_property)) AS tag, {counted} AS n FROM customer_survey JOIN recipe_tags USING (tag_id)
+                          WHERE tag_property <> '<NA>' GROUP BY customer_id, tag"""),
+        ("people", f"""SELECT customer_id, first_name, last_name, email, {"1" if different else "sum(count(*)) OVER (PARTITION BY customer_id)"} AS copies
+                      FROM housed GROUP BY customer_id, first_name, last_name, email"""),
+        ("placed_tags", """SELECT this.customer_id, this.tag, coalesce(sum(less.n), 0) AS rows_before
+                           FROM tag_counts this LEFT JOIN tag_counts less ON less.customer_id = this.customer_id AND less.tag < this.tag
+                           GROUP BY this.customer_id, this.tag"""),
+        ("wishes", """SELECT people.customer_id, first_name, last_name, email,
+                             min(tag) FILTER (WHERE rows_before * copies = 0) AS food_preference_1,
+                             min(tag) FILTER (WHERE rows_before * copies = 1) AS food_preference_2,
+                             min(tag) FILTER (WHERE rows_before * copies = 2) AS food_preference_3
+                      FROM people JOIN placed_tags USING (customer_id) GROUP BY ALL"""),
     ]
 
 
-def _most_viewed() -> list[tuple[str, str]]:
-    return [
-        ("mv", """SELECT session_date, last_recipe_id AS recipe_id, count(*) AS n FROM w
-                  WHERE last_event = 'view_recipe' AND event = 'view_recipe' GROUP BY ALL"""),
-        ("mvd", """SELECT session_date, recipe_id FROM (
-                      SELECT *, rank() OVER (PARTITION BY session_date ORDER BY n DESC) AS r FROM mv) WHERE r = 1"""),
-    ]
-
-
-def _daily() -> tuple[str, str]:
-    return ("ds", """SELECT session_date, count(session_id) AS num_sessions,
-                            avg(session_length) AS avg_session_length_seconds,
-                            avg(CASE WHEN has_viewed_recipe = TRUE THEN num_searches ELSE NULL END)
-                                AS avg_num_searches_before_viewing_recipe
-                     FROM ss GROUP BY ALL""")
-
-
-def _supplier_geo(strict: bool = True) -> list[tuple[str, str]]:
-    if strict:
-        cities = ("cities", """SELECT trim(upper(city_name)) AS cn, trim(upper(state_abbr)) AS sa, min(city_id) AS city_id
-                               FROM us_cities GROUP BY ALL""")
-        details = ("details", """SELECT c.city_id, trim(upper(c.city_name)) AS cn, trim(upper(c.state_abbr)) AS sa, c.lat, c.lon
-                                 FROM us_cities c JOIN cities u ON c.city_id = u.city_id
-                                  AND trim(upper(c.city_name)) = u.cn AND trim(upper(c.state_abbr)) = u.sa""")
-    else:
-        cities = ("cities", "SELECT city_name, state_abbr, min(city_id) AS city_id FROM us_cities GROUP BY ALL")
-        details = ("details", """SELECT c.city_id, trim(upper(c.city_name)) AS cn, trim(upper(c.state_abbr)) AS sa, c.lat, c.lon
-                                 FROM us_cities c JOIN cities u ON c.city_id = u.city_id""")
-    return [
-        ("suppliers", """SELECT supplier_id, supplier_name, supplier_city || ', ' || supplier_state AS supplier_location,
-                                trim(upper(supplier_city)) AS sc, trim(upper(supplier_state)) AS ss FROM supplier_info"""),
-        cities,
-        details,
-        ("geo", """SELECT s.supplier_id, s.supplier_name, s.supplier_location, d.lat, d.lon
-                   FROM suppliers s JOIN details d ON s.sc = d.cn AND s.ss = d.sa"""),
-        ("dist", f"""SELECT a.supplier_id AS main, a.supplier_location AS location_main, b.supplier_location AS location_backup,
-                            {haversine_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS d
-                     FROM geo a CROSS JOIN geo b"""),
-        ("closest", "SELECT main, min(d) AS cd FROM dist WHERE d > 0 GROUP BY main"),
+_TAG_MENU = ("tag_menu", """SELECT trim(lower(tag)) AS recipe_tag_cleaned, arg_max(recipe_name, recipe_id) AS recipe_name
+                            FROM (SELECT recipe_id, recipe_name, unnest(tag_list) AS tag FROM recipe) GROUP BY recipe_tag_cleaned""")
+_ACTIVE = ("active", "SELECT customer_id, count(*) AS food_pref_count FROM customer_survey WHERE is_active GROUP BY customer_id")
+
+BRIDGE_RULE_SQL = """(customer_state = 'AFRICA' AND (trim(city_name) ILIKE '%nation_1%' OR trim(city_name) ILIKE '%nation_5'))
+                  OR (customer_state = 'ASIA' AND trim(city_name) ILIKE '%2%')"""
+
+_HIT = [_KEYED_CITIES, _ACTIVE, ("hit", f"""
+        SELECT customer_id, first_name, last_name, customer_city, customer_state, food_pref_count, lat, lon
+        FROM keyed_cities, customer_address JOIN customer_data USING (customer_id) JOIN active USING (customer_id)
+        WHERE town = trim(lower(customer_city)) AND region = trim(upper(customer_state)) AND ({BRIDGE_RULE_SQL})""")]
+
+_ACTS = ("acts", """SELECT event_id, session_id, event_timestamp, j ->> '$.event' AS event, j ->> '$.recipe_id' AS recipe_id
+                    FROM (SELECT *, CASE WHEN json_valid(event_details) THEN CAST(event_details AS JSON) END AS j FROM website_activity)""")
+#: One row per session, NULL session ids together.
+_VISITS = [_ACTS, ("visits", """
+        SELECT session_id, CAST(min(event_timestamp) AS DATE) AS session_date,
+               arg_max({'event': event, 'recipe': recipe_id}, (event_timestamp, event_id)) AS final,
+               count(*) FILTER (WHERE event = 'search') AS searches, count(*) FILTER (WHERE event = 'view_recipe') AS views,
+               """ + floor_div_sql("epoch_us(max(event_timestamp))", 1_000_000) + " - " + floor_div_sql("epoch_us(min(event_timestamp))", 1_000_000) + """ AS seconds
+        FROM acts GROUP BY session_id""")]
+#: Views of the sessions that end on one, by day and the recipe of the last event; top of the day.
+_DAY_TOPS = _VISITS + [("day_tops", """
+        SELECT session_date, final.recipe AS recipe_id FROM visits WHERE final.event = 'view_recipe'
+        GROUP BY session_date, final.recipe QUALIFY sum(views) = max(sum(views)) OVER (PARTITION BY session_date)""")]
+_DAYS = """SELECT session_date, count(session_id) AS num_sessions, avg(seconds) AS avg_session_length_seconds,
+                  avg(searches) FILTER (WHERE final.event = 'view_recipe') AS avg_num_searches_before_viewing_recipe
+           FROM visits GROUP BY session_date"""
+
+
+def _shop_places(strict: bool) -> list[tuple[str, str]]:
+    """Located suppliers, and each place with the other places at its smallest distance."""
+    return [_KEYED_CITIES, _one_per_city(strict),
+        ("spots", """SELECT supplier_id, supplier_city || ', ' || supplier_state AS spot, lat, lon FROM supplier_info
+                     JOIN one_per_city ON trim(upper(city_name)) = trim(upper(supplier_city)) AND region = trim(upper(supplier_state))"""),
+        ("others", f"""SELECT a.lat, a.lon, b.lat AS other_lat, b.lon AS other_lon, {haversine_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS metres
+                       FROM (SELECT DISTINCT lat, lon FROM spots) a, (SELECT DISTINCT lat, lon FROM spots) b
+                       WHERE metres > 0 QUALIFY metres = min(metres) OVER (PARTITION BY a.lat, a.lon)"""),
+        ("mains", """SELECT spots.*, others.* EXCLUDE (lat, lon) FROM spots JOIN others USING (lat, lon)
+                     QUALIFY metres = min(metres) OVER (PARTITION BY supplier_id)"""),
     ]
 
 
@@ -250,84 +214,80 @@ def oracle_queries(bridge: bool = True) -> dict[str, str]:
         SELECT trim(lower(city_name)) AS city_name_cleaned, trim(upper(state_abbr)) AS state_abbr_cleaned,
                count(city_id) AS num_cities
         FROM us_cities GROUP BY ALL HAVING count(city_id) > 1""")
-    q["canonical_cities"] = with_bridge("SELECT * FROM city_canon", *_canonical(False))
-    q["canonical_cities_strict"] = with_bridge("SELECT * FROM city_canon", *_canonical(True))
+    for key, strict in (("canonical_cities", False), ("canonical_cities_strict", True)):
+        q[key] = with_bridge("""SELECT city_id, city_name, state_abbr, town AS city_name_cleaned, region AS state_abbr_cleaned, lat, lon
+                                FROM one_per_city""", _KEYED_CITIES, _one_per_city(strict))
     q["customer_city_left"] = with_bridge("""
-        SELECT a.customer_id, cd.first_name, cd.last_name, a.customer_city, a.customer_state, city_clean.lat, city_clean.lon
-        FROM customer_address a
-        LEFT JOIN city_clean ON trim(lower(a.customer_city)) = city_clean.city_name_cleaned
-                    AND trim(upper(a.customer_state)) = city_clean.state_abbr_cleaned
-        LEFT JOIN customer_data cd ON cd.customer_id = a.customer_id""", _cities_clean())
-    eligible_cols = "customer_id, first_name, last_name, email, customer_city, customer_state, lat, lon"
-    q["eligible_customers"] = with_bridge(f"SELECT {eligible_cols} FROM eligible", *_eligible(True))
-    q["eligible_customers_parity"] = with_bridge(f"SELECT {eligible_cols} FROM eligible", *_eligible(False))
+        SELECT home.customer_id, first_name, last_name, customer_city, customer_state, lat, lon
+        FROM keyed_cities RIGHT JOIN customer_address home ON town = trim(lower(customer_city)) AND region = trim(upper(customer_state))
+        LEFT JOIN customer_data who ON who.customer_id = home.customer_id""", _KEYED_CITIES)
+    q["eligible_customers"] = with_bridge("SELECT * FROM housed", *_housed(True))
+    q["eligible_customers_parity"] = with_bridge("SELECT * FROM housed", *_housed(False))
     for key, strict in (("nearest_supplier", True), ("nearest_supplier_parity", False)):
-        q[key] = with_bridge(f"""
-        SELECT customer_id, first_name, last_name, email, supplier_id, supplier_name,
-               round(d / 1000, 3) AS shipping_distance_km
-        FROM (SELECT pairs.*, rank() OVER (PARTITION BY customer_id ORDER BY d ASC NULLS LAST) AS r FROM pairs)
-        WHERE r = 1 AND d IS NOT NULL
-        UNION ALL
-        SELECT eligible.customer_id, eligible.first_name, eligible.last_name, eligible.email, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR),
-               CAST(NULL AS DOUBLE)
-        FROM eligible WHERE NOT EXISTS (SELECT 1 FROM pairs WHERE pairs.customer_id = eligible.customer_id AND pairs.d IS NOT NULL)""",
-            *_eligible(strict),
-            ("sup_loc", """SELECT si.supplier_id, si.supplier_name, city_canon.lat, city_canon.lon FROM supplier_info si
-                      LEFT JOIN city_canon ON lower(si.supplier_city) = lower(city_canon.city_name) AND si.supplier_state = upper(city_canon.state_abbr)"""),
-            ("pairs", f"""SELECT eligible.customer_id, eligible.first_name, eligible.last_name, eligible.email, sup_loc.supplier_id, sup_loc.supplier_name,
-                              {haversine_sql('eligible.lat', 'eligible.lon', 'sup_loc.lat', 'sup_loc.lon')} AS d
-                       FROM eligible CROSS JOIN sup_loc"""))
-    q["top3_preferences"] = with_bridge("SELECT * FROM prefs", *_top3())
-    q["top3_preferences_parity"] = with_bridge("SELECT * FROM prefs", *_top3(False))
-    q["recipe_index"] = with_bridge("SELECT * FROM tag_recipe", *_recipe_index())
+        q[key] = with_bridge("""
+        SELECT customer_id, first_name, last_name, email, supplier_id, supplier_name, round(best.metres / 1000, 3) AS shipping_distance_km
+        FROM (SELECT * FROM homes QUALIFY metres IS NOT DISTINCT FROM min(metres) OVER (PARTITION BY customer_id)) best
+        LEFT JOIN reach ON reach.lat = best.lat AND reach.lon = best.lon
+        LEFT JOIN shops ON shops.lat = shop_lat AND shops.lon = shop_lon""", *_nearest_shops(strict))
+    q["top3_preferences"] = with_bridge("SELECT * FROM wishes", *_wishes())
+    q["top3_preferences_parity"] = with_bridge("SELECT * FROM wishes", *_wishes(False))
+    q["top3_preferences_distinct"] = with_bridge("SELECT * FROM wishes", *_wishes(different=True))
+    q["recipe_index"] = with_bridge("SELECT * FROM tag_menu", _TAG_MENU)
     q["recipe_suggestion"] = with_bridge("""
-        SELECT prefs.*, tag_recipe.recipe_tag_cleaned, tag_recipe.recipe_name
-        FROM prefs LEFT JOIN tag_recipe ON prefs.food_preference_1 = tag_recipe.recipe_tag_cleaned""", *_top3(), *_recipe_index())
-    q["active_pref_count"] = with_bridge("SELECT * FROM cf", _prefs())
-    q["impacted_customers"] = with_bridge("SELECT * FROM ci", *_impacted())
+        SELECT wishes.*, recipe_tag_cleaned, recipe_name FROM wishes LEFT JOIN tag_menu ON recipe_tag_cleaned = food_preference_1""",
+        *_wishes(), _TAG_MENU)
+    q["active_pref_count"] = with_bridge("SELECT * FROM active", _ACTIVE)
+    q["impacted_customers"] = with_bridge("SELECT * FROM hit", *_HIT)
     mile = METRES_PER_MILE
+    (chicago, chicago_state), (gary, gary_state) = B.BRIDGE_STORES["chicago"], B.BRIDGE_STORES["gary"]
+
+    def miles(store: str) -> str:
+        return f"CAST(round({haversine_sql('hit.lat', 'hit.lon', f'{store}.lat', f'{store}.lon')} / {mile}) AS INTEGER)"
+
     q["store_distances"] = with_bridge(f"""
-        SELECT ci.first_name || ' ' || ci.last_name AS customer_name, ci.customer_city, ci.customer_state,
-               ci.food_pref_count,
-               CAST(round({haversine_sql('ci.lat', 'ci.lon', 'chic.lat', 'chic.lon')} / {mile}) AS INTEGER) AS chicago_distance_miles,
-               CAST(round({haversine_sql('ci.lat', 'ci.lon', 'gary.lat', 'gary.lon')} / {mile}) AS INTEGER) AS gary_distance_miles
-        FROM ci CROSS JOIN chic CROSS JOIN gary""", *_impacted(),
-        ("chic", "SELECT lat, lon FROM us_cities WHERE city_name = 'NATION_5' AND state_abbr = 'AFRICA'"),
-        ("gary", "SELECT lat, lon FROM us_cities WHERE city_name = 'NATION_9' AND state_abbr = 'MIDDLE EAST'"))
+        SELECT first_name || ' ' || last_name AS customer_name, customer_city, customer_state, food_pref_count,
+               {miles('north')} AS chicago_distance_miles, {miles('east')} AS gary_distance_miles
+        FROM hit
+        JOIN us_cities north ON north.city_name = '{chicago}' AND north.state_abbr = '{chicago_state}'
+        JOIN us_cities east ON east.city_name = '{gary}' AND east.state_abbr = '{gary_state}'""", *_HIT)
     names = ", ".join(f"'{n}'" for n in B.BRIDGE_RECIPES)
-    q["recipe_nutrition"] = with_bridge(f"""
-        SELECT recipe_name, CAST(sum(calories) AS BIGINT) AS total_calories,
-               CAST(sum(CAST(round(TRY_CAST(replace(total_fat, 'g', '') AS DECIMAL(38, 6))) AS INTEGER)) AS BIGINT) AS total_fat
-        FROM rn GROUP BY recipe_name""",
-        ("ri", f"""SELECT r.recipe_id, r.recipe_name, trim(upper(replace(u.ing, '"', ''))) AS ingredient
-                   FROM recipe r, unnest(r.ingredients) AS u(ing) WHERE r.recipe_name IN ({names})"""),
-        ("inut", """SELECT trim(upper(replace(substring(ingredient_name, 1, strpos(ingredient_name, ',')), ',', ''))) AS ingredient_name,
-                           max(calories) AS calories, max(total_fat) AS total_fat
-                    FROM nutrition GROUP BY 1"""),
-        ("rn", "SELECT ri.recipe_name, i.calories, i.total_fat FROM ri LEFT JOIN inut i ON ri.ingredient = i.ingredient_name"))
+    grams = "CAST(round(TRY_CAST(replace({}, 'g', '') AS DECIMAL(38, 6))) AS INTEGER)"
+    for key, fat, total in (("recipe_nutrition", "max(total_fat)", f"sum({grams.format('fat')})"),
+                            ("recipe_nutrition_numeric", f"max({grams.format('total_fat')})", "sum(fat)")):
+        q[key] = with_bridge(f"""
+        SELECT recipe_name, CAST(sum(calories) AS BIGINT) AS total_calories, CAST({total} AS BIGINT) AS total_fat
+        FROM (SELECT recipe_name, unnest(ingredients) AS item FROM recipe WHERE recipe_name IN ({names}))
+        LEFT JOIN facts ON food = trim(upper(replace(item, '"', ''))) GROUP BY recipe_name""",
+            ("facts", f"""SELECT trim(upper(CASE WHEN contains(ingredient_name, ',') THEN split_part(ingredient_name, ',', 1)
+                                            WHEN ingredient_name IS NOT NULL THEN '' END)) AS food,
+                                 max(calories) AS calories, {fat} AS fat FROM nutrition GROUP BY food"""))
     q["flatten_index"] = with_bridge("""
-        SELECT r.recipe_id, CAST(u.pos - 1 AS INTEGER) AS ingredient_index, u.ing AS ingredient
-        FROM recipe r, unnest(r.ingredients) WITH ORDINALITY AS u(ing, pos)""")
+        SELECT recipe_id, CAST(generate_subscripts(ingredients, 1) - 1 AS INTEGER) AS ingredient_index, unnest(ingredients) AS ingredient
+        FROM recipe""")
     for key, strict in (("backup_supplier", True), ("backup_supplier_parity", False)):
         q[key] = with_bridge(f"""
-        SELECT s.supplier_id, s.supplier_name, x.location_main, x.location_backup, round(x.d / {mile}) AS travel_miles
-        FROM closest c JOIN dist x ON c.main = x.main AND c.cd = x.d
-        JOIN suppliers s ON x.main = s.supplier_id""", *_supplier_geo(strict))
-    q["json_path_filter"] = with_bridge("""
-        SELECT event_id, session_id, event_timestamp, recipe_id FROM ev WHERE event = 'view_recipe'""", *_events()[:1])
+        SELECT who.supplier_id, who.supplier_name, mains.spot AS location_main, back.spot AS location_backup,
+               round(mains.metres / {mile}) AS travel_miles
+        FROM mains JOIN spots back ON back.lat = other_lat AND back.lon = other_lon
+        JOIN supplier_info who ON who.supplier_id = mains.supplier_id""", *_shop_places(strict))
+    q["json_path_filter"] = with_bridge("SELECT event_id, session_id, event_timestamp, recipe_id FROM acts WHERE event = 'view_recipe'", _ACTS)
     q["window_min_last"] = with_bridge("""
-        SELECT event_id, session_id, event_timestamp, session_date, last_event, last_recipe_id FROM w""", *_events())
-    q["session_summary"] = with_bridge("SELECT * FROM ss", *_sessions())
-    q["most_viewed_daily"] = with_bridge("SELECT * FROM mvd", *_events(), *_most_viewed())
-    q["daily_sessions"] = with_bridge("SELECT * FROM ds", *_sessions(), _daily())
-    q["daily_report"] = with_bridge("""
-        SELECT ds.session_date, ds.num_sessions, ds.avg_session_length_seconds,
-               ds.avg_num_searches_before_viewing_recipe,
-               replace(coalesce(string_agg(mvd.recipe_id, ', ' ORDER BY mvd.recipe_id), ''), '"', '') AS most_viewed_recipe
-        FROM ds LEFT JOIN mvd ON ds.session_date = mvd.session_date
-        WHERE ds.avg_session_length_seconds > 0
-        GROUP BY ALL
-        ORDER BY ds.session_date""", *_sessions(), _daily(), *_most_viewed())
+        SELECT event_id, acts.session_id, event_timestamp, session_date, final.event AS last_event, final.recipe AS last_recipe_id
+        FROM acts JOIN visits ON visits.session_id IS NOT DISTINCT FROM acts.session_id""", *_VISITS)
+    q["session_summary"] = with_bridge("""
+        SELECT session_date, session_id, coalesce(final.event = 'view_recipe', false) AS has_viewed_recipe,
+               searches AS num_searches, CAST(seconds AS BIGINT) AS session_length FROM visits""", *_VISITS)
+    q["most_viewed_daily"] = with_bridge("SELECT * FROM day_tops", *_DAY_TOPS)
+    q["daily_sessions"] = with_bridge(_DAYS, *_VISITS)
+    q["daily_report"] = with_bridge(f"""
+        SELECT *, replace(coalesce((SELECT string_agg(recipe_id, ', ' ORDER BY recipe_id) FROM day_tops
+                                    WHERE day_tops.session_date IS NOT DISTINCT FROM days.session_date), ''), '"', '') AS most_viewed_recipe
+        FROM ({_DAYS}) days WHERE avg_session_length_seconds > 0""", *_DAY_TOPS)
+    ordered = {"us_cities": "city_id", "customer_data": "customer_id", "customer_address": "customer_id", "supplier_info": "supplier_id",
+               "customer_survey": "customer_id, tag_id", "recipe_tags": "tag_id", "nutrition": "ingredient_name, calories", "website_activity": "event_id"}
+    for name, order in ordered.items():
+        q[f"preview_{name}"] = with_bridge(f"SELECT * FROM {name} ORDER BY {order} LIMIT 4")
+    q["preview_recipe"] = with_bridge("""
+        SELECT * REPLACE (array_to_string(tag_list, ',') AS tag_list, array_to_string(ingredients, ',') AS ingredients)
+        FROM recipe ORDER BY recipe_id LIMIT 4""")
     return q
-
-

@@ -27,26 +27,30 @@ def recipe_ingredients(recipe: DataFrame, names: Sequence[str]) -> DataFrame:
     return flat.select("recipe_id", "recipe_name", "index", clean_upper(strip_quotes("_value")).alias("ingredient"))
 
 
-def ingredient_nutrition(nutrition: DataFrame) -> DataFrame:
+def ingredient_nutrition(nutrition: DataFrame, numeric: bool = False) -> DataFrame:
     """Nutrition per ingredient key (the name before the first comma, upper case).
 
     ``total_fat`` keeps the text maximum ('9g' > '10g'), as the report does; names
-    without a comma all share the key ''.
+    without a comma all share the key ''. ``numeric`` takes the largest number instead.
     """
+    fat = int_from_unit_text("total_fat") if numeric else F.col("total_fat")
     return (nutrition.select(clean_upper(prefix_before("ingredient_name")).alias("ingredient_name"),
-                             "calories", "total_fat")
+                             "calories", fat.alias("total_fat"))
                      .groupBy("ingredient_name")
                      .agg(F.max("calories").alias("calories"), F.max("total_fat").alias("total_fat")))
 
 
 def recipe_nutrition(recipe: DataFrame, nutrition: DataFrame,
-                     names: Sequence[str] = REFERENCE_RECIPES) -> DataFrame:
-    """Total calories and grams of fat per named recipe; NULL when nothing matched."""
+                     names: Sequence[str] = REFERENCE_RECIPES, numeric: bool = False) -> DataFrame:
+    """Total calories and grams of fat per named recipe; NULL when nothing matched.
+
+    ``numeric`` compares fat as a number, not as text, where an ingredient has several rows.
+    """
     items = recipe_ingredients(recipe, names)
-    facts = ingredient_nutrition(nutrition)
+    facts = ingredient_nutrition(nutrition, numeric)
     per_item = items.join(facts, items.ingredient == facts.ingredient_name, "left").select(
         "recipe_name", "calories", "total_fat")
     return (per_item.groupBy("recipe_name")
                     .agg(F.sum("calories").alias("total_calories"),
-                         F.sum(int_from_unit_text("total_fat")).alias("total_fat"))
+                         F.sum("total_fat" if numeric else int_from_unit_text("total_fat")).alias("total_fat"))
                     .orderBy(F.col("recipe_name").asc_nulls_last()))

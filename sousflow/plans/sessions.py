@@ -15,7 +15,7 @@ like any other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sousflow.functions.json import json_field, parse_json_safe
@@ -23,7 +23,7 @@ from sousflow.functions.text import strip_quotes
 from sousflow.functions.time import epoch_seconds
 from sousflow.operators.strings import sorted_string_agg
 from sousflow.operators.topn import top_n_with_ties
-from sousflow.operators.windows import broadcast_group_values
+from sousflow.operators.windows import with_group_values
 
 # Event names in the JSON details.
 VIEW_EVENT = "view_recipe"
@@ -107,15 +107,17 @@ def daily_report(website_activity: DataFrame) -> DataFrame:
     """Daily metrics with the most-viewed recipe ids as one ', '-joined string.
 
     Days whose average session length is not above 0 are dropped. Ties are joined
-    in ascending id order; a day without a counted view gets ''. The winners are
-    found per day from the small day grain, so the report is one pass over it
-    instead of two aggregations joined back together.
+    in ascending id order; a day without a counted view gets ''. A day's top count is an
+    aggregate joined back, and only the winners reach the string aggregate, so no task holds
+    the recipes of a day.
     """
     g = _day_recipe_grain(website_activity)
-    top = F.max(F.when(F.col("has_viewed_recipe"), F.col("views"))).over(Window.partitionBy("session_date"))
-    g = g.withColumn("_top", top)
-    winner = F.when(F.col("has_viewed_recipe") & (F.col("views") == F.col("_top")), F.col("recipe_id"))
-    report = g.groupBy("session_date").agg(*_daily_metrics(g), sorted_string_agg(winner).alias("_ids"))
+    days = g.groupBy("session_date").agg(*_daily_metrics(g), F.max(F.when(F.col("has_viewed_recipe"), F.col("views"))).alias("_top"))
+    viewed = g.where("has_viewed_recipe").select(F.col("session_date").alias("_day"), "views", "recipe_id")
+    winners = viewed.join(days.select("session_date", "_top"),
+                          F.col("_day").eqNullSafe(F.col("session_date")) & (F.col("views") == F.col("_top")), "inner")
+    ids = winners.groupBy("_day").agg(sorted_string_agg("recipe_id").alias("_ids"))
+    report = days.join(ids, days.session_date.eqNullSafe(ids["_day"]), "left").withColumn("_ids", F.coalesce("_ids", F.lit("")))
     return (report.where(F.col("avg_session_length_seconds") > 0)
                   .select("session_date", "num_sessions", "avg_session_length_seconds",
                           "avg_num_searches_before_viewing_recipe", strip_quotes("_ids").alias("most_viewed_recipe"))
@@ -131,7 +133,7 @@ def session_start_and_last_event(website_activity: DataFrame) -> DataFrame:
     ev = parse_events(website_activity)
     values = [F.min(F.to_date("event_timestamp")).alias("session_date"),
               F.max_by(F.struct("event", "recipe_id"), F.struct("event_timestamp", "event_id")).alias("_last")]
-    out = broadcast_group_values(ev, ["session_id"], values)
+    out = with_group_values(ev, ["session_id"], values)
     return out.select("event_id", "session_id", "event_timestamp", "session_date",
                       F.col("_last.event").alias("last_event"), F.col("_last.recipe_id").alias("last_recipe_id"))
 

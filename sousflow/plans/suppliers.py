@@ -8,15 +8,10 @@ from pyspark.sql import functions as F
 from sousflow.functions.geo import METRES_PER_KM, METRES_PER_MILE
 from sousflow.functions.text import clean_upper
 from sousflow.operators.dedup import canonical_rows
-from sousflow.operators.joins import bounded_broadcast, checked_broadcast
-from sousflow.operators.nearest import distinct_locations, nearest_locations
-from sousflow.operators.topn import top_n_with_ties
+from sousflow.operators.nearest import nearest_locations
+from sousflow.operators.topn import closest_per_group
 from sousflow.plans.places import canonical_cities, city_coordinates, eligible_customers
-
-
-def _staged(df: DataFrame) -> DataFrame:
-    """Checkpointed copy when a checkpoint directory is configured, else the plan as is."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
+from sousflow.session import materialised
 
 
 def located_suppliers(supplier_info: DataFrame, us_cities: DataFrame, strict: bool = True,
@@ -41,37 +36,28 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     Distance depends on location only, and every customer location is a city
     location, so the search runs once per distinct city location (a dimension)
     against distinct supplier locations. Customers then take their location's best
-    distance, are ranked per customer (a customer with several address rows keeps
-    the rows at its overall minimum) and fan out to the tied suppliers through a
+    distance, keep the rows at their overall minimum (a customer may have several
+    address rows) and fan out to the tied suppliers through a
     location equi-join. Suppliers without a location never win; a customer with no
     distance at all (its city has no coordinates, or no supplier has a location)
-    is returned once with NULL supplier and distance.
+    is returned once per address row with NULL supplier and distance.
     """
-    # The city dimension feeds four branches; materialise it once (reliable checkpoint
-    # in the shared checkpoint directory) instead of deriving it four times, and
-    # broadcast it after checking its size.
-    cities = _staged(canonical_cities(us_cities, strict))
-    n_places = distinct_locations(cities).count()
-    city_side = checked_broadcast(cities)
-    cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=city_side).select(
+    # the city dimension feeds four branches; it is materialised once
+    cities = materialised(canonical_cities(us_cities, strict))
+    cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=cities).select(
         "customer_id", "first_name", "last_name", "email", "lat", "lon")
-    sup = located_suppliers(supplier_info, us_cities, strict, cities=city_side)
+    sup = located_suppliers(supplier_info, us_cities, strict, cities=cities)
     located = sup.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
-    # supplier locations are city locations: the city dimension bounds their number
-    near = nearest_locations(cities, located, n_targets=n_places)
-    ties = _staged(near.join(located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
-                                            "supplier_id", "supplier_name"), ["t_lat", "t_lon"], "inner")
-                       .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"),
-                               "supplier_id", "supplier_name", "distance_m"))
-    # at most one row per city location
-    best_at = bounded_broadcast(ties.groupBy("lat", "lon").agg(F.min("distance_m").alias("distance_m")), n_places)
-    ranked = top_n_with_ties(cust.join(best_at, ["lat", "lon"], "left"), ["customer_id"],
-                             [F.col("distance_m").asc_nulls_last()], n=1)
+    near = materialised(nearest_locations(cities, located))
+    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(F.min("distance_m").alias("distance_m"))
+    closest = closest_per_group(cust.join(best_at, ["lat", "lon"], "left"), ["customer_id"], "distance_m")
+    # (place, nearest place) pairs stay at the grain of places until this last join
+    ties = near.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "t_lat", "t_lon")
+    shops = located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), "supplier_id", "supplier_name")
     cols = ["customer_id", "first_name", "last_name", "email", "supplier_id", "supplier_name", "distance_m"]
-    # A customer row without any distance (no location, or no located supplier) finds
-    # no tie and keeps NULL supplier columns: suppliers without a location never win.
-    rows = ranked.join(checked_broadcast(ties.drop("distance_m")), ["lat", "lon"], "left").select(*cols)
+    # a customer row without any distance finds no tie and keeps NULL supplier columns
+    rows = closest.join(ties, ["lat", "lon"], "left").join(shops, ["t_lat", "t_lon"], "left").select(*cols)
 
     km = F.col("distance_m") / METRES_PER_KM
     if round_km is not None:
@@ -103,24 +89,16 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
 
     Distance 0 (same place, including the supplier itself) is excluded. Ties give
     one row per tied backup supplier. The search runs on distinct locations; the
-    rank runs at the supplier grain, then rows fan out to tied backups by location.
+    minimum is taken at the supplier grain, then rows fan out to tied backups by location.
     """
-    # Feeds the search (both sides) and both join-backs: materialise once.
-    geo = _staged(supplier_geography(supplier_info, us_cities, strict))
-    n_places = distinct_locations(geo).count()
-    near = nearest_locations(geo, geo, exclude_zero=True, n_targets=n_places)
-    backups = _staged(near.join(geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
-                                           F.col("supplier_location").alias("location_backup")),
-                                ["t_lat", "t_lon"], "inner")
-                          .select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"),
-                                  "location_backup", "distance_m"))
-    # at most one row per supplier location
-    best_at = bounded_broadcast(backups.groupBy("lat", "lon").agg(F.min("distance_m").alias("distance_m")),
-                                n_places)
-    mains = top_n_with_ties(geo.join(best_at, ["lat", "lon"], "inner"), ["supplier_id"],
-                            [F.col("distance_m").asc()], n=1)
-    backups = checked_broadcast(backups.drop("distance_m"))
-    pairs = mains.join(backups, ["lat", "lon"], "inner").select(
+    # feeds the search (both sides) and both join-backs: materialised once
+    geo = materialised(supplier_geography(supplier_info, us_cities, strict))
+    near = materialised(nearest_locations(geo, geo, exclude_zero=True))
+    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(F.min("distance_m").alias("distance_m"))
+    mains = closest_per_group(geo.join(best_at, ["lat", "lon"], "inner"), ["supplier_id"], "distance_m")
+    ties = near.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "t_lat", "t_lon")
+    backups = geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), F.col("supplier_location").alias("location_backup"))
+    pairs = mains.join(ties, ["lat", "lon"], "inner").join(backups, ["t_lat", "t_lon"], "inner").select(
         "supplier_id", F.col("supplier_location").alias("location_main"), "location_backup",
         F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
     # the supplier's name comes from the supplier table by id (every row of that id)

@@ -24,11 +24,13 @@ from sousflow.functions.time import epoch_seconds, floor_div
 from sousflow.sources.tables import Tables
 
 # Fixed values of the bridge.
-DIRTY_CITY_EVERY = 4          # every 4th nation gets a second, dirty city row
-DIRTY_CITY_ID_OFFSET = 100    # id of that dirty copy = nation key + 100
+PLACE_CUSTOMERS = 200         # customer keys per block; a nation has one place for each block of customers
+PLACE_SUPPLIERS = 13          # supplier keys per block: the same blocks, as suppliers are so much fewer
+NATIONS = 25                  # place number = nation key + 25 * block
+DIRTY_CITY_EVERY = 4          # every 4th place gets a second, dirty city row
 INELIGIBLE_CUSTOMER_EVERY = 7 # these customers live in a city that is not in the table
 UNKNOWN_CITY = "NOWHERE"
-LOCATED_SUPPLIER_EVERY = 3    # suppliers of every 3rd nation have a known city
+UNLOCATED_SUPPLIER_EVERY = 3  # suppliers of every 3rd nation have an unknown city
 INACTIVE_SURVEY_EVERY = 5     # survey rows of these customers are inactive
 MISSING_TAG_TYPE = "PROMO"    # this part type is recorded as the text '<NA>'
 MISSING_TEXT = "<NA>"
@@ -42,9 +44,18 @@ BRIDGE_RECIPES = ["red plate", "small widget", "hot ring", "old rod", "large rod
 
 
 def _coordinate(key: Column, mult: int, modulo: int, shift: int, frac: int) -> Column:
-    """((key*mult) % modulo - shift) + key*frac/10000, exact integers then one division."""
+    """((key*mult) % modulo - shift) + ((key*frac) % 10000)/10000, exact integers then one division."""
     whole = F.pmod(key * mult, F.lit(modulo)) - shift
-    return ((whole * 10000 + key * frac).cast("double") / F.lit(10000.0))
+    return ((whole * 10000 + F.pmod(key * frac, F.lit(10000))).cast("double") / F.lit(10000.0))
+
+
+def _block(key: str, size: int) -> Column:
+    return F.floor(F.col(key) / size).cast("long")
+
+
+def _place_name(block: str = "block") -> Column:
+    """A nation's first place has the nation's name, the others its name and the block."""
+    return F.when(F.col(block) == 0, F.col("n_name")).otherwise(F.concat_ws(" ", "n_name", F.col(block).cast("string")))
 
 
 class Bridge:
@@ -57,20 +68,25 @@ class Bridge:
         n = self.t.nation.select("n_nationkey", "n_name", "n_regionkey")
         r = self.t.region.select("r_regionkey", "r_name")
         k = F.col("n_nationkey").cast("long")
-        return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
-                 .select(k.alias("k"), "n_name", "r_name",
-                         _coordinate(k, 37, 110, 55, 137).alias("lat"),
-                         _coordinate(k, 71, 340, 170, 291).alias("lon")))
+        return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(k.alias("k"), "n_name", "r_name")
+
+    @cached_property
+    def _places(self) -> DataFrame:
+        """One row per (nation, block) that has customers: the places grow with the customers."""
+        blocks = self.t.customer.select(F.col("c_nationkey").cast("long").alias("k"), _block("c_custkey", PLACE_CUSTOMERS).alias("block")).distinct()
+        place = (F.col("k") + NATIONS * F.col("block")).alias("place")
+        named = blocks.join(self._nations, "k", "inner").select(place, _place_name().alias("name"), "r_name")
+        return named.select("*", _coordinate(F.col("place"), 37, 110, 55, 137).alias("lat"), _coordinate(F.col("place"), 71, 340, 170, 291).alias("lon"))
 
     @cached_property
     def us_cities(self) -> DataFrame:
-        """city_id, city_name, state_abbr, lat, lon; some cities twice, dirty."""
-        n = self._nations
-        clean = n.select(F.col("k").alias("city_id"), F.col("n_name").alias("city_name"),
+        """city_id, city_name, state_abbr, lat, lon; some cities twice, dirty (with an odd id)."""
+        p = self._places
+        clean = p.select((2 * F.col("place")).alias("city_id"), F.col("name").alias("city_name"),
                          F.col("r_name").alias("state_abbr"), "lat", "lon")
-        dirty = (n.where(F.pmod("k", F.lit(DIRTY_CITY_EVERY)) == 0)
-                  .select((F.col("k") + DIRTY_CITY_ID_OFFSET).alias("city_id"),
-                          F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("city_name"),
+        dirty = (p.where(F.pmod("place", F.lit(DIRTY_CITY_EVERY)) == 0)
+                  .select((2 * F.col("place") + 1).alias("city_id"),
+                          F.concat(F.lit("  "), F.lower("name"), F.lit(" ")).alias("city_name"),
                           F.lower("r_name").alias("state_abbr"), "lat", "lon"))
         return clean.unionByName(dirty)
 
@@ -78,8 +94,8 @@ class Bridge:
     @cached_property
     def _customers(self) -> DataFrame:
         c = self.t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-        n = self._nations.select("k", "n_name", "r_name")
-        return c.join(n, c.c_nationkey.cast("long") == n.k, "inner")
+        return (c.join(self._nations, c.c_nationkey.cast("long") == self._nations.k, "inner")
+                 .withColumn("block", _block("c_custkey", PLACE_CUSTOMERS)).withColumn("place_name", _place_name()))
 
     @cached_property
     def customer_data(self) -> DataFrame:
@@ -95,9 +111,9 @@ class Bridge:
         c = self._customers
         spelling = F.pmod("c_custkey", F.lit(3))
         city = (F.when(F.pmod("c_custkey", F.lit(INELIGIBLE_CUSTOMER_EVERY)) == 0, F.lit(UNKNOWN_CITY))
-                 .when(spelling == 0, F.col("n_name"))
-                 .when(spelling == 1, F.lower("n_name"))
-                 .otherwise(F.concat(F.lit("  "), F.col("n_name"), F.lit(" "))))
+                 .when(spelling == 0, F.col("place_name"))
+                 .when(spelling == 1, F.lower("place_name"))
+                 .otherwise(F.concat(F.lit("  "), F.col("place_name"), F.lit(" "))))
         return c.select(F.col("c_custkey").alias("customer_id"), city.alias("customer_city"),
                         F.col("r_name").alias("customer_state"))
 
@@ -105,9 +121,10 @@ class Bridge:
     @cached_property
     def supplier_info(self) -> DataFrame:
         s = self.t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-        n = self._nations.select("k", "n_name", "r_name")
-        city = F.when(F.pmod("k", F.lit(LOCATED_SUPPLIER_EVERY)) == 0, F.col("n_name")).otherwise(F.lit(UNKNOWN_CITY))
+        n = self._nations
+        city = F.when(F.pmod("k", F.lit(UNLOCATED_SUPPLIER_EVERY)) == 0, F.lit(UNKNOWN_CITY)).otherwise(_place_name())
         return (s.join(n, s.s_nationkey.cast("long") == n.k, "inner")
+                 .withColumn("block", _block("s_suppkey", PLACE_SUPPLIERS))
                  .select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
                          city.alias("supplier_city"), F.col("r_name").alias("supplier_state")))
 

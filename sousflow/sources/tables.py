@@ -6,15 +6,9 @@ job that uses two columns reads two columns.
 
 from __future__ import annotations
 
-import os
-import weakref
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-# One lazy reader per (session, path): schema inference reads a parquet footer once
-# per session instead of once per job. Readers hold no data.
-_READERS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
 
 class Tables:
     """``Tables(spark, "/data/sf1")`` reads ``/data/sf1/<name>.parquet`` (or a
@@ -31,21 +25,23 @@ class Tables:
     def catalog(cls, spark: SparkSession, namespace: str) -> Tables:
         return cls(spark, "", namespace=namespace)
 
-    def path(self, name: str) -> str:
-        single = f"{self.root}/{name}.parquet"
-        return single if os.path.exists(single) or "://" in self.root else f"{self.root}/{name}"
+    def _read(self, name: str) -> DataFrame:
+        """``<root>/<name>.parquet`` or else ``<root>/<name>``; Spark's own file system says which is there."""
+        try:
+            return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.read.parquet(f"{self.root}/{name}")
 
     def table(self, name: str) -> DataFrame:
-        """The table as a lazy DataFrame; one reader per name (footer read once)."""
+        """The table as a lazy DataFrame; one reader per name and ``Tables`` (footer read once).
+
+        A reader lists the files that are there when it is made; a new ``Tables`` sees files appended since.
+        """
         if name not in self._frames:
-            if self.namespace is not None:
-                self._frames[name] = self.spark.table(f"{self.namespace}.{name}")
-            else:
-                readers = _READERS.setdefault(self.spark, {})
-                path = self.path(name)
-                if path not in readers:
-                    readers[path] = self.spark.read.parquet(path)
-                self._frames[name] = readers[path]
+            self._frames[name] = (self.spark.table(f"{self.namespace}.{name}") if self.namespace is not None
+                                  else self._read(name))
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:

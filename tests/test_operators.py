@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sousflow.operators import (
-    broadcast_group_values, canonical_rows, duplicate_keys, flatten, inverted_index,
-    key_profile, nearest_locations, pivot_ranks, small_lookup, sorted_string_agg, top_n_with_ties,
+    canonical_rows, closest_per_group, duplicate_keys, flatten, inverted_index, key_profile,
+    nearest_locations, pivot_ranks, sorted_string_agg, top_n_with_ties, with_group_values,
 )
 from sousflow.functions import clean_lower
 from sousflow.operators.nearest import LEAF_SIZE
@@ -52,9 +52,19 @@ def test_dedup_profile_duplicates_canonical(spark):
 
 
 def test_group_values_match_window(spark):
-    df = spark.createDataFrame([("s", 1, "x"), ("s", 3, "y"), ("t", 2, "z")], "k string, ts int, v string")
-    out = broadcast_group_values(df, ["k"], [F.min("ts").alias("first"), F.max_by("v", "ts").alias("last")])
-    assert rows(out, "k", "ts", "first", "last") == [("s", 1, 1, "y"), ("s", 3, 1, "y"), ("t", 2, 2, "z")]
+    df = spark.createDataFrame([("s", 1, "x"), ("s", 3, "y"), ("t", 2, "z"), (None, 7, "p"), (None, 5, "q")], "k string, ts int, v string")
+    out = with_group_values(df, ["k"], [F.min("ts").alias("first"), F.max_by("v", "ts").alias("last")])
+    assert out.columns == ["k", "ts", "v", "first", "last"]
+    got = {(r.k, r.ts, r.first, r.last) for r in out.collect()}
+    # rows with a NULL key are a group, as in a window
+    assert got == {("s", 1, 1, "y"), ("s", 3, 1, "y"), ("t", 2, 2, "z"), (None, 7, 5, "p"), (None, 5, 5, "p")}
+
+
+def test_closest_per_group_keeps_ties_and_groups_without_value(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, 2.0), (1, 3.0), (2, None), (2, None), (3, None), (3, 1.0), (None, 4.0), (None, 5.0)], "k int, d double")
+    got = sorted(map(str, closest_per_group(df, ["k"], "d").collect()))
+    want = sorted(map(str, top_n_with_ties(df, ["k"], [F.col("d").asc_nulls_last()]).collect()))
+    assert got == want and len(got) == 6
 
 
 def test_sorted_string_agg(spark):
@@ -62,19 +72,6 @@ def test_sorted_string_agg(spark):
     assert rows(df.groupBy("g").agg(sorted_string_agg("v").alias("s"))) == [(1, "a, b"), (2, "")]
 
 
-def test_size_checks(spark):
-    from sousflow.operators.joins import bounded_broadcast, checked_broadcast
-
-    df = spark.range(10)
-    assert len(small_lookup(df, 10)) == 10
-    assert checked_broadcast(df, 5) is df             # over the bound: left to adaptive execution
-    assert bounded_broadcast(df, 100, 50) is df
-    hinted = checked_broadcast(df, 10)
-    assert hinted is not df and "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    with pytest.raises(ValueError):
-        small_lookup(df, 5)
-
-
 def haversine(a, b, R=6371008.8):
     (la1, lo1), (la2, lo2) = a, b
     p1, p2 = math.radians(la1), math.radians(la2)
@@ -152,6 +149,27 @@ def test_tables_from_catalog_and_parquet(spark):
     assert Tables(spark, "/root/testdata/sf0.001").nation.count() == 25
 
 
+def test_tables_see_appended_files(spark, tmp_path):
+    from sousflow.sources.tables import Tables
+
+    path = str(tmp_path / "grows.parquet")
+    spark.range(5).write.parquet(path)
+    assert Tables(spark, str(tmp_path)).grows.count() == 5
+    spark.range(7).write.mode("append").parquet(path)
+    assert Tables(spark, str(tmp_path)).grows.count() == 12
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    assert Tables(spark, str(tmp_path)).plain.count() == 3
+
+
+@pytest.mark.parametrize("n_targets", [15, 16, 17, 64, 65])
+def test_nearest_is_the_same_walk_around_the_leaf_size(spark, n_targets):
+    rnd = random.Random(n_targets)
+    targets = [(round(10 + rnd.random(), 4), round(20 + rnd.random(), 4)) for _ in range(n_targets)]
+    queries = [(round(10 + rnd.random(), 4), round(20 + rnd.random(), 4)) for _ in range(20)]
+    q, t = (spark.createDataFrame(x, "lat double, lon double") for x in (queries, targets))
+    assert pairs(nearest_locations(q, t)) == brute(queries, targets)
+
+
 def test_nearest_keeps_symmetric_ties_through_the_walk(spark):
     # targets on a 1-degree grid, queries half-way along a parallel: two exact ties each
     targets = [(float(a), float(b)) for a in range(30, 50) for b in range(-100, -80)]
