@@ -111,8 +111,8 @@ def _raw_score(bias, weights, factors, index, value, at):
 
 
 def fit(buckets: np.ndarray, begin: np.ndarray, numbers: np.ndarray, label: np.ndarray,
-        epochs: int = 6, rate: float = 0.05, decay: float = 1e-5, seed: int = 5, batch: int = 256) -> Machine:
-    """Fit by AdaGrad on the logistic loss, in a fixed shuffled order."""
+        steps: int = 320, rate: float = 0.05, decay: float = 1e-5, seed: int = 5) -> Machine:
+    """Fit by AdaGrad on the logistic loss, in a fixed shuffled order: at least ``steps`` batches of a fortieth of the rows."""
     k = numbers.shape[1]
     edges = np.stack([np.quantile(col[~np.isnan(col)], np.linspace(0, 1, BINS + 1)[1:-1]) if (~np.isnan(col)).any() else np.zeros(BINS - 1) for col in numbers.T]) if len(numbers) else np.zeros((k, BINS - 1))
     size, rng = WORD_BUCKETS + k * (BINS + 1), np.random.default_rng(seed)
@@ -121,7 +121,8 @@ def fit(buckets: np.ndarray, begin: np.ndarray, numbers: np.ndarray, label: np.n
         return Machine(edges, bias, weights, factors)
     gw, gv, gb = np.full(size, 1e-6, np.float32), np.full((size, RANK), 1e-6, np.float32), 1e-6
     starts, lengths = begin[:-1], np.diff(begin)
-    for _ in range(epochs):
+    batch = max(16, len(label) // 40)
+    for _ in range(-(-steps * batch // len(label))):
         order = rng.permutation(len(label))
         for lo in range(0, len(order), batch):
             rows = order[lo : lo + batch]

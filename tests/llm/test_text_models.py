@@ -64,9 +64,10 @@ def test_factors_by_the_identity_equal_the_sum_over_pairs():
 
 
 def test_quality_held_out(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.join(labels, "doc_id", "left_semi")
     rows = op5_quality_fm.quality(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
+    assert len(rows) > 500 and np.mean([r.predicted == r.quality for r in rows]) > 0.98
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows)
 
@@ -208,7 +209,7 @@ def test_parity_with_the_library(spark):
     assert len(rows) == docs.count() + len(ODD) + 1 and all(r.parity and r.round_trip for r in rows)
     assert round_trip(docs.limit(0), data).count() == 0
     back = {r.doc_id: r.text for r in decode(encode(odd, data), data).collect()}
-    assert [back[10_000 + i] for i in range(len(ODD))] == ODD and back[10_000 + len(ODD)] == ""
+    assert [back[10_000 + i] for i in range(len(ODD))] == [t.replace("▁", " ") for t in ODD] and back[10_000 + len(ODD)] == ""
 
 
 def _varint(n):
