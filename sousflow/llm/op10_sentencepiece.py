@@ -140,6 +140,8 @@ def _threads(count: int) -> None:
 
 def normalised(model: Model, text: str, tokenizer) -> str:
     """The text that decoding gives back: normalised, without the marker put in front."""
+    if not model.charsmap and not model.remove_extra_whitespaces:
+        return text.replace(MARK, " ")  # such a model only marks white space
     out = tokenizer.normalizer.normalize_str(text).replace(MARK, " ")
     return out[1:] if model.add_dummy_prefix and out.startswith(" ") else out
 
