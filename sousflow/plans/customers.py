@@ -81,8 +81,9 @@ def store_distances(customers: DataFrame, us_cities: DataFrame,
         name = f"{label}_distance_miles"
         names.append(name)
         rows = city_coordinates(us_cities).where((F.col("city_name") == city) & (F.col("state_abbr") == state)).select(
-            F.lit(label).alias("_store"), F.col("lat").alias("_store_lat"), F.col("lon").alias("_store_lon"))
+            "city_name", F.col("lat").alias("_store_lat"), F.col("lon").alias("_store_lon"))
         miles = round_to_int(great_circle_m("_lat", "_lon", "_store_lat", "_store_lon") / METRES_PER_MILE)
-        reach = places.withColumn("_store", F.lit(label)).join(rows, "_store", "inner").select("_lat", "_lon", miles.alias(name))
+        named = places.select("_lat", "_lon", F.explode(F.array(F.lit(city))).alias("city_name"))
+        reach = named.join(rows, "city_name", "inner").select("_lat", "_lon", miles.alias(name))
         out = out.join(reach, out.lat.eqNullSafe(reach["_lat"]) & out.lon.eqNullSafe(reach["_lon"]), "inner").drop("_lat", "_lon")
     return out.select("customer_name", "customer_city", "customer_state", "food_pref_count", *names)
