@@ -18,7 +18,7 @@ from sousflow.functions.text import (
     round_to_int,
     strip_quotes,
 )
-from sousflow.functions.time import epoch_micros, epoch_seconds, floor_div, seconds_between, to_date
+from sousflow.functions.time import epoch_seconds, floor_div, seconds_between
 
 __all__ = [
     "EARTH_RADIUS_M",
@@ -36,9 +36,7 @@ __all__ = [
     "prefix_before",
     "round_to_int",
     "strip_quotes",
-    "epoch_micros",
     "epoch_seconds",
     "floor_div",
     "seconds_between",
-    "to_date",
 ]

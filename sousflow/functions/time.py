@@ -20,11 +20,6 @@ def _micros_sql(ts: str) -> str:
     return f"(`{ts}` - {_EPOCH_NTZ}) div interval '0.000001' second"
 
 
-def epoch_micros(ts: str) -> Column:
-    """Microseconds since 1970-01-01 for a TIMESTAMP_NTZ column (by name)."""
-    return F.expr(_micros_sql(ts))
-
-
 def floor_div(c: str | Column, n: int) -> Column:
     """Integer division rounding toward minus infinity (SQL ``div`` truncates).
 
@@ -44,7 +39,3 @@ def epoch_seconds(ts: str) -> Column:
 def seconds_between(start_seconds: str | Column, end_seconds: str | Column) -> Column:
     """Second boundaries crossed between two epoch-second values (end - start)."""
     return col(end_seconds) - col(start_seconds)
-
-
-def to_date(ts: str | Column) -> Column:
-    return F.to_date(col(ts))

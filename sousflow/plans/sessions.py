@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sousflow.functions.json import json_field, parse_json_safe
 from sousflow.functions.text import strip_quotes
-from sousflow.functions.time import epoch_seconds
+from sousflow.functions.time import epoch_seconds, seconds_between
 from sousflow.operators.strings import sorted_string_agg
 from sousflow.operators.topn import top_n_with_ties
 from sousflow.operators.windows import with_group_values
@@ -47,7 +47,7 @@ def _session_grain(website_activity: DataFrame) -> DataFrame:
         last.alias("_last"),
         F.count_if(F.col("event") == SEARCH_EVENT).alias("num_searches"),
         F.count_if(F.col("event") == VIEW_EVENT).alias("num_views"),
-        (F.max("_sec") - F.min("_sec")).alias("session_length"),
+        seconds_between(F.min("_sec"), F.max("_sec")).alias("session_length"),
     )
     viewed = F.coalesce(F.col("_last.event") == VIEW_EVENT, F.lit(False))
     return s.select("session_date", "session_id", viewed.alias("has_viewed_recipe"), "num_searches",
