@@ -17,7 +17,7 @@ from sousflow.llm.op2_line_dedup import line_dedup
 from sousflow.llm.op5_quality_fm import THRESHOLD, score_quality, train
 from sousflow.llm.op7_minhash_near_dedup import near_duplicates
 from sousflow.llm.op8_best_fit_packing import pack
-from sousflow.llm.op9_pii import redacted
+from sousflow.llm.op9_pii import redact
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -49,7 +49,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind in square brackets."""
-    return _with_length(docs.withColumn("text", redacted(docs)))
+    return _with_length(redact(docs.select(*COLUMNS)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

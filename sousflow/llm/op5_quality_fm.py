@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import doc_key, shared, slices, text_of
+from .common import doc_key, slices, text_of
 from .words import hashed, raw, word_bounds
 
 WORD_BUCKETS = 1 << 15
@@ -179,22 +180,21 @@ def train(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_ch
     return fit(np.concatenate(parts) if parts else np.zeros(0, np.int32), begin, numbers, rows.column("label").to_numpy().astype(np.float32))
 
 
-def score_quality(docs: DataFrame, machine: Machine, metadata: tuple[str, ...] = ("n_chars",)) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score``: the probability of label 1, for every row."""
-    sent = shared(docs.sparkSession, machine)
+def score_quality(docs: DataFrame, machine: Machine, metadata: tuple[str, ...] = ("n_chars",), keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those of ``keep``) and ``quality_score``: the probability of label 1, for every row."""
+    keep = [c for c in docs.columns if c != "quality_score"] if keep is None else keep
+    names = [f"c{i}" for i in range(len(keep))]  # no column of the caller's can clash
 
-    @F.pandas_udf("double")
-    def score(text, numbers):
-        import pandas as pd
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                buckets, begin, stats = document_features(batch.column("text"))
+                score = machine.score(buckets, begin, _with_metadata(stats, batch))
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score, pa.float64())], [*names, "quality_score"])
 
-        out, fitted = [], sent()
-        batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array([list(x) for x in numbers], pa.list_(pa.float64()))], ["text", "numbers"])
-        for part in slices(batch, "text"):
-            buckets, begin, stats = document_features(part.column("text"))
-            out.append(fitted.score(buckets, begin, _with_metadata(stats, part)))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
-
-    return docs.withColumn("quality_score", score(text_of(docs), _numbers(docs, metadata)))
+    rows = docs.select(*(docs[c].alias(n) for c, n in zip(keep, names, strict=True)), text_of(docs).alias("text"), _numbers(docs, metadata).alias("numbers"))
+    out = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names, strict=True)), T.StructField("quality_score", T.DoubleType())])
+    return rows.mapInArrow(run, out).toDF(*keep, "quality_score")
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = 5) -> DataFrame:
@@ -206,6 +206,6 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fo
     """
     machine = train(docs, labels, folds=folds)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *([docs["n_chars"]] if "n_chars" in docs.columns else []))
-    scored = score_quality(rows, machine).select("doc_id", F.col("quality_score").alias("score"))
+    scored = score_quality(rows, machine, keep=["doc_id"]).select("doc_id", F.col("quality_score").alias("score"))
     return scored.select("doc_id", (F.pmod(doc_key(F.col("doc_id")), F.lit(folds)) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"))

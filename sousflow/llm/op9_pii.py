@@ -21,10 +21,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import slices, text_of
 from .trees import Boosted, boost
@@ -249,20 +247,28 @@ def _merged(spans: list[Span]) -> list[Span]:
     return out
 
 
-def redacted(docs: DataFrame, text_column: str = "text"):
-    """The text column with every span replaced by its kind in square brackets; null stays null."""
+def _without(text: str, spans: list[Span]) -> str:
+    parts, at = [], 0
+    for start, end, kind in _merged(spans):
+        parts += [text[at:start], f"[{kind.upper()}]"]
+        at = end
+    return "".join([*parts, text[at:]]) if parts else text
+
+
+def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """All columns of ``docs``, in the text every span replaced by its kind in square brackets; a null text stays null."""
     model = train()
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no column of the caller's can clash
+    place = docs.columns.index(text_column)
 
-    @F.pandas_udf("string")
-    def run(column: pd.Series) -> pd.Series:
-        texts = ["" if t is None else t for t in column]
-        out = []
-        for text, spans in zip(texts, accepted(texts, model), strict=True):
-            parts, at = [], 0
-            for start, end, kind in _merged(spans):
-                parts += [text[at:start], f"[{kind.upper()}]"]
-                at = end
-            out.append("".join([*parts, text[at:]]) if parts else text)
-        return pd.Series([None if t is None else x for t, x in zip(column, out, strict=True)], dtype=object)
-
-    return run(docs[text_column].cast("string"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, names[place]):
+                texts = batch.column(place).to_pylist()
+                known = ["" if t is None else t for t in texts]
+                clean = [None if t is None else _without(t, spans) for t, spans in zip(texts, accepted(known, model), strict=True)]
+                yield batch.set_column(place, names[place], pa.array(clean, batch.schema.field(place).type))
+
+    typed = docs.withColumn(text_column, docs[text_column].cast("string"))
+    rows = typed.toDF(*names)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

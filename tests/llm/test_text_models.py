@@ -192,7 +192,7 @@ def test_find_and_redact(spark):
     base = ",".join(x for x in r.spans.split(",") if not x.startswith("secret"))
     assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
     assert got[2].spans == "" and got[2].base_sha256 == hashlib.sha256(b"").hexdigest() and got[None].n_ip == 1 and got[4].spans == ""
-    text = {r.doc_id: r.t for r in docs.select("doc_id", op9_pii.redacted(docs).alias("t")).where("doc_id IS NULL OR doc_id <> 2").collect()}
+    text = {r.doc_id: r.t for r in op9_pii.redact(docs).withColumnRenamed("text", "t").where("doc_id IS NULL OR doc_id <> 2").collect()}
     assert text[1] == "mail [EMAIL] or [PHONE], token = \"[SECRET]\" é" and text[None] == "[IP]" and text[4] == "clean 1234 text"
     assert op9_pii.find_pii(docs.limit(0)).count() == 0
 
