@@ -90,15 +90,15 @@ def base_spans(text: str) -> list[Span]:
 
 #: One generator per extra kind: pattern and the group that is the span. Repetitions are bounded.
 GENERATORS = {
-    "email_written": (re.compile(r"(?<![\w.])[A-Za-z0-9._+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}|(?<= )at(?= )) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\{dot\}|(?<= )dot(?= )|\.) ?[A-Za-z0-9-]{2,24}){1,4}"), 0),
+    "email_written": (re.compile(r"(?<![\w.])[A-Za-z0-9._+-]{1,64} ?(?i:\(at\)|\[at\]|\{at\}|(?<= )at(?= )) ?[A-Za-z0-9-]{1,63}(?: ?(?i:\(dot\)|\[dot\]|\{dot\}|(?<= )dot(?= )|\.) ?[A-Za-z0-9-]{2,24}){1,4}"), 0),
     "phone_national": (re.compile(r"(?<![\w+.,-])(?:\([0-9]{2,5}\)|0[0-9]{1,4}|[0-9]{3})[ .-]?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![\w-])"), 0),
     "ipv6": (re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])"), 0),
     "ssn": (re.compile(r"(?<![\w-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![\w-])"), 0),
     "iban": (re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"), 0),
     "secret": (re.compile(r"(?i)(?<![a-z])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|credential)s?\"?[ \t]{0,2}[:=][ \t]{0,2}[\"']?([^\s\"']{6,128})"), 1),
 }
-#: What a text must hold before a generator is run over it.
-_NEEDS = {"email_written": re.compile(r"\(at\)|\[at\]|\{at\}| dot "), "phone_national": _DIGIT, "ipv6": re.compile(r":[0-9A-Fa-f]{0,4}:"),
+#: What a text must hold before a generator is run over it; every match of the generator holds it.
+_NEEDS = {"email_written": re.compile(r"(?i:\(at\)|\[at\]|\{at\}| at )"), "phone_national": _DIGIT, "ipv6": re.compile(r":[0-9A-Fa-f]{0,4}:"),
           "ssn": _DIGIT, "iban": re.compile(r"[A-Z]{2}[0-9]{2}"), "secret": re.compile(r"[:=]")}
 #: Words that stand before personal data, and words that stand before other numbers.
 _SPEAKS_FOR = re.compile(r"(?i)\b(?:e-?mail|mail|contact|write|reach|phone|tel|telephone|call|mobile|cell|fax|whatsapp|ssn|social|security|identity|iban|account|bank|pay|token|secret|password|key|login|ip|host|address|server)\b")
@@ -165,8 +165,11 @@ def labelled_table(seed: int = 9, rounds: int = 60) -> list[tuple[str, Span, int
     false_words = ["order", "invoice", "serial", "page", "version", "ref", "model", "total", "score", "date"]
     rows: list[tuple[str, str, int]] = []
     for _ in range(rounds):
-        at, dot = pick(["(at)", "[at]", "{at}"]), pick(["(dot)", "[dot]", " dot ", "."])
+        at, dot = pick(["(at)", "[at]", "{at}", "(AT)"]), pick(["(dot)", "[dot]", " dot ", ".", "(DOT)"])
+        end = pick(["com", "org", "net", "de"])
         rows += [("email_written", f"{word()} {at} {word()}{dot}{pick(['com', 'org', 'net', 'de'])}", 1), ("email_written", f"{word(4)}.{word(5)} at {word()} dot com", 1),
+                 ("email_written", f"{word(4)}.{word(5)} at {word()}{pick([' [dot] ', ' (dot) ', ' DOT '])}{end}", 1), ("email_written", f"{word()} at {word()}.{end}", 1),
+                 ("email_written", f"{pick(['us', 'it', 'more', 'found', 'look'])} at {word()}.{end}", 0), ("email_written", f"{word()} at {word()}.{word()}", 0),
                  ("email_written", f"{word()} at {word()}. {word()}", 0), ("email_written", f"{word(3)} at {word(3)} dot {word(7)}", 0)]
         rows += [("phone_national", f"({number(3)}) {number(3)}-{number(4)}", 1), ("phone_national", f"0{number(3)} {number(3)} {number(4)}", 1), ("phone_national", f"{number(3)}-{number(3)}-{number(4)}", 1),
                  ("phone_national", f"{number(3)}.{number(2)}.{number(2)}", 0), ("phone_national", f"{number(3)} {number(3)} {number(3)}", 0), ("phone_national", f"{number(3)}-{number(2)}-{number(2)}", 0), ("phone_national", f"0{number(2)}-{number(2)}-{number(2)}", 0)]

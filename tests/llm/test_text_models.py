@@ -183,6 +183,17 @@ def test_boosted_candidates_on_sentences_not_seen():
     assert truth[taken].mean() > 0.95 and taken[truth].mean() > 0.9
 
 
+@pytest.mark.parametrize("text", ["jane.doe at example [dot] com", "jane at example (dot) org", "jane at example.com", "jane (AT) example (DOT) com", "JANE AT EXAMPLE DOT COM"])
+def test_written_emails_are_proposed_and_taken(text):
+    assert op9_pii.candidates(text) == [(0, len(text), "email_written")]
+    assert op9_pii.accepted([f"contact {text} today"], op9_pii.train()) == [[(8, 8 + len(text), "email_written")]]
+
+
+def test_negatives_of_written_emails_are_learned():
+    labelled = [(t[s:e], label) for t, (s, e, kind), label in op9_pii.labelled_table() if kind == "email_written"]
+    assert sum(not label and re.match(r"\w+ at \w+\. \w", value) is not None for value, label in labelled) >= 60
+
+
 def test_find_and_redact(spark):
     rows = [(1, "mail a.b@c.org or +1 (724) 555-3457, token = \"0123456789abcdef0123456789abcdef01234567\" é"), (2, None), (2, ""), (None, "10.0.0.1"), (4, "clean 1234 text"), (5, "9" * 100_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(0))
