@@ -88,14 +88,14 @@ def base_spans(text: str) -> list[Span]:
     return [(s, e, KINDS[k]) for s, k, e in sorted(found)]
 
 
-#: One generator per extra kind: pattern and the group that is the span. Repetitions are bounded.
+#: One generator per extra kind: pattern and the group that is the span. Repetitions are bounded, but a secret runs to the end of its value.
 GENERATORS = {
     "email_written": (re.compile(r"(?<![\w.])[A-Za-z0-9._+-]{1,64} ?(?i:\(at\)|\[at\]|\{at\}|(?<= )at(?= )) ?[A-Za-z0-9-]{1,63}(?: ?(?i:\(dot\)|\[dot\]|\{dot\}|(?<= )dot(?= )|\.) ?[A-Za-z0-9-]{2,24}){1,4}"), 0),
     "phone_national": (re.compile(r"(?<![\w+.,-])(?:\([0-9]{2,5}\)|0[0-9]{1,4}|[0-9]{3})[ .-]?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![\w-])"), 0),
     "ipv6": (re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])"), 0),
     "ssn": (re.compile(r"(?<![\w-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![\w-])"), 0),
     "iban": (re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"), 0),
-    "secret": (re.compile(r"(?i)(?<![a-z])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|credential)s?\"?[ \t]{0,2}[:=][ \t]{0,2}[\"']?([^\s\"']{6,128})"), 1),
+    "secret": (re.compile(r"(?i)(?<![a-z])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|credential)s?\"?[ \t]{0,2}[:=][ \t]{0,2}[\"']?([^\s\"']{6,}+)"), 1),
 }
 #: What a text must hold before a generator is run over it; every match of the generator holds it.
 _NEEDS = {"email_written": re.compile(r"(?i:\(at\)|\[at\]|\{at\}| at )"), "phone_national": _DIGIT, "ipv6": re.compile(r":[0-9A-Fa-f]{0,4}:"),

@@ -189,6 +189,18 @@ def test_written_emails_are_proposed_and_taken(text):
     assert op9_pii.accepted([f"contact {text} today"], op9_pii.train()) == [[(8, 8 + len(text), "email_written")]]
 
 
+def test_long_secrets_are_whole(spark):
+    rnd = random.Random(3)
+    for size in (129, 400, 5000):
+        secret = "eyJ" + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_-.") for _ in range(size - 3))
+        text = f"token: {secret} end"
+        assert op9_pii.candidates(text) == [(7, 7 + size, "secret")]
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert op9_pii.find_pii(docs).first().spans == f"secret:7:{7 + size}"
+        assert op9_pii.redact(docs).first().text == "token: [SECRET] end"
+    assert op9_pii.candidates("token=" * 50_000)  # linear
+
+
 def test_negatives_of_written_emails_are_learned():
     labelled = [(t[s:e], label) for t, (s, e, kind), label in op9_pii.labelled_table() if kind == "email_written"]
     assert sum(not label and re.match(r"\w+ at \w+\. \w", value) is not None for value, label in labelled) >= 60
