@@ -5,14 +5,16 @@ The model is a trie of byte contexts up to ``ORDER`` bytes with the symbols seen
 A symbol is coded in the longest context that knows it; every longer context that the
 trie holds escapes first, and the symbols of the longer context are excluded from the
 shorter one's counts. Escapes are estimated by method C: the number of distinct symbols of the
-context, over that and the occurrences. Occurrences of symbols that the trie does not hold
-(below) add to the escape. Below order 0 the bytes not yet seen are equally likely.
+context, over that and the occurrences. Below order 0 the bytes not yet seen are equally likely.
 
 All training texts are counted: each task sends its byte and word counts, which Spark adds up.
-The trie that goes to the tasks holds, of each order, the contexts and entries that occur
-more often than once in ``MAX_ENTRIES`` symbols, so at most that many, and is complete while the
-corpus has fewer symbols. Word counts stay a table: words that occur more often than once in
-``MAX_ENTRIES`` tokens, again at most that many, go to the tasks; all others are joined.
+The trie is whole at every size and stays in tables. A symbol's probability depends on its gram
+alone, the ``ORDER`` bytes before it and itself, so it is worked out once for each distinct gram of
+all texts: from the symbols of its context, and for grams that no training text has by
+joins with the contexts of one shorter order after the other. Grams and words that occur more
+often than once in ``MAX_ENTRIES`` symbols or tokens, so at most that many, go to the tasks with
+their values; all others are joined. For that a task sends the other grams of a block of texts,
+packed by parts of the gram space, and gets back their sums for each text.
 """
 
 from __future__ import annotations
@@ -21,18 +23,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_key, shared, slices, staged, text_of
-from .words import SEPARATOR, hashed, raw, word_bounds
+from .words import SEPARATOR, hashed, mixed, raw, word_bounds
 
 ORDER = 6
-#: Bound on the entries of each order of the trie and on the words that are broadcast.
+#: Bound on the grams and on the words that are broadcast.
 MAX_ENTRIES = 1 << 21
 END = np.uint64(0x5E9D_0E9D_0E9D_0E9D)
 _FLUSH = 3_000_000
+#: Grams that a task sends together, and about how many grams to look up one task gets.
+_BLOCK_GRAMS, _PART_GRAMS = 2_000_000, 8_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -88,7 +94,7 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words (kind 0) and of the longest contexts with their symbol (kind 1) of one task."""
+    """Counts of the words (kind 0) and of the longest contexts with their symbol (kind 1) of one task; held-out texts add their grams with count 0."""
     held: dict[int, list] = {0: [], 1: []}
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -103,11 +109,16 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = 0
     for whole in batches:
         for batch in slices(whole, "text"):
-            x = coded(batch.column("text"))
-            for kind, keys in ((0, np.append(x.hashes, np.full(batch.num_rows, END))), (1, x.grams)):
+            out = batch.column("held_out")
+            learned = batch.column("text").filter(pa.compute.invert(out))
+            x = coded(learned)
+            for kind, keys in ((0, np.append(x.hashes, np.full(len(learned), END))), (1, x.grams)):
                 values, counts = np.unique(keys, return_counts=True)
                 held[kind].append((values, counts.astype(np.int64)))
                 total += len(values)
+            values = np.unique(coded(batch.column("text").filter(out)).grams)
+            held[1].append((values, np.zeros(len(values), np.int64)))
+            total += len(values)
             if total > _FLUSH:
                 yield from flush()
                 total = 0
@@ -162,7 +173,11 @@ class Order:
 
 
 class Trie:
-    """The trie from the entries (keys, counts) and contexts (keys, occurrences, distinct symbols) of every order, 0 first, sorted by key."""
+    """The trie in memory, for small tables and trials; ``score`` works on tables.
+
+    Made from the entries (keys, counts) and contexts (keys, occurrences, distinct symbols) of every order,
+    0 first, sorted by key. Occurrences of symbols that it does not hold add to the escape.
+    """
 
     def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.orders: list[Order] = []
@@ -211,35 +226,204 @@ def _collected(table: DataFrame, key: str, *values: str) -> tuple[np.ndarray, ..
     return keys[order], *(rows.column(v).to_numpy()[order] for v in values)
 
 
+def _entries(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of lists of (s, n): row, symbol and count of every entry; a null list has none."""
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    return np.repeat(np.arange(len(column)), sizes), flat.field("s").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("n").to_numpy(zero_copy_only=False).astype(np.float64)
+
+
+_LOGS = "key bigint, n bigint, log double, so_far double, seen binary"
+
+
+def _log_batch(keys: np.ndarray, n: np.ndarray, logs: np.ndarray, so_far: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+    """Grams with their log10, or with what the escapes so far give and the symbols (as bits) that they exclude."""
+    open_ = np.isnan(logs)
+    bits = np.packbits(seen, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64)), pa.array(logs, mask=open_), pa.array(so_far),
+                                       pa.array([b.tobytes() if o else None for b, o in zip(bits, open_, strict=True)] if len(bits) else pa.nulls(len(keys), pa.binary()), pa.binary())],
+                                      ["key", "n", "log", "so_far", "seen"])
+
+
+def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From contexts of the longest order with all their symbols: the grams; those of count 0 escape from a context that training texts have."""
+    for batch in batches:
+        row, symbol, n = _entries(batch.column("e"))
+        total, distinct = np.bincount(row, n, batch.num_rows), np.bincount(row, n > 0, batch.num_rows)
+        keys = (batch.column("context").to_numpy()[row] << 8) | symbol
+        old = np.flatnonzero(n > 0)
+        yield _log_batch(keys[old], n[old], np.log10(n[old] / (total + distinct)[row[old]]), np.zeros(len(old)), np.zeros((0, 256), bool))
+        new = np.flatnonzero(n == 0)
+        rows, place = np.unique(row[new], return_inverse=True)
+        seen = np.zeros((len(rows), 256), dtype=bool)
+        mine = np.searchsorted(rows, row[old])
+        some = mine < len(rows)
+        some[some] = rows[mine[some]] == row[old][some]
+        seen[mine[some], symbol[old][some]] = True
+        known = total[row[new]] > 0
+        so_far = np.zeros(len(new))
+        so_far[known] = np.log10((distinct / np.maximum(total + distinct, 1))[row[new][known]])
+        for lo in range(0, len(new), 10_000):
+            part = slice(lo, lo + 10_000)
+            yield _log_batch(keys[new[part]], n[new[part]], np.full(len(new[part]), np.nan), so_far[part], seen[place[part]])
+
+
+def _shorter(last: bool):
+    """One order on: open grams, each with all symbols of its context of this order, or with none if no training text has that."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            row, symbol, n = _entries(batch.column("e"))
+            keys, so_far = batch.column("key").to_numpy(), batch.column("so_far").to_numpy().copy()
+            before = np.unpackbits(np.frombuffer(b"".join(batch.column("seen").to_pylist()), np.uint8).reshape(rows, 32), axis=1).astype(bool)
+            left = ~before[row, symbol]  # symbols that the longer context has are excluded
+            total, distinct = np.bincount(row, n * left, rows), np.bincount(row, left, rows).astype(float)
+            own = np.bincount(row, n * (symbol == (keys & 255)[row]), rows)
+            known = distinct > 0  # one whose symbols are all excluded says nothing
+            hit, miss = known & (own > 0), known & (own == 0)
+            logs = np.full(rows, np.nan)
+            logs[hit] = so_far[hit] + np.log10(own[hit] / (total + distinct)[hit])
+            so_far[miss] += np.log10(distinct[miss] / (total + distinct)[miss])
+            seen = before
+            seen[row, symbol] = True
+            if last:
+                end = np.isnan(logs)
+                logs[end] = so_far[end] - np.log10(np.maximum(256 - seen[end].sum(axis=1), 1))
+            yield _log_batch(keys, np.zeros(rows), logs, so_far, seen)
+    return run
+
+
+def _context(order: int):
+    """The context of a gram at an order."""
+    return F.shiftrightunsigned(F.col("key").bitwiseAND(F.lit(int(_mask(order + 1)))), 8)
+
+
+def _with_symbols(grams: DataFrame, order: int) -> DataFrame:
+    """(context, e: its symbols and their counts, at most 256) of the grams of an order."""
+    return grams.groupBy(_context(order).alias("context")).agg(F.collect_list(F.struct(F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("s"), "n")).alias("e"))
+
+
+def _gram_logs(grams: DataFrame) -> DataFrame:
+    """(key, n, log) of all distinct grams (key, n), those of held-out texts alone with n = 0."""
+    first = staged(_with_symbols(grams, ORDER).mapInArrow(_longest, _LOGS), "ppm-logs")
+    done, open_ = [first.where("log IS NOT NULL")], first.where("log IS NULL")
+    grams = grams.where("n > 0")
+    for k in range(ORDER - 1, -1, -1):
+        if open_.isEmpty():
+            break
+        grams = staged(grams.groupBy(F.col("key").bitwiseAND(F.lit(int(_mask(k + 1)))).alias("key")).agg(F.sum("n").alias("n")), "ppm-order")
+        met = open_.withColumn("context", _context(k))
+        wanted = grams.withColumn("context", _context(k)).join(met.select("context").distinct(), "context", "left_semi")
+        step = staged(met.join(_with_symbols(wanted, k), "context", "left").select("key", "so_far", "seen", "e").mapInArrow(_shorter(k == 0), _LOGS), "ppm-logs")
+        done.append(step.where("log IS NOT NULL"))
+        open_ = step.where("log IS NULL")
+    out = done[0].select("key", "n", "log")
+    for more in done[1:]:
+        out = out.unionByName(more.select("key", "n", "log"))
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
-    """Counts of the whole training part, and what the tasks get of them."""
+    """Counts of the whole training part, the grams of all texts, and what the tasks get of them."""
 
     words: DataFrame
     tokens: int
     distinct: int
     frequent: tuple[np.ndarray, np.ndarray]
-    trie: Trie
+    frequent_grams: tuple[np.ndarray, np.ndarray]
+    #: (key, log) of the other grams, and how often they occur in the training part.
+    grams: DataFrame
+    rest: int
 
 
 def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
-    """Count (text) of all given rows."""
-    counts = docs.select("text").mapInArrow(_gather, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    """Count (text) of all rows that are not ``held_out``."""
+    counts = docs.select("text", "held_out").mapInArrow(_gather, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = staged(counts, "ppm-counts", ("kind",))
+    often = F.col("n") * max_entries
     sums = {r.kind: (r.n, r.distinct) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
     tokens, distinct = sums.get(0, (0, 0))
     symbols = sums.get(1, (0, 0))[0]
-    tables, contexts, grams = [], [], counts.where("kind = 1").select("key", "n")
-    for k in range(ORDER, -1, -1):
-        if k < ORDER:
-            grams = staged(grams.groupBy(F.col("key").bitwiseAND(F.lit(int(_mask(k + 1)))).alias("key")).agg(F.sum("n").alias("n")), "ppm-order")
-        nodes = grams.groupBy(F.shiftrightunsigned("key", 8).alias("key")).agg(F.sum("n").alias("n"), F.count("*").alias("distinct"))
-        # each filter passes fewer than max_entries rows, as they add up to all symbols
-        tables.insert(0, _collected(grams.where(F.col("n") * max_entries > symbols), "key", "n"))
-        contexts.insert(0, _collected(nodes.where(F.col("n") * max_entries > symbols), "key", "n", "distinct"))
-    words = counts.where("kind = 0").select("key", "n")
-    frequent = _collected(words.where(F.col("n") * max_entries > tokens), "key", "n")
-    return Model(words, tokens, distinct, frequent, Trie(tables, contexts))
+    grams, words = counts.where("kind = 1").select("key", "n"), counts.where("kind = 0").select("key", "n")
+    logs = _gram_logs(grams)
+    rest = grams.where(often <= symbols).agg(F.sum("n")).first()[0] or 0
+    # each filter passes fewer than max_entries rows, as they add up to all symbols or tokens
+    return Model(words, tokens, distinct, _collected(words.where(often > tokens), "key", "n"), _collected(logs.where(often > symbols), "key", "log"),
+                 logs.where(often <= symbols).select("key", "log"), rest)
+
+
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (mixed(keys ^ np.uint64(0x6A09E667F3BCC909)) % np.uint64(parts)).astype(np.int32)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of the values, all first ones, then all second ones: the upper ones are mostly zero and squeeze well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _values(packed: pa.Scalar, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _packed(block: int, keys: np.ndarray, texts: np.ndarray, parts: int) -> Iterator[tuple]:
+    """Of the grams of a block of texts, for each part: distinct grams (as steps), how often each occurs, and the texts where."""
+    order = np.lexsort((texts, keys))
+    keys, texts = keys[order], texts[order].astype(np.uint32)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    part = _part(keys[at], parts)
+    size = np.diff(np.append(at, len(keys)))
+    by = np.argsort(part, kind="stable")
+    texts = texts[np.argsort(np.repeat(part, size), kind="stable")]
+    cut = np.flatnonzero(np.diff(part[by], prepend=-1))
+    ends = np.concatenate([[0], np.cumsum(size[by])])
+    for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(by)], strict=True):
+        yield block, int(part[by[lo]]), _planes(np.diff(keys[at][by[lo:hi]], prepend=np.uint64(0))), _planes(size[by[lo:hi]].astype(np.uint32)), _planes(texts[ends[lo] : ends[hi]])
+
+
+def _part_of(parts: int):
+    @F.pandas_udf("int")
+    def run(keys: pd.Series) -> pd.Series:
+        return pd.Series(_part(keys.to_numpy().view(np.uint64), parts))
+    return run
+
+
+_SENT = ("block", "part", "grams", "sizes", "texts")
+
+
+def _looked_up(key: tuple, sent: pa.Table, logs: pa.Table) -> pa.Table:
+    """Of one part: the sums of the logs for the texts of every block; rows of texts pass."""
+    passed = sent.filter(pa.compute.is_valid(sent.column("row"))).drop_columns(["grams", "sizes", "texts"])
+    sent = sent.filter(pa.compute.is_null(sent.column("row")))
+    keys = logs.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys, values = keys[order], logs.column("log").to_numpy()[order]
+    blocks, texts, sums = [], [], []
+    for block, grams, sizes, where in zip(*(sent.column(c) for c in ("block", "grams", "sizes", "texts")), strict=True):
+        found = values[np.searchsorted(keys, np.cumsum(_values(grams, np.uint64), dtype=np.uint64))]  # every gram of a text is in the table
+        where = _values(where, np.uint32)
+        each = np.bincount(where, np.repeat(found, _values(sizes, np.uint32)))
+        some = np.unique(where).astype(np.int32)
+        blocks.append(block.as_py())
+        texts.append(some.tobytes())
+        sums.append(each[some].tobytes())
+    out = pa.table([pa.array(blocks, pa.int64()), pa.array([key[0].as_py()] * len(blocks), pa.int32()), pa.array(texts, pa.binary()), pa.array(sums, pa.binary())], names=["block", "part", "texts", "sums"])
+    names = [*passed.column_names, "texts", "sums"]
+    kinds = {**{f.name: f.type for f in passed.schema}, **{f.name: f.type for f in out.schema}}
+    fill = lambda t: pa.table([t.column(c).cast(kinds[c]) if c in t.column_names else pa.nulls(t.num_rows, kinds[c]) for c in names], names=names)
+    return pa.concat_tables([fill(passed), fill(out)])
+
+
+def _block_sums(key: tuple, part: pa.Table) -> pa.Table:
+    """Of one block: row and sum of every text, added in the order of the parts, so that equal texts have equal sums."""
+    part = part.sort_by("part")
+    texts = np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in part.column("texts")])
+    sums = np.bincount(texts, np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in part.column("sums")]))
+    some = np.unique(texts)
+    return pa.table([pa.array((key[0].as_py() << 20) + some.astype(np.int64)), pa.array(sums[some])], names=["row", "rest"])
 
 
 def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", folds: int = 10, max_entries: int = MAX_ENTRIES) -> DataFrame:
@@ -253,16 +437,38 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     spark = docs.sparkSession
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))
     rows = rows.withColumn("held_out", F.pmod(doc_key(F.col("doc_id")), F.lit(folds)) == 0)
-    model = train(rows.where("NOT held_out"), max_entries)
+    model = train(rows, max_entries)
     log_all = float(np.log10(model.tokens + 0.1 * (model.distinct + 1)))
-    sent = shared(spark, (Lookup(model.frequent[0]), model.frequent[1], model.trie))
+    sent = shared(spark, (Lookup(model.frequent[0]), model.frequent[1], Lookup(model.frequent_grams[0]), model.frequent_grams[1]))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.rest // _PART_GRAMS))
+    texts_schema = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, rare array<bigint>, times array<int>"
+    names = [x.split()[0] for x in texts_schema.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    sent_kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, counts, trie = sent()
+        lookup, counts, grams, logs10 = sent()
+        block, texts, held, waiting = TaskContext.get().partitionId() << 20, 0, [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                for values in _packed(block, np.concatenate([k for k, _ in held]), np.concatenate([t for _, t in held]), parts):
+                    yield pa.RecordBatch.from_arrays([*(pa.nulls(1, kind) for kind in kinds), *(pa.array([v], kind) for v, kind in zip(values, sent_kinds, strict=True))], [*names, *_SENT])
+
         for whole in batches:
             for batch in slices(whole, "text"):
+                if waiting > _BLOCK_GRAMS or texts > 1 << 19:
+                    yield from flush()
+                    block, texts, held, waiting = block + 1, 0, [], 0
                 x = coded(batch.column("text"))
-                sums = np.concatenate([[0.0], np.cumsum(trie.log10(x.grams))])
+                place = grams.find(x.grams)
+                text = np.repeat(np.arange(batch.num_rows), np.diff(x.cut))
+                settled, others = place >= 0, np.flatnonzero(place < 0)
+                sums = np.bincount(text[settled], logs10[place[settled]], batch.num_rows).astype(float)  # of nothing it is whole numbers
+                held.append((x.grams[others], text[others] + texts))
+                waiting += len(others)
+                row = (block << 20) + texts + np.arange(batch.num_rows)
+                texts += batch.num_rows
                 ends = np.full(batch.num_rows, END)
                 keys = np.concatenate([x.hashes, ends])
                 owner = np.concatenate([np.repeat(np.arange(batch.num_rows), np.diff(x.word_cut)), np.arange(batch.num_rows)])
@@ -270,7 +476,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 often = place >= 0
                 known = np.bincount(owner[often], minlength=batch.num_rows)
                 logs = np.log10(counts + 0.1) - log_all if len(counts) else np.zeros(1)
-                base = np.bincount(owner[often], logs[place[often]], minlength=batch.num_rows)
+                base = np.bincount(owner[often], logs[place[often]], minlength=batch.num_rows).astype(float)
                 rest = np.flatnonzero(~often)
                 rest = rest[np.argsort(owner[rest], kind="stable")]
                 cut = np.searchsorted(owner[rest], np.arange(batch.num_rows + 1))
@@ -280,17 +486,24 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     rare.append(values.view(np.int64))
                     times.append(n.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(x.word_cut).astype(np.int64) + 1), pa.array(known.astype(np.int64)),
-                    pa.array(base), pa.array(sums[x.cut[1:]] - sums[x.cut[:-1]]), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                    ["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "times"])
-
-    scored = rows.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, rare array<bigint>, times array<int>")
-    scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "ppm-rows")
+                    pa.array(row), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(x.word_cut).astype(np.int64) + 1), pa.array(known.astype(np.int64)),
+                    pa.array(base), pa.array(sums), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())),
+                    pa.nulls(batch.num_rows, pa.int64()), pa.array((row % parts).astype(np.int32)), *(pa.nulls(batch.num_rows, pa.binary()) for _ in range(3))], [*names, *_SENT])
+        yield from flush()
+
+    # texts, and the grams to look up, in one pass and one shuffle
+    both = rows.mapInArrow(run, f"{texts_schema}, block bigint, part int, grams binary, sizes binary, texts binary")
+    logs = model.grams.withColumn("part", _part_of(parts)(F.col("key")))
+    found = both.groupBy("part").cogroup(logs.groupBy("part")).applyInArrow(_looked_up, f"{texts_schema}, block bigint, part int, texts binary, sums binary")
+    found = staged(found, "ppm-rows")
+    scored = found.where("row IS NOT NULL").select(*names)
+    rest = found.where("row IS NULL").select("block", "part", "texts", "sums").groupBy("block").applyInArrow(_block_sums, "row bigint, rest double")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
     joined = rare.join(model.words, "key", "left")
     per_row = joined.groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1)) - F.lit(log_all))).alias("rare_base"))
-    return scored.drop("rare", "times").join(per_row, "row", "left").select(
+    return scored.drop("rare", "times").join(per_row, "row", "left").join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))

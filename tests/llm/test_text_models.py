@@ -129,6 +129,16 @@ def test_scores_equal_brute_force(spark):
         assert abs(r.score - log10) < 1e-9
 
 
+@pytest.mark.parametrize("max_entries", [1, 30, op6_ppm.MAX_ENTRIES])
+def test_scores_do_not_depend_on_what_is_broadcast(spark, max_entries):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice(["abra", "abrac", "zeta", "zet", "rare%d" % rnd.randint(0, 99), "é"]) for _ in range(rnd.randint(0, 15)))) for i in range(90)] + [(90, "Q~ xzq")]
+    got = {r.doc_id: r.score for r in op6_ppm.score(spark.createDataFrame(rows, "doc_id long, text string"), max_entries=max_entries).collect()}
+    learned = [t for d, t in rows if zlib.crc32(str(d).encode()) % 10]
+    for (d, _), log10 in zip(rows, brute_ppm(learned, [t for _, t in rows], op6_ppm.ORDER)):
+        assert abs(got[d] - log10) < 1e-9
+
+
 def test_score_edges_and_a_bounded_trie(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (1, "aa bb"), (None, "aa"), (2, "cc")], "doc_id long, text string").withColumns({"n": F.lit(1), "key": F.lit(2)})
     rows = op6_ppm.score(docs).collect()
