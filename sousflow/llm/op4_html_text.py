@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,12 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden|aria-label)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 #: Elements whose content is never text of the page.
-DROPPED = ("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "audio", "video", "canvas", "title", "select", "option", "datalist", "button", "map")
-_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in DROPPED}
+DROPPED = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "audio", "video", "canvas", "title", "select", "option", "datalist", "button", "map")
+#: Of these, those whose content is no markup: without an end tag they take the rest of the page.
+RAW = frozenset(("script", "style", "textarea", "title", "iframe"))
+#: Of the others, those that a further one of their kind closes.
+_ONCE = frozenset(("button", "select", "option", "datalist"))
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 #: Tags that end a block; all others run on inside one.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
@@ -81,6 +86,39 @@ def _body_of(tag: str, page: str, start: int) -> int:
     return end.end() if end else len(page)
 
 
+def _ends_of_dropped(page: str) -> dict[int, int]:
+    """Where the content of each dropped element that is not raw ends, by the end of its start tag; none for one without an end tag in its block."""
+    found: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    at = 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        tag = (m["tag"] or m["tag2"] or "").lower()
+        if tag not in BLOCK_TAGS and tag not in DROPPED:
+            continue
+        attrs = m["attrs"] or m["attrs2"] or ""
+        if m["close"] or m["close2"]:
+            while count[tag]:
+                name, start = open_.pop()
+                count[name] -= 1
+                if name == tag:
+                    if tag in DROPPED:
+                        found[start] = at
+                    break
+        elif tag in RAW:
+            at = _body_of(tag, page, at)
+        elif tag not in VOID_TAGS and not attrs.endswith("/"):
+            if tag in _ONCE and open_ and open_[-1][0] == tag:
+                _, start = open_.pop()
+                count[tag] -= 1
+                if tag == "option":  # the next one ends it
+                    found[start] = m.start()
+            open_.append((tag, at))
+            count[tag] += 1
+    return found
+
+
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """Text and figures of every non-empty flat block, in page order."""
     found: list[tuple[str, list[float]]] = []
@@ -101,6 +139,7 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         parts, linked = [], 0
 
     at, links = 0, 0
+    ends: dict[int, int] | None = None
     while at < len(page):
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else len(page)]
@@ -129,8 +168,11 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         elif tag in DROPPED:
             if tag == "button":
                 parts.append(" ")
-            if not attrs.endswith("/") or tag in ("script", "style", "textarea", "title", "iframe"):
+            if tag in RAW:
                 at = _body_of(tag, page, at)
+            elif not attrs.endswith("/"):
+                ends = _ends_of_dropped(page) if ends is None else ends
+                at = ends.get(at, at)
         else:
             if tag in BLOCK_TAGS:
                 flush()

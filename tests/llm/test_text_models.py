@@ -45,6 +45,22 @@ def test_main_text(page, want):
     assert op4_html_text.main_texts([page], op4_html_text.train())[0] == want
 
 
+@pytest.mark.parametrize("tag", ["button", "select", "option", "map", "object", "svg", "canvas", "video", "audio", "noscript", "template"])
+def test_unclosed_elements_leave_the_article(tag):
+    tree = op4_html_text.train()
+    rest = "<article><h1>Title</h1><p>The text of the page.</p></article>"
+    for page in (f"<div><{tag}>x</div>{rest}", f"<nav><{tag}></nav>{rest}<form><{tag}>y</{tag}></form>"):
+        assert op4_html_text.main_texts([page], tree)[0] == "Title\nThe text of the page."
+    assert op4_html_text.main_texts([f"<article><p>Some words <{tag}>y<i>z</i></{tag}>of text.</p></article>"], tree)[0] in ("Some words of text.",)
+
+
+def test_formulas_are_text_and_raw_elements_run_on():
+    tree = op4_html_text.train()
+    assert op4_html_text.main_texts(["<article><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"], tree)[0] == "Here x=2 holds."
+    assert op4_html_text.main_texts(["<article><p>Here it ends.</p><script>var a = '</p>';"], tree)[0] == "Here it ends."
+    assert len(op4_html_text.blocks("<div>" + "<svg>a" * 20_000 + "</svg>")) == 1  # linear
+
+
 def test_extract_text_edges(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (None, None, "<article><p>é text.</p></article>", 6), (1, "u", "", 7)], "page_id long, url string, html string, text int")
     got = sorted((r.page_id or -1, r.url or "", r.text, r.n_chars) for r in op4_html_text.extract_text(pages).collect())
