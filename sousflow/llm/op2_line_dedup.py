@@ -1,14 +1,15 @@
 """Line deduplication: an exact set-similarity join of lines.
 
 A line's tokens are its distinct lower-cased words. A line goes when an earlier line (by
-document id, then place) of the table has a Jaccard similarity of 0.8 or more with it; lines
-of fewer than ``MIN_TOKENS`` distinct words always stay.
+document id, then place) of the table has a Jaccard similarity of 0.8 or more with it. Lines
+of fewer than ``min_tokens`` distinct words always stay; with 1, as in the registered query,
+every line with a word takes part.
 
 1. Words are counted over all lines in a fixed table of hashed counters, which orders
    tokens by rarity: by counter, then by hash. Any total order that all lines share gives a
    correct prefix filter; counters that tokens share only cost time.
 2. Equal token sets are settled by a group: all but the first line go.
-3. Each remaining line sends the rare prefix of its tokens, n - ceil(0.8 n) + 1 of them, to the
+3. Each remaining line whose size lets another set be similar (at 0.8 four tokens and more) sends the rare prefix of its tokens, n - ceil(0.8 n) + 1 of them, to the
    task of each token. There it meets the earlier lines of the token that pass the length
    filter, the positional filter and an odd sketch of 128 bits, a lower bound of the symmetric
    difference. It keeps one of them: the first whose sketch is well below the allowed
@@ -46,7 +47,7 @@ HOT_LINES = 50_000
 
 @dataclass(frozen=True)
 class Lines:
-    """The lines of a batch with at least ``MIN_TOKENS`` distinct words: text, line number, and sorted tokens from ``cut`` on."""
+    """The lines of a batch with enough distinct words: text, line number, and sorted tokens from ``cut`` on."""
 
     text: np.ndarray
     line: np.ndarray
@@ -75,11 +76,11 @@ def _words_of_lines(column: pa.Array) -> tuple[np.ndarray, ...]:
     return hashed(data, starts, ends), text, line, np.searchsorted(starts, begin)
 
 
-def line_tokens(column: pa.Array) -> Lines:
-    """The lines of all texts of a batch, sorted and made distinct together."""
+def line_tokens(column: pa.Array, least: int) -> Lines:
+    """The lines of all texts of a batch with ``least`` distinct words and more, sorted and made distinct together."""
     hashes, text, line, cut = _words_of_lines(column)
     sizes = np.diff(cut)
-    keep = sizes >= MIN_TOKENS
+    keep = sizes >= least
     hashes, sizes, text, line = hashes[np.repeat(keep, sizes)], sizes[keep], text[keep], line[keep]
     owner = np.repeat(np.arange(len(sizes)), sizes)
     rough = (owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
@@ -92,7 +93,7 @@ def line_tokens(column: pa.Array) -> Lines:
     fresh[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
     count = np.bincount(owner[fresh], minlength=len(sizes))
     found = Lines(text, line, tokens[fresh], np.concatenate([[0], np.cumsum(count)]))
-    return found.take(count >= MIN_TOKENS)
+    return found.take(count >= least)
 
 
 def line_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -111,18 +112,20 @@ _LINES = "doc_id bigint, line int, key1 bigint, key2 bigint, counts binary"
 _CHUNKS = 64
 
 
-def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_lines(least: int):
     """Every line with a 128-bit key of its token set; at the end of the task its counters, in chunks numbered as lines."""
-    total = np.zeros(COUNTERS, dtype=np.int64)
-    for ids, texts in _parts(batches):
-        x = line_tokens(texts)
-        total += np.bincount((x.tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        sums = [np.add.reduceat(mixed(x.tokens ^ np.uint64(salt)), x.cut[:-1]).view(np.int64) if len(x.line) else np.zeros(0, np.int64) for salt in (0x51ED, 0xA3B7_0000_0001)]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), *map(pa.array, sums), pa.nulls(len(x.line), pa.binary())],
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for ids, texts in _parts(batches):
+            x = line_tokens(texts, least)
+            total += np.bincount((x.tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            sums = [np.add.reduceat(mixed(x.tokens ^ np.uint64(salt)), x.cut[:-1]).view(np.int64) if len(x.line) else np.zeros(0, np.int64) for salt in (0x51ED, 0xA3B7_0000_0001)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), *map(pa.array, sums), pa.nulls(len(x.line), pa.binary())],
+                                             ["doc_id", "line", "key1", "key2", "counts"])
+        none = pa.nulls(_CHUNKS, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(range(_CHUNKS), pa.int32()), none, none, pa.array([zlib.compress(c.tobytes(), 1) for c in np.split(total, _CHUNKS)], pa.binary())],
                                          ["doc_id", "line", "key1", "key2", "counts"])
-    none = pa.nulls(_CHUNKS, pa.int64())
-    yield pa.RecordBatch.from_arrays([none, pa.array(range(_CHUNKS), pa.int32()), none, none, pa.array([zlib.compress(c.tobytes(), 1) for c in np.split(total, _CHUNKS)], pa.binary())],
-                                     ["doc_id", "line", "key1", "key2", "counts"])
+    return run
 
 
 def _sum_chunk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -147,7 +150,7 @@ _POSTINGS = "part int, " + ", ".join(f"{name} binary" for name, _ in _COLUMNS)
 _OWN, _OPEN = 1, 2
 
 
-def _postings(percent: int, parts: int, counters, hot: int, firsts, again=None):
+def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts, again=None):
     """Prefix tokens of the lines that are the first with their set (and by chance a few others), packed column by column for each part of the token space.
 
     ``firsts`` is the filter of those lines. ``again``, the filters of the tokens of open lines and of
@@ -155,7 +158,8 @@ def _postings(percent: int, parts: int, counters, hot: int, firsts, again=None):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _parts(batches):
-            x = line_tokens(texts)
+            x = line_tokens(texts, least)
+            x = x.take(100 * x.sizes >= percent * (x.sizes + 1))  # a smaller set is similar to its equals alone
             x = x.take(probe(line_key(ids[x.text], x.line), *firsts()))
             if again and len(x.line):
                 hit = probe(x.tokens, *again()[0])
@@ -317,13 +321,13 @@ def _pair_batch(doc_a, line_a, doc_b, line_b) -> pa.RecordBatch:
 _ANY_LINE = 2**32 - 1
 
 
-def _wanted_sets(wanted):
+def _wanted_sets(wanted, least: int):
     """Token sets of the wanted lines; documents without any are not even read into words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             ids = whole.column("doc_id").to_numpy()
             for ids, texts in _parts([whole.filter(pa.array(probe(line_key(ids, np.full(len(ids), _ANY_LINE)), *wanted())))]):
-                x = line_tokens(texts)
+                x = line_tokens(texts, least)
                 x = x.take(probe(line_key(ids[x.text], x.line), *wanted()))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), pa.array([t.tobytes() for t in np.split(x.tokens, x.cut[1:-1])] if len(x.line) else [], pa.binary())],
@@ -364,11 +368,11 @@ def _filter_of(keys: DataFrame, rows: int | None = None):
     return lambda: (sent.value, slots)
 
 
-def sets_of_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets_of_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(doc_id, line, items) of the wanted distinct lines (doc_id, line) and by chance of a few others. No other line leaves its task."""
     wanted = staged(wanted, "line-ends")
     ends = wanted.select("doc_id", F.col("line").cast("long")).unionByName(wanted.select("doc_id", F.lit(_ANY_LINE).cast("long").alias("line")).distinct())
-    sets = docs.mapInArrow(_wanted_sets(_filter_of(ends.select(_line_filter(F.col("doc_id"), F.col("line")).alias("h")))), "doc_id bigint, line int, items binary")
+    sets = docs.mapInArrow(_wanted_sets(_filter_of(ends.select(_line_filter(F.col("doc_id"), F.col("line")).alias("h"))), least), "doc_id bigint, line int, items binary")
     return staged(sets, "line-sets")
 
 
@@ -380,10 +384,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("doc_b", "line_b", "set_a", "set_b").mapInArrow(_similar(percent), "doc_id bigint, line int").distinct()
 
 
-def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT_LINES) -> DataFrame:
+def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT_LINES, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, line) of every line with a similar earlier line, from (doc_id: bigint, not null; text)."""
     spark = docs.sparkSession
-    read = staged(docs.mapInArrow(_read_lines, _LINES), "lines")
+    read = staged(docs.mapInArrow(_read_lines(min_tokens), _LINES), "lines")
     counters = spark.sparkContext.broadcast(rarity(read))
     lines = read.where("counts IS NULL").drop("counts")
     firsts = staged(lines.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")), "line-firsts")
@@ -393,12 +397,12 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def candidates(again) -> DataFrame:
-        postings = docs.mapInArrow(_postings(percent, parts, counters, hot_lines, first_filter, again), _POSTINGS)
+        postings = docs.mapInArrow(_postings(percent, min_tokens, parts, counters, hot_lines, first_filter, again), _POSTINGS)
         return staged(postings.repartition(parts, "part").mapInArrow(_candidates(percent, again is not None), "doc_a bigint, line_a int, doc_b bigint, line_b int"), "line-pairs")
 
     def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = staged(pairs.distinct(), "line-candidates")
-        sets = sets_of_lines(docs, pairs.select("doc_a", "line_a").toDF("doc_id", "line").unionByName(pairs.select("doc_b", "line_b").toDF("doc_id", "line")).distinct())
+        sets = sets_of_lines(docs, pairs.select("doc_a", "line_a").toDF("doc_id", "line").unionByName(pairs.select("doc_b", "line_b").toDF("doc_id", "line")).distinct(), min_tokens)
         return sets, staged(gone.unionByName(_verified(pairs, sets, percent)).distinct(), "lines-gone")
 
     met = candidates(None)
@@ -413,7 +417,7 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     return settle(met.where("doc_a IS NOT NULL").join(open_.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_semi"))[1]
 
 
-def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
+def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """All columns of ``docs`` with the text without its repeated lines, and ``n_lines``, ``n_removed``.
 
     Lines end at a line feed. Ids name documents: rows that repeat an id should repeat its
@@ -424,7 +428,7 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     spark = docs.sparkSession
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text")).where("doc_id IS NOT NULL")
-    gone = repeated_lines(source, percent)
+    gone = repeated_lines(source, percent, min_tokens=min_tokens)
     per_doc = staged(gone.groupBy("doc_id").agg(F.collect_set("line").alias("__gone")).withColumnRenamed("doc_id", "__doc"), "lines-by-doc")
     bits, slots = bitmap_of(per_doc.select(F.xxhash64("__doc").alias("h")), per_doc.count())
     ident = docs[id_column].cast("long")

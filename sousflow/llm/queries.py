@@ -26,7 +26,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that have a similar earlier line."""
-    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+    return line_dedup(table(spark, sf_dir, "documents"), min_tokens=1).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

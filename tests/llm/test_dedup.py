@@ -126,6 +126,18 @@ def test_repeated_lines(spark, seed, hot):
     assert {(r.doc_id, r.line) for r in repeated_lines(docs, hot_lines=hot).collect()} == brute_lines(rows)
 
 
+def test_short_lines_take_part(spark, tmp_path):
+    from sousflow.llm.queries import op2_line_dedup
+
+    rows = [*corpus(9, 60), (20_000, "Read more\na b c d\nx"), (20_001, "read MORE\na b c d e\ny"), (20_002, "more\nna na na na na na\nx x"), (20_003, "na")]
+    lines = [(d, k, frozenset(words_of(x))) for d, t in sorted(rows) for k, x in enumerate((t or "").split("\n")) if words_of(x)]
+    gone = {(d, k) for i, (d, k, s) in enumerate(lines) if any(100 * len(s & z) >= 80 * len(s | z) for *_, z in lines[:i])}
+    assert {(20_001, 0), (20_001, 1), (20_002, 2), (20_003, 0)} <= gone
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {d: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone) for d, t in rows}
+
+
 def test_line_dedup_texts_and_edges(spark):
     rows = corpus(6, 40)
     gone = brute_lines(rows)
