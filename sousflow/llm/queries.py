@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .op1_exact_dedup import exact_dedup
@@ -17,6 +18,8 @@ from .op7_minhash_near_dedup import near_duplicates
 from .op8_best_fit_packing import pack
 from .op9_pii import find_pii
 from .op10_sentencepiece import model_bytes, round_trip
+from .op12_fill_in_middle import fill_in_middle, restore
+from .op13_importance_resampling import resample
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +72,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), model_bytes())
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in fill-in-the-middle form, with the digests of output and rebuilt text."""
+    both = restore(fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by their likeness to the benchmark's words."""
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -80,4 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_importance_resampling": op13_importance_resampling,
 }
