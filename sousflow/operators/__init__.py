@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame building blocks. Column names are parameters."""
 
 from sousflow.operators.dedup import canonical_rows, duplicate_keys, key_profile
+from sousflow.operators.joins import heavy_keys, spread_join
 from sousflow.operators.nearest import nearest_locations
 from sousflow.operators.nested import flatten, inverted_index
 from sousflow.operators.strings import sorted_string_agg
@@ -11,6 +12,8 @@ __all__ = [
     "canonical_rows",
     "duplicate_keys",
     "key_profile",
+    "heavy_keys",
+    "spread_join",
     "nearest_locations",
     "flatten",
     "inverted_index",

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sousflow.operators import (
-    canonical_rows, closest_per_group, duplicate_keys, flatten, inverted_index, key_profile,
-    nearest_locations, pivot_ranks, sorted_string_agg, top_n_with_ties, with_group_values,
+    canonical_rows, closest_per_group, duplicate_keys, flatten, heavy_keys, inverted_index, key_profile,
+    nearest_locations, pivot_ranks, sorted_string_agg, spread_join, top_n_with_ties, with_group_values,
 )
 from sousflow.functions import clean_lower
 from sousflow.operators.nearest import LEAF_SIZE
@@ -181,3 +181,35 @@ def test_nearest_keeps_symmetric_ties_through_the_walk(spark):
     assert sum(1 for (qq, _) in want if qq == (30.0, -99.5)) == 2
     assert pairs(nearest_locations(q, t)) == want
     assert pairs(nearest_locations(q, t, exclude_zero=True)) == brute(queries, targets, exclude_zero=True)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_spread_join_equals_join(spark, how, null_safe):
+    left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 30}" if i % 2 else None) for i in range(600)], "id long, k string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), (None, 4), ("other", 5)], "k string, v int")
+    same = left.k.eqNullSafe(right.k) if null_safe else left.k == right.k
+    want = left.join(right, same, how).select(left.k, "id", *(["v"] if how in ("inner", "left") else []))
+    got = spread_join(left, right, ["k"], how, share_rows=50, null_safe=null_safe)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_heavy_keys_are_few_and_their_rows_spread(spark):
+    left = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    assert [(r.k, r["_shares"]) for r in heavy_keys(left, ["k"], share_rows=200).collect()] == [(0, 15)]
+    # a key has to hold more than the max_keys-th part of all rows, whatever share_rows says
+    assert heavy_keys(left, ["k"], share_rows=1, max_keys=2).count() == 0
+    right = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = spread_join(left, right, ["k"], share_rows=200)
+        # without adaptive execution and with one partition a share at most, no task holds the hot key's rows
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 9000 and max(sizes) < 4000
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "CartesianProduct" not in text and "NestedLoop" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
