@@ -12,6 +12,22 @@ ORACLE: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_vantage_points": """
+        WITH valid AS (
+            SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), usual AS (
+            SELECT len(v) AS size FROM valid GROUP BY len(v) ORDER BY count(*) DESC, len(v) LIMIT 1
+        ), rows AS (
+            SELECT vec_id, v FROM valid, usual WHERE len(v) = size
+        ), near AS (
+            SELECT q.vec_id AS query_id, q.v AS query, r.vec_id, list_distance(q.v, r.v) AS score,
+                   row_number() OVER (PARTITION BY q.vec_id, q.v ORDER BY list_distance(q.v, r.v), r.vec_id) AS rank
+            FROM rows q, rows r WHERE q.vec_id % 100 = 0 AND NOT (q.vec_id = r.vec_id AND q.v = r.v)
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM near WHERE rank <= 10
+    """,
     "op12_fill_in_middle": r"""
         WITH hashed AS (
             SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest,

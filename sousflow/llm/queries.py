@@ -18,6 +18,7 @@ from .op7_minhash_near_dedup import near_duplicates
 from .op8_best_fit_packing import pack
 from .op9_pii import find_pii
 from .op10_sentencepiece import model_bytes, round_trip
+from .op11_vantage_points import nearest_vectors
 from .op12_fill_in_middle import fill_in_middle, restore
 from .op13_importance_resampling import resample
 
@@ -72,6 +73,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), model_bytes())
 
 
+def op11_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest neighbours of every hundredth embedding among all."""
+    return nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in fill-in-the-middle form, with the digests of output and rebuilt text."""
     both = restore(fill_in_middle(table(spark, sf_dir, "documents")))
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_vantage_points": op11_vantage_points,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_importance_resampling": op13_importance_resampling,
 }
