@@ -5,8 +5,9 @@ from sousflow.functions.geo import (
     METRES_PER_KM,
     METRES_PER_MILE,
     great_circle_m,
-    haversine_a,
-    unit_vector,
+    great_circle_sql,
+    haversine_sql,
+    unit_vector_sql,
 )
 from sousflow.functions.json import json_field, parse_json_safe
 from sousflow.functions.text import (
@@ -25,8 +26,9 @@ __all__ = [
     "METRES_PER_KM",
     "METRES_PER_MILE",
     "great_circle_m",
-    "haversine_a",
-    "unit_vector",
+    "great_circle_sql",
+    "haversine_sql",
+    "unit_vector_sql",
     "json_field",
     "parse_json_safe",
     "clean_lower",

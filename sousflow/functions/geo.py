@@ -1,4 +1,4 @@
-"""Great-circle distance on a sphere, as a plain Column expression.
+"""Great-circle distance on a sphere, as one built-in expression written in SQL text.
 
 Locations are (lat, lon) in degrees. The distance uses the haversine form with
 ``a`` clamped to 1 so rounding can never push ``asin`` out of its domain; any NULL
@@ -10,30 +10,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sousflow.functions._cols import col
-
 # Fixed values.
 EARTH_RADIUS_M = 6371008.8   # mean Earth radius (IUGG), metres
 METRES_PER_MILE = 1609       # the mile used by the business reports
 METRES_PER_KM = 1000
 
 
-def haversine_a(lat1, lon1, lat2, lon2) -> Column:
-    """sin^2(dphi/2) + cos(phi1) cos(phi2) sin^2(dlambda/2), clipped to [0, 1]."""
-    lat1, lon1, lat2, lon2 = (col(c) for c in (lat1, lon1, lat2, lon2))
-    dphi = F.radians(lat2 - lat1)
-    dlam = F.radians(lon2 - lon1)
-    a = F.pow(F.sin(dphi / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlam / 2), 2)
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """sin^2(dphi/2) + cos(phi1) cos(phi2) sin^2(dlambda/2) as SQL text, at most 1; NULL if a coordinate is."""
+    a = (f"(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))")
     # clamp to 1 but keep NULL: least() would skip a NULL and return 1
-    return F.when(a > 1.0, F.lit(1.0)).otherwise(a)
+    return f"CASE WHEN {a} > 1.0D THEN 1.0D ELSE {a} END"
+
+
+def great_circle_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_m: float = EARTH_RADIUS_M) -> str:
+    return f"{2.0 * radius_m!r}D * asin(sqrt({haversine_sql(lat1, lon1, lat2, lon2)}))"
 
 
-def great_circle_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_M) -> Column:
-    """Distance in metres between two points; NULL if any coordinate is NULL."""
-    return F.lit(2.0 * radius_m) * F.asin(F.sqrt(haversine_a(lat1, lon1, lat2, lon2)))
+def great_circle_m(lat1: str, lon1: str, lat2: str, lon2: str, radius_m: float = EARTH_RADIUS_M) -> Column:
+    """Distance in metres between two points, given by column names or SQL text; NULL if any coordinate is NULL."""
+    return F.expr(great_circle_sql(lat1, lon1, lat2, lon2, radius_m))
 
 
-def unit_vector(lat, lon) -> tuple[Column, Column, Column]:
+def unit_vector_sql(lat: str, lon: str) -> tuple[str, str, str]:
     """Point on the unit sphere; straight-line (chord) distance grows with arc length."""
-    phi, lam = F.radians(col(lat)), F.radians(col(lon))
-    return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
+    phi, lam = f"radians({lat})", f"radians({lon})"
+    return f"cos({phi}) * cos({lam})", f"cos({phi}) * sin({lam})", f"sin({phi})"

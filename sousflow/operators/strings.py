@@ -6,14 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def sorted_string_agg(c: str | Column, sep: str = ", ", empty: str | None = "") -> Column:
+def sorted_string_agg(c: str, sep: str = ", ", empty: str | None = "") -> Column:
     """Values joined in ascending order (NULLs skipped); ``empty`` when none.
 
     Use on groups whose size is bounded by the output itself (tied winners), not on
     raw fact rows.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    joined = F.array_join(F.array_sort(F.collect_list(c)), sep)
-    if empty is None:
-        return F.when(F.count(c) > 0, joined)
-    return joined
+    joined = F.expr(f"listagg(`{c}`, {sep!r}) WITHIN GROUP (ORDER BY `{c}`)")
+    return joined if empty is None else F.coalesce(joined, F.lit(empty))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +42,7 @@ def closest_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
     The same rows as RANK() = 1 ordered by ``value`` with NULLs last. The minimum is a
     partial aggregate joined back, so no group is sorted or held in one task, whatever its ties.
     """
-    best = df.groupBy(*keys).agg(F.min(value).alias("_best"))
-    lows = best.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = [df[k].eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [df[value].eqNullSafe(F.col("_best"))]
-    return df.join(lows, reduce(Column.__and__, same), "left_semi")
+    best = df.groupBy(*keys).agg(F.expr(f"min(`{value}`) AS _best"))
+    lows = best.selectExpr(*[f"`{k}` AS `_key_{k}`" for k in keys], "_best")
+    same = [f"`{k}` <=> `_key_{k}`" for k in keys] + [f"`{value}` <=> _best"]
+    return df.join(lows, F.expr(" AND ".join(same)), "left_semi")

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sousflow.functions.geo import METRES_PER_MILE, great_circle_m
-from sousflow.functions.text import clean_lower, clean_upper, concat_name, round_to_int
+from sousflow.functions.geo import METRES_PER_MILE, great_circle_sql
+from sousflow.functions.text import clean_lower, clean_upper, concat_name
 from sousflow.plans.places import city_coordinates
 
 # The city rules and stores of the original business report.
@@ -67,23 +67,28 @@ def store_distances(customers: DataFrame, us_cities: DataFrame,
                     stores: Mapping[str, tuple[str, str]] = REFERENCE_STORES) -> DataFrame:
     """Customer name, place, preference count and whole miles to each fixed store.
 
-    A store is every city row with that exact name and state. Distances are taken once
-    per distinct customer location and store row, then joined back on the location
-    (NULL-safe, so a customer without coordinates keeps NULL distances). A store stored in
-    n rows gives each customer n rows, and a store with no row gives no rows, as a join
-    with it would.
+    A store is every city row with that exact name and state. One pass over the cities gathers the
+    locations of all stores as a scalar subquery of the plan, and each customer row is exploded over them in
+    place: no join, no key and no shuffle of the customers. A store stored in n rows gives each customer n
+    rows (equal locations are gathered once, with their number), and a store with no row gives no rows, as
+    a join with it would. A customer or store without coordinates has NULL distances.
     """
-    out = customers.select(concat_name("first_name", "last_name").alias("customer_name"),
-                           "customer_city", "customer_state", "food_pref_count", "lat", "lon")
-    places = customers.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct()
-    names = []
-    for label, (city, state) in stores.items():
-        name = f"{label}_distance_miles"
-        names.append(name)
-        rows = city_coordinates(us_cities).where((F.col("city_name") == city) & (F.col("state_abbr") == state)).select(
-            "city_name", F.col("lat").alias("_store_lat"), F.col("lon").alias("_store_lon"))
-        miles = round_to_int(great_circle_m("_lat", "_lon", "_store_lat", "_store_lon") / METRES_PER_MILE)
-        named = places.select("_lat", "_lon", F.explode(F.array(F.lit(city))).alias("city_name"))
-        reach = named.join(rows, "city_name", "inner").select("_lat", "_lon", miles.alias(name))
-        out = out.join(reach, out.lat.eqNullSafe(reach["_lat"]) & out.lon.eqNullSafe(reach["_lon"]), "inner").drop("_lat", "_lon")
-    return out.select("customer_name", "customer_city", "customer_state", "food_pref_count", *names)
+    labels = list(stores)
+    wanted = [f"city_name = {_text(city)} AND state_abbr = {_text(state)}" for city, state in stores.values()]
+    found = city_coordinates(us_cities).selectExpr(f"array({', '.join(f'{w}' for w in wanted)}) AS _is", "lat", "lon").where("exists(_is, x -> x)")
+    counted = found.groupBy("_is", "lat", "lon").agg(F.expr("CAST(count(1) AS INT) AS n"))
+    lists = counted.agg(F.struct(*[F.expr(f"collect_list(CASE WHEN _is[{i}] THEN struct(lat, lon, n) END) AS s{i}") for i in range(len(labels))]).alias("_stores"))
+    rows = customers.select(concat_name("first_name", "last_name").alias("customer_name"), "customer_city", "customer_state", "food_pref_count", "lat", "lon",
+                            lists.scalar().alias("_stores"))
+    kept, names = ["customer_name", "customer_city", "customer_state", "food_pref_count"], []
+    for i, label in enumerate(labels):
+        miles = f"CAST(round({great_circle_sql('lat', 'lon', '_at.lat', '_at.lon')} / {METRES_PER_MILE}) AS INT)"
+        each = rows.selectExpr(*kept, *names, "lat", "lon", "_stores", f"explode(_stores.s{i}) AS _at")
+        rows = each.selectExpr(*kept, *names, "lat", "lon", "_stores", f"explode(array_repeat({miles}, _at.n)) AS `{label}_distance_miles`")
+        names.append(f"`{label}_distance_miles`")
+    return rows.selectExpr(*kept, *names)
+
+
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -22,7 +22,6 @@ from sousflow.functions.json import json_field, parse_json_safe
 from sousflow.functions.text import strip_quotes
 from sousflow.functions.time import epoch_seconds, seconds_between
 from sousflow.operators.strings import sorted_string_agg
-from sousflow.operators.topn import top_n_with_ties
 from sousflow.operators.windows import with_group_values
 
 # Event names in the JSON details.
@@ -83,8 +82,15 @@ def most_viewed_daily(website_activity: DataFrame) -> DataFrame:
     Views are all view events of such sessions, credited to the recipe of the last
     event.
     """
-    g = _day_recipe_grain(website_activity).where(F.col("has_viewed_recipe"))
-    return top_n_with_ties(g, ["session_date"], [F.col("views").desc()], n=1).select("session_date", "recipe_id")
+    g = _day_recipe_grain(website_activity)
+    top = g.where("has_viewed_recipe").groupBy("session_date").agg(F.max("views").alias("_top"))
+    return _winners(g, top).select(F.col("_day").alias("session_date"), "recipe_id")
+
+
+def _winners(g: DataFrame, days: DataFrame) -> DataFrame:
+    """The recipes whose views equal their day's ``_top``; a day's recipes never meet in one task."""
+    viewed = g.where("has_viewed_recipe").select(F.col("session_date").alias("_day"), "views", "recipe_id")
+    return viewed.join(days.select("session_date", "_top"), F.expr("_day <=> session_date AND views = _top"), "inner")
 
 
 def _daily_metrics(g: DataFrame) -> list:
@@ -113,10 +119,7 @@ def daily_report(website_activity: DataFrame) -> DataFrame:
     """
     g = _day_recipe_grain(website_activity)
     days = g.groupBy("session_date").agg(*_daily_metrics(g), F.max(F.when(F.col("has_viewed_recipe"), F.col("views"))).alias("_top"))
-    viewed = g.where("has_viewed_recipe").select(F.col("session_date").alias("_day"), "views", "recipe_id")
-    winners = viewed.join(days.select("session_date", "_top"),
-                          F.col("_day").eqNullSafe(F.col("session_date")) & (F.col("views") == F.col("_top")), "inner")
-    ids = winners.groupBy("_day").agg(sorted_string_agg("recipe_id").alias("_ids"))
+    ids = _winners(g, days).groupBy("_day").agg(sorted_string_agg("recipe_id").alias("_ids"))
     report = days.join(ids, days.session_date.eqNullSafe(ids["_day"]), "left").withColumn("_ids", F.coalesce("_ids", F.lit("")))
     return (report.where(F.col("avg_session_length_seconds") > 0)
                   .select("session_date", "num_sessions", "avg_session_length_seconds",

@@ -47,17 +47,15 @@ def nearest_supplier(customer_address: DataFrame, us_cities: DataFrame, customer
     cust = eligible_customers(customer_address, us_cities, customer_data, strict, cities=cities).select(
         "customer_id", "first_name", "last_name", "email", "lat", "lon")
     sup = located_suppliers(supplier_info, us_cities, strict, cities=cities)
-    located = sup.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    # feeds the search and the last join
+    located = materialised(sup.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()))
 
-    near = materialised(nearest_locations(cities, located))
-    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(F.min("distance_m").alias("distance_m"))
-    closest = closest_per_group(cust.join(best_at, ["lat", "lon"], "left"), ["customer_id"], "distance_m")
-    # (place, nearest place) pairs stay at the grain of places until this last join
-    ties = near.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "t_lat", "t_lon")
+    near = nearest_locations(cities, located).select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "t_lat", "t_lon", "distance_m")
+    # a customer row without any distance finds no place and keeps NULL supplier columns
+    closest = closest_per_group(cust.join(near, ["lat", "lon"], "left"), ["customer_id"], "distance_m")
     shops = located.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), "supplier_id", "supplier_name")
     cols = ["customer_id", "first_name", "last_name", "email", "supplier_id", "supplier_name", "distance_m"]
-    # a customer row without any distance finds no tie and keeps NULL supplier columns
-    rows = closest.join(ties, ["lat", "lon"], "left").join(shops, ["t_lat", "t_lon"], "left").select(*cols)
+    rows = closest.join(shops, ["t_lat", "t_lon"], "left").select(*cols)
 
     km = F.col("distance_m") / METRES_PER_KM
     if round_km is not None:
@@ -93,12 +91,10 @@ def backup_supplier(supplier_info: DataFrame, us_cities: DataFrame, strict: bool
     """
     # feeds the search (both sides) and both join-backs: materialised once
     geo = materialised(supplier_geography(supplier_info, us_cities, strict))
-    near = materialised(nearest_locations(geo, geo, exclude_zero=True))
-    best_at = near.groupBy(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon")).agg(F.min("distance_m").alias("distance_m"))
-    mains = closest_per_group(geo.join(best_at, ["lat", "lon"], "inner"), ["supplier_id"], "distance_m")
-    ties = near.select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "t_lat", "t_lon")
+    near = nearest_locations(geo, geo, exclude_zero=True).select(F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"), "t_lat", "t_lon", "distance_m")
+    mains = closest_per_group(geo.join(near, ["lat", "lon"], "inner"), ["supplier_id"], "distance_m")
     backups = geo.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), F.col("supplier_location").alias("location_backup"))
-    pairs = mains.join(ties, ["lat", "lon"], "inner").join(backups, ["t_lat", "t_lon"], "inner").select(
+    pairs = mains.join(backups, ["t_lat", "t_lon"], "inner").select(
         "supplier_id", F.col("supplier_location").alias("location_main"), "location_backup",
         F.round(F.col("distance_m") / METRES_PER_MILE).alias("travel_miles"))
     # the supplier's name comes from the supplier table by id (every row of that id)

@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sousflow.functions.time import epoch_seconds, floor_div
+from sousflow.functions.time import epoch_seconds
 from sousflow.sources.tables import Tables
 
 # Fixed values of the bridge.
@@ -43,137 +43,106 @@ BRIDGE_STORES = {"chicago": ("NATION_5", "AFRICA"), "gary": ("NATION_9", "MIDDLE
 BRIDGE_RECIPES = ["red plate", "small widget", "hot ring", "old rod", "large rod"]
 
 
-def _coordinate(key: Column, mult: int, modulo: int, shift: int, frac: int) -> Column:
+def _coordinate(key: str, mult: int, modulo: int, shift: int, frac: int) -> str:
     """((key*mult) % modulo - shift) + ((key*frac) % 10000)/10000, exact integers then one division."""
-    whole = F.pmod(key * mult, F.lit(modulo)) - shift
-    return ((whole * 10000 + F.pmod(key * frac, F.lit(10000))).cast("double") / F.lit(10000.0))
+    return f"CAST((pmod({key} * {mult}, {modulo}) - {shift}) * 10000 + pmod({key} * {frac}, 10000) AS DOUBLE) / 10000.0D"
 
 
-def _block(key: str, size: int) -> Column:
-    return F.floor(F.col(key) / size).cast("long")
+def _block(key: str, size: int) -> str:
+    return f"CAST(floor({key} / {size}) AS BIGINT)"
 
 
-def _place_name(block: str = "block") -> Column:
+def _place_name(block: str) -> str:
     """A nation's first place has the nation's name, the others its name and the block."""
-    return F.when(F.col(block) == 0, F.col("n_name")).otherwise(F.concat_ws(" ", "n_name", F.col(block).cast("string")))
+    return f"CASE WHEN {block} = 0 THEN n_name ELSE concat_ws(' ', n_name, CAST({block} AS STRING)) END"
 
 
 class Bridge:
+    """The views; their expressions are SQL text, which reaches the JVM in one call each."""
+
     def __init__(self, tables: Tables):
         self.t = tables
 
     # -- places -----------------------------------------------------------
     @cached_property
     def _nations(self) -> DataFrame:
-        n = self.t.nation.select("n_nationkey", "n_name", "n_regionkey")
-        r = self.t.region.select("r_regionkey", "r_name")
-        k = F.col("n_nationkey").cast("long")
-        return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(k.alias("k"), "n_name", "r_name")
+        n = self.t.nation.selectExpr("CAST(n_nationkey AS BIGINT) AS k", "n_name", "n_regionkey AS r_regionkey")
+        return n.join(self.t.region.select("r_regionkey", "r_name"), "r_regionkey", "inner").select("k", "n_name", "r_name")
 
     @cached_property
     def _places(self) -> DataFrame:
         """One row per (nation, block) that has customers: the places grow with the customers."""
-        blocks = self.t.customer.select(F.col("c_nationkey").cast("long").alias("k"), _block("c_custkey", PLACE_CUSTOMERS).alias("block")).distinct()
-        place = (F.col("k") + NATIONS * F.col("block")).alias("place")
-        named = blocks.join(self._nations, "k", "inner").select(place, _place_name().alias("name"), "r_name")
-        return named.select("*", _coordinate(F.col("place"), 37, 110, 55, 137).alias("lat"), _coordinate(F.col("place"), 71, 340, 170, 291).alias("lon"))
+        blocks = self.t.customer.selectExpr("CAST(c_nationkey AS BIGINT) AS k", f"{_block('c_custkey', PLACE_CUSTOMERS)} AS block").distinct()
+        place = f"k + {NATIONS} * block"
+        return blocks.join(self._nations, "k", "inner").selectExpr(
+            f"{place} AS place", f"{_place_name('block')} AS name", "r_name",
+            f"{_coordinate(f'({place})', 37, 110, 55, 137)} AS lat", f"{_coordinate(f'({place})', 71, 340, 170, 291)} AS lon")
 
     @cached_property
     def us_cities(self) -> DataFrame:
         """city_id, city_name, state_abbr, lat, lon; some cities twice, dirty (with an odd id)."""
-        p = self._places
-        clean = p.select((2 * F.col("place")).alias("city_id"), F.col("name").alias("city_name"),
-                         F.col("r_name").alias("state_abbr"), "lat", "lon")
-        dirty = (p.where(F.pmod("place", F.lit(DIRTY_CITY_EVERY)) == 0)
-                  .select((2 * F.col("place") + 1).alias("city_id"),
-                          F.concat(F.lit("  "), F.lower("name"), F.lit(" ")).alias("city_name"),
-                          F.lower("r_name").alias("state_abbr"), "lat", "lon"))
-        return clean.unionByName(dirty)
+        # only every DIRTY_CITY_EVERY-th place has the second row
+        dirty = f"CASE WHEN pmod(place, {DIRTY_CITY_EVERY}) = 0 THEN struct(2 * place + 1 AS city_id, concat('  ', lower(name), ' ') AS city_name, lower(r_name) AS state_abbr, lat, lon) END"
+        rows = self._places.selectExpr(f"explode(array(struct(2 * place AS city_id, name AS city_name, r_name AS state_abbr, lat, lon), {dirty})) AS _row")
+        return rows.where("_row IS NOT NULL").selectExpr("_row.*")
 
     # -- customers --------------------------------------------------------
-    @cached_property
-    def _customers(self) -> DataFrame:
-        c = self.t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-        return (c.join(self._nations, c.c_nationkey.cast("long") == self._nations.k, "inner")
-                 .withColumn("block", _block("c_custkey", PLACE_CUSTOMERS)).withColumn("place_name", _place_name()))
-
     @cached_property
     def customer_data(self) -> DataFrame:
-        c = self.t.customer
-        return c.select(F.col("c_custkey").alias("customer_id"),
-                        F.col("c_mktsegment").alias("first_name"),
-                        F.col("c_name").alias("last_name"),
-                        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit(EMAIL_DOMAIN)).alias("email"))
+        return self.t.customer.selectExpr("c_custkey AS customer_id", "c_mktsegment AS first_name", "c_name AS last_name",
+                                          f"concat(lower(replace(c_name, '#', '.')), '{EMAIL_DOMAIN}') AS email")
 
     @cached_property
     def customer_address(self) -> DataFrame:
         """City names in mixed case and padded (states as stored); some cities unknown."""
-        c = self._customers
-        spelling = F.pmod("c_custkey", F.lit(3))
-        city = (F.when(F.pmod("c_custkey", F.lit(INELIGIBLE_CUSTOMER_EVERY)) == 0, F.lit(UNKNOWN_CITY))
-                 .when(spelling == 0, F.col("place_name"))
-                 .when(spelling == 1, F.lower("place_name"))
-                 .otherwise(F.concat(F.lit("  "), F.col("place_name"), F.lit(" "))))
-        return c.select(F.col("c_custkey").alias("customer_id"), city.alias("customer_city"),
-                        F.col("r_name").alias("customer_state"))
+        keyed = self.t.customer.selectExpr("c_custkey AS customer_id", "CAST(c_nationkey AS BIGINT) AS k", f"{_block('c_custkey', PLACE_CUSTOMERS)} AS block")
+        placed = keyed.join(self._nations, "k", "inner").selectExpr("customer_id", f"{_place_name('block')} AS place_name", "r_name AS customer_state")
+        city = (f"CASE WHEN pmod(customer_id, {INELIGIBLE_CUSTOMER_EVERY}) = 0 THEN '{UNKNOWN_CITY}' WHEN pmod(customer_id, 3) = 0 THEN place_name "
+                "WHEN pmod(customer_id, 3) = 1 THEN lower(place_name) ELSE concat('  ', place_name, ' ') END")
+        return placed.selectExpr("customer_id", f"{city} AS customer_city", "customer_state")
 
     # -- suppliers --------------------------------------------------------
     @cached_property
     def supplier_info(self) -> DataFrame:
-        s = self.t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-        n = self._nations
-        city = F.when(F.pmod("k", F.lit(UNLOCATED_SUPPLIER_EVERY)) == 0, F.lit(UNKNOWN_CITY)).otherwise(_place_name())
-        return (s.join(n, s.s_nationkey.cast("long") == n.k, "inner")
-                 .withColumn("block", _block("s_suppkey", PLACE_SUPPLIERS))
-                 .select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
-                         city.alias("supplier_city"), F.col("r_name").alias("supplier_state")))
+        s = self.t.supplier.selectExpr("s_suppkey", "s_name", "CAST(s_nationkey AS BIGINT) AS k", f"{_block('s_suppkey', PLACE_SUPPLIERS)} AS block")
+        city = f"CASE WHEN pmod(k, {UNLOCATED_SUPPLIER_EVERY}) = 0 THEN '{UNKNOWN_CITY}' ELSE {_place_name('block')} END"
+        return s.join(self._nations, "k", "inner").selectExpr("s_suppkey AS supplier_id", "s_name AS supplier_name", f"{city} AS supplier_city", "r_name AS supplier_state")
 
     # -- survey and tags --------------------------------------------------
+    @cached_property
+    def _tag_ids(self) -> DataFrame:
+        return self.t.part.groupBy("p_type").agg(F.expr("CAST(min(p_partkey) AS BIGINT) AS tag_id"))
+
     @cached_property
     def recipe_tags(self) -> DataFrame:
         """tag_id = smallest part key of the type; the missing type reads '<NA>'."""
-        types = self.t.part.groupBy("p_type").agg(F.min("p_partkey").alias("tag_id"))
-        prop = F.when(F.col("p_type") == MISSING_TAG_TYPE, F.lit(MISSING_TEXT)).otherwise(F.concat(F.lit(" "), F.col("p_type")))
-        return types.select(F.col("tag_id").cast("long").alias("tag_id"), prop.alias("tag_property"))
+        prop = f"CASE WHEN p_type = '{MISSING_TAG_TYPE}' THEN '{MISSING_TEXT}' ELSE concat(' ', p_type) END"
+        return self._tag_ids.selectExpr("tag_id", f"{prop} AS tag_property")
 
     @cached_property
     def customer_survey(self) -> DataFrame:
         """One row per (customer, part type ordered); inactive for every 5th customer."""
-        li = self.t.lineitem.select("l_orderkey", "l_partkey")
-        o = self.t.orders.select("o_orderkey", "o_custkey")
-        p = self.t.part.select("p_partkey", "p_type")
-        tag = self.t.part.groupBy("p_type").agg(F.min("p_partkey").alias("tag_id"))
-        ordered = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-                     .join(p, li.l_partkey == p.p_partkey, "inner")
-                     .select(F.col("o_custkey").alias("customer_id"), "p_type")
-                     .distinct())
-        return (ordered.join(tag, "p_type", "inner")
-                       .select("customer_id", F.col("tag_id").cast("long").alias("tag_id"),
-                               (F.pmod("customer_id", F.lit(INACTIVE_SURVEY_EVERY)) != 0).alias("is_active")))
+        li = self.t.lineitem.selectExpr("l_orderkey AS o_orderkey", "l_partkey AS p_partkey")
+        ordered = (li.join(self.t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", "inner")
+                     .join(self.t.part.select("p_partkey", "p_type"), "p_partkey", "inner")
+                     .selectExpr("o_custkey AS customer_id", "p_type").distinct())
+        return ordered.join(self._tag_ids, "p_type", "inner").selectExpr("customer_id", "tag_id", f"pmod(customer_id, {INACTIVE_SURVEY_EVERY}) <> 0 AS is_active")
 
     # -- recipes ----------------------------------------------------------
     @cached_property
     def recipe(self) -> DataFrame:
-        words = F.split(F.col("p_name"), " ")
-        return self.t.part.select(F.col("p_partkey").alias("recipe_id"), F.col("p_name").alias("recipe_name"),
-                                  words.alias("tag_list"), words.alias("ingredients"))
+        return self.t.part.selectExpr("p_partkey AS recipe_id", "p_name AS recipe_name", "split(p_name, ' ') AS tag_list", "split(p_name, ' ') AS ingredients")
 
     @cached_property
     def nutrition(self) -> DataFrame:
-        return self.t.part.select(F.replace("p_name", F.lit(" "), F.lit(", ")).alias("ingredient_name"),
-                                  F.col("p_size").cast("long").alias("calories"),
-                                  F.concat(F.col("p_size").cast("string"), F.lit("g")).alias("total_fat"))
+        return self.t.part.selectExpr("replace(p_name, ' ', ', ') AS ingredient_name", "CAST(p_size AS BIGINT) AS calories", "concat(CAST(p_size AS STRING), 'g') AS total_fat")
 
     # -- website activity -------------------------------------------------
     @cached_property
     def website_activity(self) -> DataFrame:
         """Events with a session id (user and 36-hour bucket) and JSON details."""
-        e = self.t.events.select("event_id", "ts", "user_id", "event_type", "props")
-        name = F.col("event_type")
-        for raw, mapped in EVENT_NAMES.items():
-            name = F.when(F.col("event_type") == raw, F.lit(mapped)).otherwise(name)
-        bucket = floor_div(epoch_seconds("ts"), SESSION_BUCKET_SECONDS)
-        details = F.to_json(F.struct(name.alias("event"), F.get_json_object("props", "$.k").alias("recipe_id")))
-        return e.select("event_id",
-                        F.concat(F.col("user_id").cast("string"), F.lit("-"), bucket.cast("string")).alias("session_id"),
-                        "user_id", F.col("ts").alias("event_timestamp"), details.alias("event_details"))
+        e = self.t.events.select("event_id", "ts", "user_id", "event_type", "props", epoch_seconds("ts").alias("_sec"))
+        name = "CASE event_type " + " ".join(f"WHEN '{raw}' THEN '{mapped}'" for raw, mapped in EVENT_NAMES.items()) + " ELSE event_type END"
+        bucket = f"CAST((_sec - pmod(_sec, {SESSION_BUCKET_SECONDS})) / {SESSION_BUCKET_SECONDS} AS BIGINT)"
+        return e.selectExpr("event_id", f"concat(CAST(user_id AS STRING), '-', CAST({bucket} AS STRING)) AS session_id", "user_id", "ts AS event_timestamp",
+                            f"to_json(struct({name} AS event, get_json_object(props, '$.k') AS recipe_id)) AS event_details")
