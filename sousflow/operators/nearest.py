@@ -41,7 +41,7 @@ from sousflow.functions.geo import EARTH_RADIUS_M, great_circle_sql, unit_vector
 from sousflow.operators.topn import closest_per_group
 from sousflow.session import materialised
 
-LEAF_SIZE = 64
+LEAF_SIZE = 128
 MAX_LEVEL = 24          # cubes of side 2**-23
 START_TARGETS = 4       # targets of a start cube at least; two, so that one of them is another place
 STEP = 2                # levels from a start cube to its groups, and from a cube to those that replace it

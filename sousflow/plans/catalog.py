@@ -7,6 +7,7 @@ whole tables. The matching DuckDB SQL is in ``sousflow.plans.oracle``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from sousflow.operators.nested import flatten
 from sousflow.plans import customers, places, preferences, recipes, sessions, suppliers
+from sousflow.session import ensure_checkpoint_dir
 from sousflow.sources.bridge import BRIDGE_CITY_RULES, BRIDGE_RECIPES, BRIDGE_STORES, Bridge
-from sousflow.sources.tables import Tables
+from sousflow.sources.tables import Tables, register_external
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +107,19 @@ def backup_supplier(spark, d):
     return suppliers.backup_supplier(b.supplier_info, b.us_cities, strict=True)
 
 
+# Which database of the catalog holds which tables.
+DATABASES = {"supply": ["supplier"], "resources": ["nation", "region", "customer"]}
+
+
+def supplier_places(spark, d):
+    """Suppliers of one database located by the cities of another one; both are in the session's catalog."""
+    mark = hashlib.sha256(d.encode()).hexdigest()[:12]
+    for name, tables in DATABASES.items():
+        register_external(spark, f"{name}_{mark}", d, tables, ensure_checkpoint_dir(spark))
+    b = Bridge(Tables.across(spark, {f"{name}_{mark}": tables for name, tables in DATABASES.items()}))
+    return suppliers.supplier_geography(b.supplier_info, b.us_cities)
+
+
 def _top3(b: Bridge, strict: bool = True) -> DataFrame:
     eligible = places.eligible_customers(b.customer_address, b.us_cities, b.customer_data, strict=strict)
     return preferences.top_preferences(eligible, b.customer_survey, b.recipe_tags, n=3)
@@ -203,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "eligible_customers_parity": eligible_customers_parity,
     "nearest_supplier": nearest_supplier,
     "nearest_supplier_parity": nearest_supplier_parity,
+    "supplier_places": supplier_places,
     "top3_preferences": top3_preferences,
     "top3_preferences_parity": top3_preferences_parity,
     "top3_preferences_distinct": top3_preferences_distinct,

@@ -6,6 +6,8 @@ job that uses two columns reads two columns.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,14 @@ class Tables:
     def catalog(cls, spark: SparkSession, namespace: str) -> Tables:
         return cls(spark, "", namespace=namespace)
 
+    @classmethod
+    def across(cls, spark: SparkSession, namespaces: Mapping[str, Sequence[str]]) -> Tables:
+        """Tables of several catalog namespaces under one roof: namespace -> the names it holds."""
+        roof = cls(spark, "", namespace="")
+        for namespace, names in namespaces.items():
+            roof._frames.update({name: spark.table(f"{namespace}.{name}") for name in names})
+        return roof
+
     def _read(self, name: str) -> DataFrame:
         """``<root>/<name>.parquet`` or else ``<root>/<name>``; Spark's own file system says which is there."""
         try:
@@ -48,3 +58,14 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return self.table(name)
+
+
+def register_external(spark: SparkSession, namespace: str, root: str, names: Sequence[str], folder: str | None = None) -> None:
+    """Make ``<root>/<name>.parquet`` known to the session's catalog as ``namespace.name``; the files stay where they are.
+
+    ``folder`` is the namespace's own location (nothing is written there), else the warehouse.
+    """
+    place = f" LOCATION '{folder}/{namespace}.db'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}{place}")
+    for name in names:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {namespace}.{name} USING parquet LOCATION '{root.rstrip('/')}/{name}.parquet'")

@@ -2,6 +2,7 @@
 multi-round walk (more than LEAF_SIZE target locations), checked against the SQL."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -73,3 +74,28 @@ def test_supplier_jobs_on_many_places(spark):
         want = rel.fetchall()
         assert len(got) == len(want) > 0, name
         assert digest(df.columns, got) == digest(rel.columns, want), name
+
+
+def test_stores_with_many_rows(spark):
+    """1,001 rows of one store (two of them equal), one of the other, one of none: every customer row meets each."""
+    from sousflow.plans import customers
+
+    near = [("CHICAGO", "IL", 40.0 + i / 1000, -87.0) for i in range(1000)] + [("CHICAGO", "IL", 40.0, -87.0)]
+    cities = spark.createDataFrame([*near, ("GARY", "IN", 41.6, -87.3), ("GARY", "IL", 0.0, 0.0), ("chicago", "IL", 0.0, 0.0)],
+                                   "city_name string, state_abbr string, lat double, lon double")
+    people = spark.createDataFrame([("A", "B", "c1", "KY", 2, 38.0, -84.5), ("A", None, "c2", "KY", 1, None, 1.0)],
+                                   "first_name string, last_name string, customer_city string, customer_state string, food_pref_count int, lat double, lon double")
+    got = customers.store_distances(people, cities)
+    def miles(a, b):
+        if None in (*a, *b):
+            return None
+        p, q = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return math.floor(2 * 6371008.8 * math.asin(math.sqrt(h)) / 1609 + 0.5)
+
+    rows = [tuple(r) for r in cities.collect()]
+    at = {k: [r[2:] for r in rows if r[:2] == key] for k, key in customers.REFERENCE_STORES.items()}
+    want = Counter((None if None in r[:2] else f"{r[0]} {r[1]}", *r[2:5], miles(r[5:], x), miles(r[5:], y))
+                   for r in map(tuple, people.collect()) for x in at["chicago"] for y in at["gary"])
+    assert Counter(map(tuple, got.collect())) == want and got.count() == 2002
+    assert customers.store_distances(people, cities.where("city_name = 'GARY'")).count() == 0
