@@ -13,6 +13,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -57,13 +58,19 @@ _BY_WORD = {
     "article": "article post story entry article-body post-body post-content entry-content article-content main-content maincontent content-body story-body main content",
 }
 _WORDS = {word: kind for kind, words in _BY_WORD.items() for word in words.split()}
+#: Parts of a class or id that say nothing of the kind: with them a compound such as "site-footer-wrap" is still a mark.
+_GENERIC = frozenset(
+    "a area b bar block body bottom box btn button buttons card col column columns container content desktop entry feed fixed global grid group heading hero holder icon icons inline "
+    "inner item items js large layout left link links list main mobile module new outer page pane panel primary region right row section secondary shell show site slot small sticky "
+    "text theme title top ui unit view widget wide wp wrap wrapper your my the".split())
 _FIGURES = ("words", "link_density", "chars_per_word", "ends_sentence", "capitals", "heading", "list_item", "cell")
 FEATURES = (*_FIGURES, *(f"in_{c}" for c in CONTAINERS), "page_has_article",
             *(f"before_{f}" for f in _FIGURES[:2]), *(f"after_{f}" for f in _FIGURES[:2]), "place", "copyright")
 
 
-def _containers(tag: str, attrs: str) -> set[str]:
-    found = {_BY_TAG[tag]} if tag in _BY_TAG else set()
+def _containers(tag: str, attrs: str) -> tuple[set[str], set[str]]:
+    """The kinds of container that a tag opens, and those that only a part of a longer name hints at ("search-algorithms")."""
+    found, hints = ({_BY_TAG[tag]} if tag in _BY_TAG else set()), set()
     if "=" in attrs or "hidden" in attrs.lower():
         for name, value in _ATTRIBUTE.findall(attrs):
             name, value = name.lower(), value.strip("\"'").lower()
@@ -74,11 +81,13 @@ def _containers(tag: str, attrs: str) -> set[str]:
                     if word in _WORDS:
                         found.add(_WORDS[word])
                     else:
-                        kinds = [_WORDS[part] for part in re.split(r"[-_]+", word) if part in _WORDS]
+                        parts = re.split(r"[-_]+", word)
+                        kinds = [_WORDS[part] for part in parts if part in _WORDS]
                         side = [k for k in kinds if k != "article"]
-                        found.update(side or kinds)
+                        sure = all(part in _WORDS or part in _GENERIC or part.isdigit() for part in parts)
+                        (found if sure or not side else hints).update(side or kinds)
     # page furniture inside an article's own wrapper keeps its kind; the body of the page is no article
-    return found if tag not in ("html", "body") else found - set(_BY_WORD)
+    return (found, hints - found) if tag not in ("html", "body") else (found - set(_BY_WORD), set())
 
 
 def _body_of(tag: str, page: str, start: int) -> int:
@@ -119,14 +128,59 @@ def _ends_of_dropped(page: str) -> dict[int, int]:
     return found
 
 
+#: Kinds that no element can be that holds most of the page's words and the article or its title.
+_FURNITURE = frozenset(("nav", "header", "footer", "aside", "form", "notice", "advert", "comments"))
+#: A block of so many words, or with half of them in links, looks like furniture.
+_SHORT, _LINKED = 6, 0.5
+
+
+@dataclass
+class _Container:
+    """An element of a kind: the blocks from ``start`` to ``end``."""
+
+    kind: str
+    hint: bool
+    tag: str
+    start: int
+    end: int = -1
+
+
+def _inside(held: list[_Container], rows: np.ndarray, titles: np.ndarray) -> np.ndarray:
+    """For each block and kind, whether the block lies in a container of the kind.
+
+    What holds most of the page's words (outside links) together with an article, main or h1 element is no furniture, nor
+    is a form that holds most of them; a hint counts for the blocks that look like furniture themselves.
+    """
+    n = len(rows)
+    words = np.concatenate([[0.0], np.cumsum(rows[:, 0] * (1 - rows[:, 1]))])
+    cores = np.zeros(n + 1)
+    cores[:n] += titles
+    for c in held:
+        cores[c.start] += c.tag in ("article", "main")
+    cores = np.concatenate([[0.0], np.cumsum(cores)])
+    sure, hinted = np.zeros((n + 1, len(CONTAINERS))), np.zeros((n + 1, len(CONTAINERS)))
+    for c in held:
+        most = 2 * (words[c.end] - words[c.start]) > words[-1]
+        if c.kind in _FURNITURE and most and (c.tag == "form" or cores[c.end] > cores[c.start]):
+            continue
+        k = CONTAINERS.index(c.kind)
+        (hinted if c.hint else sure)[c.start, k] += 1
+        (hinted if c.hint else sure)[c.end, k] -= 1
+    looks = (rows[:, 0] <= _SHORT) | (rows[:, 1] >= _LINKED)
+    return (np.cumsum(sure, axis=0)[:n] > 0) | (np.cumsum(hinted, axis=0)[:n] > 0) & looks[:, None]
+
+
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """Text and figures of every non-empty flat block, in page order."""
     found: list[tuple[str, list[float]]] = []
-    open_tags: list[tuple[str, frozenset[str]]] = []
-    depth = dict.fromkeys(CONTAINERS, 0)
+    open_tags: list[tuple[str, list[_Container]]] = []
+    count: Counter[str] = Counter()  # of the open tags
+    held: list[_Container] = []
+    titles: list[bool] = []
     parts: list[str] = []
     linked, has_article = 0, False
     mark = {"heading": 0.0, "list_item": 0.0, "cell": 0.0}
+    title = False
 
     def flush() -> None:
         nonlocal linked, parts
@@ -135,9 +189,17 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             n = text.count(" ") + 1
             found.append((text, [
                 n, min(1.0, linked / n), (len(text) - n + 1) / n, float(text[-1] in ".!?…:;\"'”»)"), sum(c.isupper() for c in text) / len(text),
-                mark["heading"], mark["list_item"], mark["cell"], *(float(depth[c] > 0) for c in CONTAINERS), 0.0]))
+                mark["heading"], mark["list_item"], mark["cell"]]))
+            titles.append(title)
         parts, linked = [], 0
 
+    def close() -> str:
+        tag, containers = open_tags.pop()
+        count[tag] -= 1
+        for c in containers:
+            c.end = len(found)
+        return tag
+
     at, links = 0, 0
     ends: dict[int, int] | None = None
     while at < len(page):
@@ -157,13 +219,10 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         if m["close"] or m["close2"]:
             if tag in BLOCK_TAGS:
                 flush()
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
-                    for name, kinds in open_tags[k:]:
-                        links -= name == "a"
-                        for kind in kinds:
-                            depth[kind] -= 1
-                    del open_tags[k:]
+            while count[tag]:  # an end tag without a start tag closes nothing
+                name = close()
+                links -= name == "a"
+                if name == tag:
                     break
         elif tag in DROPPED:
             if tag == "button":
@@ -178,21 +237,26 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
                 flush()
                 if tag in ("p", "li") or tag[0] == "h" and tag[1:].isdigit():  # these end an open paragraph
                     while open_tags and open_tags[-1][0] in ("p", "b", "i", "em", "strong", "span", "font", *(("li",) if tag == "li" else ())):
-                        for kind in open_tags.pop()[1]:
-                            depth[kind] -= 1
+                        close()
                 mark["heading"], mark["list_item"], mark["cell"] = float(tag in ("h1", "h2", "h3", "h4", "h5", "h6")), float(tag in ("li", "dt", "dd")), float(tag in ("td", "th"))
+                title = tag == "h1"
             elif tag == "br":
                 parts.append(" ")
             if tag not in VOID_TAGS and not attrs.endswith("/"):
-                kinds = frozenset(_containers(tag, attrs)) if tag in BLOCK_TAGS or "=" in attrs or "hidden" in attrs else frozenset()
-                open_tags.append((tag, kinds))
+                kinds, hints = _containers(tag, attrs) if tag in BLOCK_TAGS or "=" in attrs or "hidden" in attrs else ((), ())
+                containers = [_Container(kind, kind in hints, tag, len(found)) for kind in (*kinds, *hints)]
+                open_tags.append((tag, containers))
+                count[tag] += 1
                 links += tag == "a"
-                for kind in kinds:
-                    depth[kind] += 1
+                held += containers
                 has_article = has_article or "article" in kinds
     flush()
-    for _, row in found:
-        row[-1] = float(has_article)
+    while open_tags:
+        close()
+    if found:
+        inside = _inside(held, np.array([row for _, row in found]), np.array(titles, dtype=float))
+        for (_, row), kinds in zip(found, inside.astype(float).tolist(), strict=True):
+            row += [*kinds, float(has_article)]
     return found
 
 
