@@ -1,9 +1,8 @@
 """Line deduplication: an exact set-similarity join of lines.
 
 A line's tokens are its distinct lower-cased words. A line goes when an earlier line (by
-document id, then place) of the table has a Jaccard similarity of 0.8 or more with it. Lines
-of fewer than ``min_tokens`` distinct words always stay; with 1, as in the registered query,
-every line with a word takes part.
+document id, then place) of the table has a Jaccard similarity of 0.8 or more with it. Every
+line with a word takes part; ``min_tokens`` may ask for more distinct words, others then stay.
 
 1. Words are counted over all lines in a fixed table of hashed counters, which orders
    tokens by rarity: by counter, then by hash. Any total order that all lines share gives a
@@ -38,11 +37,13 @@ from .bloom import bitmap_of, passes, probe
 from .common import slices, staged, text_of
 from .words import hashed, mixed, raw, word_bounds
 
-PERCENT, MIN_TOKENS = 80, 5
+PERCENT, MIN_TOKENS = 80, 1
 #: Counters of the rarity order; 4 MB, whatever the corpus.
 COUNTERS = 1 << 20
 #: Lines of a token, at most, that one task holds as its index.
 HOT_LINES = 50_000
+#: Prefix tokens that one task holds on average; the parts of the token space follow from the counted tokens.
+PART_POSTINGS = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -388,13 +389,16 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     """(doc_id, line) of every line with a similar earlier line, from (doc_id: bigint, not null; text)."""
     spark = docs.sparkSession
     read = staged(docs.mapInArrow(_read_lines(min_tokens), _LINES), "lines")
-    counters = spark.sparkContext.broadcast(rarity(read))
+    counts = rarity(read)
+    counters = spark.sparkContext.broadcast(counts)
     lines = read.where("counts IS NULL").drop("counts")
     firsts = staged(lines.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")), "line-firsts")
     groups = firsts.where("n > 1").select("key1", "key2", "first")
     gone = staged(lines.join(groups, ["key1", "key2"]).where(F.struct("doc_id", "line") > F.col("first")).select("doc_id", "line").distinct(), "lines-equal")
-    first_filter = _filter_of(firsts.select(_line_filter(F.col("first.doc_id"), F.col("first.line").cast("long")).alias("h")))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first_lines = firsts.count()
+    first_filter = _filter_of(firsts.select(_line_filter(F.col("first.doc_id"), F.col("first.line").cast("long")).alias("h")), first_lines)
+    prefixes = int(counts.astype(np.int64).sum()) * (100 - percent) // 100 + first_lines
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prefixes // PART_POSTINGS))
 
     def candidates(again) -> DataFrame:
         postings = docs.mapInArrow(_postings(percent, min_tokens, parts, counters, hot_lines, first_filter, again), _POSTINGS)
@@ -417,22 +421,40 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     return settle(met.where("doc_a IS NOT NULL").join(open_.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_semi"))[1]
 
 
+def _one_text_an_id(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, hash, ...) with ``mine``: false for the rows whose id another text holds (the one of the smallest hash keeps it)."""
+    spark = rows.sparkSession
+    texts = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("hash").alias("chosen"), F.max("hash").alias("other"))
+    shared = staged(texts.where("chosen <> other").select("id", "chosen"), "lines-shared-ids")
+    n = shared.count()
+    if not n:
+        return rows.withColumn("mine", F.lit(True))
+    bits, slots = bitmap_of(shared.select(F.xxhash64("id").alias("h")), n)
+    marked = rows.withColumn("maybe", passes(spark, F.xxhash64("id"), bits, slots))
+    alone = marked.where("NOT maybe").withColumn("mine", F.lit(True)).drop("maybe")
+    met = marked.where("maybe").join(shared, "id", "left").withColumn("mine", F.expr("chosen IS NULL OR hash = chosen")).drop("maybe", "chosen")
+    return alone.unionByName(met)
+
+
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """All columns of ``docs`` with the text without its repeated lines, and ``n_lines``, ``n_removed``.
 
-    Lines end at a line feed. Ids name documents: rows that repeat an id should repeat its
-    text; they are one document, and none of its lines counts as earlier than itself. A row
-    with a null id takes no part and keeps its text, as do null (0 lines) and empty texts
-    (1 line). A document may lose all its lines; its text is then empty. An empty table gives
-    an empty result. Input columns named n_lines or n_removed are replaced.
+    Lines end at a line feed. Rows that repeat an id and its text are one document, and none of its
+    lines counts as earlier than itself. Where an id stands with different texts, the text of the smallest hash
+    is that document; rows with another one keep their text. A row with a null id takes no part and keeps its
+    text, as do null (0 lines) and empty texts (1 line). Long texts take part whole. A document may lose all its
+    lines; its text is then empty. An empty table gives an empty result. Input columns named n_lines or n_removed
+    are replaced; others, whatever their names, are passed through.
     """
     spark = docs.sparkSession
-    source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text")).where("doc_id IS NOT NULL")
-    gone = repeated_lines(source, percent, min_tokens=min_tokens)
-    per_doc = staged(gone.groupBy("doc_id").agg(F.collect_set("line").alias("__gone")).withColumnRenamed("doc_id", "__doc"), "lines-by-doc")
-    bits, slots = bitmap_of(per_doc.select(F.xxhash64("__doc").alias("h")), per_doc.count())
-    ident = docs[id_column].cast("long")
-    maybe = passes(spark, F.xxhash64(ident), bits, slots)
+    at, kept = {c: f"c{i}" for i, c in enumerate(docs.columns)}, [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    text = F.col(at[text_column]).cast("string")
+    rows = docs.toDF(*at.values()).withColumn("id", F.col(at[id_column]).cast("long")).withColumn("hash", F.xxhash64(F.coalesce(text, F.lit(""))))
+    rows = _one_text_an_id(rows)
+    gone = repeated_lines(rows.where("mine AND id IS NOT NULL").select(F.col("id").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")), percent, min_tokens=min_tokens)
+    per_doc = staged(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")).withColumnRenamed("doc_id", "doc"), "lines-by-doc")
+    bits, slots = bitmap_of(per_doc.select(F.xxhash64("doc").alias("h")), per_doc.count())
+    maybe = passes(spark, F.xxhash64("id"), bits, slots) & F.col("mine")
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, removed: pd.Series) -> pd.Series:
@@ -442,11 +464,10 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
             out.append(text if text is None or not drop else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop))
         return pd.Series(out, dtype=object)
 
-    text = docs[text_column].cast("string")
     lines = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("int")
-    counted = docs.withColumn("n_lines", lines).withColumn("__id", ident).withColumn("__maybe", maybe)
-    whole = counted.where("NOT __maybe").withColumn("n_removed", F.lit(0))
-    cut = counted.where("__maybe").join(per_doc, F.col("__id") == F.col("__doc"), "left")
-    cut = cut.withColumn(text_column, without(F.col(text_column).cast("string"), F.col("__gone"))).withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)))
-    keep = [*docs.columns, *(c for c in ("n_lines", "n_removed") if c not in docs.columns)]
-    return whole.select(*keep).unionByName(cut.select(*keep))
+    counted = rows.withColumn("n_lines", lines).withColumn("maybe", maybe)
+    whole = counted.where("NOT maybe").withColumn("n_removed", F.lit(0))
+    cut = counted.where("maybe").join(per_doc, F.col("id") == F.col("doc"), "left")
+    cut = cut.withColumn(at[text_column], without(text, F.col("gone"))).withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)))
+    result = [*(at[c] for c in kept), "n_lines", "n_removed"]
+    return whole.withColumn(at[text_column], text).select(*result).unionByName(cut.select(*result)).toDF(*kept, "n_lines", "n_removed")

@@ -115,7 +115,7 @@ def test_near_duplicates_edges(spark):
 
 def brute_lines(rows, percent=80):
     lines = [(d, k, frozenset(words_of(x))) for d, t in sorted(rows, key=lambda r: r[0]) for k, x in enumerate((t or "").split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= 5]
+    lines = [x for x in lines if x[2]]
     return {(d, k) for i, (d, k, s) in enumerate(lines) if any(100 * len(s & z) >= percent * len(s | z) for *_, z in lines[:i])}
 
 
@@ -200,3 +200,17 @@ def test_fingerprint_groups(spark):
     want = brute_components(rows, 5)
     got = {r.doc_id: r for r in fingerprint_groups(frame(spark, rows)).collect()}
     assert {d: r.group_id for d, r in got.items()} == {d: c for d, (_, c) in want.items()}
+
+
+def test_repeated_ids_lose_no_unique_text(spark):
+    from sousflow.llm.op2_line_dedup import line_dedup
+
+    first = "one two three four five six"
+    texts = [(1, first), (2, first), (2, "another text that differs fully here\nand more of it"), (3, "closing words of a third one"), (3, "closing words of a third one"), (None, first)]
+    docs = frame(spark, texts).withColumns({"id": F.lit("x"), "hash": F.lit("y"), "__maybe": F.lit(1), "__id": F.lit(2), "gone": F.lit(3), "n_removed": F.lit("old")})
+    out = line_dedup(docs).collect()
+    kept = sorted((r.doc_id or 0, r.text) for r in out)
+    # of the two texts of id 2 at most the equal line goes; the other one, unlike any other line, stays whole
+    assert (2, "another text that differs fully here\nand more of it") in kept and (1, first) in kept and (0, first) in kept
+    assert [x for x in kept if x[0] == 3] == [(3, "closing words of a third one")] * 2
+    assert all((r.id, r.hash, r["__maybe"], r["__id"], r.gone) == ("x", "y", 1, 2, 3) for r in out) and {r.n_removed for r in out} <= {0, 1}
