@@ -36,9 +36,10 @@ ORDER = 6
 #: Bound on the grams and on the words that are broadcast.
 MAX_ENTRIES = 1 << 21
 END = np.uint64(0x5E9D_0E9D_0E9D_0E9D)
-_FLUSH = 3_000_000
+#: Distinct keys of slices that a counting task holds before it adds them up and sends them.
+_FLUSH = 1_000_000
 #: Grams that a task sends together, and about how many grams to look up one task gets.
-_BLOCK_GRAMS, _PART_GRAMS = 2_000_000, 8_000_000
+_BLOCK_GRAMS, _PART_GRAMS = 1_000_000, 4_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
