@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import pickle
 import tempfile
 import uuid
@@ -29,6 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, which all executors share; a scratch one only where none is set."""
     folder = ensure_checkpoint_dir(spark)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sousflow-llm-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
@@ -56,7 +61,19 @@ def doc_key(column: Column) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
-
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which the worker gives freed memory back: Spark keeps workers waiting for further tasks."""
+    @functools.wraps(run)
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+    return within
 
 
 def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bitmap_of, passes, probe
-from .common import slices, staged, text_of
+from .common import frugal, slices, staged, text_of
 from .words import hashed, mixed, raw, word_bounds
 
 PERCENT, MIN_TOKENS = 80, 1
@@ -373,7 +373,7 @@ def sets_of_lines(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(doc_id, line, items) of the wanted distinct lines (doc_id, line) and by chance of a few others. No other line leaves its task."""
     wanted = staged(wanted, "line-ends")
     ends = wanted.select("doc_id", F.col("line").cast("long")).unionByName(wanted.select("doc_id", F.lit(_ANY_LINE).cast("long").alias("line")).distinct())
-    sets = docs.mapInArrow(_wanted_sets(_filter_of(ends.select(_line_filter(F.col("doc_id"), F.col("line")).alias("h"))), least), "doc_id bigint, line int, items binary")
+    sets = docs.mapInArrow(frugal(_wanted_sets(_filter_of(ends.select(_line_filter(F.col("doc_id"), F.col("line")).alias("h"))), least)), "doc_id bigint, line int, items binary")
     return staged(sets, "line-sets")
 
 
@@ -388,7 +388,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT_LINES, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, line) of every line with a similar earlier line, from (doc_id: bigint, not null; text)."""
     spark = docs.sparkSession
-    read = staged(docs.mapInArrow(_read_lines(min_tokens), _LINES), "lines")
+    read = staged(docs.mapInArrow(frugal(_read_lines(min_tokens)), _LINES), "lines")
     counts = rarity(read)
     counters = spark.sparkContext.broadcast(counts)
     lines = read.where("counts IS NULL").drop("counts")
@@ -401,8 +401,8 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prefixes // PART_POSTINGS))
 
     def candidates(again) -> DataFrame:
-        postings = docs.mapInArrow(_postings(percent, min_tokens, parts, counters, hot_lines, first_filter, again), _POSTINGS)
-        return staged(postings.repartition(parts, "part").mapInArrow(_candidates(percent, again is not None), "doc_a bigint, line_a int, doc_b bigint, line_b int"), "line-pairs")
+        postings = docs.mapInArrow(frugal(_postings(percent, min_tokens, parts, counters, hot_lines, first_filter, again)), _POSTINGS)
+        return staged(postings.repartition(parts, "part").mapInArrow(frugal(_candidates(percent, again is not None)), "doc_a bigint, line_a int, doc_b bigint, line_b int"), "line-pairs")
 
     def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = staged(pairs.distinct(), "line-candidates")

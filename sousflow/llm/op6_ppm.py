@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, shared, slices, staged, text_of
+from .common import doc_key, frugal, shared, slices, staged, text_of
 from .words import SEPARATOR, hashed, mixed, raw, word_bounds
 
 ORDER = 6
@@ -308,7 +308,7 @@ def _with_symbols(grams: DataFrame, order: int) -> DataFrame:
 
 def _gram_logs(grams: DataFrame) -> DataFrame:
     """(key, n, log) of all distinct grams (key, n), those of held-out texts alone with n = 0."""
-    first = staged(_with_symbols(grams, ORDER).mapInArrow(_longest, _LOGS), "ppm-logs")
+    first = staged(_with_symbols(grams, ORDER).mapInArrow(frugal(_longest), _LOGS), "ppm-logs")
     done, open_ = [first.where("log IS NOT NULL")], first.where("log IS NULL")
     grams = grams.where("n > 0")
     for k in range(ORDER - 1, -1, -1):
@@ -317,7 +317,7 @@ def _gram_logs(grams: DataFrame) -> DataFrame:
         grams = staged(grams.groupBy(F.col("key").bitwiseAND(F.lit(int(_mask(k + 1)))).alias("key")).agg(F.sum("n").alias("n")), "ppm-order")
         met = open_.withColumn("context", _context(k))
         wanted = grams.withColumn("context", _context(k)).join(met.select("context").distinct(), "context", "left_semi")
-        step = staged(met.join(_with_symbols(wanted, k), "context", "left").select("key", "so_far", "seen", "e").mapInArrow(_shorter(k == 0), _LOGS), "ppm-logs")
+        step = staged(met.join(_with_symbols(wanted, k), "context", "left").select("key", "so_far", "seen", "e").mapInArrow(frugal(_shorter(k == 0)), _LOGS), "ppm-logs")
         done.append(step.where("log IS NOT NULL"))
         open_ = step.where("log IS NULL")
     out = done[0].select("key", "n", "log")
@@ -342,7 +342,7 @@ class Model:
 
 def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
     """Count (text) of all rows that are not ``held_out``."""
-    counts = docs.select("text", "held_out").mapInArrow(_gather, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts = docs.select("text", "held_out").mapInArrow(frugal(_gather), "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = staged(counts, "ppm-counts", ("kind",))
     often = F.col("n") * max_entries
     sums = {r.kind: (r.n, r.distinct) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
@@ -493,7 +493,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         yield from flush()
 
     # texts, and the grams to look up, in one pass and one shuffle
-    both = rows.mapInArrow(run, f"{texts_schema}, block bigint, part int, grams binary, sizes binary, texts binary")
+    both = rows.mapInArrow(frugal(run), f"{texts_schema}, block bigint, part int, grams binary, sizes binary, texts binary")
     logs = model.grams.withColumn("part", _part_of(parts)(F.col("key")))
     found = both.groupBy("part").cogroup(logs.groupBy("part")).applyInArrow(_looked_up, f"{texts_schema}, block bigint, part int, texts binary, sums binary")
     found = staged(found, "ppm-rows")
