@@ -4,17 +4,20 @@ The model file, a protocol buffer, is parsed field by field; from it are rebuilt
 (precompiled character map, white space rules, the metaspace marker U+2581), the unigram
 scores or the merges of a BPE model in order of their scores, and the byte fallback. The driver
 builds the tokenizer once and sends it to the tasks as JSON; batches are encoded by a bounded
-number of threads. Parity with the sentencepiece library is a function of its own and is
-checked by the query for every document.
+number of threads. Where no piece crosses a word's start, each distinct word is encoded and decoded
+once by the library and texts are put together from words. Parity with the sentencepiece library is
+checked by the query for every whole document.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,9 @@ UNIGRAM, BPE = 1, 2
 #: Text encoded in one call; a token takes some hundred bytes until its ids are taken out.
 BATCH_BYTES = 1 << 20
 THREADS = 2
+#: Words kept by a task with their ids; beyond that it starts anew. A longer word is kept for its own slice only.
+KEPT_WORDS, KEPT_CHARS = 1 << 16, 64
+_WORD = f"{MARK}*[^{MARK}]+|{MARK}+"
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -105,6 +111,11 @@ def _merges(model: Model) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(found)]
 
 
+def _by_words(model: Model) -> bool:
+    """Whether no piece runs on from a letter over a marker, so that words can be encoded one by one."""
+    return not any(MARK in piece[1:].lstrip(MARK) or (MARK in piece and piece.strip(MARK) and not piece.startswith(MARK)) for piece, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED))
+
+
 def build_tokenizer(model: Model):
     """The same tokenizer for the tokenizers library."""
     from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -123,9 +134,8 @@ def build_tokenizer(model: Model):
         rules += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip(left=True, right=True)]
     rules += [normalizers.Prepend(MARK)] if model.add_dummy_prefix else []
     tokenizer.normalizer = normalizers.Sequence([*rules, normalizers.Replace(" ", MARK)])
-    if not any(MARK in piece[1:].lstrip(MARK) or (MARK in piece and piece.strip(MARK) and not piece.startswith(MARK)) for piece, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED)):
-        # no piece runs on from a letter over a marker, so words can be encoded one by one
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+    if _by_words(model):
+        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(_WORD), "isolated")
     if user := [AddedToken(p, normalized=True, special=False) for p, _, kind in model.pieces if kind == USER_DEFINED]:
         tokenizer.add_tokens(user)
     strip = [decoders.Strip(" ", 1, 0)] if model.add_dummy_prefix else []
@@ -146,6 +156,86 @@ def normalised(model: Model, text: str, tokenizer) -> str:
     return out[1:] if model.add_dummy_prefix and out.startswith(" ") else out
 
 
+class Coder:
+    """Encodes and decodes lists of texts in a task; ``by_words`` from its rules, found on the driver."""
+
+    def __init__(self, tokenizer: str, model_rules: tuple[bool, bool, bool], threads: int):
+        _threads(threads)
+        from tokenizers import Tokenizer, decoders, normalizers
+
+        self.tokenizer = Tokenizer.from_str(tokenizer)
+        by_words, self.plain, self.prefix = model_rules
+        self.words = None
+        if by_words:
+            # the same model for words that are normalised already, and a decoder that leaves the leading space
+            self.words = Tokenizer.from_str(tokenizer)
+            self.words.normalizer = normalizers.Sequence([])
+            self.words.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
+            self.starts = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            for piece, number in self.tokenizer.get_vocab().items():
+                self.starts[number] = piece.startswith(MARK)
+        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept_texts: dict[tuple[int, ...], str] = {}
+
+    @staticmethod
+    def rules(model: Model) -> tuple[bool, bool, bool]:
+        """Whether words suffice, whether normalising only marks white space, and whether a marker is put in front."""
+        user = any(kind == USER_DEFINED for _, _, kind in model.pieces)
+        marks = any(piece == MARK and kind == NORMAL for piece, _, kind in model.pieces)
+        return _by_words(model) and marks and not user, not model.charsmap and not model.remove_extra_whitespaces, model.add_dummy_prefix
+
+    def _split(self, text: str) -> list[str]:
+        if self.plain:
+            marked = (MARK if self.prefix and text else "") + text.replace(" ", MARK)
+        else:
+            marked = self.tokenizer.normalizer.normalize_str(text)
+        return re.findall(_WORD, marked)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text: distinct words not seen yet go to the library in one batch."""
+        if self.words is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        split = [self._split(text) for text in texts]
+        ids = self.kept
+        new = list(set(chain.from_iterable(split)) - ids.keys())
+        ids.update(zip(new, (tuple(e.ids) for e in self.words.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        out = [list(chain.from_iterable(map(ids.__getitem__, found))) for found in split]
+        if len(ids) > KEPT_WORDS:
+            ids.clear()
+        else:
+            for word in new:
+                if len(word) > KEPT_CHARS:
+                    del ids[word]
+        return out
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        """The text of each list of ids: cut before each piece that starts a word, distinct runs of ids go to the library in one batch."""
+        if self.words is None:
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        runs = [self._runs(x) for x in ids]
+        texts = self.kept_texts
+        new = list(set(chain.from_iterable(runs)) - texts.keys())
+        texts.update(zip(new, self.words.decode_batch(new, skip_special_tokens=False), strict=True))
+        out = ["".join(map(texts.__getitem__, found)) for found in runs]
+        if len(texts) > KEPT_WORDS:
+            texts.clear()
+        else:
+            for run in new:
+                if len(run) > KEPT_CHARS:
+                    del texts[run]
+        return [x[1:] if self.prefix and x.startswith(" ") else x for x in out]
+
+    def _runs(self, ids: list[int]) -> list[tuple[int, ...]]:
+        """Consecutive ids, cut before each piece that starts with a marker; byte pieces never do, so no character is cut."""
+        if not ids:
+            return []
+        x = np.asarray(ids)
+        known = (x >= 0) & (x < len(self.starts))
+        cuts = np.flatnonzero(self.starts[np.where(known, x, 0)] & known).tolist()
+        ends = [*cuts, len(ids)] if cuts and cuts[0] == 0 else [0, *cuts, len(ids)]
+        return [tuple(ids[a:b]) for a, b in zip(ends, ends[1:])]
+
+
 def model_bytes(path: str | None = None) -> bytes:
     """The model file, read on the driver; by default that of the installed public tokenizers."""
     if path is None:
@@ -158,17 +248,15 @@ def model_bytes(path: str | None = None) -> bytes:
 
 def encode(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_column: str = "text", threads: int = THREADS) -> DataFrame:
     """doc_id and ids (array of int) of every row; a null or empty text has no ids, ids of rows are passed through."""
-    shared = docs.sparkSession.sparkContext.broadcast(build_tokenizer(parse_model(data)).to_str())
+    model = parse_model(data)
+    rules, shared = Coder.rules(model), docs.sparkSession.sparkContext.broadcast(build_tokenizer(model).to_str())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _threads(threads)
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
+        coder = Coder(shared.value, rules, threads)
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
-                found = tokenizer.encode_batch_fast(batch.column("text").to_pylist(), add_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([np.array(e.ids, np.int32) for e in found], pa.list_(pa.int32()))], ["doc_id", "ids"])
+                found = coder.encode(batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([np.array(x, np.int32) for x in found], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -176,17 +264,15 @@ def encode(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_column:
 
 def decode(ids: DataFrame, data: bytes, threads: int = THREADS) -> DataFrame:
     """doc_id and text of every row of (doc_id, ids); null ids give an empty text."""
-    shared = ids.sparkSession.sparkContext.broadcast(build_tokenizer(parse_model(data)).to_str())
+    model = parse_model(data)
+    rules, shared = Coder.rules(model), ids.sparkSession.sparkContext.broadcast(build_tokenizer(model).to_str())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _threads(threads)
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
+        coder = Coder(shared.value, rules, threads)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                texts = tokenizer.decode_batch([x or [] for x in part.column("ids").to_pylist()], skip_special_tokens=False)
+                texts = coder.decode([x or [] for x in part.column("ids").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return ids.select(ids["doc_id"].cast("long").alias("doc_id"), ids["ids"].cast("array<int>").alias("ids")).mapInArrow(run, "doc_id bigint, text string")
@@ -198,17 +284,16 @@ def round_trip(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_col
     ``ids_sha256`` is of the ids as little-endian 32-bit integers. ``round_trip`` says whether
     decoding gives the normalised text, ``parity`` whether the sentencepiece library gives the
     same ids (null unless asked for). A null text counts as empty: no ids, decoded to the empty
-    text. Ids are passed through, null or repeated; an empty table gives an empty result.
+    text, a very long one is handled whole in a slice of its own. Ids are passed through, null or
+    repeated; other columns, whatever their names, are not read; an empty table gives an empty result.
     """
     model = parse_model(data)
+    rules = Coder.rules(model)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((build_tokenizer(model).to_str(), data if parity else b""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _threads(threads)
-        from tokenizers import Tokenizer
-
-        tokenizer, reference = Tokenizer.from_str(shared.value[0]), None
+        coder, reference = Coder(shared.value[0], rules, threads), None
         if parity:
             from sentencepiece import SentencePieceProcessor
 
@@ -216,14 +301,14 @@ def round_trip(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_col
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
                 texts = batch.column("text").to_pylist()
-                ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                decoded = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                ids = coder.encode(texts)
+                decoded = coder.decode(ids)
                 same = [a == b for a, b in zip(ids, reference.encode(texts, num_threads=threads), strict=True)] if reference else [None] * len(ids)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(np.array(x, "<i4").tobytes()).hexdigest() for x in ids], pa.string()),
                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
-                    pa.array([normalised(model, t, tokenizer) == x for t, x in zip(texts, decoded, strict=True)], pa.bool_()),
+                    pa.array([normalised(model, t, coder.tokenizer) == x for t, x in zip(texts, decoded, strict=True)], pa.bool_()),
                     pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity"])
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sousflow.llm import op4_html_text, op5_quality_fm, op6_ppm, op9_pii
-from sousflow.llm.op10_sentencepiece import BPE, build_tokenizer, decode, encode, model_bytes, normalised, parse_model, round_trip
+from sousflow.llm.op10_sentencepiece import BPE, Coder, build_tokenizer, decode, encode, model_bytes, normalised, parse_model, round_trip
 
 SF = "/root/testdata/sf0.001"
 
@@ -261,6 +261,27 @@ def test_parity_with_the_library(spark):
     assert [back[10_000 + i] for i in range(len(ODD))] == [t.replace("▁", " ") for t in ODD] and back[10_000 + len(ODD)] == ""
 
 
+@pytest.mark.parametrize("kept", [1, 1 << 16])
+def test_words_once_equal_whole_texts(monkeypatch, kept):
+    """Ids and texts put together from distinct words are those of the library on whole texts, also when the kept words are dropped."""
+    from sousflow.llm import op10_sentencepiece
+
+    monkeypatch.setattr(op10_sentencepiece, "KEPT_WORDS", kept)
+    model = parse_model(model_bytes())
+    tokenizer = build_tokenizer(model)
+    coder = Coder(tokenizer.to_str(), Coder.rules(model), 2)
+    assert coder.words is not None
+    rng = random.Random(11)
+    alphabet = ["a", "the", "é", " ", "  ", "▁", "\n", "日本", "😀", "\u0301", "\x00", "<0x41>", "x" * 90, "\r\n", "Word", "-", "1234"]
+    texts = [*ODD, *("".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(400)), "long " * 50_000, "z" * 20_000]
+    for part in (texts[:200], texts[200:], texts[:5], []):
+        want = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        assert coder.encode(part) == want
+        assert coder.decode(want) == tokenizer.decode_batch(want, skip_special_tokens=False)
+    loose = [[rng.randrange(len(model.pieces)) for _ in range(rng.randrange(12))] for _ in range(300)]  # ids that no text gives
+    assert coder.decode(loose) == tokenizer.decode_batch(loose, skip_special_tokens=False)
+
+
 def _varint(n):
     out = b""
     while True:
@@ -293,3 +314,5 @@ def test_a_unigram_model_written_by_hand():
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert ids == library.encode(text), text
         assert tokenizer.decode(ids, skip_special_tokens=False) == normalised(model, text, tokenizer)
+        coder = Coder(tokenizer.to_str(), Coder.rules(model), 2)
+        assert coder.words is not None and coder.encode([text]) == [ids] and coder.decode([ids]) == [normalised(model, text, tokenizer)]
