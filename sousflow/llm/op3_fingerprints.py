@@ -7,7 +7,8 @@ has the last 16 bits of each entry in hex. The share of equal entries of two fin
 estimates the Jaccard similarity of their sets.
 
 ``fingerprint_groups`` joins bands of the entries in Spark and verifies Jaccard on the full sets;
-``fingerprints`` compares each document with an edited text and with the next document.
+``fingerprints`` compares each document with an edited text and with the next document and, where
+asked, gives each its group.
 """
 
 from __future__ import annotations
@@ -77,35 +78,43 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _compare(rows: list[tuple[int | None, str]], following: list[str]) -> pa.RecordBatch:
-    texts = [text for _, text in rows]
+def _compare(rows: list[tuple], following: list[str]) -> pa.RecordBatch:
+    texts = [row[1] for row in rows]
     changed = [edited(text, other) for text, other in zip(texts, following, strict=True)]
     all_entries = _entries([*texts, following[-1]])
     own, other = all_entries[:-1], all_entries[1:]
     after = _entries(changed)
     return pa.RecordBatch.from_arrays([
-        pa.array([i for i, _ in rows], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
+        pa.array([row[0] for row in rows], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()), pa.array(printed(own), pa.string()), pa.array(printed(after), pa.string()),
-        pa.array(likeness(own, after), pa.float64()), pa.array(likeness(own, other), pa.float64())],
-        ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+        pa.array(likeness(own, after), pa.float64()), pa.array(likeness(own, other), pa.float64()),
+        pa.array([row[2] for row in rows], pa.int64()), pa.array([row[3] for row in rows], pa.int64())],
+        ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id", "group_id"])
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows of ranges, each with the first row of the next range as its tail; every row meets its successor."""
-    rows: list[tuple[int | None, str]] = []  # successive rows of one range; the last waits for its successor
+    """Sorted rows of ranges, each with the first row of the next range as its tail; every row meets its successor.
+
+    A row without text carries the class and group of the id that follows it.
+    """
+    rows: list[tuple] = []  # successive rows of one range; the last waits for its successor
     size, here, closed = 0, None, True
+    named: tuple = (None, None, None)
     for whole in batches:
         for batch in slices(whole, "text"):
-            for part, tail, doc, text in zip(batch.column("part").to_pylist(), batch.column("tail").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for part, tail, doc, text, cls, group in zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "text", "class_id", "group_id")), strict=True):
                 if part != here:
                     here, rows, size, closed = part, [], 0, False
+                if text is None:
+                    named = (doc, cls, group)
+                    continue
                 if closed:
                     continue  # a further row with the id of the tail
-                rows.append((doc, text))
+                rows.append((doc, text, *(named[1:] if doc is not None and doc == named[0] else (None, None))))
                 size += len(text)
                 if tail or size > SLICE_BYTES and len(rows) > 1:
                     if len(rows) > 1:
-                        yield _compare(rows[:-1], [t for _, t in rows[1:]])
+                        yield _compare(rows[:-1], [row[1] for row in rows[1:]])
                     rows, size, closed = rows[-1:], len(rows[-1][1]), bool(tail)
 
 
@@ -119,8 +128,11 @@ def _ranged(bounds: np.ndarray):
     return run
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", groups: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row; class_id, group_id with ``groups``.
+
+    ``groups`` is the result of :func:`fingerprint_groups`; where an id stands with different texts,
+    its rows carry the smallest class and group of them. A null id has neither.
 
     The next document is the one after in the order of id, then of the text's hash; after the last
     comes the first. A null id comes before all others, a null text counts as empty; an empty
@@ -129,6 +141,8 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Rows are dealt by ranges of the id of about equal size, cut at ids of the table; the
     first row of each range goes to the range before it as well, so no row is looked up elsewhere.
+    Classes and groups are dealt to the same ranges as rows of three numbers, so neither texts nor
+    fingerprints are shuffled for them. A very long text is handled alone. Other columns are not read.
     """
     spark = docs.sparkSession
     text = text_of(docs, text_column)
@@ -149,9 +163,15 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     to_last = F.when(F.col("doc_id").eqNullSafe(F.lit(first["doc_id"] if first else None).cast("long")) & (F.col("th") == F.lit(first["th"] if first else 0)),
                      F.struct(F.lit(len(bounds)).alias("part"), F.lit(True).alias("tail")))
     copies = dealt.select("doc_id", "text", "th", F.explode(F.filter(F.array(own, before, to_last), lambda x: x.isNotNull())).alias("to"))
-    sorted_rows = (copies.select("doc_id", "text", "th", "to.part", "to.tail").repartition(parts, "part")
-                   .sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_first(), "th").select("part", "tail", "doc_id", "text"))
-    return sorted_rows.mapInArrow(_walk, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    dealt = copies.select("doc_id", "text", "th", "to.part", "to.tail", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("group_id"))
+    if groups is not None:
+        named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("group_id").alias("group_id"))
+        dealt = dealt.unionByName(named.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("long").alias("th"),
+                                               _ranged(bounds)(F.col("doc_id"))["part"].alias("part"), F.lit(False).alias("tail"), "class_id", "group_id"))
+    sorted_rows = (dealt.repartition(parts, "part").sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_first(), F.col("th").asc_nulls_first())
+                   .select("part", "tail", "doc_id", "text", "class_id", "group_id"))
+    out = sorted_rows.mapInArrow(_walk, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, class_id bigint, group_id bigint")
+    return out if groups is not None else out.drop("class_id", "group_id")
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

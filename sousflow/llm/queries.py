@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .op1_exact_dedup import exact_dedup
 from .op2_line_dedup import line_dedup
-from .op3_fingerprints import fingerprints
+from .op3_fingerprints import fingerprint_groups, fingerprints
 from .op4_html_text import extract_text
 from .op5_quality_fm import quality
 from .op6_ppm import score
@@ -34,8 +34,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts."""
-    return fingerprints(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents and of their edited texts, with the groups of near copies that share a band."""
+    docs = table(spark, sf_dir, "documents")
+    return fingerprints(docs, groups=fingerprint_groups(docs))
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
