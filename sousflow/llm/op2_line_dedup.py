@@ -10,7 +10,7 @@ line with a word takes part; ``min_tokens`` may ask for more distinct words, oth
 2. Equal token sets are settled by a group: all but the first line go.
 3. Each remaining line whose size lets another set be similar (at 0.8 four tokens and more) sends the rare prefix of its tokens, n - ceil(0.8 n) + 1 of them, to the
    task of each token. There it meets the earlier lines of the token that pass the length
-   filter, the positional filter and an odd sketch of 128 bits, a lower bound of the symmetric
+   filter, the positional filter and an odd sketch of 64 bits, a lower bound of the symmetric
    difference. It keeps one of them: the first whose sketch is well below the allowed
    difference, or else the one with the nearest sketch.
 4. Those pairs are verified on the full sets. A line that is not settled by it and has
@@ -77,12 +77,20 @@ def _words_of_lines(column: pa.Array) -> tuple[np.ndarray, ...]:
     return hashed(data, starts, ends), text, line, np.searchsorted(starts, begin)
 
 
-def line_tokens(column: pa.Array, least: int) -> Lines:
-    """The lines of all texts of a batch with ``least`` distinct words and more, sorted and made distinct together."""
+def line_tokens(column: pa.Array, least: int, lines_wanted=None, words_wanted=None) -> Lines:
+    """The lines of all texts of a batch with ``least`` distinct words and more, sorted and made distinct together.
+
+    ``lines_wanted`` (text, line) and ``words_wanted`` (word hashes; one word is enough) leave lines out before that.
+    """
     hashes, text, line, cut = _words_of_lines(column)
     sizes = np.diff(cut)
     keep = sizes >= least
+    if lines_wanted is not None:
+        keep[keep] = lines_wanted(text[keep], line[keep])
     hashes, sizes, text, line = hashes[np.repeat(keep, sizes)], sizes[keep], text[keep], line[keep]
+    if words_wanted is not None and len(sizes):
+        keep = np.logical_or.reduceat(words_wanted(hashes), np.cumsum(sizes) - sizes)
+        hashes, sizes, text, line = hashes[np.repeat(keep, sizes)], sizes[keep], text[keep], line[keep]
     owner = np.repeat(np.arange(len(sizes)), sizes)
     rough = (owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
     order = np.argsort(rough)
@@ -145,8 +153,9 @@ def rarity(read: DataFrame) -> np.ndarray:
     return np.minimum(out, 2**32 - 1).astype(np.uint32)
 
 
-_COLUMNS = (("token", np.uint64), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch1", np.uint64), ("sketch2", np.uint64), ("share", np.uint32), ("flags", np.uint8))
-_RANDOM = ("token", "sketch1", "sketch2")  # of these columns nothing can be squeezed
+# of a token its upper half: tokens that share it in a part only meet in vain
+_COLUMNS = (("token", np.uint32), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch", np.uint64), ("share", np.uint32), ("flags", np.uint8))
+_RANDOM = ("token", "sketch")  # of these columns nothing can be squeezed
 _POSTINGS = "part int, " + ", ".join(f"{name} binary" for name, _ in _COLUMNS)
 _OWN, _OPEN = 1, 2
 
@@ -159,23 +168,17 @@ def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts,
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _parts(batches):
-            x = line_tokens(texts, least)
+            x = line_tokens(texts, least, lambda text, line, ids=ids: probe(line_key(ids[text], line), *firsts()), again and (lambda h: probe(h, *again()[0])))
             x = x.take(100 * x.sizes >= percent * (x.sizes + 1))  # a smaller set is similar to its equals alone
-            x = x.take(probe(line_key(ids[x.text], x.line), *firsts()))
-            if again and len(x.line):
-                hit = probe(x.tokens, *again()[0])
-                x = x.take(np.logical_or.reduceat(hit, x.cut[:-1]))
             if not len(x.line):
                 continue
             sizes, tokens = x.sizes, x.tokens
             owner = np.repeat(np.arange(len(sizes)), sizes)
             count = counters.value[(tokens % np.uint64(COUNTERS)).astype(np.int64)]
-            # tokens stand in order within their line, so ties of the upper halves keep one order everywhere
-            order = np.lexsort(((count.astype(np.uint64) << np.uint64(32)) | (tokens >> np.uint64(32)), owner))
+            # tokens stand in order within their line, so ties keep one order everywhere
+            order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | count.astype(np.uint64), kind="stable")
             place = np.arange(len(tokens)) - x.cut[:-1][owner]
-            place_bits = (tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(57)  # one of 128
-            bits = np.uint64(1) << (place_bits & np.uint64(63))
-            sketch1, sketch2 = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), x.cut[:-1]) for half in (place_bits < 64, place_bits >= 64))
+            sketch = np.bitwise_xor.reduceat(np.uint64(1) << ((tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58)), x.cut[:-1])
             keep = place < (sizes - (percent * sizes + 99) // 100 + 1)[owner]
             order, row, pos = order[keep], owner[keep], place[keep]
             token, count = tokens[order], count[order]
@@ -196,7 +199,7 @@ def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts,
             part = ((token + share.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(33)) % np.uint64(parts)
             by = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[by], prepend=np.uint64(parts)))
-            values = dict(token=token, doc=doc[row], line=x.line[row], n=sizes[row], pos=pos, sketch1=sketch1[row], sketch2=sketch2[row], share=share, flags=flags)
+            values = dict(token=token >> np.uint64(32), doc=doc[row], line=x.line[row], n=sizes[row], pos=pos, sketch=sketch[row], share=share, flags=flags)
             packed = ([v.tobytes() if name in _RANDOM else zlib.compress(v.tobytes(), 1) for v in np.split(values[name][by].astype(kind), cuts[1:])] for name, kind in _COLUMNS)
             yield pa.RecordBatch.from_arrays([pa.array(part[by][cuts].astype(np.int32)), *(pa.array(v, pa.binary()) for v in packed)], ["part", *(name for name, _ in _COLUMNS)])
     return run
@@ -213,7 +216,7 @@ def _compare(x: dict[str, np.ndarray], a, b: np.ndarray, percent: int) -> tuple[
     need = _alpha(n, m, percent)
     ok = (x["flags"][a] & _OWN > 0) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
     ok &= np.minimum(n - x["pos"][a], m - x["pos"][b]) >= need
-    apart = np.bitwise_count(x["sketch1"][a] ^ x["sketch1"][b]).astype(np.int64) + np.bitwise_count(x["sketch2"][a] ^ x["sketch2"][b])
+    apart = np.bitwise_count(x["sketch"][a] ^ x["sketch"][b]).astype(np.int64)
     allowed = n + m - 2 * need
     return ok & (apart <= allowed) & ((x["doc"][a] != x["doc"][b]) | (x["line"][a] != x["line"][b])), apart, allowed
 
@@ -328,8 +331,7 @@ def _wanted_sets(wanted, least: int):
         for whole in batches:
             ids = whole.column("doc_id").to_numpy()
             for ids, texts in _parts([whole.filter(pa.array(probe(line_key(ids, np.full(len(ids), _ANY_LINE)), *wanted())))]):
-                x = line_tokens(texts, least)
-                x = x.take(probe(line_key(ids[x.text], x.line), *wanted()))
+                x = line_tokens(texts, least, lambda text, line, ids=ids: probe(line_key(ids[text], line), *wanted()))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), pa.array([t.tobytes() for t in np.split(x.tokens, x.cut[1:-1])] if len(x.line) else [], pa.binary())],
                     ["doc_id", "line", "items"])

@@ -158,7 +158,7 @@ def test_large_buckets_agree_with_small_ones():
     n = 400
     x = {name: np.zeros(n, kind) for name, kind in _COLUMNS}
     x["doc"], x["n"], x["flags"] = np.arange(n), np.full(n, 20, np.uint32), np.full(n, 3, np.uint8)
-    x["sketch1"] = np.uint64(1) << rng.integers(0, 12, n).astype(np.uint64)
+    x["sketch"] = np.uint64(1) << rng.integers(0, 12, n).astype(np.uint64)
     one = bucket_pairs({k: v.copy() for k, v in x.items()}, 80, all_of_open=True)
     parts = bucket_pairs({k: v[:200].copy() for k, v in x.items()}, 80, all_of_open=True)
     first = {(a, b) for a, b in zip(*(v.tolist() for v in one[:2])) if b < 200}
