@@ -10,7 +10,7 @@ line with a word takes part; ``min_tokens`` may ask for more distinct words, oth
 2. Equal token sets are settled by a group: all but the first line go.
 3. Each remaining line whose size lets another set be similar (at 0.8 four tokens and more) sends the rare prefix of its tokens, n - ceil(0.8 n) + 1 of them, to the
    task of each token. There it meets the earlier lines of the token that pass the length
-   filter, the positional filter and an odd sketch of 64 bits, a lower bound of the symmetric
+   filter, the positional filter and an odd sketch of 128 bits, a lower bound of the symmetric
    difference. It keeps one of them: the first whose sketch is well below the allowed
    difference, or else the one with the nearest sketch.
 4. Those pairs are verified on the full sets. A line that is not settled by it and has
@@ -154,8 +154,8 @@ def rarity(read: DataFrame) -> np.ndarray:
 
 
 # of a token its upper half: tokens that share it in a part only meet in vain
-_COLUMNS = (("token", np.uint32), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch", np.uint64), ("share", np.uint32), ("flags", np.uint8))
-_RANDOM = ("token", "sketch")  # of these columns nothing can be squeezed
+_COLUMNS = (("token", np.uint32), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch1", np.uint64), ("sketch2", np.uint64), ("share", np.uint32), ("flags", np.uint8))
+_RANDOM = ("token", "sketch1", "sketch2")  # of these columns nothing can be squeezed
 _POSTINGS = "part int, " + ", ".join(f"{name} binary" for name, _ in _COLUMNS)
 _OWN, _OPEN = 1, 2
 
@@ -178,7 +178,9 @@ def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts,
             # tokens stand in order within their line, so ties keep one order everywhere
             order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | count.astype(np.uint64), kind="stable")
             place = np.arange(len(tokens)) - x.cut[:-1][owner]
-            sketch = np.bitwise_xor.reduceat(np.uint64(1) << ((tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58)), x.cut[:-1])
+            place_bits = (tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(57)  # one of 128
+            bits = np.uint64(1) << (place_bits & np.uint64(63))
+            sketch1, sketch2 = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), x.cut[:-1]) for half in (place_bits < 64, place_bits >= 64))
             keep = place < (sizes - (percent * sizes + 99) // 100 + 1)[owner]
             order, row, pos = order[keep], owner[keep], place[keep]
             token, count = tokens[order], count[order]
@@ -199,7 +201,7 @@ def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts,
             part = ((token + share.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(33)) % np.uint64(parts)
             by = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[by], prepend=np.uint64(parts)))
-            values = dict(token=token >> np.uint64(32), doc=doc[row], line=x.line[row], n=sizes[row], pos=pos, sketch=sketch[row], share=share, flags=flags)
+            values = dict(token=token >> np.uint64(32), doc=doc[row], line=x.line[row], n=sizes[row], pos=pos, sketch1=sketch1[row], sketch2=sketch2[row], share=share, flags=flags)
             packed = ([v.tobytes() if name in _RANDOM else zlib.compress(v.tobytes(), 1) for v in np.split(values[name][by].astype(kind), cuts[1:])] for name, kind in _COLUMNS)
             yield pa.RecordBatch.from_arrays([pa.array(part[by][cuts].astype(np.int32)), *(pa.array(v, pa.binary()) for v in packed)], ["part", *(name for name, _ in _COLUMNS)])
     return run
@@ -216,7 +218,7 @@ def _compare(x: dict[str, np.ndarray], a, b: np.ndarray, percent: int) -> tuple[
     need = _alpha(n, m, percent)
     ok = (x["flags"][a] & _OWN > 0) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
     ok &= np.minimum(n - x["pos"][a], m - x["pos"][b]) >= need
-    apart = np.bitwise_count(x["sketch"][a] ^ x["sketch"][b]).astype(np.int64)
+    apart = np.bitwise_count(x["sketch1"][a] ^ x["sketch1"][b]).astype(np.int64) + np.bitwise_count(x["sketch2"][a] ^ x["sketch2"][b])
     allowed = n + m - 2 * need
     return ok & (apart <= allowed) & ((x["doc"][a] != x["doc"][b]) | (x["line"][a] != x["line"][b])), apart, allowed
 
@@ -469,7 +471,8 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     lines = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("int")
     counted = rows.withColumn("n_lines", lines).withColumn("maybe", maybe)
     whole = counted.where("NOT maybe").withColumn("n_removed", F.lit(0))
-    cut = counted.where("maybe").join(per_doc, F.col("id") == F.col("doc"), "left")
+    # the numbers grow with the corpus: merged at every size, never broadcast
+    cut = counted.where("maybe").join(per_doc.hint("merge"), F.col("id") == F.col("doc"), "left")
     cut = cut.withColumn(at[text_column], without(text, F.col("gone"))).withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)))
     result = [*(at[c] for c in kept), "n_lines", "n_removed"]
     return whole.withColumn(at[text_column], text).select(*result).unionByName(cut.select(*result)).toDF(*kept, "n_lines", "n_removed")
