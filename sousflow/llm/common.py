@@ -8,7 +8,7 @@ import gc
 import pickle
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -39,14 +39,49 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Staging:
+    """Owner of the tables staged within its ``with`` block: at the end those go that no kept frame reads.
+
+    ``left`` are the folders that stay; a later owner may take them over. Any frame that is used
+    after the block has to be kept.
+    """
+
+    _open: list[Staging] = []
+
+    def __init__(self, spark: SparkSession, taken: Iterable[str] = ()):
+        self.spark, self.left, self._kept = spark, list(taken), []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, whose tables stay after the block."""
+        self._kept.append(df)
+        return df
+
+    def __enter__(self) -> Staging:
+        Staging._open.append(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        Staging._open.remove(self)
+        read = {part for df in self._kept for file in df.inputFiles() for part in file.split("/")}
+        sc = self.spark.sparkContext
+        for path in self.left:
+            if path.rsplit("/", 1)[-1] not in read:
+                folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+        self.left = [path for path in self.left if path.rsplit("/", 1)[-1] in read]
+
+
 def staged(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage: later jobs read the table, also after an executor is lost, and join
     it as a plain scan, so adaptive execution can split a hot key on either side. The table
-    lies in this application's own checkpoint folder and goes when that folder is cleaned.
+    lies in this application's own checkpoint folder and goes with the innermost open
+    :class:`Staging`; without one it goes when that folder is cleaned.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if Staging._open:
+        Staging._open[-1].left.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,5 +1,6 @@
 """Best-fit packing against a plain version, and the pipeline's stages and rows against brute force."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -8,6 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from sousflow.llm.common import Staging, shared_folder, staged
 from sousflow.llm.op5_quality_fm import THRESHOLD, score_quality, train
 from sousflow.llm.op8_best_fit_packing import pack, pack_shard
 from sousflow.llm.op9_pii import accepted
@@ -103,8 +105,46 @@ def test_pipeline_equals_brute_force(spark):
     assert {(r.doc_id, r.text, r.n_chars) for r in stages["pii"].collect()} == {(d, t, len(t)) for d, t in rows}
     packed = [(r.doc_id, r.piece, r.n_words) for r in stages["packing"].collect()]
     assert {d for d, *_ in packed} == {d for d, _ in rows} and sum(n for *_, n in packed) == sum(len(words_of(t)) for _, t in rows)
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
     again = [(r.doc_id, r.piece, r.n_words) for r in corpus_pipeline.run(spark, sf).collect()]
     assert sorted(again) == sorted(packed)
+    # nothing of the stages is left but what the result reads
+    assert [x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before if "-" in x and not x.startswith("rdd-")] == ["pack-sizes"]
+
+
+def test_staged_tables_go_with_their_owner(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    here = lambda: {x for x in os.listdir(folder) if x.startswith("owned-")}
+    rows = spark.range(10).withColumn("k", F.col("id") % 2)
+    with Staging(spark) as own:
+        kept, _ = own.keep(staged(rows, "owned-kept", ("k",)).where("id > 3")), staged(rows, "owned-gone")
+    assert len(here()) == len(own.left) == 1 and kept.count() == 6
+    with Staging(spark, own.left) as later:
+        empty = later.keep(staged(kept.limit(0), "owned-empty"))
+    assert empty.count() == 0 and not any("kept" in x for x in here())
+    try:
+        with Staging(spark):
+            staged(rows, "owned-failed")
+            raise ValueError
+    except ValueError:
+        assert not any("failed" in x for x in here())
+
+
+def test_given_clusters_conflict(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(0, 90))), f"s{i % 40}", rng.choice([None, *range(8)])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, family long")
+    for shard in (2048, 50):
+        out = pack(docs, cluster_column="family", capacity=100, shard_docs=shard).toPandas()
+        held = defaultdict(list)
+        for r in out.dropna(subset=["bin_id"]).itertuples():
+            held[r.bin_id].append((rows[r.doc_id][3], rows[r.doc_id][2], r.n_words))
+        assert set(out.doc_id) == {r[0] for r in rows} and out.n_words.sum() == sum(len(r[1].split()) for r in rows)
+        for parts in held.values():
+            families = [f for f, _, _ in parts if f is not None]
+            assert len(set(families)) == len(families) and len({s for _, s, _ in parts}) == len(parts) and sum(n for *_, n in parts) <= 100
+        assert max(len(parts) for parts in held.values()) > 1
 
 
 def test_stages_on_odd_and_empty_tables(spark):
