@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sousflow.llm.common import staged, table
+from sousflow.llm.common import Staging, staged, table
 from sousflow.llm.op2_line_dedup import line_dedup
 from sousflow.llm.op5_quality_fm import THRESHOLD, score_quality, train
 from sousflow.llm.op7_minhash_near_dedup import near_duplicates
@@ -70,8 +70,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again before the next.
+
+    What a stage staged and what it read goes once it is written; only what the result reads stays.
+    """
+    docs, left = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with Staging(spark, left) as own:
+            docs = own.keep(staged(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        left = own.left
+    with Staging(spark, left) as own:
+        return own.keep(STAGES[-1][1](spark, docs, sf_dir))
