@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import frugal
+
 #: Slots for each key and slots that a key counts in: about 1 foreign key in 2000 passes by chance.
 SLOTS_PER_KEY, PROBES = 16, 4
 #: 64 MB of bits. A larger set fills them more and lets more foreign keys pass, never fewer of its own.
@@ -64,7 +66,7 @@ def _merge_chunk(least: int, key: tuple, part: pd.DataFrame) -> pd.DataFrame:
 def bitmap_of(keys: DataFrame, rows: int, least: int = 1) -> tuple[np.ndarray, int]:
     """The bitmap of slots counted at least ``least`` times by a frame of one bigint column of about ``rows`` keys, and its slots."""
     slots = min(MAX_SLOTS, -(-max(rows, 1) * SLOTS_PER_KEY // (_CHUNK * PROBES)) * _CHUNK * PROBES)
-    counted = keys.mapInArrow(_count_slots(slots), "chunk int, value binary")
+    counted = keys.mapInArrow(frugal(_count_slots(slots)), "chunk int, value binary")
     merged = counted.groupBy("chunk").applyInPandas(lambda key, part: _merge_chunk(least, key, part), "chunk int, bits binary")
     bits = np.zeros(slots // 8, dtype=np.uint8)
     for row in merged.collect():  # bounded by the filter's size, whatever the rows

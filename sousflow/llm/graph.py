@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bitmap_of, probe
-from .common import staged
+from .common import frugal, staged
 
 #: 512 bits of a class's odd sketch.
 SKETCH_LONGS = 8
@@ -63,7 +63,7 @@ def verified(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     sets = staged(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()), "sets")
     rows = pairs.join(sets.select(F.col("cls").alias("b"), F.col("items").alias("set_b")), "b")
     rows = rows.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("set_a")), "a")
-    return rows.select("a", "b", "set_a", "set_b").mapInArrow(_overlaps(percent), "a bigint, b bigint")
+    return rows.select("a", "b", "set_a", "set_b").mapInArrow(frugal(_overlaps(percent)), "a bigint, b bigint")
 
 
 def _is_star_forest(edges: DataFrame) -> bool:

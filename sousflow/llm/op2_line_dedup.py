@@ -386,7 +386,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = sets.select(F.col("doc_id").alias("doc_a"), F.col("line").alias("line_a"), F.col("items").alias("set_a"))
     second = sets.select(F.col("doc_id").alias("doc_b"), F.col("line").alias("line_b"), F.col("items").alias("set_b"))
     rows = pairs.join(second, ["doc_b", "line_b"]).join(first, ["doc_a", "line_a"])
-    return rows.select("doc_b", "line_b", "set_a", "set_b").mapInArrow(_similar(percent), "doc_id bigint, line int").distinct()
+    return rows.select("doc_b", "line_b", "set_a", "set_b").mapInArrow(frugal(_similar(percent)), "doc_id bigint, line int").distinct()
 
 
 def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT_LINES, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -419,7 +419,7 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     open_ = staged(met.where("doc_a IS NULL").select("doc_b", "line_b").distinct().toDF("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti"), "lines-open")
     if open_.isEmpty():
         return gone
-    tokens = staged(sets.join(open_, ["doc_id", "line"], "left_semi").mapInArrow(_token_keys, "h bigint"), "line-tokens")
+    tokens = staged(sets.join(open_, ["doc_id", "line"], "left_semi").mapInArrow(frugal(_token_keys), "h bigint"), "line-tokens")
     token_filter, open_filter = _filter_of(tokens), _filter_of(open_.select(_line_filter(F.col("doc_id"), F.col("line").cast("long")).alias("h")))
     met = candidates(lambda: (token_filter(), open_filter()))
     return settle(met.where("doc_a IS NOT NULL").join(open_.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_semi"))[1]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_key, slices, text_of
+from .common import doc_key, frugal, slices, text_of
 from .words import hashed, raw, word_bounds
 
 WORD_BUCKETS = 1 << 15
@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_ch
     sample = known.where(F.pmod(doc_key(F.col("doc_id")), F.lit(folds)) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"), _numbers(docs, metadata).alias("numbers"))
     # the sample's ids are bounded by train_rows
-    rows = texts.join(F.broadcast(sample), "doc_id").select("text", "numbers", "label").mapInArrow(_features, "words binary, numbers binary, label int")
+    rows = texts.join(F.broadcast(sample), "doc_id").select("text", "numbers", "label").mapInArrow(frugal(_features), "words binary, numbers binary, label int")
     rows = rows.toArrow().sort_by([("label", "ascending"), ("numbers", "ascending"), ("words", "ascending")])  # the order of tasks must not matter
     parts = [np.frombuffer(x, np.uint16).astype(np.int32) for x in rows.column("words").to_pylist()]
     k = len(STATISTICS) + len(metadata)
@@ -184,17 +184,19 @@ def score_quality(docs: DataFrame, machine: Machine, metadata: tuple[str, ...] =
     """The columns of ``docs`` (or those of ``keep``) and ``quality_score``: the probability of label 1, for every row."""
     keep = [c for c in docs.columns if c != "quality_score"] if keep is None else keep
     names = [f"c{i}" for i in range(len(keep))]  # no column of the caller's can clash
+    # a text that is kept goes to the task once
+    text = names[keep.index("text")] if "text" in keep and docs.schema["text"].dataType == T.StringType() else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
-                buckets, begin, stats = document_features(batch.column("text"))
+            for batch in slices(whole, text):
+                buckets, begin, stats = document_features(batch.column(text))
                 score = machine.score(buckets, begin, _with_metadata(stats, batch))
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score, pa.float64())], [*names, "quality_score"])
 
-    rows = docs.select(*(docs[c].alias(n) for c, n in zip(keep, names, strict=True)), text_of(docs).alias("text"), _numbers(docs, metadata).alias("numbers"))
+    rows = docs.select(*(docs[c].alias(n) for c, n in zip(keep, names, strict=True)), *([text_of(docs).alias("text")] if text == "text" else []), _numbers(docs, metadata).alias("numbers"))
     out = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names, strict=True)), T.StructField("quality_score", T.DoubleType())])
-    return rows.mapInArrow(run, out).toDF(*keep, "quality_score")
+    return rows.mapInArrow(frugal(run), out).toDF(*keep, "quality_score")
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = 5) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged, text_of
+from .common import frugal, slices, staged, text_of
 from .graph import linked, odd_sketch, wanted_texts
 from .words import mixed, shingle_sets, words
 
@@ -105,7 +105,7 @@ def items(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "items"])
 
     # rows that repeat an id repeat its set
-    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "cls bigint, items binary")
+    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(frugal(run), "cls bigint, items binary")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -120,7 +120,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     kept. Rows that repeat an id should be equal; each is returned. An empty table gives an empty result.
     """
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))
-    rows = staged(source.mapInArrow(_profile(shingle_words, percent), "doc_id bigint, n_shingles bigint, set_key string, bands array<bigint>, sketch array<bigint>"), "near-rows")
+    rows = staged(source.mapInArrow(frugal(_profile(shingle_words, percent)), "doc_id bigint, n_shingles bigint, set_key string, bands array<bigint>, sketch array<bigint>"), "near-rows")
     named = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = staged(named.groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.min(F.struct("n_shingles", "bands", "sketch")).alias("x")).select("set_key", "cls", "x.*"), "near-classes")
     members = staged(classes.select("cls", F.explode("bands").alias("bucket")), "near-members")

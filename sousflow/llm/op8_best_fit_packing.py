@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged, text_of
+from .common import frugal, slices, staged, text_of
 from .words import mixed, words
 
 CAPACITY = 2048
@@ -137,7 +137,7 @@ def pack(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         # the given cluster, a long, takes the place of the word sequence
         sizes = texts.withColumn("n_words", F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")).select("doc_id", "source", "n_words", F.col("given").alias("cluster"))
     else:
-        sizes = texts.mapInArrow(_measure, "doc_id bigint, source string, n_words bigint, cluster bigint")
+        sizes = texts.mapInArrow(frugal(_measure), "doc_id bigint, source string, n_words bigint, cluster bigint")
     sizes = staged(sizes, "pack-sizes")
     shards = max(1, -(-sizes.count() // shard_docs))
     dealt = sizes.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, text_of
+from .common import frugal, slices, text_of
 from .trees import Boosted, boost
 
 KINDS = ("email", "ip", "card", "phone")
@@ -322,4 +322,4 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
     typed = docs.withColumn(text_column, docs[text_column].cast("string"))
     rows = typed.toDF(*names)
-    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
+    return rows.mapInArrow(frugal(run), rows.schema).toDF(*docs.columns)

@@ -113,6 +113,35 @@ def test_pipeline_equals_brute_force(spark):
     assert [x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before if "-" in x and not x.startswith("rdd-")] == ["pack-sizes"]
 
 
+def test_workers_of_the_pipeline_give_memory_back(spark, monkeypatch):
+    rows = [(i, f"the {i} cat sat on the mat\nline {i % 3} of a text with words", "en", "web", 60) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    held, plain = [], type(docs).mapInArrow
+
+    def seen(df, func, *more, **named):
+        held.append((func.__name__, hasattr(func, "__wrapped__")))
+        return plain(df, func, *more, **named)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", seen)
+    machine = train(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    scored = score_quality(docs, machine)
+    assert scored.count() == 40
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        stage(spark, docs, "").count()
+    assert held and all(frugal for _, frugal in held), held
+    # a text that is kept goes to the tasks once
+    sent = scored.select("doc_id", "text", "quality_score")._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(text" not in sent, sent
+
+
+def test_kept_null_texts_score_as_empty_and_stay_null(spark):
+    docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "some words", 10)], "doc_id long, text string, n_chars long")
+    machine = train(docs, spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int"))
+    kept = {r.doc_id: (r.text, r.quality_score) for r in score_quality(docs, machine).collect()}
+    alone = {r.doc_id: r.quality_score for r in score_quality(docs, machine, keep=["doc_id"]).collect()}
+    assert kept[1] == (None, kept[2][1]) and kept[2][0] == "" and {k: s for k, (_, s) in kept.items()} == alone
+
+
 def test_staged_tables_go_with_their_owner(spark):
     folder = shared_folder(spark).removeprefix("file:")
     here = lambda: {x for x in os.listdir(folder) if x.startswith("owned-")}
