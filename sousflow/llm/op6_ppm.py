@@ -7,7 +7,8 @@ trie holds escapes first, and the symbols of the longer context are excluded fro
 shorter one's counts. Escapes are estimated by method C: the number of distinct symbols of the
 context, over that and the occurrences. Below order 0 the bytes not yet seen are equally likely.
 
-All training texts are counted: each task sends its byte and word counts, which Spark adds up.
+All training texts are counted: each task sends its byte and word counts, packed by parts of
+the key space, and one task for each part adds them up.
 The trie is whole at every size and stays in tables. A symbol's probability depends on its gram
 alone, the ``ORDER`` bytes before it and itself, so it is worked out once for each distinct gram of
 all texts: from the symbols of its context, and for grams that no training text has by
@@ -40,6 +41,8 @@ END = np.uint64(0x5E9D_0E9D_0E9D_0E9D)
 _FLUSH = 1_000_000
 #: Grams that a task sends together, and about how many grams to look up one task gets.
 _BLOCK_GRAMS, _PART_GRAMS = 1_000_000, 4_000_000
+#: About how many bytes of text give the counts of one part; a byte sends at most one gram.
+_PART_BYTES = 12 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -94,36 +97,75 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words (kind 0) and of the longest contexts with their symbol (kind 1) of one task; held-out texts add their grams with count 0."""
-    held: dict[int, list] = {0: [], 1: []}
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for kind, parts in held.items():
-            if parts:
-                keys, counts = _added(parts)
-                parts.clear()
-                for lo in range(0, len(keys), 100_000):
-                    n = len(keys[lo : lo + 100_000])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(keys[lo : lo + n].view(np.int64)), pa.array(counts[lo : lo + n])], ["kind", "key", "n"])
-
-    total = 0
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            out = batch.column("held_out")
-            learned = batch.column("text").filter(pa.compute.invert(out))
-            x = coded(learned)
-            for kind, keys in ((0, np.append(x.hashes, np.full(len(learned), END))), (1, x.grams)):
-                values, counts = np.unique(keys, return_counts=True)
-                held[kind].append((values, counts.astype(np.int64)))
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (mixed(keys ^ np.uint64(0x6A09E667F3BCC909)) % np.uint64(parts)).astype(np.int32)
+
+
+def _by_part(part: np.ndarray, parts: int) -> np.ndarray:
+    """The stable order by part; numbers of 16 bits are sorted in linear time."""
+    return np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of the values, all first ones, then all second ones: the upper ones are mostly zero and squeeze well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _values(packed: pa.Scalar, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _gather(parts: int):
+    """Counts of the words (kind 0) and of the longest contexts with their symbol (kind 1) of one task, for each part its sorted keys
+    (as steps) and their counts; held-out texts add their grams with count 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {0: [], 1: []}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for kind, waiting in held.items():
+                if waiting:
+                    keys, counts = _added(waiting)
+                    waiting.clear()
+                    part = _part(keys, parts)
+                    by = _by_part(part, parts)
+                    part, keys, counts = part[by], keys[by], counts[by]
+                    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                    for lo, hi in zip(cuts.tolist(), np.append(cuts[1:], len(keys))[: len(cuts)].tolist(), strict=True):
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(part[lo : lo + 1]), pa.array([kind], pa.int8()), pa.array([_planes(np.diff(keys[lo:hi], prepend=np.uint64(0)))], pa.binary()),
+                            pa.array([_planes(counts[lo:hi])], pa.binary())], ["part", "kind", "keys", "counts"])
+
+        total = 0
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                out = batch.column("held_out")
+                learned = batch.column("text").filter(pa.compute.invert(out))
+                x = coded(learned)
+                for kind, keys in ((0, np.append(x.hashes, np.full(len(learned), END))), (1, x.grams)):
+                    values, counts = np.unique(keys, return_counts=True)
+                    held[kind].append((values, counts.astype(np.int64)))
+                    total += len(values)
+                values = np.unique(coded(batch.column("text").filter(out)).grams)
+                held[1].append((values, np.zeros(len(values), np.int64)))
                 total += len(values)
-            values = np.unique(coded(batch.column("text").filter(out)).grams)
-            held[1].append((values, np.zeros(len(values), np.int64)))
-            total += len(values)
-            if total > _FLUSH:
-                yield from flush()
-                total = 0
-    yield from flush()
+                if total > _FLUSH:
+                    yield from flush()
+                    total = 0
+        yield from flush()
+    return run
+
+
+def _summed(part: pa.Table) -> pa.Table:
+    """Kind, key and count of the distinct keys of one part."""
+    kinds = part.column("kind").to_numpy()
+    out = []
+    for kind in (0, 1):
+        rows = part.filter(pa.array(kinds == kind))
+        keys, counts = _added([(np.cumsum(_values(k, np.uint64), dtype=np.uint64), _values(n, np.int64)) for k, n in zip(rows.column("keys"), rows.column("counts"), strict=True)]
+                              or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))])
+        out.append(pa.table([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["kind", "key", "n"]))
+    return pa.concat_tables(out)
 
 
 class Lookup:
@@ -342,7 +384,10 @@ class Model:
 
 def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
     """Count (text) of all rows that are not ``held_out``."""
-    counts = docs.select("text", "held_out").mapInArrow(frugal(_gather), "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // _PART_BYTES))
+    sent = docs.select("text", "held_out").mapInArrow(frugal(_gather(parts)), "part int, kind tinyint, keys binary, counts binary")
+    counts = sent.groupBy("part").applyInArrow(_summed, "kind tinyint, key bigint, n bigint")
     counts = staged(counts, "ppm-counts", ("kind",))
     often = F.col("n") * max_entries
     sums = {r.kind: (r.n, r.distinct) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
@@ -356,20 +401,6 @@ def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
                  logs.where(often <= symbols).select("key", "log"), rest)
 
 
-def _part(keys: np.ndarray, parts: int) -> np.ndarray:
-    return (mixed(keys ^ np.uint64(0x6A09E667F3BCC909)) % np.uint64(parts)).astype(np.int32)
-
-
-def _planes(values: np.ndarray) -> bytes:
-    """The bytes of the values, all first ones, then all second ones: the upper ones are mostly zero and squeeze well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
-
-
-def _values(packed: pa.Scalar, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(packed.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 def _packed(block: int, keys: np.ndarray, texts: np.ndarray, parts: int) -> Iterator[tuple]:
     """Of the grams of a block of texts, for each part: distinct grams (as steps), how often each occurs, and the texts where."""
     order = np.lexsort((texts, keys))
@@ -377,7 +408,7 @@ def _packed(block: int, keys: np.ndarray, texts: np.ndarray, parts: int) -> Iter
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     part = _part(keys[at], parts)
     size = np.diff(np.append(at, len(keys)))
-    by = np.argsort(part, kind="stable")
+    by = _by_part(part, parts)
     texts = texts[np.argsort(np.repeat(part, size), kind="stable")]
     cut = np.flatnonzero(np.diff(part[by], prepend=-1))
     ends = np.concatenate([[0], np.cumsum(size[by])])

@@ -155,6 +155,26 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, max_entries):
         assert abs(got[d] - log10) < 1e-9
 
 
+def test_counts_are_sent_packed_by_parts():
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["abra", "Abrac", "zeta", "é", "w%d" % rnd.randint(0, 50)]) for _ in range(rnd.randint(0, 30))) for _ in range(40)]
+    held = [k % 5 == 0 for k in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(held)], ["text", "held_out"])
+    sent = [pa.Table.from_batches([x]) for x in op6_ppm._gather(3)(iter([batch, batch]))]
+    assert len(sent) <= 2 * 3  # rows for kinds and parts, not for keys
+    got, parts = {}, pa.concat_tables(sent)
+    for part in {*parts.column("part").to_pylist()}:
+        rows = op6_ppm._summed(parts.filter(pa.compute.equal(parts.column("part"), part))).to_pylist()
+        assert len({(r["kind"], r["key"]) for r in rows}) == len(rows) and not got.keys() & {(r["kind"], r["key"]) for r in rows}
+        got |= {(r["kind"], r["key"]): r["n"] for r in rows}
+    x, out = op6_ppm.coded(pa.array([t for t, h in zip(texts, held) if not h])), op6_ppm.coded(pa.array([t for t, h in zip(texts, held) if h]))
+    want = Counter({(1, k): 0 for k in out.grams.view("i8").tolist()})
+    want.update({(1, k): 2 * n for k, n in Counter(x.grams.view("i8").tolist()).items()})
+    want.update({(0, k): 2 * n for k, n in Counter(x.hashes.view("i8").tolist()).items()})
+    want[(0, int(op6_ppm.END.astype("i8")))] += 2 * (40 - sum(held))
+    assert got == dict(want)
+
+
 def test_score_edges_and_a_bounded_trie(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (1, "aa bb"), (None, "aa"), (2, "cc")], "doc_id long, text string").withColumns({"n": F.lit(1), "key": F.lit(2)})
     rows = op6_ppm.score(docs).collect()
