@@ -14,6 +14,7 @@ asked, gives each its group.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, slices, staged, text_of
+from .common import SLICE_BYTES, Staging, frugal, slices, staged, text_of
 from .graph import linked, odd_sketch
 from .op7_minhash_near_dedup import items
 from .words import mixed, shingle_sets, words
@@ -101,15 +102,16 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size, here, closed = 0, None, True
     named: tuple = (None, None, None)
     for whole in batches:
-        for batch in slices(whole, "text"):
-            for part, tail, doc, text, cls, group in zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "text", "class_id", "group_id")), strict=True):
+        for batch in slices(whole, "packed"):
+            for part, tail, doc, packed, cls, group in zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "packed", "class_id", "group_id")), strict=True):
                 if part != here:
                     here, rows, size, closed = part, [], 0, False
-                if text is None:
+                if packed is None:
                     named = (doc, cls, group)
                     continue
                 if closed:
                     continue  # a further row with the id of the tail
+                text = zlib.decompress(packed).decode()
                 rows.append((doc, text, *(named[1:] if doc is not None and doc == named[0] else (None, None))))
                 size += len(text)
                 if tail or size > SLICE_BYTES and len(rows) > 1:
@@ -118,6 +120,14 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows, size, closed = rows[-1:], len(rows[-1][1]), bool(tail)
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts as they are shuffled: squeezed one by one, as they are sorted by themselves."""
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            packed = [zlib.compress(text.as_buffer(), 1) for text in batch.column("text")]
+            yield batch.set_column(batch.schema.get_field_index("text"), "packed", pa.array(packed, pa.binary()))
+
+
 def _ranged(bounds: np.ndarray):
     """The number of the range that an id falls into, and whether it is the first id of a range but the first."""
     @F.pandas_udf("part int, bound boolean")
@@ -142,7 +152,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     Rows are dealt by ranges of the id of about equal size, cut at ids of the table; the
     first row of each range goes to the range before it as well, so no row is looked up elsewhere.
     Classes and groups are dealt to the same ranges as rows of three numbers, so neither texts nor
-    fingerprints are shuffled for them. A very long text is handled alone. Other columns are not read.
+    fingerprints are shuffled for them. Texts are squeezed before they are dealt. A very long text is handled alone. Other columns are not read.
     """
     spark = docs.sparkSession
     text = text_of(docs, text_column)
@@ -163,14 +173,16 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     to_last = F.when(F.col("doc_id").eqNullSafe(F.lit(first["doc_id"] if first else None).cast("long")) & (F.col("th") == F.lit(first["th"] if first else 0)),
                      F.struct(F.lit(len(bounds)).alias("part"), F.lit(True).alias("tail")))
     copies = dealt.select("doc_id", "text", "th", F.explode(F.filter(F.array(own, before, to_last), lambda x: x.isNotNull())).alias("to"))
-    dealt = copies.select("doc_id", "text", "th", "to.part", "to.tail", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("group_id"))
+    copies = copies.select("doc_id", "text", "th", "to.part", "to.tail")
+    dealt = copies.mapInArrow(frugal(_squeezed), "doc_id bigint, packed binary, th bigint, part int, tail boolean")
+    dealt = dealt.select("doc_id", "packed", "th", "part", "tail", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("group_id"))
     if groups is not None:
         named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("group_id").alias("group_id"))
-        dealt = dealt.unionByName(named.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("long").alias("th"),
+        dealt = dealt.unionByName(named.select("doc_id", F.lit(None).cast("binary").alias("packed"), F.lit(None).cast("long").alias("th"),
                                                _ranged(bounds)(F.col("doc_id"))["part"].alias("part"), F.lit(False).alias("tail"), "class_id", "group_id"))
     sorted_rows = (dealt.repartition(parts, "part").sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_first(), F.col("th").asc_nulls_first())
-                   .select("part", "tail", "doc_id", "text", "class_id", "group_id"))
-    out = sorted_rows.mapInArrow(_walk, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, class_id bigint, group_id bigint")
+                   .select("part", "tail", "doc_id", "packed", "class_id", "group_id"))
+    out = sorted_rows.mapInArrow(frugal(_walk), "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, class_id bigint, group_id bigint")
     return out if groups is not None else out.drop("class_id", "group_id")
 
 
@@ -195,11 +207,13 @@ def fingerprint_groups(docs: DataFrame, id_column: str = "doc_id", text_column:
     similarity of ``percent`` / 100 and more. A null or wordless text is its own class and group.
     """
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text")).where("doc_id IS NOT NULL")
-    rows = staged(source.mapInArrow(_bands, "doc_id bigint, set_key string, bands array<bigint>, n bigint, sketch array<bigint>"), "print-rows")
-    classes = staged(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.min(F.struct("bands", "n", "sketch")).alias("x")).select("set_key", "cls", "x.*"), "print-classes")
-    members = staged(classes.select("cls", F.explode("bands").alias("bucket")), "print-members")
-
-    _, groups = linked(members, classes.select("cls", "n", "sketch"), lambda wanted: items(source, wanted, SHINGLE_WORDS), percent)
-    named = staged(classes.select("set_key", "cls").join(groups, "cls", "left").select("set_key", F.col("cls").alias("class_id"), F.coalesce("component", "cls").alias("group_id")), "print-named")
-    return rows.select("doc_id", "set_key").join(named, "set_key", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("group_id", "doc_id").alias("group_id"))
+    with Staging(docs.sparkSession) as own:
+        rows = staged(source.mapInArrow(frugal(_bands), "doc_id bigint, set_key string, bands array<bigint>, n bigint, sketch array<bigint>"), "print-rows")
+        classes = staged(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("cls"), F.min(F.struct("bands", "n", "sketch")).alias("x")).select("set_key", "cls", "x.*"), "print-classes")
+        members = staged(classes.select("cls", F.explode("bands").alias("bucket")), "print-members")
+
+        _, groups = linked(members, classes.select("cls", "n", "sketch"), lambda wanted: items(source, wanted, SHINGLE_WORDS), percent)
+        named = staged(classes.select("set_key", "cls").join(groups, "cls", "left").select("set_key", F.col("cls").alias("class_id"), F.coalesce("component", "cls").alias("group_id")), "print-named")
+        # bands and sketches go once every row has its group
+        return own.keep(staged(rows.select("doc_id", "set_key").join(named, "set_key", "left").select(
+            "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("group_id", "doc_id").alias("group_id")), "print-groups"))

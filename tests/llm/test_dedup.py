@@ -1,5 +1,7 @@
 """Exact, line and near dedup and fingerprints against brute force."""
 
+import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -8,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sousflow.llm.common import shared_folder
 from sousflow.llm.op1_exact_dedup import exact_dedup
 from sousflow.llm.op2_line_dedup import _COLUMNS, bucket_pairs, line_dedup, repeated_lines
 from sousflow.llm.op3_fingerprints import edited, fingerprint_groups, fingerprints
@@ -195,6 +198,20 @@ def test_fingerprint_edges(spark):
     assert [d for d, _ in odd] == [-1, 3, big, big] and odd[2][1] + odd[3][1] == 1.0
 
 
+def test_fingerprints_shuffle_squeezed_texts_and_keep_no_bands(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    docs = frame(spark, [(i, f"word{i} and some more words of text {i % 4} " * 5) for i in range(30)] + [(None, "x"), (30, None), (31, "")])
+    groups = fingerprint_groups(docs)
+    assert [x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before if "-" in x and not x.startswith("rdd-")] == ["print-groups"]
+    out = fingerprints(docs, groups=groups)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Sort [") < plan.index("_squeezed")  # texts are squeezed before they are dealt
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0]))
+    got = {r.doc_id: (r.n_chars, r.edited_sha256) for r in out.collect()}
+    assert got == {d: (len(t), hashlib.sha256(edited(t, rows[(k + 1) % len(rows)][1]).encode()).hexdigest()) for k, (d, t) in enumerate(rows)}
+
+
 def test_fingerprint_groups(spark):
     rows = corpus(8, 80)
     want = brute_components(rows, 5)
