@@ -4,8 +4,9 @@ The model file, a protocol buffer, is parsed field by field; from it are rebuilt
 (precompiled character map, white space rules, the metaspace marker U+2581), the unigram
 scores or the merges of a BPE model in order of their scores, and the byte fallback. The driver
 builds the tokenizer once and sends it to the tasks as JSON; batches are encoded by a bounded
-number of threads. Parity with the sentencepiece library is a function of its own and is
-checked by the query for every document.
+number of threads. White space is marked, and marks are taken out, on whole texts, so that the library
+has no rule to apply word by word or token by token. Parity with the sentencepiece library is a function
+of its own and is checked by the query for every document.
 """
 
 from __future__ import annotations
@@ -16,11 +17,10 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, text_of
+from .common import shared, slices, text_of
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -28,6 +28,8 @@ UNIGRAM, BPE = 1, 2
 #: Text encoded in one call; a token takes some hundred bytes until its ids are taken out.
 BATCH_BYTES = 1 << 20
 THREADS = 2
+#: Words that a BPE model merges in one go; each run of words costs the library a string and its offsets.
+RUN_WORDS = 16
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -133,6 +135,53 @@ def build_tokenizer(model: Model):
     return tokenizer
 
 
+class Codec:
+    """A model's tokenizer for the tasks: ``build_tokenizer``'s, with the same ids and texts, and less work for each word and token."""
+
+    def __init__(self, model: Model):
+        from tokenizers import Regex, normalizers, pre_tokenizers
+
+        tokenizer, pieces = build_tokenizer(model), {piece for piece, _, _ in model.pieces}
+        # such a model only marks white space, which can be done before the library gets the text
+        self.marked = model.kind == BPE and not model.charsmap and not model.remove_extra_whitespaces and not any(kind == USER_DEFINED for *_, kind in model.pieces)
+        self.prefix = model.add_dummy_prefix
+        if self.marked:
+            tokenizer.normalizer = normalizers.Sequence([])
+            if tokenizer.pre_tokenizer is not None and MARK in pieces:  # words do not merge with their neighbours, nor do unknown characters over a marker
+                tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"(?:{MARK}*[^{MARK}]+){{1,{RUN_WORDS}}}|{MARK}+"), "isolated")
+        #: Byte pieces with which a marker written in bytes begins; that one is no white space.
+        self.lead = [i for i, (piece, _, _) in enumerate(model.pieces) if piece.lower() == "<0xe2>"]
+        self.built = tokenizer.to_str()
+
+    def start(self) -> Codec:
+        """Build the tokenizer, once in a task."""
+        from tokenizers import Tokenizer, decoders
+
+        self.tokenizer = Tokenizer.from_str(self.built)
+        if self.marked and hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # runs of words hardly repeat
+        self.full, self.fused = self.tokenizer.decoder, decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
+        return self
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.marked:
+            mark = MARK if self.prefix else ""
+            texts = [mark + t.replace(" ", MARK) if t else t for t in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        bytes_ = [any(b in x for b in self.lead) for x in ids]
+        self.tokenizer.decoder = self.fused
+        fused = iter(self.tokenizer.decode_batch([x for x, b in zip(ids, bytes_, strict=True) if not b], skip_special_tokens=False))
+        self.tokenizer.decoder = self.full
+        full = iter(self.tokenizer.decode_batch([x for x, b in zip(ids, bytes_, strict=True) if b], skip_special_tokens=False))
+        return [next(full) if b else self._unmarked(next(fused)) for b in bytes_]
+
+    def _unmarked(self, text: str) -> str:
+        text = text.replace(MARK, " ")
+        return text[1:] if self.prefix and text.startswith(" ") else text
+
+
 def _threads(count: int) -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     os.environ["RAYON_NUM_THREADS"] = str(count)
@@ -156,19 +205,23 @@ def model_bytes(path: str | None = None) -> bytes:
         return file.read()
 
 
+def _digests(ids: list[list[int]]) -> list[str]:
+    """SHA-256 of every row's ids as little-endian 32-bit integers."""
+    packed = pa.array(ids, pa.list_(pa.int32()))
+    flat, at = packed.values.to_numpy().astype("<i4", copy=False), packed.offsets.to_pylist()
+    return [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def encode(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_column: str = "text", threads: int = THREADS) -> DataFrame:
     """doc_id and ids (array of int) of every row; a null or empty text has no ids, ids of rows are passed through."""
-    shared = docs.sparkSession.sparkContext.broadcast(build_tokenizer(parse_model(data)).to_str())
+    codec = shared(docs.sparkSession, Codec(parse_model(data)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(threads)
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
+        ready = codec().start()
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
-                found = tokenizer.encode_batch_fast(batch.column("text").to_pylist(), add_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([np.array(e.ids, np.int32) for e in found], pa.list_(pa.int32()))], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ready.encode(batch.column("text").to_pylist()), pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -176,17 +229,15 @@ def encode(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_column:
 
 def decode(ids: DataFrame, data: bytes, threads: int = THREADS) -> DataFrame:
     """doc_id and text of every row of (doc_id, ids); null ids give an empty text."""
-    shared = ids.sparkSession.sparkContext.broadcast(build_tokenizer(parse_model(data)).to_str())
+    codec = shared(ids.sparkSession, Codec(parse_model(data)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(threads)
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
+        ready = codec().start()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                texts = tokenizer.decode_batch([x or [] for x in part.column("ids").to_pylist()], skip_special_tokens=False)
+                texts = ready.decode([x or [] for x in part.column("ids").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return ids.select(ids["doc_id"].cast("long").alias("doc_id"), ids["ids"].cast("array<int>").alias("ids")).mapInArrow(run, "doc_id bigint, text string")
@@ -201,29 +252,27 @@ def round_trip(docs: DataFrame, data: bytes, id_column: str = "doc_id", text_col
     text. Ids are passed through, null or repeated; an empty table gives an empty result.
     """
     model = parse_model(data)
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((build_tokenizer(model).to_str(), data if parity else b""))
+    sent = shared(docs.sparkSession, (Codec(model), data if parity else b""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(threads)
-        from tokenizers import Tokenizer
-
-        tokenizer, reference = Tokenizer.from_str(shared.value[0]), None
+        codec, proto = sent()
+        ready, reference = codec.start(), None
         if parity:
             from sentencepiece import SentencePieceProcessor
 
-            reference = SentencePieceProcessor(model_proto=shared.value[1])
+            reference = SentencePieceProcessor(model_proto=proto)
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
                 texts = batch.column("text").to_pylist()
-                ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                decoded = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                ids = ready.encode(texts)
+                decoded = ready.decode(ids)
                 same = [a == b for a, b in zip(ids, reference.encode(texts, num_threads=threads), strict=True)] if reference else [None] * len(ids)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(np.array(x, "<i4").tobytes()).hexdigest() for x in ids], pa.string()),
+                    pa.array(_digests(ids), pa.string()),
                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
-                    pa.array([normalised(model, t, tokenizer) == x for t, x in zip(texts, decoded, strict=True)], pa.bool_()),
+                    pa.array([normalised(model, t, ready.tokenizer) == x for t, x in zip(texts, decoded, strict=True)], pa.bool_()),
                     pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity"])
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_of(docs, text_column).alias("text"))

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sousflow.llm import op4_html_text, op5_quality_fm, op6_ppm, op9_pii
-from sousflow.llm.op10_sentencepiece import BPE, build_tokenizer, decode, encode, model_bytes, normalised, parse_model, round_trip
+from sousflow.llm.op10_sentencepiece import BPE, MARK, RUN_WORDS, Codec, build_tokenizer, decode, encode, model_bytes, normalised, parse_model, round_trip
 
 SF = "/root/testdata/sf0.001"
 
@@ -313,3 +313,19 @@ def test_a_unigram_model_written_by_hand():
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert ids == library.encode(text), text
         assert tokenizer.decode(ids, skip_special_tokens=False) == normalised(model, text, tokenizer)
+
+
+def test_runs_of_words_give_the_ids_and_texts_of_words_one_by_one():
+    model = parse_model(model_bytes())
+    tokenizer, codec = build_tokenizer(model), Codec(model).start()
+    rnd = random.Random(4)
+    odd = ["", " ", "a", "   ", " a  b ", MARK, f"a{MARK}b", f"{MARK}{MARK} a", "x\ty\n z", "→ 漢字 \u2582\U0001f600", "<s> </s> <0xE2>", "e\u0301 \x00 z", "w" * 5000, "  " * 300 + "a"]
+    texts = odd + ["".join(rnd.choice(["a", "The", "ing", " ", " ", "  ", MARK, "é", "\n", "7", "€"]) for _ in range(rnd.randint(0, 300))) for _ in range(200)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert codec.encode(texts) == want
+    # few strings go to the model: runs of words, not each word
+    assert len(codec.tokenizer.pre_tokenizer.pre_tokenize_str(f"{MARK}word" * 64)) == 64 // RUN_WORDS
+    number = {piece: i for i, (piece, _, _) in enumerate(model.pieces)}
+    in_bytes = [number[f"<0x{b:02X}>"] for b in MARK.encode()]  # a marker written in bytes stays one
+    rows = [*want, in_bytes, [number[MARK], *in_bytes, number[MARK]], in_bytes[:2], [in_bytes[1]], [number["<0xE2>"]], []]
+    assert codec.decode(rows) == tokenizer.decode_batch(rows, skip_special_tokens=False)
