@@ -8,7 +8,8 @@ shorter one's counts. Escapes are estimated by method C: the number of distinct
 context, over that and the occurrences. Below order 0 the bytes not yet seen are equally likely.
 
 All training texts are counted: each task sends its byte and word counts, packed by parts of
-the key space, and one task for each part adds them up.
+the key space, and one task for each part adds them up. A part holds all symbols of its longest
+contexts, so that the same task says what these give.
 The trie is whole at every size and stays in tables. A symbol's probability depends on its gram
 alone, the ``ORDER`` bytes before it and itself, so it is worked out once for each distinct gram of
 all texts: from the symbols of its context, and for grams that no training text has by
@@ -37,12 +38,12 @@ ORDER = 6
 #: Bound on the grams and on the words that are broadcast.
 MAX_ENTRIES = 1 << 21
 END = np.uint64(0x5E9D_0E9D_0E9D_0E9D)
-#: Distinct keys of slices that a counting task holds before it adds them up and sends them.
-_FLUSH = 1_000_000
+#: Symbols and distinct words of slices that a counting task holds before it adds them up and sends them.
+_FLUSH = 2_500_000
 #: Grams that a task sends together, and about how many grams to look up one task gets.
 _BLOCK_GRAMS, _PART_GRAMS = 1_000_000, 4_000_000
 #: About how many bytes of text give the counts of one part; a byte sends at most one gram.
-_PART_BYTES = 12 << 20
+_PART_BYTES = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -116,18 +117,28 @@ def _values(packed: pa.Scalar, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _counted(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams and their counts, of grams with a bit below that says they are of held-out texts, which count 0."""
+    marked = np.concatenate(grams)
+    marked.sort()
+    keys = marked >> np.uint64(1)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    marked &= np.uint64(1)
+    return keys[at], np.diff(np.append(at, len(keys))) - np.add.reduceat(marked, at).astype(np.int64)
+
+
 def _gather(parts: int):
     """Counts of the words (kind 0) and of the longest contexts with their symbol (kind 1) of one task, for each part its sorted keys
-    (as steps) and their counts; held-out texts add their grams with count 0."""
+    (as steps) and their counts; held-out texts add their grams with count 0. All symbols of a context are in one part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {0: [], 1: []}
+        words, grams = [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for kind, waiting in held.items():
+            for kind, waiting, add, shift in ((0, words, _added, 0), (1, grams, _counted, 8)):
                 if waiting:
-                    keys, counts = _added(waiting)
+                    keys, counts = add(waiting)
                     waiting.clear()
-                    part = _part(keys, parts)
+                    part = _part(keys >> np.uint64(shift), parts)
                     by = _by_part(part, parts)
                     part, keys, counts = part[by], keys[by], counts[by]
                     cuts = np.flatnonzero(np.diff(part, prepend=-1))
@@ -142,13 +153,11 @@ def _gather(parts: int):
                 out = batch.column("held_out")
                 learned = batch.column("text").filter(pa.compute.invert(out))
                 x = coded(learned)
-                for kind, keys in ((0, np.append(x.hashes, np.full(len(learned), END))), (1, x.grams)):
-                    values, counts = np.unique(keys, return_counts=True)
-                    held[kind].append((values, counts.astype(np.int64)))
-                    total += len(values)
-                values = np.unique(coded(batch.column("text").filter(out)).grams)
-                held[1].append((values, np.zeros(len(values), np.int64)))
-                total += len(values)
+                values, counts = np.unique(np.append(x.hashes, np.full(len(learned), END)), return_counts=True)
+                words.append((values, counts.astype(np.int64)))
+                held = coded(batch.column("text").filter(out)).grams
+                grams.extend(g for g in (x.grams << np.uint64(1), held << np.uint64(1) | np.uint64(1)) if len(g))
+                total += len(values) + len(x.grams) + len(held)
                 if total > _FLUSH:
                     yield from flush()
                     total = 0
@@ -156,16 +165,23 @@ def _gather(parts: int):
     return run
 
 
+_COUNTS = "kind tinyint, key bigint, n bigint, log double, so_far double, seen binary"
+
+
 def _summed(part: pa.Table) -> pa.Table:
-    """Kind, key and count of the distinct keys of one part."""
+    """Kind, key and count of the distinct keys of one part; of grams also what the longest context gives."""
     kinds = part.column("kind").to_numpy()
     out = []
     for kind in (0, 1):
         rows = part.filter(pa.array(kinds == kind))
         keys, counts = _added([(np.cumsum(_values(k, np.uint64), dtype=np.uint64), _values(n, np.int64)) for k, n in zip(rows.column("keys"), rows.column("counts"), strict=True)]
                               or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))])
-        out.append(pa.table([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["kind", "key", "n"]))
-    return pa.concat_tables(out)
+        if kind == 0:
+            nothing = [pa.nulls(len(keys), t) for t in (pa.float64(), pa.float64(), pa.binary())]
+            out.append(pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int8)), pa.array(keys.view(np.int64)), pa.array(counts), *nothing], _names(_COUNTS)))
+        else:
+            out += [pa.RecordBatch.from_arrays([pa.array(np.ones(b.num_rows, np.int8)), *b.columns], _names(_COUNTS)) for b in _longest(keys.view(np.int64), counts)]
+    return pa.Table.from_batches(out)
 
 
 class Lookup:
@@ -276,6 +292,10 @@ def _entries(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(column)), sizes), flat.field("s").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("n").to_numpy(zero_copy_only=False).astype(np.float64)
 
 
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
 _LOGS = "key bigint, n bigint, log double, so_far double, seen binary"
 
 
@@ -288,27 +308,27 @@ def _log_batch(keys: np.ndarray, n: np.ndarray, logs: np.ndarray, so_far: np.nda
                                       ["key", "n", "log", "so_far", "seen"])
 
 
-def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From contexts of the longest order with all their symbols: the grams; those of count 0 escape from a context that training texts have."""
-    for batch in batches:
-        row, symbol, n = _entries(batch.column("e"))
-        total, distinct = np.bincount(row, n, batch.num_rows), np.bincount(row, n > 0, batch.num_rows)
-        keys = (batch.column("context").to_numpy()[row] << 8) | symbol
-        old = np.flatnonzero(n > 0)
-        yield _log_batch(keys[old], n[old], np.log10(n[old] / (total + distinct)[row[old]]), np.zeros(len(old)), np.zeros((0, 256), bool))
-        new = np.flatnonzero(n == 0)
-        rows, place = np.unique(row[new], return_inverse=True)
+def _longest(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """From sorted grams with all symbols of their contexts of the longest order: their logs; those of count 0 escape from a context that training texts have."""
+    contexts = keys >> 8
+    first = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+    total, distinct = np.bincount(row, n, len(first)), np.bincount(row, n > 0, len(first))
+    old, new = np.flatnonzero(n > 0), np.flatnonzero(n == 0)
+    yield _log_batch(keys[old], n[old], np.log10(n[old] / (total + distinct)[row[old]]), np.zeros(len(old)), np.zeros((0, 256), bool))
+    known = total[row[new]] > 0
+    so_far = np.zeros(len(new))
+    so_far[known] = np.log10((distinct / np.maximum(total + distinct, 1))[row[new][known]])
+    end = np.append(first[1:], len(keys))
+    for lo in range(0, len(new), 10_000):
+        part = slice(lo, lo + 10_000)
+        rows, place = np.unique(row[new[part]], return_inverse=True)
+        size = (end - first)[rows]
+        mine = np.repeat(first[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())  # all grams of these contexts
+        at = np.repeat(np.arange(len(rows)), size)[n[mine] > 0]
         seen = np.zeros((len(rows), 256), dtype=bool)
-        mine = np.searchsorted(rows, row[old])
-        some = mine < len(rows)
-        some[some] = rows[mine[some]] == row[old][some]
-        seen[mine[some], symbol[old][some]] = True
-        known = total[row[new]] > 0
-        so_far = np.zeros(len(new))
-        so_far[known] = np.log10((distinct / np.maximum(total + distinct, 1))[row[new][known]])
-        for lo in range(0, len(new), 10_000):
-            part = slice(lo, lo + 10_000)
-            yield _log_batch(keys[new[part]], n[new[part]], np.full(len(new[part]), np.nan), so_far[part], seen[place[part]])
+        seen[at, keys[mine[n[mine] > 0]] & 255] = True
+        yield _log_batch(keys[new[part]], n[new[part]], np.full(len(new[part]), np.nan), so_far[part], seen[place])
 
 
 def _shorter(last: bool):
@@ -348,11 +368,10 @@ def _with_symbols(grams: DataFrame, order: int) -> DataFrame:
     return grams.groupBy(_context(order).alias("context")).agg(F.collect_list(F.struct(F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("s"), "n")).alias("e"))
 
 
-def _gram_logs(grams: DataFrame) -> DataFrame:
-    """(key, n, log) of all distinct grams (key, n), those of held-out texts alone with n = 0."""
-    first = staged(_with_symbols(grams, ORDER).mapInArrow(frugal(_longest), _LOGS), "ppm-logs")
+def _gram_logs(first: DataFrame) -> DataFrame:
+    """(key, n, log) of all distinct grams, those of held-out texts alone with n = 0, from what the longest contexts give."""
     done, open_ = [first.where("log IS NOT NULL")], first.where("log IS NULL")
-    grams = grams.where("n > 0")
+    grams = first.where("n > 0")
     for k in range(ORDER - 1, -1, -1):
         if open_.isEmpty():
             break
@@ -387,14 +406,13 @@ def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // _PART_BYTES))
     sent = docs.select("text", "held_out").mapInArrow(frugal(_gather(parts)), "part int, kind tinyint, keys binary, counts binary")
-    counts = sent.groupBy("part").applyInArrow(_summed, "kind tinyint, key bigint, n bigint")
-    counts = staged(counts, "ppm-counts", ("kind",))
+    counts = staged(sent.groupBy("part").applyInArrow(_summed, _COUNTS), "ppm-counts")
     often = F.col("n") * max_entries
     sums = {r.kind: (r.n, r.distinct) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
     tokens, distinct = sums.get(0, (0, 0))
     symbols = sums.get(1, (0, 0))[0]
     grams, words = counts.where("kind = 1").select("key", "n"), counts.where("kind = 0").select("key", "n")
-    logs = _gram_logs(grams)
+    logs = _gram_logs(counts.where("kind = 1").drop("kind"))
     rest = grams.where(often <= symbols).agg(F.sum("n")).first()[0] or 0
     # each filter passes fewer than max_entries rows, as they add up to all symbols or tokens
     return Model(words, tokens, distinct, _collected(words.where(often > tokens), "key", "n"), _collected(logs.where(often > symbols), "key", "log"),
@@ -474,7 +492,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     sent = shared(spark, (Lookup(model.frequent[0]), model.frequent[1], Lookup(model.frequent_grams[0]), model.frequent_grams[1]))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.rest // _PART_GRAMS))
     texts_schema = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, rare array<bigint>, times array<int>"
-    names = [x.split()[0] for x in texts_schema.split(", ")]
+    names = _names(texts_schema)
     kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
     sent_kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 

@@ -175,6 +175,28 @@ def test_counts_are_sent_packed_by_parts():
     assert got == dict(want)
 
 
+def test_a_part_holds_whole_contexts_and_says_what_they_give(monkeypatch):
+    monkeypatch.setattr(op6_ppm, "_FLUSH", 400)  # several flushes
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(["abra", "Abrac", "zeta", "é", "w%d" % rnd.randint(0, 50)]) for _ in range(rnd.randint(0, 30))) for _ in range(40)]
+    held = [k % 3 == 0 for k in range(40)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k::4]), pa.array(held[k::4])], ["text", "held_out"]) for k in range(4)]
+    parts = pa.concat_tables([pa.Table.from_batches([x]) for x in op6_ppm._gather(5)(iter(batches))])
+    rows = [(p, r) for p in range(5) for r in op6_ppm._summed(parts.filter(pa.compute.equal(parts.column("part"), p))).to_pylist() if r["kind"]]
+    part, counts = {}, defaultdict(dict)
+    for p, r in rows:
+        assert part.setdefault(r["key"] >> 8, p) == p
+        counts[r["key"] >> 8][r["key"] & 255] = r["n"]
+    assert any(r["n"] == 0 for _, r in rows)
+    for _, r in rows:
+        seen = {s: n for s, n in counts[r["key"] >> 8].items() if n}
+        if r["n"]:
+            assert abs(r["log"] - math.log10(r["n"] / (sum(seen.values()) + len(seen)))) < 1e-12 and r["seen"] is None
+        else:
+            assert r["log"] is None and {*np.flatnonzero(np.unpackbits(np.frombuffer(r["seen"], np.uint8))).tolist()} == {*seen}
+            assert abs(r["so_far"] - (math.log10(len(seen) / (sum(seen.values()) + len(seen))) if seen else 0)) < 1e-12
+
+
 def test_score_edges_and_a_bounded_trie(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (1, "aa bb"), (None, "aa"), (2, "cc")], "doc_id long, text string").withColumns({"n": F.lit(1), "key": F.lit(2)})
     rows = op6_ppm.score(docs).collect()
