@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import inspect
 import pickle
 import tempfile
 import uuid
@@ -96,6 +97,14 @@ def doc_key(column: Column) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run`` for mapInArrow, after which the worker gives freed memory back: Spark keeps workers waiting for further tasks."""
     @functools.wraps(run)
@@ -104,13 +113,26 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
             yield from run(batches)
         finally:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-            if trim is not None:
-                trim(0)
+            give_back()
     return within
 
 
+def frugal_groups(run: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``run`` for applyInArrow, of (key, tables); the worker gives freed memory back after each group."""
+    def grouped(key: tuple, part: pa.Table) -> pa.Table:
+        try:
+            return run(key, part)
+        finally:
+            give_back()
+
+    def cogrouped(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(key, left, right)
+        finally:
+            give_back()
+    return grouped if len(inspect.signature(run).parameters) == 2 else cogrouped
+
+
 def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast a value of this package's own classes; call the result in a task to get it back."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, frugal, shared, slices, staged, text_of
+from .common import doc_key, frugal, frugal_groups, give_back, shared, slices, staged, text_of
 from .words import SEPARATOR, hashed, mixed, raw, word_bounds
 
 ORDER = 6
@@ -118,13 +118,20 @@ def _values(packed: pa.Scalar, kind: type) -> np.ndarray:
 
 
 def _counted(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams and their counts, of grams with a bit below that says they are of held-out texts, which count 0."""
+    """Distinct grams and their counts, of grams with a bit below that says they are of held-out texts, which count 0. Empties the list."""
     marked = np.concatenate(grams)
+    grams.clear()  # the copy is all that is needed, and a task holds few of these at once
     marked.sort()
-    keys = marked >> np.uint64(1)
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    marked &= np.uint64(1)
-    return keys[at], np.diff(np.append(at, len(keys))) - np.add.reduceat(marked, at).astype(np.int64)
+    held = marked.astype(np.uint8) & 1
+    marked >>= np.uint64(1)
+    first = np.ones(len(marked), dtype=bool)
+    np.not_equal(marked[1:], marked[:-1], out=first[1:])
+    at = np.flatnonzero(first)
+    keys, total = marked[at], len(marked)
+    del marked, first
+    counts = np.diff(at, append=total).astype(np.uint32)
+    counts -= np.add.reduceat(held, at, dtype=np.uint32)
+    return keys, counts
 
 
 def _gather(parts: int):
@@ -134,18 +141,21 @@ def _gather(parts: int):
         words, grams = [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
+            give_back()  # what the reading of texts took, before as much again is needed
             for kind, waiting, add, shift in ((0, words, _added, 0), (1, grams, _counted, 8)):
                 if waiting:
                     keys, counts = add(waiting)
                     waiting.clear()
                     part = _part(keys >> np.uint64(shift), parts)
                     by = _by_part(part, parts)
-                    part, keys, counts = part[by], keys[by], counts[by]
+                    part, keys, counts = part[by], keys[by], counts[by].astype(np.uint32, copy=False)  # of one block of texts
+                    del by
                     cuts = np.flatnonzero(np.diff(part, prepend=-1))
                     for lo, hi in zip(cuts.tolist(), np.append(cuts[1:], len(keys))[: len(cuts)].tolist(), strict=True):
                         yield pa.RecordBatch.from_arrays([
                             pa.array(part[lo : lo + 1]), pa.array([kind], pa.int8()), pa.array([_planes(np.diff(keys[lo:hi], prepend=np.uint64(0)))], pa.binary()),
                             pa.array([_planes(counts[lo:hi])], pa.binary())], ["part", "kind", "keys", "counts"])
+            give_back()
 
         total = 0
         for whole in batches:
@@ -174,7 +184,7 @@ def _summed(part: pa.Table) -> pa.Table:
     out = []
     for kind in (0, 1):
         rows = part.filter(pa.array(kinds == kind))
-        keys, counts = _added([(np.cumsum(_values(k, np.uint64), dtype=np.uint64), _values(n, np.int64)) for k, n in zip(rows.column("keys"), rows.column("counts"), strict=True)]
+        keys, counts = _added([(np.cumsum(_values(k, np.uint64), dtype=np.uint64), _values(n, np.uint32).astype(np.int64)) for k, n in zip(rows.column("keys"), rows.column("counts"), strict=True)]
                               or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))])
         if kind == 0:
             nothing = [pa.nulls(len(keys), t) for t in (pa.float64(), pa.float64(), pa.binary())]
@@ -406,7 +416,7 @@ def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // _PART_BYTES))
     sent = docs.select("text", "held_out").mapInArrow(frugal(_gather(parts)), "part int, kind tinyint, keys binary, counts binary")
-    counts = staged(sent.groupBy("part").applyInArrow(_summed, _COUNTS), "ppm-counts")
+    counts = staged(sent.groupBy("part").applyInArrow(frugal_groups(lambda key, part: _summed(part)), _COUNTS), "ppm-counts")
     often = F.col("n") * max_entries
     sums = {r.kind: (r.n, r.distinct) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
     tokens, distinct = sums.get(0, (0, 0))
@@ -422,7 +432,7 @@ def train(docs: DataFrame, max_entries: int = MAX_ENTRIES) -> Model:
 def _packed(block: int, keys: np.ndarray, texts: np.ndarray, parts: int) -> Iterator[tuple]:
     """Of the grams of a block of texts, for each part: distinct grams (as steps), how often each occurs, and the texts where."""
     order = np.lexsort((texts, keys))
-    keys, texts = keys[order], texts[order].astype(np.uint32)
+    keys, texts = keys[order], texts[order].astype(np.uint32, copy=False)
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     part = _part(keys[at], parts)
     size = np.diff(np.append(at, len(keys)))
@@ -502,7 +512,10 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
         def flush() -> Iterator[pa.RecordBatch]:
             if waiting:
-                for values in _packed(block, np.concatenate([k for k, _ in held]), np.concatenate([t for _, t in held]), parts):
+                keys, where = np.concatenate([k for k, _ in held]), np.concatenate([t for _, t in held])
+                held.clear()
+                give_back()
+                for values in _packed(block, keys, where, parts):
                     yield pa.RecordBatch.from_arrays([*(pa.nulls(1, kind) for kind in kinds), *(pa.array([v], kind) for v, kind in zip(values, sent_kinds, strict=True))], [*names, *_SENT])
 
         for whole in batches:
@@ -515,7 +528,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 text = np.repeat(np.arange(batch.num_rows), np.diff(x.cut))
                 settled, others = place >= 0, np.flatnonzero(place < 0)
                 sums = np.bincount(text[settled], logs10[place[settled]], batch.num_rows).astype(float)  # of nothing it is whole numbers
-                held.append((x.grams[others], text[others] + texts))
+                held.append((x.grams[others], (text[others] + texts).astype(np.uint32)))
                 waiting += len(others)
                 row = (block << 20) + texts + np.arange(batch.num_rows)
                 texts += batch.num_rows
@@ -544,10 +557,10 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     # texts, and the grams to look up, in one pass and one shuffle
     both = rows.mapInArrow(frugal(run), f"{texts_schema}, block bigint, part int, grams binary, sizes binary, texts binary")
     logs = model.grams.withColumn("part", _part_of(parts)(F.col("key")))
-    found = both.groupBy("part").cogroup(logs.groupBy("part")).applyInArrow(_looked_up, f"{texts_schema}, block bigint, part int, texts binary, sums binary")
+    found = both.groupBy("part").cogroup(logs.groupBy("part")).applyInArrow(frugal_groups(_looked_up), f"{texts_schema}, block bigint, part int, texts binary, sums binary")
     found = staged(found, "ppm-rows")
     scored = found.where("row IS NOT NULL").select(*names)
-    rest = found.where("row IS NULL").select("block", "part", "texts", "sums").groupBy("block").applyInArrow(_block_sums, "row bigint, rest double")
+    rest = found.where("row IS NULL").select("block", "part", "texts", "sums").groupBy("block").applyInArrow(frugal_groups(_block_sums), "row bigint, rest double")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
     joined = rare.join(model.words, "key", "left")
     per_row = joined.groupBy("row").agg(

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sousflow.llm import op4_html_text, op5_quality_fm, op6_ppm, op9_pii
+from sousflow.llm import common, op4_html_text, op5_quality_fm, op6_ppm, op9_pii
 from sousflow.llm.op10_sentencepiece import BPE, MARK, RUN_WORDS, Codec, build_tokenizer, decode, encode, model_bytes, normalised, parse_model, round_trip
 
 SF = "/root/testdata/sf0.001"
@@ -197,6 +198,32 @@ def test_a_part_holds_whole_contexts_and_says_what_they_give(monkeypatch):
             assert abs(r["so_far"] - (math.log10(len(seen) / (sum(seen.values()) + len(seen))) if seen else 0)) < 1e-12
 
 
+def test_counting_holds_few_copies_of_its_grams():
+    rnd = np.random.default_rng(3)
+    grams = [rnd.integers(0, 1 << 40, 100_000).astype(np.uint64) << np.uint64(1) | np.uint64(k % 2) for k in range(10)]
+    want = Counter(np.concatenate(grams[::2]).tolist())
+    tracemalloc.start()
+    try:
+        waiting = [g.copy() for g in grams]
+        keys, counts = op6_ppm._counted(waiting)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert not waiting and peak < 40 * 1_000_000  # bytes for each gram
+    assert dict(zip((keys << np.uint64(1)).tolist(), counts.tolist(), strict=True)) == {**{int(k) & ~1: 0 for g in grams[1::2] for k in g}, **want}
+
+
+def test_group_functions_give_memory_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    part = pa.table({"x": [1, 2]})
+    one, two = common.frugal_groups(lambda key, t: t), common.frugal_groups(lambda key, t, u: pa.concat_tables([t, u]))
+    assert one((), part) is part and two((), part, part).num_rows == 4 and len(given) == 2
+    monkeypatch.undo()
+    rows = spark.createDataFrame([(1, 2), (1, 3), (2, 5)], "k int, v int")
+    assert sorted(r.v for r in rows.groupBy("k").applyInArrow(common.frugal_groups(lambda key, t: t), "k int, v int").collect()) == [2, 3, 5]
+
+
 def test_score_edges_and_a_bounded_trie(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (1, "aa bb"), (None, "aa"), (2, "cc")], "doc_id long, text string").withColumns({"n": F.lit(1), "key": F.lit(2)})
     rows = op6_ppm.score(docs).collect()
