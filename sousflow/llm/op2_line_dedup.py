@@ -14,8 +14,9 @@ line with a word takes part; ``min_tokens`` may ask for more distinct words, oth
    difference. It keeps one of them: the first whose sketch is well below the allowed
    difference, or else the one with the nearest sketch.
 4. Those pairs are verified on the full sets. A line that is not settled by it and has
-   further candidates takes all of them in a second round. So large groups of similar lines
-   give pairs in proportion to their lines, and every candidate of an unsettled line is examined.
+   further candidates takes all of them in a second round, from the tokens' lines that the
+   first round has kept for it. So large groups of similar lines give pairs in proportion to
+   their lines, and every candidate of an unsettled line is examined.
 
 A token with more lines than ``HOT_LINES`` is dealt into as many shares; its lines are
 indexed in one share each and probe them all.
@@ -77,10 +78,10 @@ def _words_of_lines(column: pa.Array) -> tuple[np.ndarray, ...]:
     return hashed(data, starts, ends), text, line, np.searchsorted(starts, begin)
 
 
-def line_tokens(column: pa.Array, least: int, lines_wanted=None, words_wanted=None) -> Lines:
+def line_tokens(column: pa.Array, least: int, lines_wanted=None) -> Lines:
     """The lines of all texts of a batch with ``least`` distinct words and more, sorted and made distinct together.
 
-    ``lines_wanted`` (text, line) and ``words_wanted`` (word hashes; one word is enough) leave lines out before that.
+    ``lines_wanted`` (text, line) leaves lines out before that.
     """
     hashes, text, line, cut = _words_of_lines(column)
     sizes = np.diff(cut)
@@ -88,9 +89,6 @@ def line_tokens(column: pa.Array, least: int, lines_wanted=None, words_wanted=No
     if lines_wanted is not None:
         keep[keep] = lines_wanted(text[keep], line[keep])
     hashes, sizes, text, line = hashes[np.repeat(keep, sizes)], sizes[keep], text[keep], line[keep]
-    if words_wanted is not None and len(sizes):
-        keep = np.logical_or.reduceat(words_wanted(hashes), np.cumsum(sizes) - sizes)
-        hashes, sizes, text, line = hashes[np.repeat(keep, sizes)], sizes[keep], text[keep], line[keep]
     owner = np.repeat(np.arange(len(sizes)), sizes)
     rough = (owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24))
     order = np.argsort(rough)
@@ -124,13 +122,18 @@ _CHUNKS = 64
 def _read_lines(least: int):
     """Every line with a 128-bit key of its token set; at the end of the task its counters, in chunks numbered as lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
+        total, waiting = np.zeros(COUNTERS, dtype=np.int64), []
         for ids, texts in _parts(batches):
             x = line_tokens(texts, least)
-            total += np.bincount((x.tokens % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            waiting.append((x.tokens % np.uint64(COUNTERS)).astype(np.uint32))
+            if sum(map(len, waiting)) > COUNTERS:
+                total += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
+                waiting.clear()
             sums = [np.add.reduceat(mixed(x.tokens ^ np.uint64(salt)), x.cut[:-1]).view(np.int64) if len(x.line) else np.zeros(0, np.int64) for salt in (0x51ED, 0xA3B7_0000_0001)]
             yield pa.RecordBatch.from_arrays([pa.array(ids[x.text], pa.int64()), pa.array(x.line.astype(np.int32)), *map(pa.array, sums), pa.nulls(len(x.line), pa.binary())],
                                              ["doc_id", "line", "key1", "key2", "counts"])
+        if waiting:
+            total += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         none = pa.nulls(_CHUNKS, pa.int64())
         yield pa.RecordBatch.from_arrays([none, pa.array(range(_CHUNKS), pa.int32()), none, none, pa.array([zlib.compress(c.tobytes(), 1) for c in np.split(total, _CHUNKS)], pa.binary())],
                                          ["doc_id", "line", "key1", "key2", "counts"])
@@ -157,18 +160,25 @@ def rarity(read: DataFrame) -> np.ndarray:
 _COLUMNS = (("token", np.uint32), ("doc", np.int64), ("line", np.uint32), ("n", np.uint32), ("pos", np.uint32), ("sketch1", np.uint64), ("sketch2", np.uint64), ("share", np.uint32), ("flags", np.uint8))
 _RANDOM = ("token", "sketch1", "sketch2")  # of these columns nothing can be squeezed
 _POSTINGS = "part int, " + ", ".join(f"{name} binary" for name, _ in _COLUMNS)
-_OWN, _OPEN = 1, 2
+_OWN, _OPEN, _MORE = 1, 2, 4
 
 
-def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts, again=None):
+def _squeezed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _loose(packed: pa.Buffer, rows: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, rows * np.dtype(kind).itemsize, codec="zstd"), kind)
+
+
+def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts):
     """Prefix tokens of the lines that are the first with their set (and by chance a few others), packed column by column for each part of the token space.
 
-    ``firsts`` is the filter of those lines. ``again``, the filters of the tokens of open lines and of
-    these lines, limits a second round to their tokens and marks them.
+    ``firsts`` is the filter of those lines.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _parts(batches):
-            x = line_tokens(texts, least, lambda text, line, ids=ids: probe(line_key(ids[text], line), *firsts()), again and (lambda h: probe(h, *again()[0])))
+            x = line_tokens(texts, least, lambda text, line, ids=ids: probe(line_key(ids[text], line), *firsts()))
             x = x.take(100 * x.sizes >= percent * (x.sizes + 1))  # a smaller set is similar to its equals alone
             if not len(x.line):
                 continue
@@ -184,11 +194,6 @@ def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts,
             keep = place < (sizes - (percent * sizes + 99) // 100 + 1)[owner]
             order, row, pos = order[keep], owner[keep], place[keep]
             token, count = tokens[order], count[order]
-            if again:
-                some = np.flatnonzero(probe(token, *again()[0]))
-                token, count, row, pos = token[some], count[some], row[some], pos[some]
-            if not len(token):
-                continue
             # a hot token's line goes to every share of the token; it is indexed in its own
             shares = np.maximum(1, -(-count.astype(np.int64) // hot))
             copies = np.repeat(np.arange(len(token)), shares)
@@ -196,13 +201,11 @@ def _postings(percent: int, least: int, parts: int, counters, hot: int, firsts,
             token, row, pos, shares = token[copies], row[copies], pos[copies], shares[copies]
             doc, keys = ids[x.text], line_key(ids[x.text], x.line)
             flags = (keys[row] % shares.astype(np.uint64) == share.astype(np.uint64)) * _OWN
-            if again:
-                flags |= probe(keys, *again()[1])[row] * _OPEN
             part = ((token + share.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(33)) % np.uint64(parts)
-            by = np.argsort(part, kind="stable")
+            by = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")  # 16 bits are sorted in linear time
             cuts = np.flatnonzero(np.diff(part[by], prepend=np.uint64(parts)))
             values = dict(token=token >> np.uint64(32), doc=doc[row], line=x.line[row], n=sizes[row], pos=pos, sketch1=sketch1[row], sketch2=sketch2[row], share=share, flags=flags)
-            packed = ([v.tobytes() if name in _RANDOM else zlib.compress(v.tobytes(), 1) for v in np.split(values[name][by].astype(kind), cuts[1:])] for name, kind in _COLUMNS)
+            packed = ([v.tobytes() if name in _RANDOM else _squeezed(v) for v in np.split(values[name][by].astype(kind), cuts[1:])] for name, kind in _COLUMNS)
             yield pa.RecordBatch.from_arrays([pa.array(part[by][cuts].astype(np.int32)), *(pa.array(v, pa.binary()) for v in packed)], ["part", *(name for name, _ in _COLUMNS)])
     return run
 
@@ -212,15 +215,19 @@ def _alpha(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (n + m)) // (100 + percent))
 
 
-def _compare(x: dict[str, np.ndarray], a, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which pairs (a indexed and earlier, b) pass the length, positional and sketch filters; their sketch distance and the difference allowed."""
-    n, m = x["n"][a].astype(np.int64), x["n"][b].astype(np.int64)
+def _compare(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pairs (a indexed and earlier, b) pass the length, positional and sketch filters: their places; their sketch distance and the difference allowed."""
+    some = np.flatnonzero(x["flags"][a] & _OWN)
+    n, m = x["n"][a[some]].astype(np.int64), x["n"][b[some]].astype(np.int64)
+    ok = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    some, n, m = some[ok], n[ok], m[ok]
     need = _alpha(n, m, percent)
-    ok = (x["flags"][a] & _OWN > 0) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-    ok &= np.minimum(n - x["pos"][a], m - x["pos"][b]) >= need
+    ok = np.minimum(n - x["pos"][a[some]], m - x["pos"][b[some]]) >= need
+    some, allowed = some[ok], (n + m - 2 * need)[ok]
+    a, b = a[some], b[some]
     apart = np.bitwise_count(x["sketch1"][a] ^ x["sketch1"][b]).astype(np.int64) + np.bitwise_count(x["sketch2"][a] ^ x["sketch2"][b])
-    allowed = n + m - 2 * need
-    return ok & (apart <= allowed) & ((x["doc"][a] != x["doc"][b]) | (x["line"][a] != x["line"][b])), apart, allowed
+    ok = (apart <= allowed) & ((x["doc"][a] != x["doc"][b]) | (x["line"][a] != x["line"][b]))
+    return some[ok], apart[ok], allowed[ok]
 
 
 def bucket_pairs(x: dict[str, np.ndarray], percent: int, all_of_open: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,7 +255,7 @@ def bucket_pairs(x: dict[str, np.ndarray], percent: int, all_of_open: bool = Fal
         b = np.repeat(base + member, member)
         a = np.repeat(base, member) + np.arange(len(b)) - np.repeat(np.cumsum(member) - member, member)
         ok, apart, allowed = _compare(x, a, b, percent)
-        a, b, apart, allowed = a[ok], b[ok], apart[ok], allowed[ok]
+        a, b = a[ok], b[ok]
         if not all_of_open and len(b):
             near = 4 * apart <= 3 * allowed
             by = np.lexsort((a, np.where(near, 0, apart), ~near, b))
@@ -271,14 +278,14 @@ def bucket_pairs(x: dict[str, np.ndarray], percent: int, all_of_open: bool = Fal
             if not x["flags"][a] & _OWN:
                 continue
             ok, apart, allowed = _compare(x, np.full(len(alive), a), alive, percent)
-            if not ok.any():
+            if not len(ok):
                 continue
             b = alive[ok]
             if all_of_open:
                 firsts.append(np.full(len(b), a))
                 seconds.append(b)
                 continue
-            apart, allowed, k = apart[ok], allowed[ok], b - start
+            k = b - start
             passed[k] += 1
             near = 4 * apart <= 3 * allowed
             apart = np.where(near, -1, apart)
@@ -296,32 +303,88 @@ def bucket_pairs(x: dict[str, np.ndarray], percent: int, all_of_open: bool = Fal
     return np.concatenate(firsts or empty), np.concatenate(seconds or empty), np.unique(np.concatenate(more or empty))
 
 
-def _candidates(percent: int, all_of_open: bool):
+_BUCKET_ROWS = 200_000
+_PAIRS = "doc_a bigint, line_a int, doc_b bigint, line_b int"
+
+
+def _kept_buckets(x: dict[str, np.ndarray], more: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Of the sorted postings those of every bucket where a line has further candidates, whole buckets together: how many, and their columns.
+
+    Only indexed lines and those with further candidates stay: others give no pair that is not examined yet.
+    """
+    if not len(more):
+        return
+    key = x["token"].astype(np.uint64) << np.uint64(32) | x["share"]
+    bucket = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
+    flags = x["flags"].copy()
+    flags[more] |= _MORE
+    wanted = np.zeros(bucket[-1] + 1, dtype=bool)
+    wanted[bucket[more]] = True
+    rows = np.flatnonzero(wanted[bucket] & (flags & (_OWN | _MORE) > 0))
+    starts = np.flatnonzero(np.diff(bucket[rows], prepend=-1))
+    _, first = np.unique(starts // _BUCKET_ROWS, return_index=True)
+    cuts = starts[first]
+    for part in np.split(rows, cuts[1:]):
+        values = {**x, "flags": flags, "token": bucket, "share": np.broadcast_to(0, len(key))}
+        yield len(part), _squeezed(np.concatenate([values[name][part].astype(kind).view(np.uint8) for name, kind in _COLUMNS]))
+
+
+def _pairs_of(x: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    rows = np.unique(np.stack([x["doc"][a], x["line"][a].astype(np.int64), x["doc"][b], x["line"][b].astype(np.int64)], axis=1), axis=0)
+    for lo in range(0, len(rows), 100_000):
+        part = rows[lo : lo + 100_000]
+        yield _pair_batch(part[:, 0], part[:, 1], part[:, 2], part[:, 3])
+
+
+def _candidates(percent: int):
+    """Of the postings of one part: a candidate of every line; lines with more candidates (no first line), and the buckets where they have them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[str, list] = {name: [] for name, _ in _COLUMNS}
         for batch in batches:
+            rows = [len(v.as_buffer()) // 4 for v in batch.column("token")]
             for name, kind in _COLUMNS:
-                blobs[name] += [np.frombuffer(v.as_buffer() if name in _RANDOM else zlib.decompress(v.as_buffer()), kind) for v in batch.column(name)]
+                blobs[name] += [np.frombuffer(v.as_buffer(), kind) if name in _RANDOM else _loose(v.as_buffer(), n, kind) for n, v in zip(rows, batch.column(name), strict=True)]
         if not blobs["token"]:
             return
         x = {name: np.concatenate(blobs.pop(name)) for name, _ in _COLUMNS}
-        a, b, more = bucket_pairs(x, percent, all_of_open)
-        rows = np.unique(np.stack([x["doc"][a], x["line"][a].astype(np.int64), x["doc"][b], x["line"][b].astype(np.int64)], axis=1), axis=0)
+        a, b, more = bucket_pairs(x, percent)
+        yield from _pairs_of(x, a, b)
         left = np.unique(np.stack([x["doc"][more], x["line"][more].astype(np.int64)], axis=1), axis=0)
-        for lo in range(0, len(rows), 100_000):
-            part = rows[lo : lo + 100_000]
-            yield _pair_batch(part[:, 0], part[:, 1], part[:, 2], part[:, 3])
-        for lo in range(0, len(left), 100_000):  # a line with more candidates: no first line
+        for lo in range(0, len(left), 100_000):
             part = left[lo : lo + 100_000]
             yield _pair_batch(None, None, part[:, 0], part[:, 1])
+        for rows, packed in _kept_buckets(x, more):
+            yield _pair_batch(None, None, np.zeros(1, np.int64), np.zeros(1, np.int64), rows, packed)
     return run
 
 
-def _pair_batch(doc_a, line_a, doc_b, line_b) -> pa.RecordBatch:
+def _all_candidates(percent: int, open_lines):
+    """All candidates of the open lines, from the kept buckets; ``open_lines`` is their filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, packed in zip(batch.column("rows").to_pylist(), batch.column("buckets"), strict=True):
+                data = _loose(packed.as_buffer(), rows * sum(np.dtype(kind).itemsize for _, kind in _COLUMNS), np.uint8)
+                x, at = {}, 0
+                for name, kind in _COLUMNS:
+                    x[name], at = data[at : at + rows * np.dtype(kind).itemsize].view(kind), at + rows * np.dtype(kind).itemsize
+                wanted = (x["flags"] & _MORE > 0) & probe(line_key(x["doc"], x["line"]), *open_lines())
+                x["flags"] = x["flags"] & _OWN | wanted.astype(np.uint8) * _OPEN
+                if wanted.any():
+                    for out in _pairs_of(x, *bucket_pairs(x, percent, all_of_open=True)[:2]):
+                        yield out.select(_columns_of(_PAIRS))
+    return run
+
+
+def _columns_of(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _pair_batch(doc_a, line_a, doc_b, line_b, rows=None, buckets=None) -> pa.RecordBatch:
     none = pa.nulls(len(doc_b), pa.int64())
     return pa.RecordBatch.from_arrays([
         none if doc_a is None else pa.array(doc_a), none.cast(pa.int32()) if line_a is None else pa.array(line_a.astype(np.int32)),
-        pa.array(doc_b), pa.array(line_b.astype(np.int32))], ["doc_a", "line_a", "doc_b", "line_b"])
+        pa.array(doc_b), pa.array(line_b.astype(np.int32)),
+        pa.array([rows] * len(doc_b), pa.int64()), pa.array([buckets] * len(doc_b), pa.binary())], [*_columns_of(_PAIRS), "rows", "buckets"])
 
 
 _ANY_LINE = 2**32 - 1
@@ -360,12 +423,6 @@ def _line_filter(doc, line):
     return key(doc, line)
 
 
-def _token_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for items in batch.column("items"):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(items.as_buffer(), np.int64))], ["h"])
-
-
 def _filter_of(keys: DataFrame, rows: int | None = None):
     """A Bloom filter of one column of keys, for tasks: call it there for its bits and slots."""
     bits, slots = bitmap_of(keys, keys.count() if rows is None else rows)
@@ -404,25 +461,22 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, hot_lines: int = HOT
     prefixes = int(counts.astype(np.int64).sum()) * (100 - percent) // 100 + first_lines
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prefixes // PART_POSTINGS))
 
-    def candidates(again) -> DataFrame:
-        postings = docs.mapInArrow(frugal(_postings(percent, min_tokens, parts, counters, hot_lines, first_filter, again)), _POSTINGS)
-        return staged(postings.repartition(parts, "part").mapInArrow(frugal(_candidates(percent, again is not None)), "doc_a bigint, line_a int, doc_b bigint, line_b int"), "line-pairs")
+    postings = docs.mapInArrow(frugal(_postings(percent, min_tokens, parts, counters, hot_lines, first_filter)), _POSTINGS)
+    met = staged(postings.repartition(parts, "part").mapInArrow(frugal(_candidates(percent)), f"{_PAIRS}, rows bigint, buckets binary"), "line-pairs")
 
-    def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def settle(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs.distinct(), "line-candidates")
         sets = sets_of_lines(docs, pairs.select("doc_a", "line_a").toDF("doc_id", "line").unionByName(pairs.select("doc_b", "line_b").toDF("doc_id", "line")).distinct(), min_tokens)
-        return sets, staged(gone.unionByName(_verified(pairs, sets, percent)).distinct(), "lines-gone")
+        return staged(gone.unionByName(_verified(pairs, sets, percent)).distinct(), "lines-gone")
 
-    met = candidates(None)
     # a line settled by an equal one may still be in the filter of firsts by chance
-    sets, gone = settle(met.where("doc_a IS NOT NULL").join(gone.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_anti"))
-    open_ = staged(met.where("doc_a IS NULL").select("doc_b", "line_b").distinct().toDF("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti"), "lines-open")
+    gone = settle(met.where("doc_a IS NOT NULL").select(*_columns_of(_PAIRS)).join(gone.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_anti"))
+    open_ = staged(met.where("doc_a IS NULL AND rows IS NULL").select("doc_b", "line_b").distinct().toDF("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti"), "lines-open")
     if open_.isEmpty():
         return gone
-    tokens = staged(sets.join(open_, ["doc_id", "line"], "left_semi").mapInArrow(frugal(_token_keys), "h bigint"), "line-tokens")
-    token_filter, open_filter = _filter_of(tokens), _filter_of(open_.select(_line_filter(F.col("doc_id"), F.col("line").cast("long")).alias("h")))
-    met = candidates(lambda: (token_filter(), open_filter()))
-    return settle(met.where("doc_a IS NOT NULL").join(open_.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_semi"))[1]
+    open_filter = _filter_of(open_.select(_line_filter(F.col("doc_id"), F.col("line").cast("long")).alias("h")))
+    further = staged(met.where("rows IS NOT NULL").select("rows", "buckets").mapInArrow(frugal(_all_candidates(percent, open_filter)), _PAIRS), "line-pairs")
+    return settle(further.join(open_.toDF("doc_b", "line_b"), ["doc_b", "line_b"], "left_semi"))
 
 
 def _one_text_an_id(rows: DataFrame) -> DataFrame:

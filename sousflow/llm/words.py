@@ -20,7 +20,7 @@ _LOWER[65:91] = _EXACT[97:123]
 _STEP = int(_RNG.integers(1, 2**61)) * 8 + 5
 #: One odd factor for each place in a shingle of at most 64 words.
 _PLACES = [int(x) * 2 + 1 for x in _RNG.integers(1, 2**62, 64)]
-_SEGMENT = 1 << 18
+_SEGMENT = 1 << 16
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the step and of its inverse modulo 2**64."""

@@ -7,9 +7,12 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sousflow.llm import op2_line_dedup
+from sousflow.llm.bloom import _positions
 from sousflow.llm.common import shared_folder
 from sousflow.llm.op1_exact_dedup import exact_dedup
 from sousflow.llm.op2_line_dedup import _COLUMNS, bucket_pairs, line_dedup, repeated_lines
@@ -129,6 +132,47 @@ def test_repeated_lines(spark, seed, hot):
     assert {(r.doc_id, r.line) for r in repeated_lines(docs, hot_lines=hot).collect()} == brute_lines(rows)
 
 
+def test_texts_are_read_once_for_prefixes(spark, monkeypatch):
+    calls = []
+    for name in ("_postings", "_wanted_sets"):
+        whole = getattr(op2_line_dedup, name)
+        monkeypatch.setattr(op2_line_dedup, name, lambda *a, whole=whole, name=name: calls.append(name) or whole(*a))
+    rows = []
+    for k in range(150):  # the first two lines look as near to the last by their sketches in some of these, but only the second is similar
+        line, often = [f"w{k}x{i}" for i in range(17)], [f"often{(7 * k + i) % 40}" for i in range(8)]
+        rows += [(3 * k + j, " ".join([*line, *often[at : at + 3]])) for j, at in enumerate((5, 2, 0))]
+    docs = frame(spark, rows).select("doc_id", "text")
+    gone = {(r.doc_id, r.line) for r in repeated_lines(docs).collect()}
+    assert gone == brute_lines(rows) and len(gone) == 150
+    assert sorted(calls) == ["_postings", "_wanted_sets", "_wanted_sets"]  # a second round, but no second reading for prefixes
+
+
+@pytest.mark.parametrize("rows", [3, 200_000])
+def test_kept_buckets_give_all_further_candidates(monkeypatch, rows):
+    monkeypatch.setattr(op2_line_dedup, "_BUCKET_ROWS", rows)
+    rng = np.random.default_rng(8)
+    x = {name: np.zeros(900, kind) for name, kind in _COLUMNS}
+    x["token"] = np.repeat(np.arange(61, dtype=np.uint32), [300, *[10] * 60])
+    x["doc"], x["n"] = rng.integers(0, 150, 900), rng.integers(18, 23, 900).astype(np.uint32)
+    x["sketch1"] = np.uint64(1) << rng.integers(0, 12, 900).astype(np.uint64)
+    x["flags"] = (rng.random(900) < 0.7).astype(np.uint8)
+    y = {k: v.copy() for k, v in x.items()}
+    y["flags"] |= 2  # all lines are open
+    a, b, _ = bucket_pairs(y, 80, all_of_open=True)
+    want = {*zip(y["doc"][a].tolist(), y["doc"][b].tolist(), strict=True)}
+    a, b, more = bucket_pairs(x, 80)
+    got = {*zip(x["doc"][a].tolist(), x["doc"][b].tolist(), strict=True)}
+    kept = [*op2_line_dedup._kept_buckets(x, more)]
+    assert len(kept) > 30 if rows == 3 else len(kept) == 1
+    keys = op2_line_dedup.line_key(x["doc"], x["line"])
+    bits = np.zeros(1 << 16, dtype=bool)
+    bits[_positions(keys, 1 << 16)] = True
+    batch = pa.RecordBatch.from_arrays([pa.array([n for n, _ in kept]), pa.array([p for _, p in kept], pa.binary())], ["rows", "buckets"])
+    for out in op2_line_dedup._all_candidates(80, lambda: (np.packbits(bits), 1 << 16))(iter([batch])):
+        got |= {*zip(out.column("doc_a").to_pylist(), out.column("doc_b").to_pylist(), strict=True)}
+    assert got == want and len(want) > 1000
+
+
 def test_short_lines_take_part(spark, tmp_path):
     from sousflow.llm.queries import op2_line_dedup
 
